@@ -48,7 +48,7 @@ def constant_map(c: Column, values: Mapping) -> Column:
 def one_of(c: Column, known: Column, what: str) -> Column:
     """``known`` where it is set; the job fails on a value the dimension lacks."""
     message = F.concat(F.lit(f"no {what} for "), F.coalesce(c.cast("string"), F.lit("null")))
-    return F.when(known.isNull(), F.raise_error(message).cast("string")).otherwise(known)
+    return F.coalesce(known, F.raise_error(message).cast("string"))
 
 
 def right_closed_band(c: Column, bands: Sequence[tuple[float, str]], floor: float) -> Column:

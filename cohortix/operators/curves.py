@@ -176,8 +176,9 @@ def threshold_grid(df: DataFrame, score: str, label: str, revenue: str) -> DataF
         tp.alias("tp"), fp.alias("fp"),
         (F.col("all_pos") - tp).alias("fn"), (F.col("all_neg") - fp).alias("tn"),
         (tp + fp).alias("contacted"),
-        F.round("rev_pos", 0).alias("rev_saved_ceiling"),
-        F.round("rev_neg", 0).alias("rev_wasted"),
+        # The inner rounding keeps an exact half a half whatever the order of the sum was.
+        F.bround(F.round("rev_pos", 6), 0).alias("rev_saved_ceiling"),
+        F.bround(F.round("rev_neg", 6), 0).alias("rev_wasted"),
     )
     rates = ("precision", "recall", "f1", "accuracy", "specificity")
     return with_metrics(counts).select(

@@ -71,9 +71,11 @@ def nearest_centroid(
     label = F.when(F.col(names[0]) == F.col("_least"), F.lit(0))
     for j, name in enumerate(names[1:], 1):
         label = label.when(F.col(name) == F.col("_least"), F.lit(j))
+    result = F.struct(label.alias(out), F.col("_least").alias(distance))
+    # As in the mixture: a one-element expansion keeps filters above the distances.
     return (
         df.select("*", *squares).select("*", F.least(*names).alias("_least"))
-        .select(*df.columns, label.alias(out), F.col("_least").alias(distance))
+        .select(*df.columns, F.inline(F.array(result)))
     )
 
 

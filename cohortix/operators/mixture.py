@@ -95,17 +95,17 @@ def soft_assign(df: DataFrame, mixture: Mixture) -> DataFrame:
                 _log_sum(cols, F.col("_top")).alias("log_density"))
     )
     others = [F.when(F.col("cluster_id") == j, F.lit(None)).otherwise(c) for j, c in enumerate(cols)]
-    return (
-        ranked.select("*", _highest(others).alias("_second"))
-        .select(
-            *own, "cluster_id",
-            F.exp(F.col("_top") - F.col("log_density")).alias("confidence"),
-            _first_at(others, F.col("_second")).alias("runner_up_id"),
-            F.exp(F.col("_second") - F.col("log_density")).alias("runner_up_confidence"),
-            F.array(*[F.exp(c - F.col("log_density")) for c in cols]).alias("probabilities"),
-            "log_density",
-        )
+    result = F.struct(
+        "cluster_id",
+        F.exp(F.col("_top") - F.col("log_density")).alias("confidence"),
+        _first_at(others, F.col("_second")).alias("runner_up_id"),
+        F.exp(F.col("_second") - F.col("log_density")).alias("runner_up_confidence"),
+        F.array(*[F.exp(c - F.col("log_density")) for c in cols]).alias("probabilities"),
+        "log_density",
     )
+    # Expanding a one-element array keeps later filters on these columns above it;
+    # pushed through the steps they would repeat every density many times over.
+    return ranked.select("*", _highest(others).alias("_second")).select(*own, F.inline(F.array(result)))
 
 
 def information_criteria(assigned: DataFrame, mixture: Mixture) -> DataFrame:
