@@ -67,12 +67,17 @@ def exact_quantiles(
     df: DataFrame,
     wanted: Mapping[str, Sequence[float]],
     *,
+    sizes: Mapping[str, int] | None = None,
     in_task: int = IN_TASK,
     accuracy: int = ACCURACY,
 ) -> dict[str, list[float | None]]:
-    """``{column: [value per probability]}``, ignoring nulls; None for an empty column."""
+    """``{column: [value per probability]}``, ignoring nulls; None for an empty column.
+
+    ``sizes`` are the non-null counts where the caller knows them already.
+    """
     df = df.select(*[F.col(c).cast("double").alias(c) for c in wanted])
-    sizes = df.agg(*[F.count(c).alias(c) for c in wanted]).first()
+    if sizes is None:
+        sizes = column_sizes(df, list(wanted))
     searches = {
         (c, rank): _Search(c, rank, sizes[c])
         for c, probs in wanted.items() if sizes[c]
@@ -93,6 +98,10 @@ def exact_quantiles(
     return {c: [interpolate(c, q) for q in probs] for c, probs in wanted.items()}
 
 
+def column_sizes(df: DataFrame, cols: Sequence[str]) -> dict[str, int]:
+    return df.agg(*[F.count(c).alias(c) for c in cols]).first().asDict()
+
+
 def _narrow(df: DataFrame, wide: list[_Search], accuracy: int) -> None:
     groups: dict[tuple, list[_Search]] = {}
     for s in wide:
@@ -149,7 +158,8 @@ def _read(df: DataFrame, todo: list[_Search]) -> None:
 
 
 def approx_quantiles(
-    df: DataFrame, wanted: Mapping[str, Sequence[float]], accuracy: int = ACCURACY
+    df: DataFrame, wanted: Mapping[str, Sequence[float]], *,
+    sizes: Mapping[str, int] | None = None, accuracy: int = ACCURACY,
 ) -> dict[str, list[float | None]]:
     """One-pass alternative within a rank error of ``1/accuracy``; no interpolation."""
     row = df.agg(

@@ -33,6 +33,7 @@ VECTOR = "churn_features"
 PROBABILITY = "churn_probability"
 VALIDATION = "is_validation"
 EARLY_STOP_ROWS = 10_000
+TREE_ROWS_PER_TASK = 2_000
 
 
 @dataclass(frozen=True)
@@ -151,7 +152,8 @@ def train_churn_models(
     """
     prepare_checkpoints(df.sparkSession)
     split = stratified_split(df, seed=seed)
-    with held(sized(training_table(split.where(~F.col("is_test")), features))) as train:
+    train_rows = training_table(split.where(~F.col("is_test")), features)
+    with held(sized(train_rows, TREE_ROWS_PER_TASK)) as train:
         test = assembler(features).transform(split.where("is_test"))
         with held(sized(test.select(S.ID, S.CHURN, S.REVENUE, VECTOR))) as held_test:
             fits = {}
@@ -238,7 +240,7 @@ def train_surrogate(
         maxDepth=sizes.surrogate_depth, minInstancesPerNode=sizes.surrogate_leaf,
         maxBins=sizes.bins, featureSubsetStrategy="sqrt", seed=sizes.seed)
     back = IndexToString(inputCol="prediction", outputCol="predicted_segment", labels=labels)
-    with held(sized(columns)) as cached:
+    with held(sized(columns, TREE_ROWS_PER_TASK)) as cached:
         model = Pipeline(stages=[index, vector, forest]).fit(cached.where("NOT is_test"))
     whole = PipelineModel([*model.stages, back])
     scored = whole.transform(columns.where("is_test"))

@@ -11,7 +11,7 @@ import json
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from cohortix import schema as S
@@ -85,8 +85,13 @@ def valid_rows(df: DataFrame) -> DataFrame:
 
 
 # ---- gaps and outliers ------------------------------------------------------
-def learn_medians(df: DataFrame, cols: Sequence[str] = S.IMPUTED, method: str = "exact") -> dict[str, float]:
-    found = QUANTILES[method](df, {c: [0.5] for c in cols})
+Sizes = Mapping[str, int] | None
+
+
+def learn_medians(
+    df: DataFrame, cols: Sequence[str] = S.IMPUTED, method: str = "exact", sizes: Sizes = None
+) -> dict[str, float]:
+    found = QUANTILES[method](df, {c: [0.5] for c in cols}, sizes=sizes)
     return {c: v[0] for c, v in found.items() if v[0] is not None}
 
 
@@ -95,9 +100,10 @@ def impute(df: DataFrame, medians: Mapping[str, float]) -> DataFrame:
 
 
 def learn_fences(
-    df: DataFrame, cols: Sequence[str] = S.CAPPED, k: float = S.FENCE_K, method: str = "exact"
+    df: DataFrame, cols: Sequence[str] = S.CAPPED, k: float = S.FENCE_K, method: str = "exact",
+    sizes: Sizes = None,
 ) -> dict[str, Fence]:
-    found = QUANTILES[method](df, {c: [0.25, 0.75] for c in cols})
+    found = QUANTILES[method](df, {c: [0.25, 0.75] for c in cols}, sizes=sizes)
     return {
         c: Fence(q1 - k * (q3 - q1), q3 + k * (q3 - q1))
         for c, (q1, q3) in found.items() if q1 is not None
@@ -132,8 +138,8 @@ def add_ratios(df: DataFrame) -> DataFrame:
     })
 
 
-def learn_ratio_caps(df: DataFrame, method: str = "exact") -> dict[str, float]:
-    found = QUANTILES[method](df, {c: [S.RATIO_CAP_QUANTILE] for c in S.RATIOS})
+def learn_ratio_caps(df: DataFrame, method: str = "exact", sizes: Sizes = None) -> dict[str, float]:
+    found = QUANTILES[method](df, {c: [S.RATIO_CAP_QUANTILE] for c in S.RATIOS}, sizes=sizes)
     return {c: v[0] for c, v in found.items() if v[0] is not None}
 
 
@@ -141,13 +147,17 @@ def cap_ratios(df: DataFrame, caps: Mapping[str, float]) -> DataFrame:
     return df.withColumns({c: clip(F.col(c), high=v) for c, v in caps.items()})
 
 
+def _moments(cols: Sequence[str]) -> list[Column]:
+    return [*[F.avg(c).alias(f"m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]]
+
+
+def _scaler(row: Row, cols: Sequence[str]) -> tuple[dict[str, float], dict[str, float]]:
+    return {c: row[f"m_{c}"] for c in cols}, {c: row[f"s_{c}"] or 1.0 for c in cols}
+
+
 def learn_scaler(df: DataFrame, cols: Sequence[str] = S.CLUSTER_FEATURES) -> tuple[dict, dict]:
     """Means and population standard deviations in one pass; a constant column scales by 1."""
-    row = df.agg(
-        *[F.avg(c).alias(f"m_{c}") for c in cols],
-        *[F.stddev_pop(c).alias(f"s_{c}") for c in cols],
-    ).first()
-    return ({c: row[f"m_{c}"] for c in cols}, {c: row[f"s_{c}"] or 1.0 for c in cols})
+    return _scaler(df.agg(*_moments(cols)).first(), cols)
 
 
 def scaled_name(c: str) -> str:
@@ -173,12 +183,16 @@ def complete(df: DataFrame, params: CleaningParams) -> DataFrame:
 
 def learn_params(valid: DataFrame, method: str = "exact") -> CleaningParams:
     """Learn each statistic on the output of the step before it."""
-    medians = learn_medians(valid, method=method)
+    present = valid.agg(
+        F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(c) for c in S.IMPUTED]).first().asDict()
+    medians = learn_medians(valid, method=method, sizes=present)
     filled = impute(valid, medians)
-    fences = learn_fences(filled, method=method)
+    full = {c: present["rows"] if c in medians else 0 for c in S.CAPPED}
+    fences = learn_fences(filled, method=method, sizes=full)
     capped = add_ratios(apply_fences(filled, fences))
-    caps = learn_ratio_caps(capped, method=method)
-    means, stds = learn_scaler(capped)
+    row = capped.agg(*_moments(S.CLUSTER_FEATURES), *[F.count(c).alias(c) for c in S.RATIOS]).first()
+    means, stds = _scaler(row, S.CLUSTER_FEATURES)
+    caps = learn_ratio_caps(capped, method=method, sizes=row.asDict())
     return CleaningParams(medians, fences, caps, means, stds)
 
 
