@@ -40,6 +40,10 @@ def cleaned(spark: SparkSession, sf_dir: str) -> clean.Cleaned:
     return clean.run(subscribers(spark, sf_dir))
 
 
+def valid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.valid_rows(written(clean.drop_copies(subscribers(spark, sf_dir)), "deduped"))
+
+
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned table with stand-in cluster, segment and churn probability."""
     return P.with_standins(cleaned(spark, sf_dir).table)
@@ -93,14 +97,14 @@ def clip_days(spark, sf_dir):
 
 @query
 def impute_median(spark, sf_dir):
-    valid = written(clean.valid_rows(subscribers(spark, sf_dir)), "valid")
+    valid = valid_rows(spark, sf_dir)
     filled = clean.impute(valid, clean.learn_medians(valid))
     return rounded(filled.select(S.ID, S.USAGE, S.REVENUE), 4, S.USAGE, S.REVENUE)
 
 
 @query
 def cleaning_audit(spark, sf_dir):
-    return clean.audit(subscribers(spark, sf_dir))
+    return clean.audit(clean.drop_copies(subscribers(spark, sf_dir), count=True))
 
 
 @query
@@ -112,14 +116,14 @@ def clean_violations(spark, sf_dir):
 # ---- features ---------------------------------------------------------------
 @query
 def learn_fences(spark, sf_dir):
-    valid = written(clean.valid_rows(subscribers(spark, sf_dir)), "valid")
+    valid = valid_rows(spark, sf_dir)
     filled = clean.impute(valid, clean.learn_medians(valid))
     return rounded(clean.count_capped(filled, clean.learn_fences(filled)), 4, "low", "high")
 
 
 @query
 def apply_fences(spark, sf_dir):
-    valid = written(clean.valid_rows(subscribers(spark, sf_dir)), "valid")
+    valid = valid_rows(spark, sf_dir)
     filled = clean.impute(valid, clean.learn_medians(valid))
     capped = clean.apply_fences(filled, clean.learn_fences(filled))
     return rounded(capped.select(S.ID, S.USAGE, S.REVENUE), 4, S.USAGE, S.REVENUE)
@@ -528,7 +532,7 @@ def _scaled(spark, sf_dir) -> DataFrame:
 
 @query
 def kmeans_fit(spark, sf_dir):
-    with held(sized(kmeans.with_vector(_scaled(spark, sf_dir).select(S.ID, *SCALED), SCALED))) as vectors:
+    with held(sized(kmeans.with_vector(_scaled(spark, sf_dir).select(*SCALED), SCALED))) as vectors:
         best = kmeans.fit_kmeans(vectors)
         sizes = best.summary.clusterSizes
         rows = [(j, sizes[j], *[float(v) for v in c], kmeans.cost(best))

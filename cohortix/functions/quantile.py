@@ -13,7 +13,6 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 IN_TASK = 200_000
@@ -135,26 +134,16 @@ def _read(df: DataFrame, todo: list[_Search]) -> None:
     groups: dict[tuple, list[_Search]] = {}
     for s in todo:
         groups.setdefault(s.bounds, []).append(s)
-    members = list(groups.values())
-    pairs = F.array(*[
-        F.when(m[0].within(), F.struct(F.lit(i).alias("g"), F.col(m[0].col).alias("v")))
-        for i, m in enumerate(members)
+    spans = df.agg(*[
+        F.sort_array(F.collect_list(F.when(members[0].within(), F.col(members[0].col)))).alias(f"g{i}")
+        for i, members in enumerate(groups.values())
     ])
-    spans = (
-        df.select(F.explode(F.filter(pairs, lambda p: p.isNotNull())).alias("p"))
-        .groupBy(F.col("p.g").alias("g"), F.col("p.v").alias("v"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("upto", F.sum("n").over(W.partitionBy("g").orderBy("v")))
-    )
-    hit = F.lit(False)
-    for i, m in enumerate(members):
-        for s in m:
-            at = s.rank - s.below
-            hit = hit | ((F.col("g") == i) & (F.col("upto") > at) & (F.col("upto") - F.col("n") <= at))
-    for row in spans.where(hit).collect():
-        for s in members[row["g"]]:
-            if row["upto"] - row["n"] <= s.rank - s.below < row["upto"]:
-                s.value = row["v"]
+    wanted = [(i, s) for i, members in enumerate(groups.values()) for s in members]
+    row = spans.select(*[
+        F.get(f"g{i}", F.lit(s.rank - s.below)).alias(f"v{j}") for j, (i, s) in enumerate(wanted)
+    ]).first()
+    for j, (_, s) in enumerate(wanted):
+        s.value = row[f"v{j}"]
 
 
 def approx_quantiles(

@@ -117,12 +117,12 @@ def assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=VECTOR, handleInvalid="error")
 
 
-def training_table(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Id, label, class weight, a fixed tenth for early stopping, and the feature vector."""
+def training_table(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """Id, label, class weight, a fixed tenth for early stopping, the feature vector, ``keep``."""
     bucket = F.conv(F.substring(F.md5(F.concat(F.lit("stop:"), F.col(S.ID).cast("string"))), 1, 8), 16, 10)
     return assembler(features).transform(df).select(
         S.ID, S.CHURN, balanced_weight(class_sizes(df)).alias(WEIGHT),
-        (bucket.cast("long") % 10 == 0).alias(VALIDATION), VECTOR)
+        (bucket.cast("long") % 10 == 0).alias(VALIDATION), VECTOR, *keep)
 
 
 def with_probability(model: Model, df: DataFrame) -> DataFrame:
@@ -172,8 +172,10 @@ def train_churn_models(
 
 def compare(name: str, scored: DataFrame) -> dict:
     """Area, accuracy and F1 at 0.5, and the F1-optimal threshold of one candidate."""
-    areas = curve_summary(score_ladder(scored, PROBABILITY, S.CHURN)).first()
-    at_half = with_metrics(confusion(scored, PROBABILITY, S.CHURN, [0.5])).first()
+    # Three passes read the scores; the model runs once.
+    with held(scored.select(S.CHURN, PROBABILITY)) as pairs:
+        areas = curve_summary(score_ladder(pairs, PROBABILITY, S.CHURN)).first()
+        at_half = with_metrics(confusion(pairs, PROBABILITY, S.CHURN, [0.5])).first()
     return {"name": name, "auc": areas["roc_auc"], "accuracy": at_half["accuracy"],
             "f1": at_half["f1"], "best_threshold": areas["best_threshold"]}
 
@@ -185,8 +187,7 @@ def cross_validate(
     """fold, roc_auc, f1 (at 0.5) of one candidate refitted on each fold's complement."""
     prepare_checkpoints(df.sparkSession)
     part = stratified_folds(exact_sample(df, rows, seed), folds, seed)
-    table = training_table(part, features).join(part.select(S.ID, "fold"), S.ID)
-    with held(sized(table)) as cached:
+    with held(sized(training_table(part, features, ["fold"]))) as cached:
         n = cached.count()
         estimator = candidates(n * (folds - 1) // folds, sizes)[name]
 

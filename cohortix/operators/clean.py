@@ -79,9 +79,9 @@ def clip_days(df: DataFrame) -> DataFrame:
     return df.withColumn(S.DOU, clip(F.col(S.DOU), 0.0, float(S.MAX_ACTIVE_DAYS)))
 
 
-def valid_rows(df: DataFrame) -> DataFrame:
-    """Deduplicated, tenured, within range; gaps still open."""
-    return df.transform(drop_copies).transform(keep_tenured).transform(floor_revenue).transform(clip_days)
+def valid_rows(deduped: DataFrame) -> DataFrame:
+    """Tenured rows with values in range; gaps still open. Narrow, no shuffle."""
+    return deduped.drop(COPIES).transform(keep_tenured).transform(floor_revenue).transform(clip_days)
 
 
 # ---- gaps and outliers ------------------------------------------------------
@@ -172,7 +172,7 @@ def standardise(df: DataFrame, means: Mapping[str, float], stds: Mapping[str, fl
 
 # ---- the whole cleaning -----------------------------------------------------
 def complete(df: DataFrame, params: CleaningParams) -> DataFrame:
-    """Apply learned parameters to rows that already passed ``valid_rows``."""
+    """Apply learned parameters to the output of ``valid_rows``."""
     return (
         df.transform(impute, params.medians)
         .transform(apply_fences, params.fences)
@@ -196,19 +196,18 @@ def learn_params(valid: DataFrame, method: str = "exact") -> CleaningParams:
     return CleaningParams(medians, fences, caps, means, stds)
 
 
-def audit(raw: DataFrame) -> DataFrame:
-    """Every dropped or repaired row counted, in one aggregate over the deduplicated rows."""
+def audit(deduped: DataFrame) -> DataFrame:
+    """Every dropped or repaired row counted, in one aggregate over ``drop_copies(.., count=True)``."""
     kept = tenured()
-    per_payload = drop_copies(raw, count=True).withColumn("kept", kept)
-    return per_payload.agg(
+    return deduped.agg(
         F.coalesce(F.sum(COPIES), F.lit(0)).alias("rows_in"),
         F.coalesce(F.sum(F.col(COPIES) - 1), F.lit(0)).alias("dropped_duplicates"),
-        F.count_if(~F.col("kept")).alias("dropped_by_aon_filter"),
-        F.count_if(F.col("kept") & (F.col(S.REVENUE) < 0)).alias("negative_revenue_floored"),
-        F.count_if(F.col("kept") & ((F.col(S.DOU) < 0) | (F.col(S.DOU) > S.MAX_ACTIVE_DAYS)))
+        F.count_if(~kept).alias("dropped_by_aon_filter"),
+        F.count_if(kept & (F.col(S.REVENUE) < 0)).alias("negative_revenue_floored"),
+        F.count_if(kept & ((F.col(S.DOU) < 0) | (F.col(S.DOU) > S.MAX_ACTIVE_DAYS)))
         .alias("dou_clipped_to_0_30"),
-        *[F.count_if(F.col("kept") & F.col(c).isNull()).alias(f"imputed_{c}") for c in S.IMPUTED],
-        F.count_if("kept").alias("rows_out"),
+        *[F.count_if(kept & F.col(c).isNull()).alias(f"imputed_{c}") for c in S.IMPUTED],
+        F.count_if(kept).alias("rows_out"),
     )
 
 
@@ -217,13 +216,15 @@ class Cleaned:
     table: DataFrame
     params: CleaningParams
     valid: DataFrame
+    deduped: DataFrame
 
 
 def run(raw: DataFrame, method: str = "exact") -> Cleaned:
-    """Clean ``raw``. The deduplicated rows are written once and read by every later pass."""
-    valid = written(valid_rows(raw), "valid")
+    """Clean ``raw``. The deduplicated rows are written once; every later step is narrow."""
+    deduped = written(drop_copies(raw, count=True), "deduped")
+    valid = valid_rows(deduped)
     params = learn_params(valid, method)
-    return Cleaned(complete(valid, params), params, valid)
+    return Cleaned(complete(valid, params), params, valid, deduped)
 
 
 # ---- data quality -----------------------------------------------------------

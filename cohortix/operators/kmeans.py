@@ -87,16 +87,17 @@ def sweep_k(
 
     ``df`` needs the id and the feature columns.
     """
-    with held(sized(with_vector(df.select(S.ID, *features), features))) as vectors:
+    with held(sized(with_vector(df.select(*features), features).select(VECTOR))) as vectors:
         jobs = [(k, s) for k in ks for s in range(seed, seed + n)]
         fits = overlapped(vectors, lambda job: fit_once(vectors, *job), jobs)
         best = {k: min((m for (kk, _), m in zip(jobs, fits) if kk == k), key=cost) for k in ks}
-        labelled = exact_sample(vectors, sample_rows, seed)
-        for k, model in best.items():
-            labelled = model.setPredictionCol(f"k{k}").transform(labelled)
+    sample = exact_sample(df.select(S.ID, *features), sample_rows, seed)
+    labelled = with_vector(sample, features)
+    for k, model in best.items():
+        labelled = model.setPredictionCol(f"k{k}").transform(labelled)
+    with held(labelled.drop(VECTOR)) as scored:
         scores = {
-            r["model"]: r
-            for r in cluster_scores(labelled, features, [f"k{k}" for k in ks]).collect()
+            r["model"]: r for r in cluster_scores(scored, features, [f"k{k}" for k in ks]).collect()
         }
     rows = [
         (k, cost(best[k]), *[scores[f"k{k}"][c] for c in

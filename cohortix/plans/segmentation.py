@@ -1,4 +1,8 @@
-"""First job: load, clean, choose k, cluster, name the segments, write the checkpoint."""
+"""First job: load, clean, choose k, cluster, name the segments, write the checkpoint.
+
+The checkpoint is the labelled table plus the state (parameters and segment names); names
+are attached on resuming, so the table is written once.
+"""
 
 from __future__ import annotations
 
@@ -27,7 +31,7 @@ SCALED = tuple(clean.scaled_name(c) for c in S.CLUSTER_FEATURES)
 
 def fit_clusters(table: DataFrame, settings: Settings) -> tuple[kmeans.KMeansModel, MixtureFit]:
     """K-Means and mixture over the scaled features; the mixture starts from the restarts."""
-    with held(sized(kmeans.with_vector(table.select(S.ID, *SCALED), SCALED))) as vectors:
+    with held(sized(kmeans.with_vector(table.select(*SCALED), SCALED))) as vectors:
         models = kmeans.restarts(vectors, settings.clusters, settings.kmeans_restarts, settings.seed)
         starts = [hard_start(vectors, m, SCALED, S.MIXTURE_REG)
                   for m in models[:settings.mixture_restarts]]
@@ -47,8 +51,8 @@ def segment_customers(raw: DataFrame, out: str, settings: Settings = Settings())
     started = time.time()
     spark = raw.sparkSession
     doc: dict[str, Any] = {}
-    audit = records(clean.audit(raw))[0]
     cleaned = clean.run(raw, settings.quantiles)
+    audit = records(clean.audit(cleaned.deduped))[0]
     doc["raw_rows"], doc["clean_rows"] = audit["rows_in"], audit["rows_out"]
     doc["cleaning_report"] = audit
     filled = clean.impute(cleaned.valid, cleaned.params.medians)
@@ -68,8 +72,12 @@ def segment_customers(raw: DataFrame, out: str, settings: Settings = Settings())
     doc["chosen_k"] = settings.clusters
 
     best, fit = fit_clusters(scaled, settings)
-    labelled = write_table(label_clusters(scaled, best, fit), f"{out}/labelled")
-    sample = exact_sample(labelled, settings.sample_rows, settings.seed)
+    checkpoint = label_clusters(scaled, best, fit).drop(
+        *SCALED, "probabilities", "squared_distance", "runner_up_id")
+    labelled = write_table(checkpoint, f"{out}/labelled")
+    sample = clean.standardise(
+        exact_sample(labelled, settings.sample_rows, settings.seed),
+        cleaned.params.means, cleaned.params.stds)
     scores = {r.pop("model"): r for r in records(
         cluster_scores(sample, SCALED, ["kmeans_cluster", "gmm_cluster"]))}
     doc["kmeans_eval"] = scores["kmeans_cluster"]
@@ -83,9 +91,6 @@ def segment_customers(raw: DataFrame, out: str, settings: Settings = Settings())
     write_report(prof, f"{out}/cluster_profile")
     doc["profile"] = records(prof)
     doc["cluster_to_segment"] = names
-    segmented = profile.attach_segment(labelled, "gmm_cluster", names).drop(
-        *SCALED, "probabilities", "log_density", "squared_distance", "runner_up_id")
-    write_table(segmented, f"{out}/segmented")
     _write_state(spark, out, cleaned.params, fit, names)
     doc["segmentation_seconds"] = round(time.time() - started, 1)
     write_document(spark, doc, f"{out}/segmentation_metrics")

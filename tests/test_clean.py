@@ -19,7 +19,7 @@ def test_invariants_hold_after_cleaning(cleaned):
 
 
 def test_audit_reconciles(raw, cleaned):
-    a = clean.audit(raw).first().asDict()
+    a = clean.audit(cleaned.deduped).first().asDict()
     assert a["rows_in"] == raw.count()
     assert a["rows_out"] == a["rows_in"] - a["dropped_duplicates"] - a["dropped_by_aon_filter"]
     assert a["rows_out"] == cleaned.table.count()
