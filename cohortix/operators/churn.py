@@ -51,6 +51,8 @@ class TreeSizes:
     surrogate_depth: int = 16
     surrogate_leaf: int = 10
     bins: int = 255
+    # Statistics one task may hold per pass: deep levels need fewer passes over the rows.
+    memory_mb: int = 512
     seed: int = S.SEED
 
 
@@ -99,7 +101,8 @@ def candidates(rows: int, sizes: TreeSizes) -> dict[str, object]:
     common = dict(featuresCol=VECTOR, labelCol=S.CHURN)
     boost = GBTClassifier(
         maxIter=sizes.boost_rounds, maxDepth=sizes.boost_depth, stepSize=sizes.boost_rate,
-        maxBins=sizes.bins, minInstancesPerNode=sizes.boost_leaf, seed=sizes.seed, **common)
+        maxBins=sizes.bins, minInstancesPerNode=sizes.boost_leaf, maxMemoryInMB=sizes.memory_mb,
+        validationTol=1e-7, seed=sizes.seed, **common)
     if rows > EARLY_STOP_ROWS:
         boost = boost.setValidationIndicatorCol(VALIDATION)
     return {
@@ -107,7 +110,7 @@ def candidates(rows: int, sizes: TreeSizes) -> dict[str, object]:
             weightCol=WEIGHT, maxIter=2000, regParam=1.0 / rows, **common),
         "random_forest": RandomForestClassifier(
             numTrees=sizes.forest_trees, maxDepth=sizes.forest_depth,
-            minInstancesPerNode=sizes.forest_leaf, maxBins=sizes.bins,
+            minInstancesPerNode=sizes.forest_leaf, maxBins=sizes.bins, maxMemoryInMB=sizes.memory_mb,
             featureSubsetStrategy="sqrt", weightCol=WEIGHT, seed=sizes.seed, **common),
         "hist_gradient_boosting": boost,
     }
@@ -239,7 +242,7 @@ def train_surrogate(
     forest = RandomForestClassifier(
         featuresCol="segment_features", labelCol="segment_index", numTrees=sizes.surrogate_trees,
         maxDepth=sizes.surrogate_depth, minInstancesPerNode=sizes.surrogate_leaf,
-        maxBins=sizes.bins, featureSubsetStrategy="sqrt", seed=sizes.seed)
+        maxBins=sizes.bins, maxMemoryInMB=sizes.memory_mb, featureSubsetStrategy="sqrt", seed=sizes.seed)
     back = IndexToString(inputCol="prediction", outputCol="predicted_segment", labels=labels)
     with held(sized(columns, TREE_ROWS_PER_TASK)) as cached:
         model = Pipeline(stages=[index, vector, forest]).fit(cached.where("NOT is_test"))

@@ -20,7 +20,7 @@ from cohortix.session import frame_of, held, sized
 VECTOR = "features"
 MAX_ITERATIONS = 300
 TOLERANCE = 1e-3
-CONCURRENT_FITS = 8
+CONCURRENT_FITS = 16
 
 In = TypeVar("In")
 Out = TypeVar("Out")

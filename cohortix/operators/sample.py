@@ -91,12 +91,15 @@ def part_of(
     """Add the 0-based part of each row: how many cuts of its stratum lie before it."""
     cuts = small_side(cut_lists(
         rank_cuts(df, ranks, strata=strata, seed=seed, id_col=id_col, sort_rows=sort_rows), strata))
+    most = cuts.agg(F.max(F.size("cuts"))).first()[0] or 0
     me = F.struct(order_key(id_col, seed).alias("k"), F.col(id_col).alias("i"))
-    part: Column = F.size(F.filter(F.coalesce("cuts", F.array()), lambda c: me > c))
+    part = F.lit(0)
+    for j in range(most):
+        part = part + F.coalesce((F.col("me") > F.get("cuts", F.lit(j))).cast("int"), F.lit(0))
     return (
-        df.join(cuts, list(strata), "left")
+        df.join(cuts, list(strata), "left").withColumn("me", me)
         .withColumn(out, F.when(F.col("cuts").isNull(), F.lit(None)).otherwise(part))
-        .drop("cuts")
+        .drop("cuts", "me")
     )
 
 

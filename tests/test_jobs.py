@@ -81,3 +81,13 @@ def test_stream_scores_like_the_batch(spark, finished, tmp_path):
     want = scorer.score(rows)
     columns = ["case_id", S.SEGMENT, "churn_prediction", "risk_band", "offer"]
     assert sorted(map(tuple, got.select(columns).collect())) == sorted(map(tuple, want.select(columns).collect()))
+
+
+def test_command_line_scores_a_table(spark, finished, tmp_path):
+    from cohortix.__main__ import parser, run
+    out, _ = finished
+    scoring.cases(spark).write.parquet(str(tmp_path / "in"))
+    args = parser().parse_args(["score", "--input", str(tmp_path / "in"), "--output", str(tmp_path / "scored"),
+                                "--out", out])
+    run(spark, args)
+    assert spark.read.parquet(str(tmp_path / "scored")).count() == 10
