@@ -337,6 +337,14 @@ def all_oracles() -> dict[str, str]:
             {', '.join(f'round(CAST(CAST({c} AS REAL) AS DOUBLE), 4) AS {c}' for c in (U, R, D))},
             CAST(pack_flag AS INTEGER) AS pack_flag, CAST(aon AS INTEGER) AS aon,
             CAST(churn AS INTEGER) AS churn FROM raw""",
+        "renamed_csv": f"{BASE} SELECT customer_id, {r(4, U, R)}, {REST} FROM raw",
+        "learn_medians": f"""{BASE} SELECT '{U}' AS feature, round(mu, 4) AS value FROM med
+            UNION ALL SELECT '{R}', round(mr, 4) FROM med""",
+        "quantile_search": BASE + " UNION ALL ".join(
+            f" SELECT '{c}' AS feature, {num(q)} AS q, round(quantile_cont({c}, {q}), 4) AS value FROM clean"
+            for c in FEATURES for q in (0.005, 0.25, 0.5, 0.75, 0.995)),
+        "holdout_by_cells": f"{GROUPED} SELECT customer_id, segment, campaign_group FROM grp",
+        "segment_levels": f"{LAB} SELECT DISTINCT segment FROM lab",
         "quality_profile": f"""{BASE} SELECT count(*) AS rows_in,
             {', '.join(f'count(*) FILTER (WHERE {c} IS NULL) AS null_{c}' for c in S.PAYLOAD)},
             count(*) FILTER (WHERE {R} < 0) AS negative_revenue,

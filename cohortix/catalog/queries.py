@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,14 +12,15 @@ from pyspark.sql import functions as F
 from cohortix import schema as S
 from cohortix.catalog import standins as P
 from cohortix.functions.expr import constant_map
+from cohortix.functions.quantile import exact_quantiles
 from cohortix.operators import campaign, churn, clean, curves, kmeans, mixture, profile, sample, score
 from cohortix.operators.cluster_scores import centroid_scores, cluster_scores, silhouettes
 from cohortix.plans.segmentation import SCALED, fit_clusters, label_clusters
 from cohortix.plans.settings import Settings
 from cohortix.session import frame_of, held, shared_dir, sized, written
-from cohortix.sources import sinks
+from cohortix.sources import artefacts, sinks
 from cohortix.sources.subscribers import subscribers
-from cohortix.sources.tables import narrowed
+from cohortix.sources.tables import load_canonical, narrowed
 
 Query = Callable[[SparkSession, str], DataFrame]
 PROB = "churn_probability"
@@ -70,6 +72,16 @@ def typed_load(spark, sf_dir):
         *[F.col(c).cast("int").alias(c) for c in (S.PACK, S.TENURE, S.CHURN)])
 
 
+@query
+def renamed_csv(spark, sf_dir):
+    """Write the table as CSV under source names, then load it through the rename map."""
+    names = {c: f"src_{c}" for c in S.CANONICAL}
+    path = f"{shared_dir(spark)}/cohortix/csv-{uuid.uuid4().hex}"
+    subscribers(spark, sf_dir).withColumnsRenamed(names).write.option("header", True).csv(path)
+    table = load_canonical(spark, path, "csv", names)
+    return rounded(table.withColumn(S.ID, F.col(S.ID).cast("long")), 4, S.USAGE, S.REVENUE)
+
+
 @query
 def quality_profile(spark, sf_dir):
     return clean.quality_profile(subscribers(spark, sf_dir))
@@ -102,6 +114,12 @@ def impute_median(spark, sf_dir):
     return rounded(filled.select(S.ID, S.USAGE, S.REVENUE), 4, S.USAGE, S.REVENUE)
 
 
+@query
+def learn_medians(spark, sf_dir):
+    medians = clean.learn_medians(valid_rows(spark, sf_dir))
+    return rounded(long_params(spark, list(medians.items())), 4, "value")
+
+
 @query
 def cleaning_audit(spark, sf_dir):
     return clean.audit(clean.drop_copies(subscribers(spark, sf_dir), count=True))
@@ -152,6 +170,16 @@ def learn_ratio_caps(spark, sf_dir):
     return rounded(long_params(spark, list(caps.items())), 2, "value")
 
 
+@query
+def quantile_search(spark, sf_dir):
+    """Five quantiles per column by the narrowing search, as it runs on columns too large to sort."""
+    table = cleaned(spark, sf_dir).table
+    probs = (0.005, 0.25, 0.5, 0.75, 0.995)
+    found = exact_quantiles(table, {c: probs for c in S.CLUSTER_FEATURES}, in_task=16, accuracy=50)
+    rows = [(c, q, v) for c, values in found.items() for q, v in zip(probs, values)]
+    return rounded(frame_of(spark, rows, "feature string, q double, value double"), 4, "value")
+
+
 @query
 def learn_scaler(spark, sf_dir):
     params = cleaned(spark, sf_dir).params
@@ -417,6 +445,18 @@ def holdout_assign(spark, sf_dir):
     return _grouped(spark, sf_dir).select(S.ID, S.SEGMENT, S.GROUP)
 
 
+@query
+def holdout_by_cells(spark, sf_dir):
+    """The holdout by the cell search, as it runs on strata too large to sort in one task."""
+    out = sample.assign_holdout(labelled(spark, sf_dir), sort_rows=4)
+    return out.select(S.ID, S.SEGMENT, S.GROUP)
+
+
+@query
+def segment_levels(spark, sf_dir):
+    return labelled(spark, sf_dir).select(S.SEGMENT).distinct().orderBy(S.SEGMENT)
+
+
 @query
 def holdout_balance(spark, sf_dir):
     out = campaign.balance_check(_grouped(spark, sf_dir))
@@ -524,6 +564,22 @@ def score_batch(spark, sf_dir):
         6, "segment_confidence", "runner_up_confidence")
 
 
+@query
+def report_sections(spark, sf_dir):
+    """Segment summary, balance and group counts as JSON sections."""
+    table = written(_grouped(spark, sf_dir), "grouped")
+    parts = {
+        "segments": campaign.segment_summary(table),
+        "ucg_balance": campaign.balance_check(table),
+        "groups": profile.value_shares(table, S.GROUP),
+    }
+    out = None
+    for name, df in parts.items():
+        row = sinks.section(df, name)
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 # ---- fits (seeded, no SQL equivalent) ---------------------------------------
 def _scaled(spark, sf_dir) -> DataFrame:
     done = cleaned(spark, sf_dir)
@@ -581,6 +637,25 @@ def churn_score_base(spark, sf_dir):
     return scored.select(S.ID, PROB, flag.alias("churn_prediction"))
 
 
+@query
+def saved_scorer(spark, sf_dir):
+    """Fit, save the artefacts, load them and score every raw subscriber."""
+    done = cleaned(spark, sf_dir)
+    table = clean.standardise(done.table, done.params.means, done.params.stds)
+    best, fit = fit_clusters(table, Settings(kmeans_restarts=2, mixture_restarts=2))
+    marked = label_clusters(table, best, fit)
+    names = profile.cluster_names(profile.cluster_profile(marked, "gmm_cluster"), "gmm_cluster")
+    segmented = written(profile.attach_segment(marked, "gmm_cluster", names), "segmented")
+    levels = churn.segment_levels(segmented)
+    matrix, features = churn.add_one_hot(segmented, levels), churn.feature_names(levels)
+    model = churn.train_churn_models(matrix, features, names=["logistic_regression"])
+    path = f"{shared_dir(spark)}/cohortix/artefacts-{uuid.uuid4().hex}"
+    artefacts.save(spark, path, done.params, fit.mixture, names, model.threshold, levels, model.best_model)
+    scorer = replace(artefacts.load(spark, path), like_training=True)
+    return scorer.score(subscribers(spark, sf_dir)).select(
+        S.ID, S.SEGMENT, "segment_confidence", PROB, "churn_prediction", "risk_band", "offer")
+
+
 @query
 def churn_cv(spark, sf_dir):
     matrix, features = _matrix(spark, sf_dir)

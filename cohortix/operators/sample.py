@@ -114,12 +114,12 @@ def holdout_size(n: Column, fraction: float = S.HOLDOUT_FRACTION) -> Column:
 
 def assign_holdout(
     df: DataFrame, fraction: float = S.HOLDOUT_FRACTION, seed: int = S.SEED,
-    strata: Sequence[str] = (S.SEGMENT,), id_col: str = S.ID,
+    strata: Sequence[str] = (S.SEGMENT,), id_col: str = S.ID, sort_rows: int = SORT_ROWS,
 ) -> DataFrame:
     """Stratified random control group: ``campaign_group`` is UCG or UTG."""
     ranks = stratum_sizes(df, strata).select(
         *strata, "n", holdout_size(F.col("n"), fraction).alias("rank"))
-    marked = part_of(df, ranks, "part", strata=strata, seed=seed, id_col=id_col)
+    marked = part_of(df, ranks, "part", strata=strata, seed=seed, id_col=id_col, sort_rows=sort_rows)
     group = F.when(F.col("part") == 0, F.lit(S.CONTROL)).otherwise(F.lit(S.TARGET))
     return marked.withColumn(S.GROUP, group).drop("part")
 
