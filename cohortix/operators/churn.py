@@ -50,7 +50,10 @@ class TreeSizes:
     surrogate_trees: int = 100
     surrogate_depth: int = 16
     surrogate_leaf: int = 10
-    bins: int = 255
+    # A forest sends bins x features x classes per node and pass, mostly for deep nodes of a
+    # few rows; boosting grows one shallow tree at a time and can afford the finer bins.
+    forest_bins: int = 32
+    boost_bins: int = 255
     # Statistics one task may hold per pass: deep levels need fewer passes over the rows.
     memory_mb: int = 512
     seed: int = S.SEED
@@ -101,16 +104,16 @@ def candidates(rows: int, sizes: TreeSizes) -> dict[str, object]:
     common = dict(featuresCol=VECTOR, labelCol=S.CHURN)
     boost = GBTClassifier(
         maxIter=sizes.boost_rounds, maxDepth=sizes.boost_depth, stepSize=sizes.boost_rate,
-        maxBins=sizes.bins, minInstancesPerNode=sizes.boost_leaf, maxMemoryInMB=sizes.memory_mb,
+        maxBins=sizes.boost_bins, minInstancesPerNode=sizes.boost_leaf, maxMemoryInMB=sizes.memory_mb,
         validationTol=1e-7, seed=sizes.seed, **common)
     if rows > EARLY_STOP_ROWS:
         boost = boost.setValidationIndicatorCol(VALIDATION)
     return {
         "logistic_regression": LogisticRegression(
-            weightCol=WEIGHT, maxIter=2000, regParam=1.0 / rows, **common),
+            weightCol=WEIGHT, maxIter=2000, tol=1e-5, regParam=1.0 / rows, **common),
         "random_forest": RandomForestClassifier(
             numTrees=sizes.forest_trees, maxDepth=sizes.forest_depth,
-            minInstancesPerNode=sizes.forest_leaf, maxBins=sizes.bins, maxMemoryInMB=sizes.memory_mb,
+            minInstancesPerNode=sizes.forest_leaf, maxBins=sizes.forest_bins, maxMemoryInMB=sizes.memory_mb,
             featureSubsetStrategy="sqrt", weightCol=WEIGHT, seed=sizes.seed, **common),
         "hist_gradient_boosting": boost,
     }
@@ -242,7 +245,7 @@ def train_surrogate(
     forest = RandomForestClassifier(
         featuresCol="segment_features", labelCol="segment_index", numTrees=sizes.surrogate_trees,
         maxDepth=sizes.surrogate_depth, minInstancesPerNode=sizes.surrogate_leaf,
-        maxBins=sizes.bins, maxMemoryInMB=sizes.memory_mb, featureSubsetStrategy="sqrt", seed=sizes.seed)
+        maxBins=sizes.forest_bins, maxMemoryInMB=sizes.memory_mb, featureSubsetStrategy="sqrt", seed=sizes.seed)
     back = IndexToString(inputCol="prediction", outputCol="predicted_segment", labels=labels)
     with held(sized(columns, TREE_ROWS_PER_TASK)) as cached:
         model = Pipeline(stages=[index, vector, forest]).fit(cached.where("NOT is_test"))

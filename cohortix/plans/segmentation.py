@@ -26,12 +26,13 @@ from cohortix.plans.settings import Settings
 from cohortix.session import frame_of, held, sized
 from cohortix.sources.sinks import records, write_document, write_report, write_table
 
+EM_ROWS_PER_TASK = 10_000
 SCALED = tuple(clean.scaled_name(c) for c in S.CLUSTER_FEATURES)
 
 
 def fit_clusters(table: DataFrame, settings: Settings) -> tuple[kmeans.KMeansModel, MixtureFit]:
     """K-Means and mixture over the scaled features; the mixture starts from the restarts."""
-    with held(sized(kmeans.with_vector(table.select(*SCALED), SCALED))) as vectors:
+    with held(sized(kmeans.with_vector(table.select(*SCALED), SCALED), EM_ROWS_PER_TASK)) as vectors:
         models = kmeans.restarts(vectors, settings.clusters, settings.kmeans_restarts, settings.seed)
         starts = [hard_start(vectors, m, SCALED, S.MIXTURE_REG)
                   for m in models[:settings.mixture_restarts]]

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 BROADCAST_ROWS = 100_000
-ROWS_PER_TASK = 100_000
+ROWS_PER_TASK = 50_000
 
 _local_dir: str | None = None
 
@@ -71,14 +71,14 @@ def held(df: DataFrame) -> Iterator[DataFrame]:
 
 
 def sized(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Give a small table the number of partitions its rows are worth before a fit.
+    """Spread a table evenly over the partitions its rows are worth before an iterative fit.
 
-    A table that fills every core anyway stays as the scan made it.
+    Up to one partition per core, and only while the table is small against the cluster;
+    a larger one stays as the scan made it.
     """
-    rows = df.count()
-    if rows > rows_per_task * df.sparkSession.sparkContext.defaultParallelism:
-        return df
-    return df.repartition(max(1, -(-rows // rows_per_task)))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    wanted = max(1, -(-df.count() // rows_per_task))
+    return df.repartition(min(wanted, cores)) if wanted <= 64 * cores else df
 
 
 def frame_of(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:

@@ -13,7 +13,7 @@ from cohortix.streaming.score_stream import landed, score_stream
 SMALL = Settings(
     sweep=(2, 3, 4, 5, 6), kmeans_restarts=2, mixture_restarts=2, sample_rows=80,
     trees=TreeSizes(forest_trees=5, forest_depth=4, forest_leaf=3, boost_rounds=3, boost_depth=2,
-                    surrogate_trees=5, surrogate_depth=5, surrogate_leaf=2, bins=32))
+                    surrogate_trees=5, surrogate_depth=5, surrogate_leaf=2, boost_bins=32))
 
 
 @pytest.fixture(scope="module")
