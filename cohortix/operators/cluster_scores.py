@@ -43,7 +43,8 @@ def centroid_scores(df: DataFrame, features: Sequence[str], labels: Sequence[str
     centres = [
         (r["model"], r["label"], *[r[f"s{i}"] / r["n"] for i in range(len(features))]) for r in sums
     ]
-    dim = frame_of(df.sparkSession, centres, "model string, label int, " + ", ".join(f"c{i} double" for i in range(len(features))))
+    width = ", ".join(f"c{i} double" for i in range(len(features)))
+    dim = frame_of(df.sparkSession, centres, f"model string, label int, {width}")
     gap = F.sqrt(_squared_norm([F.col(x) - F.col(f"c{i}") for i, x in enumerate(features)]))
     spread = {
         (r["model"], r["label"]): r["s"]
@@ -149,4 +150,7 @@ def cluster_scores(df: DataFrame, features: Sequence[str], labels: Sequence[str]
         (c, flat[c]["n_clusters"], tight[c], flat[c]["davies_bouldin"], flat[c]["calinski_harabasz"])
         for c in labels
     ]
-    return frame_of(df.sparkSession, rows, "model string, n_clusters int, silhouette double, davies_bouldin double, calinski_harabasz double")
+    return frame_of(
+        df.sparkSession, rows,
+        "model string, n_clusters int, silhouette double, davies_bouldin double, "
+        "calinski_harabasz double")

@@ -12,7 +12,6 @@ from cohortix.functions.running import running_totals, slice_bounds
 from cohortix.session import frame_of
 
 
-
 # ---- curves -----------------------------------------------------------------
 def score_ladder(df: DataFrame, score: str, label: str) -> DataFrame:
     """One row per distinct score with the positives and negatives at or above it.

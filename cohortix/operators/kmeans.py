@@ -105,4 +105,6 @@ def sweep_k(
                              ("silhouette", "davies_bouldin", "calinski_harabasz")])
         for k in ks
     ]
-    return frame_of(df.sparkSession, rows, "k int, inertia double, silhouette double, davies_bouldin double, calinski_harabasz double")
+    return frame_of(
+        df.sparkSession, rows,
+        "k int, inertia double, silhouette double, davies_bouldin double, calinski_harabasz double")

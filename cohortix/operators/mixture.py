@@ -171,11 +171,15 @@ class _Expectation:
         ]
 
     def run(self, df: DataFrame, mixtures: Mapping[int, Mixture]) -> dict[int, Mapping]:
-        params = frame_of(df.sparkSession, [(r, m.constants(), [v for vs in m.means for v in vs],
-              [1.0 / v for vs in m.variances for v in vs]) for r, m in mixtures.items()],
+        rows = [
+            (r, m.constants(), [v for vs in m.means for v in vs], [1.0 / v for vs in m.variances for v in vs])
+            for r, m in mixtures.items()
+        ]
+        params = frame_of(
+            df.sparkSession, rows,
             "restart int, base array<double>, mu array<double>, precision array<double>")
         open_restarts = F.explode(F.array(*[F.lit(r) for r in mixtures])).alias("restart")
-        rows = (
+        sums = (
             df.select(*self.features, open_restarts)
             .join(F.broadcast(params), "restart")
             .select("restart", *self.features, *self.joint)
@@ -183,7 +187,7 @@ class _Expectation:
             .select("restart", "total", *self.features, *self.shares)
             .groupBy("restart").agg(*self.sums)
         )
-        return {row["restart"]: row for row in rows.collect()}
+        return {row["restart"]: row for row in sums.collect()}
 
 
 @dataclass(frozen=True)

@@ -12,7 +12,6 @@ from cohortix.functions.expr import constant_map, one_of, turn_in_table, whole_t
 from cohortix.session import frame_of
 
 
-
 def cluster_profile(df: DataFrame, label: str) -> DataFrame:
     """Means, size, share, revenue rank (1 = highest mean) and name of every cluster."""
     rank = F.row_number().over(turn_in_table(F.col(S.REVENUE).desc(), label))
