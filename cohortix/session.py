@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
@@ -18,6 +20,7 @@ BROADCAST_ROWS = 100_000
 ROWS_PER_TASK = 50_000
 
 _local_dir: str | None = None
+_shipped: set[str] = set()
 
 
 def build_session(master: str | None = None, app: str = "cohortix", **conf: str) -> SparkSession:
@@ -49,6 +52,26 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dir
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, for functions that run in Python.
+
+    Without it they would need the package installed, or the session started in its folder.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="cohortix-code-"), "cohortix_code.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.join("cohortix", os.path.relpath(path, root)))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
