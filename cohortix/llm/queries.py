@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortix.llm import mixing, packing, sharding, simhash, tokenbin
+from cohortix.llm import mixing, packing, pii, sharding, simhash, tokenbin, toxicity
 from cohortix.llm.common import filled, table
 from cohortix.session import shared_dir
 
@@ -72,3 +72,17 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, draws = mixing.mix(table(spark, sf_dir, "documents"))
     return mixing.taken(documents, draws).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(table(spark, sf_dir, "documents"), count_col="n_values").select("doc_id", "text", "n_values")
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.with_scores(docs, model, "text", "score").select(
+        "doc_id", toxicity.held_out("doc_id").alias("held_out"), "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
