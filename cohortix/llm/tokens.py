@@ -2,46 +2,64 @@
 
 A space after a non-space ends a token in both public tokenizers used here, so what lies
 between such spaces encodes on its own. Each worker keeps the ids of the pieces it has met
-in a table of bounded size and gives the tokenizer only the new ones.
+in a table of bounded size and gives the tokenizer only new ones. A plain word with
+punctuation behind it is cut by any of the two into the word and the punctuation, so these
+go to the tokenizer's model directly, without its pattern and offsets.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from array import array
 from collections.abc import Sequence
-from itertools import accumulate, chain
 
-import numpy as np
-
-CACHE_PIECES = 600_000
+CACHE_PIECES = 800_000
+CACHE_TAILS = 10_000
 _inner_space = re.compile(r"\s ")
+# Latin-1 letters, then ASCII punctuation but the apostrophe, which contractions begin with
+_plain = re.compile("([A-Za-zªµºÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@[-`{-~]*)")
+
+
+def byte_letters() -> dict[int, str]:
+    """The characters by which byte-level models write bytes: printable ones stay, others move up from 256."""
+    stay = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    moved = [b for b in range(256) if b not in stay]
+    return {b: chr(b) for b in stay} | {b: chr(256 + i) for i, b in enumerate(moved)}
+
+
+_letters = byte_letters()
 
 _encoders: dict[str, Encoder] = {}
 
 
-class Encoder:
-    """``encode`` returns, per text, its ids as little-endian unsigned 32-bit integers."""
+class Encoder(dict):
+    """``encode`` returns, per text, its ids as little-endian unsigned 32-bit integers.
+
+    As a dictionary it holds the ids of the pieces met, each with the space before it.
+    """
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {}
+        self.cut = self.tokenizer.model.tokenize
+        self.tails: dict[str, bytes] = {"": b""}
+        shape = json.loads(self.tokenizer.to_str())
+        before, rule = shape["pre_tokenizer"], shape["normalizer"]
+        self.keeps_space = before.get("type") == "ByteLevel" and rule is None
+        self.lowers = "Lowercase" in json.dumps(rule) and "Split" in json.dumps(before)
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
-        split = [self._pieces(t) for t in texts]
-        heads = self._ids([pieces.pop(0) for pieces in split])
-        met = set().union(*split)
-        new = met.difference(self.known)
-        if len(self.known) + len(new) > CACHE_PIECES:
-            self.known, new = {}, met
-        new = list(new)
-        self.known.update(zip(new, self._ids([" " + p for p in new])))
-        get = self.known.__getitem__
-        return [head + b"".join(map(get, pieces)) for head, pieces in zip(heads, split)]
+        out = []
+        for text in texts:
+            first, *rest = self._pieces(text)
+            out.append(self._text_ids(first) + b"".join(map(self.__getitem__, rest)))
+        return out
 
     def _pieces(self, text: str) -> list[str]:
         """The text cut at spaces that follow a non-space; those spaces are left out."""
@@ -56,11 +74,28 @@ class Encoder:
                 out.append(p)
         return out
 
-    def _ids(self, pieces: list[str]) -> list[bytes]:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        raw = np.fromiter(chain.from_iterable(ids), "<u4").tobytes()
-        ends = list(accumulate(4 * len(i) for i in ids))
-        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+    def __missing__(self, piece: str) -> bytes:
+        plain = _plain.fullmatch(piece) if self.keeps_space or self.lowers else None
+        if plain is None:
+            ids = self._text_ids(" " + piece)
+        else:
+            word, tail = plain.groups()
+            if tail not in self.tails:
+                if len(self.tails) >= CACHE_TAILS:
+                    self.tails = {"": b""}
+                self.tails[tail] = self._model_ids(tail)
+            ids = self._model_ids(word.lower() if self.lowers else " " + word) + self.tails[tail]
+        if len(self) >= CACHE_PIECES:
+            self.clear()
+        self[piece] = ids
+        return ids
+
+    def _model_ids(self, text: str) -> bytes:
+        written = text.encode().decode("latin-1").translate(_letters)
+        return array("I", [t.id for t in self.cut(written)]).tobytes()
+
+    def _text_ids(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
 
 def encoder(path: str) -> Encoder:
