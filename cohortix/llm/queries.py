@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortix.llm import mixing, packing, pii, sharding, simhash, tokenbin, toxicity
+from cohortix.llm import digests, embeddings, mixing, packing, pii, sharding, simhash, tokenbin, toxicity
 from cohortix.llm.common import filled, table
 from cohortix.session import shared_dir
 
@@ -86,3 +86,13 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.with_scores(docs, model, "text", "score").select(
         "doc_id", toxicity.held_out("doc_id").alias("held_out"), "score",
         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+@query
+def op9_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))

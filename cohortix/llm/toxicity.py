@@ -5,9 +5,9 @@ a decay to the power of the stretches these span (Lodhi et al., 2002), normalise
 equal strings; gaps and inserted characters only weaken it. Landmarks are stretches of words
 that tell the labelled classes apart. A sentence is described by its best kernel value with
 every landmark, whitened by the landmarks' own kernel matrix (Nyström), and scored by a linear
-machine with squared hinge loss. A toxic document is one with a toxic sentence, so training
-lets every toxic document choose its worst sentence anew in each round and takes all sentences
-of clean ones (Andrews et al., 2003). A document scores as its worst sentence, through a
+machine with squared hinge loss. A toxic document is one with a toxic sentence, so each round
+of training takes, of toxic documents, the sentences found toxic so far and the worst one, and
+all sentences of clean ones (Andrews et al., 2003). A document scores as its worst sentence, through a
 logistic curve fitted on the training documents.
 """
 
@@ -29,14 +29,15 @@ from cohortix.session import ship_package
 WINDOW = 6
 ORDER = 3
 DECAY = 0.6
-LANDMARKS = 64
+LANDMARKS = 96
 CANDIDATES = 3_000
-ALIKE = 0.8
-FIT_DOCS = 1_500
+ALIKE = 0.85
+FIT_DOCS = 2_500
 FIT_SENTENCES = 24
 MIN_DOCS = 3
 ROUNDS = 4
-RIDGE = 1e-3
+RIDGE = 1e-4
+LIKE_MARK = 0.9
 SPELLED = 3
 CACHE_WORDS = 500_000
 CHUNK = 256
@@ -55,8 +56,9 @@ def plain(word: str) -> str:
 
 
 def windows(word: str) -> list[str]:
-    """All stretches of ``WINDOW`` characters; a shorter word is its only one."""
-    return [word[i:i + WINDOW] for i in range(max(1, len(word) - WINDOW + 1))]
+    """All stretches of ``WINDOW`` characters of a word between spaces; a shorter one is its only one."""
+    edged = f" {word} " if word else ""
+    return [edged[i:i + WINDOW] for i in range(max(1, len(edged) - WINDOW + 1))]
 
 
 def sentences(text: str) -> list[list[str]]:
@@ -64,8 +66,10 @@ def sentences(text: str) -> list[list[str]]:
     out = []
     for part in _sentence_end.split(text):
         words = [plain(w) for w in part.split()]
+        if any(len(w) < 2 for w in words):
+            words = joined(words)
         if words:
-            out.append(joined(words) if any(len(w) < 2 for w in words) else words)
+            out.append(words)
     return out
 
 
@@ -207,8 +211,9 @@ def held_out(id_col: str) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
-                  fit_docs: int) -> DataFrame:
-    """``id, text, toxic`` of about ``fit_docs`` labelled documents of each class, at most twice that.
+                  fit_docs: int) -> tuple[DataFrame, float]:
+    """``id, text, toxic`` of about ``fit_docs`` labelled documents of each class, at most twice that,
+    and the share of toxic ones among all labels to learn from.
 
     Drawn by a hash of the id among those not held out. A document with labels of both
     classes counts as toxic.
@@ -223,11 +228,15 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
         part = known.where((F.col("toxic") == toxic) & (draw < int(share * (1 << 30)))).limit(2 * fit_docs)
         drawn = part if drawn is None else drawn.union(part)
     texts = docs.select(F.col(id_col).alias("id"), filled(text_col).alias("text"))
-    return texts.join(F.broadcast(drawn), "id")
+    share = sizes.get(1, 0) / max(1, sum(sizes.values()))
+    return texts.join(F.broadcast(drawn), "id"), share
 
 
-def choose_landmarks(rows: DataFrame, wanted: int) -> list[str]:
-    """Word stretches with the largest weight of evidence for a class, no two much alike."""
+def choose_landmarks(rows: DataFrame, wanted: int) -> tuple[list[str], int]:
+    """Word stretches with the largest weight of evidence for a class, no two much alike.
+
+    Those that speak for toxicity come first; their number comes with them.
+    """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -238,18 +247,21 @@ def choose_landmarks(rows: DataFrame, wanted: int) -> list[str]:
 
     sizes = rows.agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first()
     if not sizes[0] or not sizes[1]:
-        return []
+        return [], 0
     counts = rows.select("text", "toxic").mapInArrow(cut, "window string, toxic int").groupBy("window").agg(
         F.sum("toxic").alias("p"), F.sum(1 - F.col("toxic")).alias("n")).where(F.col("p") + F.col("n") >= MIN_DOCS)
     ratio = F.log((F.col("p") + 0.5) / (sizes[0] + 1)) - F.log((F.col("n") + 0.5) / (sizes[1] + 1))
-    best = counts.withColumn("evidence", F.abs(ratio) * (F.col("p") / sizes[0] + F.col("n") / sizes[1])).orderBy(
-        F.desc("evidence"), "window").limit(CANDIDATES).select("window").toArrow().column(0).to_pylist()
+    table = counts.withColumns({
+        "evidence": F.abs(ratio) * (F.col("p") / sizes[0] + F.col("n") / sizes[1]), "toxic": ratio > 0,
+    }).orderBy(F.desc("evidence"), "window").limit(CANDIDATES).select("window", "toxic").toArrow()
+    best, speaks = table["window"].to_pylist(), table["toxic"].to_pylist()
     kernel = Kernel(best)(best) if best else None
     chosen: list[int] = []
     for i in range(len(best)):
         if len(chosen) < wanted and (not chosen or kernel[i, chosen].max() < ALIKE):
             chosen.append(i)
-    return [best[i] for i in chosen]
+    chosen.sort(key=lambda i: (not speaks[i], i))
+    return [best[i] for i in chosen], sum(speaks[i] for i in chosen)
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -257,18 +269,18 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     """Learn from at most ``2 * fit_docs`` labelled documents of each class.
 
     Of a training document up to ``FIT_SENTENCES`` sentences are used, those closest to the
-    landmarks. With labels of one class only, or none, every text gets that class' share.
+    landmarks of toxicity. With labels of one class only, or none, every text gets that class' share.
     """
     ship_package(docs.sparkSession)
-    rows = training_rows(docs, labels, id_col, text_col, label_col, fit_docs)
+    rows, share = training_rows(docs, labels, id_col, text_col, label_col, fit_docs)
     # the few thousand rows of the fit are read twice
     rows = rows.persist()
     try:
-        picked = tuple(choose_landmarks(rows, landmarks))
+        found, toxic_marks = choose_landmarks(rows, landmarks)
+        picked, marks = tuple(found), max(1, toxic_marks)
         if not picked:
-            toxic, n = rows.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count("*")).first()
-            odds = np.log((toxic + 0.5) / (n - toxic + 0.5))
-            return Model((), np.zeros(0, np.float32), 0.0, 0.0, float(odds))
+            share = min(max(share, 1e-3), 1 - 1e-3)
+            return Model((), np.zeros(0, np.float32), 0.0, 0.0, float(np.log(share / (1 - share))))
 
         def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -278,7 +290,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
                     bags = []
                     for a, b in zip(firsts, [*firsts[1:], len(values)]):
                         bag = np.unique(values[a:b], axis=0)
-                        close = np.argsort(-bag.max(axis=1), kind="stable")[:FIT_SENTENCES]
+                        close = np.argsort(-bag[:, :marks].max(axis=1), kind="stable")[:FIT_SENTENCES]
                         bags.append(bag[close].tobytes())
                     yield pa.RecordBatch.from_arrays([pa.array(bags, pa.binary()), part.column(1)], ["bag", "toxic"])
 
@@ -286,26 +298,32 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     finally:
         rows.unpersist()
     bags = [np.frombuffer(b, np.uint8).reshape(-1, len(picked)) for b in table["bag"].to_pylist()]
-    return train(picked, bags, np.array(table["toxic"].to_pylist()))
+    return train(picked, bags, np.array(table["toxic"].to_pylist()), share, marks)
 
 
-def train(landmarks: tuple[str, ...], bags: Sequence[np.ndarray], toxic: np.ndarray) -> Model:
-    """Alternate the choice of worst sentences and the fit; then fit the logistic curve."""
+def train(landmarks: tuple[str, ...], bags: Sequence[np.ndarray], toxic: np.ndarray, share: float,
+          marks: int) -> Model:
+    """Alternate the choice of worst sentences and the fit; then fit the logistic curve.
+
+    ``share`` is the part of toxic documents among all that are labelled; the curve follows it.
+    The first choice of sentences goes by the first ``marks`` landmarks.
+    """
     values = np.linalg.eigh(Kernel(landmarks)(landmarks).astype(np.float64))
     root = values[1] / np.sqrt(np.maximum(values[0], 1e-3))  # Nyström: inverse root of the kernel matrix
     firsts = np.cumsum([0, *map(len, bags)])[:-1]
     x = np.concatenate(bags) / 255.0 @ root
     owner = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
     clean = toxic[owner] == 0
-    score = np.concatenate(bags).max(axis=1).astype(np.float64)
+    score = np.concatenate(bags)[:, :marks].max(axis=1) / 255.0 - LIKE_MARK
     for _ in range(ROUNDS):
         worst = np.array([a + int(np.argmax(score[a:b])) for a, b in zip(firsts, [*firsts[1:], len(x)])])
-        rows = np.concatenate([np.flatnonzero(clean), worst[toxic == 1]])
-        y = np.where(clean[rows], -1.0, 1.0)
-        weights, bias = squared_hinge(x[rows], y)
+        rows = clean | (score > 0)
+        rows[worst] = True
+        y = np.where(clean, -1.0, 1.0)
+        weights, bias = squared_hinge(x[rows], y[rows])
         score = x @ weights + bias
     best = np.maximum.reduceat(score, firsts)
-    slope, offset = logistic_curve(best, toxic)
+    slope, offset = logistic_curve(best, toxic, share)
     return Model(landmarks, (root @ weights / 255.0).astype(np.float32), float(bias), slope, offset)
 
 
@@ -327,12 +345,12 @@ def squared_hinge(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[np.nd
     return w[:-1], float(w[-1])
 
 
-def logistic_curve(score: np.ndarray, toxic: np.ndarray, rounds: int = 100) -> tuple[float, float]:
+def logistic_curve(score: np.ndarray, toxic: np.ndarray, share: float, rounds: int = 100) -> tuple[float, float]:
     """Slope and offset of the class over the score, with Platt's softened targets, by Newton steps."""
     positive, negative = (toxic == 1).sum(), (toxic == 0).sum()
     target = np.where(toxic == 1, (positive + 1.0) / (positive + 2.0), 1.0 / (negative + 2.0))
-    # classes count alike: the sample is drawn by class
-    weight = np.where(toxic == 1, 0.5 / max(1, positive), 0.5 / max(1, negative))
+    # the sample is drawn by class
+    weight = np.where(toxic == 1, share / max(1, positive), (1 - share) / max(1, negative))
     design = np.stack([score, np.ones(len(score))], axis=1)
     theta = np.array([1.0, 0.0])
     for _ in range(rounds):
