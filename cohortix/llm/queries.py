@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortix.llm import digests, embeddings, mixing, packing, pii, sharding, simhash, tokenbin, toxicity
+from cohortix.llm import digests, embeddings, mixing, packing, pages, pii, sharding, simhash, tokenbin, toxicity
 from cohortix.llm.common import filled, table
 from cohortix.session import shared_dir
 
@@ -96,3 +96,8 @@ def op9_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
