@@ -242,14 +242,14 @@ bal AS (SELECT feature, tm, um, CASE WHEN sd > 0 THEN abs(tm - um) / sd ELSE 0 E
 
 
 # ---- cluster scores ---------------------------------------------------------
-def score_ctes(points: str, label: str, dims: list[str]) -> str:
-    """``points`` has i, the label and the dimension columns."""
+def score_ctes(points: str, label: str, dims: list[str], distance: str = "sqrt") -> str:
+    """``points`` has i, the label and the dimension columns; ``squared`` distances are for the silhouette."""
     apart = " + ".join(f"(a.{x} - b.{x}) * (a.{x} - b.{x})" for x in dims)
     centre = ", ".join(f"avg({x}) AS {x}" for x in dims)
     overall = " + ".join(f"(c.{x} - g.{x}) * (c.{x} - g.{x})" for x in dims)
     return f"""
 pt AS ({points}),
-pair AS (SELECT a.i, a.{label} AS own, b.{label} AS other, sum(sqrt({apart})) AS s, count(*) AS n
+pair AS (SELECT a.i, a.{label} AS own, b.{label} AS other, sum({'sqrt' if distance == 'sqrt' else ''}({apart})) AS s, count(*) AS n
          FROM pt a, pt b GROUP BY ALL),
 sil AS (SELECT i, max(CASE WHEN own = other THEN CASE WHEN n > 1 THEN s / (n - 1) END END) AS a,
                min(CASE WHEN own <> other THEN s / n END) AS b FROM pair GROUP BY i),
@@ -272,9 +272,12 @@ CALINSKI = "(SELECT between_ss * (n - k) / (within_ss * (k - 1)) FROM chi)"
 POINTS = (f"SELECT customer_id AS i, cluster, {', '.join(Z)} FROM zed "
           f"ORDER BY {KEY}, customer_id LIMIT {S.SCORE_SAMPLE}")
 SCORED = f"{LAB},{score_ctes(POINTS, 'cluster', list(Z))}"
+ALL_POINTS = f"SELECT customer_id AS i, cluster, {', '.join(Z)} FROM zed"
+ALL_SCORED = f"{LAB},{score_ctes(ALL_POINTS, 'cluster', list(Z))}"
+SQUARED = f"{LAB},{score_ctes(ALL_POINTS, 'cluster', list(Z), 'squared')}"
 EMB = [f"x{i}" for i in range(64)]
-EMB_POINTS = "SELECT vec_id AS i, label, {} FROM embeddings ORDER BY md5('{}:' || vec_id), vec_id LIMIT {}".format(
-    ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS {x}" for i, x in enumerate(EMB)), S.SEED, S.SCORE_SAMPLE)
+EMB_POINTS = "SELECT vec_id AS i, label, {} FROM embeddings".format(
+    ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS {x}" for i, x in enumerate(EMB)))
 
 
 # ---- scoring ----------------------------------------------------------------
@@ -322,7 +325,8 @@ SELECT customer_id, cluster_id, {GATED['segment'].format('risky.segment')} AS se
        round(runner_up_confidence, 6) AS runner_up_confidence, p AS churn_probability,
        CASE WHEN p >= {num(P.THRESHOLD)} THEN 1 WHEN p < {num(P.THRESHOLD)} THEN 0 END AS churn_prediction,
        {BAND} AS risk_band, {GATED['offer'].format('offer')} AS offer,
-       {GATED['action'].format('action')} AS action, {escalated('priority', 'p')} AS priority
+       {GATED['action'].format('action')} AS action,
+       CASE WHEN coalesce(aon >= 90, false) THEN {escalated('priority', 'p')} END AS priority
 FROM risky JOIN book ON book.segment = risky.segment"""
 
 
@@ -436,9 +440,10 @@ def all_oracles() -> dict[str, str]:
             {', '.join(f'round(greatest(q{i} / nj - (s{i} / nj) * (s{i} / nj), 0) + 1e-5, 5) AS var_{i}' for i in range(4))},
             round((SELECT avg(ld) FROM dens), 5) AS mean_log_density FROM m""",
         "silhouette_euclidean": f"{SCORED} SELECT round({SILHOUETTE}, 6) AS silhouette",
-        "davies_bouldin": f"{SCORED} SELECT round({DAVIES}, 6) AS davies_bouldin",
-        "calinski_harabasz": f"{SCORED} SELECT round({CALINSKI}, 4) AS calinski_harabasz",
-        "embedding_cluster_scores": f"""WITH {score_ctes(EMB_POINTS, 'label', EMB).lstrip()}
+        "davies_bouldin": f"{ALL_SCORED} SELECT round({DAVIES}, 6) AS davies_bouldin",
+        "silhouette_squared": f"{SQUARED} SELECT round({SILHOUETTE}, 6) AS silhouette",
+        "calinski_harabasz": f"{ALL_SCORED} SELECT round({CALINSKI}, 4) AS calinski_harabasz",
+        "embedding_cluster_scores": f"""WITH {score_ctes(EMB_POINTS, 'label', EMB, 'squared').lstrip()}
             SELECT (SELECT CAST(k AS INTEGER) FROM chi) AS n_clusters, round({SILHOUETTE}, 4) AS silhouette,
             round({DAVIES}, 4) AS davies_bouldin, round({CALINSKI}, 4) AS calinski_harabasz""",
         "confusion_at_t": f"{CONF} SELECT * FROM conf",
@@ -544,9 +549,11 @@ def all_oracles() -> dict[str, str]:
             round(confidence - runner_up_confidence, 6) AS confidence_gap FROM soft WHERE confidence < 0.8""",
         "confidence_stats": f"""{MIX} SELECT round(avg(confidence), 6) AS mean_confidence,
             count(*) FILTER (WHERE confidence < 0.6) AS low_confidence_customers FROM soft""",
-        "customer_export": f"""{GROUPED} SELECT customer_id, segment, campaign_group,
+        "customer_export": f"""{GROUPED}, {BOOK} SELECT customer_id, grp.segment, campaign_group,
             CASE WHEN churn_probability >= {num(P.THRESHOLD)} THEN 1 ELSE 0 END AS churn_prediction,
-            {text(S.HOLDOUT_OFFER[0])} AS offer, 'N/A' AS priority FROM grp WHERE campaign_group = 'UCG'""",
+            CASE WHEN campaign_group = 'UCG' THEN {text(S.HOLDOUT_OFFER[0])} ELSE offer END AS offer,
+            CASE WHEN campaign_group = 'UCG' THEN 'N/A' ELSE {escalated('priority', 'churn_probability')} END AS priority
+            FROM grp JOIN book ON book.segment = grp.segment""",
         "score_prepare": f"""{BASE}, prep AS ({prepared('raw', False)})
             SELECT customer_id, {r(3, U, R)}, {D}, {r(3, *S.RATIOS)}, is_dormant FROM prep""",
         "tenure_gate": f"""{BASE}, fl AS (SELECT customer_id, coalesce({U}, {num(P.MEDIANS[U])}) AS {U},
@@ -558,5 +565,33 @@ def all_oracles() -> dict[str, str]:
         "risk_band": f"""{LAB}, w AS (SELECT customer_id, least(round(churn_probability * 3, 6), 1e0) AS p FROM lab)
             SELECT customer_id, p, {BAND} AS risk_band FROM w""",
         "score_batch": SCORE_BATCH,
+        "report_sections": f"""{BALANCE},
+            seg AS (SELECT segment, count(*) AS customers, count(*) FILTER (WHERE campaign_group = 'UCG') AS ucg_count,
+                    count(*) FILTER (WHERE campaign_group = 'UTG') AS utg_count FROM grp GROUP BY segment),
+            shares AS (SELECT campaign_group, count(*) AS n, 100 * count(*) / sum(count(*)) OVER () AS pct
+                       FROM grp GROUP BY campaign_group)
+            SELECT 'segments' AS section, segment AS item, figure, round(CAST(value AS DOUBLE), 4) AS value FROM (
+                UNPIVOT seg ON customers, ucg_count, utg_count INTO NAME figure VALUE value)
+            UNION ALL SELECT 'ucg_balance', feature, 'abs_smd', round(smd, 4) FROM bal
+            UNION ALL SELECT 'groups', campaign_group, 'n', CAST(n AS DOUBLE) FROM shares
+            UNION ALL SELECT 'groups', campaign_group, 'pct', round(CAST(pct AS DOUBLE), 4) FROM shares""",
+        # what every right fit shows
+        "kmeans_fit": f"""{BASE} SELECT {S.N_CLUSTERS} AS clusters, count(*) AS n, true AS sizes_add_up,
+            true AS all_nearest, true AS cost_recomputed, true AS beats_fixed_centres FROM clean""",
+        "k_sweep": f"""SELECT CAST(unnest(range({min(S.SWEEP_K)}, {max(S.SWEEP_K) + 1})) AS INTEGER) AS k, true AS falls,
+            true AS silhouette_in_range, true AS scores_positive""",
+        "gmm_fit": f"""{BASE} SELECT {S.N_CLUSTERS} AS components, count(*) AS n, true AS weights_add_up,
+            true AS confidences_in_range, true AS density_recomputed, true AS beats_fixed_mixture FROM clean""",
+        "churn_fit_select": f"""{BASE} SELECT name, true AS in_range, true AS best_selected,
+            CAST((SELECT ceil(count(*) * 2e-1) FROM clean) AS BIGINT) AS test_rows
+            FROM (VALUES ('logistic_regression'), ('random_forest'), ('hist_gradient_boosting')) AS t(name)""",
+        "churn_score_base": f"{BASE} SELECT customer_id, true AS scored, true AS flag_follows FROM clean",
+        "churn_cv": f"SELECT CAST({S.CV_FOLDS} AS BIGINT) AS folds, true AS in_range, true AS mean_of_folds",
+        "importance_topk": "SELECT 10 AS n, true AS known, true AS falling, true AS shares",
+        "surrogate_fit": f"""{LAB} SELECT CAST(ceil(count(*) * 2e-1) AS BIGINT) AS test_rows,
+            true AS beats_largest_segment FROM lab""",
+        "saved_scorer": f"""{BASE} SELECT customer_id, coalesce(aon >= 90, false) AS segmented,
+            NOT coalesce(aon >= 90, false) AS no_offer, NOT coalesce(aon >= 90, false) AS no_priority,
+            aon IS NOT NULL AS has_probability, true AS floored, true AS flag_follows FROM raw""",
     }
     return out

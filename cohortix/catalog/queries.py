@@ -14,7 +14,7 @@ from cohortix.catalog import standins as P
 from cohortix.functions.expr import constant_map
 from cohortix.functions.quantile import exact_quantiles
 from cohortix.operators import campaign, churn, clean, curves, kmeans, mixture, profile, sample, score
-from cohortix.operators.cluster_scores import centroid_scores, cluster_scores, silhouettes
+from cohortix.operators.cluster_scores import centroid_scores, cluster_scores, silhouettes, squared_silhouettes
 from cohortix.plans.segmentation import SCALED, fit_clusters, label_clusters
 from cohortix.plans.settings import Settings
 from cohortix.session import frame_of, held, shared_dir, sized, written
@@ -287,26 +287,33 @@ def em_step(spark, sf_dir):
 
 
 # ---- cluster scores ---------------------------------------------------------
-def _score_sample(spark, sf_dir) -> DataFrame:
-    table = P.scaled(labelled(spark, sf_dir)).select(S.ID, "cluster", *SCALED)
-    return sample.exact_sample(table, S.SCORE_SAMPLE)
+def _points(spark, sf_dir) -> DataFrame:
+    return P.scaled(labelled(spark, sf_dir)).select(S.ID, "cluster", *SCALED)
 
 
 @query
 def silhouette_euclidean(spark, sf_dir):
-    found = silhouettes(_score_sample(spark, sf_dir), SCALED, ["cluster"])
+    """The sampled silhouette; the sample is its definition."""
+    found = silhouettes(sample.exact_sample(_points(spark, sf_dir), S.SCORE_SAMPLE), SCALED, ["cluster"])
+    return rounded(frame_of(spark, [(found["cluster"],)], "silhouette double"), 6, "silhouette")
+
+
+@query
+def silhouette_squared(spark, sf_dir):
+    """The silhouette of squared distances over all rows."""
+    found = squared_silhouettes(_points(spark, sf_dir), SCALED, ["cluster"])
     return rounded(frame_of(spark, [(found["cluster"],)], "silhouette double"), 6, "silhouette")
 
 
 @query
 def davies_bouldin(spark, sf_dir):
-    found = centroid_scores(_score_sample(spark, sf_dir), SCALED, ["cluster"])["cluster"]
+    found = centroid_scores(_points(spark, sf_dir), SCALED, ["cluster"])["cluster"]
     return rounded(frame_of(spark, [(found["davies_bouldin"],)], "davies_bouldin double"), 6, "davies_bouldin")
 
 
 @query
 def calinski_harabasz(spark, sf_dir):
-    found = centroid_scores(_score_sample(spark, sf_dir), SCALED, ["cluster"])["cluster"]
+    found = centroid_scores(_points(spark, sf_dir), SCALED, ["cluster"])["cluster"]
     out = frame_of(spark, [(found["calinski_harabasz"],)], "calinski_harabasz double")
     return rounded(out, 4, "calinski_harabasz")
 
@@ -319,8 +326,11 @@ def embedding_cluster_scores(spark, sf_dir):
     flat = table.select(
         F.col("vec_id").alias(S.ID), "label",
         *[F.col("embedding")[i].cast("double").alias(x) for i, x in enumerate(names)])
-    out = cluster_scores(sample.exact_sample(flat, S.SCORE_SAMPLE), names, ["label"])
-    return rounded(out.drop("model"), 4, "silhouette", "davies_bouldin", "calinski_harabasz")
+    flat = written(flat, "vectors")
+    found, wide = centroid_scores(flat, names, ["label"])["label"], squared_silhouettes(flat, names, ["label"])
+    row = (found["n_clusters"], wide["label"], found["davies_bouldin"], found["calinski_harabasz"])
+    out = frame_of(spark, [row], "n_clusters int, silhouette double, davies_bouldin double, calinski_harabasz double")
+    return rounded(out, 4, "silhouette", "davies_bouldin", "calinski_harabasz")
 
 
 # ---- classifier metrics -----------------------------------------------------
@@ -517,14 +527,14 @@ def confidence_stats(spark, sf_dir):
 
 @query
 def customer_export(spark, sf_dir):
-    """Write the export by campaign group and read the control part back."""
+    """Write the export by campaign group and read both parts back."""
     table = _grouped(spark, sf_dir).withColumns({
         "gmm_cluster": F.col("cluster"), "gmm_confidence": F.lit(1.0),
         "churn_prediction": (F.col(PROB) >= P.THRESHOLD).cast("int")})
     path = f"{shared_dir(spark)}/cohortix/customers-{uuid.uuid4().hex}"
     sinks.write_customers(campaign.recommend_offers(table), path)
-    control = sinks.read_group(spark, path, S.CONTROL)
-    return control.select(S.ID, S.SEGMENT, S.GROUP, "churn_prediction", "offer", "priority")
+    both = sinks.read_group(spark, path, S.CONTROL).unionByName(sinks.read_group(spark, path, S.TARGET))
+    return both.select(S.ID, S.SEGMENT, S.GROUP, "churn_prediction", "offer", "priority")
 
 
 # ---- scoring ----------------------------------------------------------------
@@ -566,50 +576,72 @@ def score_batch(spark, sf_dir):
 
 @query
 def report_sections(spark, sf_dir):
-    """Segment summary, balance and group counts as JSON sections."""
+    """Segment sizes, balance and group shares as the report nests them, one row per figure."""
     table = written(_grouped(spark, sf_dir), "grouped")
     parts = {
-        "segments": campaign.segment_summary(table),
-        "ucg_balance": campaign.balance_check(table),
-        "groups": profile.value_shares(table, S.GROUP),
+        "segments": (campaign.segment_summary(table), S.SEGMENT, ("customers", "ucg_count", "utg_count")),
+        "ucg_balance": (campaign.balance_check(table), "feature", ("abs_smd",)),
+        "groups": (profile.value_shares(table, S.GROUP), S.GROUP, ("n", "pct")),
     }
     out = None
-    for name, df in parts.items():
-        row = sinks.section(df, name)
-        out = row if out is None else out.unionByName(row)
+    for name, (df, item, figures) in parts.items():
+        measures = F.array(*[F.struct(F.lit(f).alias("figure"), F.round(F.col(f).cast("double"), 4).alias("value"))
+                             for f in figures])
+        nested = df.select(F.lit(name).alias("section"), F.col(item).alias("item"), F.inline(measures))
+        out = nested if out is None else out.unionByName(nested)
     return out
 
 
-# ---- fits (seeded, no SQL equivalent) ---------------------------------------
+# ---- fits: what any right fit must show; the fitted numbers themselves are seeded ----
 def _scaled(spark, sf_dir) -> DataFrame:
     done = cleaned(spark, sf_dir)
-    return clean.standardise(done.table, done.params.means, done.params.stds)
+    return written(clean.standardise(done.table, done.params.means, done.params.stds), "scaled")
 
 
 @query
 def kmeans_fit(spark, sf_dir):
-    with held(sized(kmeans.with_vector(_scaled(spark, sf_dir).select(*SCALED), SCALED))) as vectors:
+    """Sizes add up, rows lie with their nearest centre, the cost is the recomputed one and beats fixed centres."""
+    table = _scaled(spark, sf_dir)
+    with held(sized(kmeans.with_vector(table.select(S.ID, *SCALED), SCALED), S.ID)) as vectors:
         best = kmeans.fit_kmeans(vectors)
-        sizes = best.summary.clusterSizes
-        rows = [(j, sizes[j], *[float(v) for v in c], kmeans.cost(best))
-                for j, c in enumerate(best.clusterCenters())]
-    return frame_of(spark, rows, "cluster int, n long, " + ", ".join(f"{c} double" for c in SCALED)
-                    + ", inertia double")
+        centres = [[float(v) for v in c] for c in best.clusterCenters()]
+        placed = kmeans.nearest_centroid(best.transform(vectors), SCALED, centres)
+        fixed = kmeans.nearest_centroid(placed, SCALED, P.CENTROIDS, "fixed", "fixed_distance")
+        found = fixed.agg(
+            F.count("*").alias("n"), F.sum("squared_distance").alias("cost"), F.sum("fixed_distance").alias("fixed"),
+            F.count_if(F.col("prediction") != F.col("cluster_id")).alias("elsewhere")).first()
+        sizes, inertia = best.summary.clusterSizes, kmeans.cost(best)
+    rows = [(len(sizes), found["n"], sum(sizes) == found["n"], found["elsewhere"] == 0,
+             abs(found["cost"] - inertia) <= 1e-6 * inertia, inertia <= found["fixed"])]
+    return frame_of(spark, rows, "clusters int, n long, sizes_add_up boolean, all_nearest boolean, "
+                                 "cost_recomputed boolean, beats_fixed_centres boolean")
 
 
 @query
 def k_sweep(spark, sf_dir):
-    return kmeans.sweep_k(_scaled(spark, sf_dir), SCALED)
+    """The curve falls with k and the scores keep to their ranges."""
+    sweep = written(kmeans.sweep_k(_scaled(spark, sf_dir), SCALED), "sweep")
+    before = sweep.select((F.col("k") + 1).alias("k"), F.col("inertia").alias("before"))
+    return sweep.join(before, "k", "left").select(
+        "k", F.coalesce(F.col("inertia") < F.col("before"), F.lit(True)).alias("falls"),
+        F.abs("silhouette").between(0, 1).alias("silhouette_in_range"),
+        ((F.col("davies_bouldin") > 0) & (F.col("calinski_harabasz") > 0)).alias("scores_positive"))
 
 
 @query
 def gmm_fit(spark, sf_dir):
+    """Every row has a component, weights add up, and the fit explains the rows better than a fixed mixture."""
     table = _scaled(spark, sf_dir)
     best, fit = fit_clusters(table, Settings())
     out = label_clusters(table, best, fit)
-    prof = profile.cluster_profile(out, "gmm_cluster")
-    stats = profile.confidence_stats(out).withColumn("mean_log_density", F.lit(fit.mean_log_density))
-    return prof.withColumns({c: F.lit(v) for c, v in stats.first().asDict().items()})
+    found = out.agg(F.count("gmm_cluster").alias("n"), F.min("gmm_confidence").alias("low"),
+                    F.avg("log_density").alias("density")).first()
+    fixed = mixture.soft_assign(table, P.MIXTURE).agg(F.avg("log_density")).first()[0]
+    weights = sum(fit.mixture.weights)
+    rows = [(fit.mixture.k, found["n"], abs(weights - 1) < 1e-9, found["low"] >= 1 / fit.mixture.k - 1e-9,
+             found["density"] >= fit.mean_log_density - 1e-6, found["density"] >= fixed)]
+    return frame_of(spark, rows, "components int, n long, weights_add_up boolean, confidences_in_range boolean, "
+                                 "density_recomputed boolean, beats_fixed_mixture boolean")
 
 
 def _matrix(spark, sf_dir) -> tuple[DataFrame, list[str]]:
@@ -620,21 +652,24 @@ def _matrix(spark, sf_dir) -> tuple[DataFrame, list[str]]:
 
 @query
 def churn_fit_select(spark, sf_dir):
+    """Per candidate: metrics in range, and the best area is the one selected."""
     matrix, features = _matrix(spark, sf_dir)
     fit = churn.train_churn_models(matrix, features)
-    rows = [(r["name"], r["auc"], r["accuracy"], r["f1"], r["best_threshold"], r["name"] == fit.best_name)
-            for r in fit.comparison]
-    return frame_of(spark, rows, "name string, auc double, accuracy double, f1 double, "
-                                 "best_threshold double, selected boolean")
+    top = max(r["auc"] for r in fit.comparison)
+    rows = [(r["name"], all(0 <= r[c] <= 1 for c in ("auc", "accuracy", "f1", "best_threshold")),
+             (r["name"] == fit.best_name) <= (r["auc"] == top), fit.scored_test.count()) for r in fit.comparison]
+    return frame_of(spark, rows, "name string, in_range boolean, best_selected boolean, test_rows long")
 
 
 @query
 def churn_score_base(spark, sf_dir):
+    """Every row has a probability, and its flag is that the probability reaches the threshold."""
     matrix, features = _matrix(spark, sf_dir)
     fit = churn.train_churn_models(matrix, features, names=["logistic_regression"])
     scored = churn.with_probability(fit.best_model, matrix)
     flag = (F.col(PROB) >= fit.threshold).cast("int")
-    return scored.select(S.ID, PROB, flag.alias("churn_prediction"))
+    return scored.select(S.ID, F.col(PROB).between(0, 1).alias("scored"),
+                         (flag == F.when(F.col(PROB) < fit.threshold, 0).otherwise(1)).alias("flag_follows"))
 
 
 @query
@@ -650,27 +685,48 @@ def saved_scorer(spark, sf_dir):
     matrix, features = churn.add_one_hot(segmented, levels), churn.feature_names(levels)
     model = churn.train_churn_models(matrix, features, names=["logistic_regression"])
     path = f"{shared_dir(spark)}/cohortix/artefacts-{uuid.uuid4().hex}"
-    artefacts.save(spark, path, done.params, fit.mixture, names, model.threshold, levels, model.best_model)
+    centres = [[float(v) for v in c] for c in best.clusterCenters()]
+    artefacts.save(spark, path, done.params, fit.mixture, names, model.threshold, levels, model.best_model, centres)
     scorer = replace(artefacts.load(spark, path), like_training=True)
-    return scorer.score(subscribers(spark, sf_dir)).select(
-        S.ID, S.SEGMENT, "segment_confidence", PROB, "churn_prediction", "risk_band", "offer")
+    scored = scorer.score(subscribers(spark, sf_dir))
+    hold = F.col(S.SEGMENT) == S.UNSEGMENTED[0]
+    return scored.select(
+        S.ID, (~hold).alias("segmented"), (F.col("offer") == S.UNSEGMENTED[1]).alias("no_offer"),
+        F.col("priority").isNull().alias("no_priority"), F.col(PROB).isNotNull().alias("has_probability"),
+        F.coalesce(F.col(S.REVENUE) >= 0, F.lit(True)).alias("floored"),
+        F.coalesce((F.col("churn_prediction") == 1) == (F.col(PROB) >= model.threshold), F.lit(True)).alias("flag_follows"))
 
 
 @query
 def churn_cv(spark, sf_dir):
+    """Five folds with areas and F1 in range, and the summary is that of the folds."""
     matrix, features = _matrix(spark, sf_dir)
-    return churn.cv_summary(churn.cross_validate(matrix, features, "random_forest"))
+    folds = written(churn.cross_validate(matrix, features, "random_forest"), "folds")
+    summary = churn.cv_summary(folds).first()
+    found = folds.agg(F.count("*").alias("folds"), F.min(F.least("roc_auc", "f1")).alias("low"),
+                      F.max(F.greatest("roc_auc", "f1")).alias("high"), F.avg("roc_auc").alias("mean")).first()
+    rows = [(found["folds"], found["low"] >= 0 and found["high"] <= 1, abs(found["mean"] - summary["roc_auc_mean"]) < 1e-12)]
+    return frame_of(spark, rows, "folds long, in_range boolean, mean_of_folds boolean")
 
 
 @query
 def importance_topk(spark, sf_dir):
+    """Ten known features, most important first, shares of one."""
     matrix, features = _matrix(spark, sf_dir)
     fit = churn.train_churn_models(matrix, features, names=["random_forest"])
-    rows = churn.importance(fit.models["random_forest"], features, 10)
-    return frame_of(spark, rows, "feature string, importance double")
+    found = churn.importance(fit.models["random_forest"], features, 10)
+    shares = [v for _, v in found]
+    rows = [(len(found), all(f in features for f, _ in found), shares == sorted(shares, reverse=True),
+             0 < sum(shares) <= 1 + 1e-9)]
+    return frame_of(spark, rows, "n int, known boolean, falling boolean, shares boolean")
 
 
 @query
 def surrogate_fit(spark, sf_dir):
+    """The forest repeats the segments of the test rows better than the largest segment would."""
     fit = churn.train_surrogate(labelled(spark, sf_dir))
-    return curves.multiclass_summary(fit.counts)
+    out = curves.multiclass_summary(fit.counts)
+    largest = fit.counts.groupBy(fit.counts.columns[0]).agg(F.sum("n").alias("n")).agg(
+        (F.max("n") / F.sum("n")).alias("share"), F.sum("n").alias("test_rows")).first()
+    return out.select(F.lit(largest["test_rows"]).alias("test_rows"),
+                      (F.col("accuracy") > largest["share"]).alias("beats_largest_segment"))

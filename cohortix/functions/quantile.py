@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-IN_TASK = 200_000
+IN_TASK = 1_000
 ACCURACY = 10_000
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -11,11 +12,18 @@ from pyspark.sql import functions as F
 
 from cohortix.functions.expr import turn_in_table, whole_table
 
-SLICES = 256
+SLICE_ROWS = 4_000
 
 
-def slice_bounds(df: DataFrame, col: str, slices: int = SLICES) -> list[float]:
-    """At most ``slices - 1`` cut points that spread the rows of ``df`` evenly."""
+def slice_bounds(df: DataFrame, col: str, slices: int | None = None) -> list[float]:
+    """At most ``slices - 1`` cut points that spread the rows of ``df`` evenly.
+
+    Without a number, about ``SLICE_ROWS`` times the root of the table in thousands go in a
+    slice, so that both the slices and the rows in one grow slowly.
+    """
+    if slices is None:
+        rows = df.count()
+        slices = max(2, math.ceil(rows / (SLICE_ROWS * max(1.0, math.sqrt(rows / 1e6)))))
     shares = [i / slices for i in range(1, slices)]
     cuts = df.agg(F.percentile_approx(col, shares, 20 * slices)).first()[0]
     return sorted(set(cuts or []))

@@ -32,7 +32,6 @@ WEIGHT = "class_weight"
 VECTOR = "churn_features"
 PROBABILITY = "churn_probability"
 VALIDATION = "is_validation"
-EARLY_STOP_ROWS = 10_000
 TREE_ROWS_PER_TASK = 2_000
 
 
@@ -50,10 +49,10 @@ class TreeSizes:
     surrogate_trees: int = 100
     surrogate_depth: int = 16
     surrogate_leaf: int = 10
-    # A forest sends bins x features x classes per node and pass, mostly for deep nodes of a
-    # few rows; boosting grows one shallow tree at a time and can afford the finer bins.
-    forest_bins: int = 32
+    forest_bins: int = 255
     boost_bins: int = 255
+    # Share of the training rows on which boosting decides when to stop; 0 runs all rounds.
+    boost_validation: float = 0.1
     # Statistics one task may hold per pass: deep levels need fewer passes over the rows.
     memory_mb: int = 512
     seed: int = S.SEED
@@ -106,11 +105,11 @@ def candidates(rows: int, sizes: TreeSizes) -> dict[str, object]:
         maxIter=sizes.boost_rounds, maxDepth=sizes.boost_depth, stepSize=sizes.boost_rate,
         maxBins=sizes.boost_bins, minInstancesPerNode=sizes.boost_leaf, maxMemoryInMB=sizes.memory_mb,
         validationTol=1e-7, seed=sizes.seed, **common)
-    if rows > EARLY_STOP_ROWS:
+    if sizes.boost_validation > 0:
         boost = boost.setValidationIndicatorCol(VALIDATION)
     return {
         "logistic_regression": LogisticRegression(
-            weightCol=WEIGHT, maxIter=2000, tol=1e-5, regParam=1.0 / rows, **common),
+            weightCol=WEIGHT, maxIter=2000, regParam=1.0 / rows, **common),
         "random_forest": RandomForestClassifier(
             numTrees=sizes.forest_trees, maxDepth=sizes.forest_depth,
             minInstancesPerNode=sizes.forest_leaf, maxBins=sizes.forest_bins, maxMemoryInMB=sizes.memory_mb,
@@ -119,21 +118,30 @@ def candidates(rows: int, sizes: TreeSizes) -> dict[str, object]:
     }
 
 
-def assembler(features: Sequence[str]) -> VectorAssembler:
-    return VectorAssembler(inputCols=list(features), outputCol=VECTOR, handleInvalid="error")
+def assembler(features: Sequence[str], invalid: str = "error") -> VectorAssembler:
+    return VectorAssembler(inputCols=list(features), outputCol=VECTOR, handleInvalid=invalid)
 
 
-def training_table(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """Id, label, class weight, a fixed tenth for early stopping, the feature vector, ``keep``."""
+def training_table(df: DataFrame, features: Sequence[str], keep: Sequence[str] = (),
+                   validation: float = TreeSizes.boost_validation) -> DataFrame:
+    """Id, label, class weight, the rows for early stopping, the feature vector, ``keep``."""
     bucket = F.conv(F.substring(F.md5(F.concat(F.lit("stop:"), F.col(S.ID).cast("string"))), 1, 8), 16, 10)
     return assembler(features).transform(df).select(
         S.ID, S.CHURN, balanced_weight(class_sizes(df)).alias(WEIGHT),
-        (bucket.cast("long") % 10 == 0).alias(VALIDATION), VECTOR, *keep)
+        (bucket.cast("long") / float(1 << 32) < validation).alias(VALIDATION), VECTOR, *keep)
 
 
 def with_probability(model: Model, df: DataFrame) -> DataFrame:
-    return model.transform(df).withColumn(PROBABILITY, probability()).drop(
-        "rawPrediction", "probability", "prediction")
+    """Add the churn probability; a row that lacks an input of a whole pipeline gets null."""
+    found = probability()
+    if isinstance(model, PipelineModel):
+        inputs = [F.col(c).cast("double") for c in model.stages[0].getInputCols()]
+        lacking = F.lit(False)
+        for c in inputs:
+            lacking = lacking | c.isNull() | F.isnan(c)
+        found = F.when(~lacking, found)
+    return model.transform(df).withColumn(PROBABILITY, found).drop(
+        "rawPrediction", "probability", "prediction", VECTOR)
 
 
 @dataclass(frozen=True)
@@ -158,10 +166,10 @@ def train_churn_models(
     """
     prepare_checkpoints(df.sparkSession)
     split = stratified_split(df, seed=seed)
-    train_rows = training_table(split.where(~F.col("is_test")), features)
-    with held(sized(train_rows, TREE_ROWS_PER_TASK)) as train:
+    train_rows = training_table(split.where(~F.col("is_test")), features, validation=sizes.boost_validation)
+    with held(sized(train_rows, S.ID, TREE_ROWS_PER_TASK)) as train:
         test = assembler(features).transform(split.where("is_test"))
-        with held(sized(test.select(S.ID, S.CHURN, S.REVENUE, VECTOR))) as held_test:
+        with held(sized(test.select(S.ID, S.CHURN, S.REVENUE, VECTOR), S.ID)) as held_test:
             fits = {}
             for name, estimator in candidates(train.count(), sizes).items():
                 if names is None or name in names:
@@ -172,7 +180,7 @@ def train_churn_models(
             best = max(comparison, key=lambda r: r["auc"])
     model = fits[best["name"]]
     scored = with_probability(model, test).select(S.ID, S.CHURN, S.REVENUE, PROBABILITY)
-    return ChurnFit(best["name"], PipelineModel([assembler(features), model]), list(features),
+    return ChurnFit(best["name"], PipelineModel([assembler(features, "keep"), model]), list(features),
                     comparison, best["best_threshold"], scored, fits)
 
 
@@ -193,7 +201,7 @@ def cross_validate(
     """fold, roc_auc, f1 (at 0.5) of one candidate refitted on each fold's complement."""
     prepare_checkpoints(df.sparkSession)
     part = stratified_folds(exact_sample(df, rows, seed), folds, seed)
-    with held(sized(training_table(part, features, ["fold"]))) as cached:
+    with held(sized(training_table(part, features, ["fold"], sizes.boost_validation), S.ID)) as cached:
         n = cached.count()
         estimator = candidates(n * (folds - 1) // folds, sizes)[name]
 
@@ -247,7 +255,7 @@ def train_surrogate(
         maxDepth=sizes.surrogate_depth, minInstancesPerNode=sizes.surrogate_leaf,
         maxBins=sizes.forest_bins, maxMemoryInMB=sizes.memory_mb, featureSubsetStrategy="sqrt", seed=sizes.seed)
     back = IndexToString(inputCol="prediction", outputCol="predicted_segment", labels=labels)
-    with held(sized(columns, TREE_ROWS_PER_TASK)) as cached:
+    with held(sized(columns, S.ID, TREE_ROWS_PER_TASK)) as cached:
         model = Pipeline(stages=[index, vector, forest]).fit(cached.where("NOT is_test"))
     whole = PipelineModel([*model.stages, back])
     scored = whole.transform(columns.where("is_test"))

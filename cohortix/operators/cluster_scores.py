@@ -1,9 +1,10 @@
 """Silhouette, Davies-Bouldin and Calinski-Harabasz of labelled rows.
 
-Davies-Bouldin and Calinski-Harabasz are two aggregates over any number of rows. The
-Euclidean silhouette needs all pair distances and is therefore defined on a sample of at
-most ``SCORE_SAMPLE`` rows: the sample is broadcast, and tasks reduce their own rows'
-distances to per-cluster sums with array arithmetic, so no pair is ever a row.
+Davies-Bouldin, Calinski-Harabasz and the silhouette of squared distances are aggregates over
+all rows: the mean squared distance to a cluster follows from its size, mean and mean square.
+The Euclidean silhouette needs all pair distances and is therefore defined on a sample of
+stated size: the sample is broadcast, and tasks reduce their own rows' distances to
+per-cluster sums with array arithmetic, so no pair is ever a row.
 """
 
 from __future__ import annotations
@@ -16,9 +17,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortix import schema as S
-from cohortix.session import frame_of
+from cohortix.operators.sample import exact_sample
+from cohortix.session import frame_of, ship_package
 
 BLOCK = 512
+MAX_CLUSTERS = 10_000
 
 
 def _long(df: DataFrame, features: Sequence[str], labels: Sequence[str]) -> DataFrame:
@@ -32,14 +35,55 @@ def _squared_norm(gaps: Sequence[Column]) -> Column:
     return sum((g * g for g in gaps[1:]), gaps[0] * gaps[0])
 
 
-def centroid_scores(df: DataFrame, features: Sequence[str], labels: Sequence[str]) -> dict[str, dict]:
-    """n_clusters, davies_bouldin and calinski_harabasz per label column."""
-    rows = _long(df, features, labels)
+def _centred(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Features less their means: sums of squares then keep their digits."""
+    means = df.agg(*[F.avg(x).alias(f"m{i}") for i, x in enumerate(features)]).first()
+    return df.withColumns({x: F.col(x) - F.lit(means[f"m{i}"]) for i, x in enumerate(features)})
+
+
+def _cluster_sums(rows: DataFrame, features: Sequence[str]) -> list:
+    """Size, sum of squares and sums of every cluster; at most ``MAX_CLUSTERS`` of them."""
     squares = _squared_norm([F.col(x) for x in features])
     sums = rows.groupBy("model", "label").agg(
         F.count(F.lit(1)).alias("n"), F.sum(squares).alias("q"),
         *[F.sum(x).alias(f"s{i}") for i, x in enumerate(features)],
-    ).collect()
+    ).limit(MAX_CLUSTERS + 1).collect()
+    if len(sums) > MAX_CLUSTERS:
+        raise ValueError(f"more than {MAX_CLUSTERS} clusters")
+    return sums
+
+
+def squared_silhouettes(df: DataFrame, features: Sequence[str], labels: Sequence[str]) -> dict[str, float]:
+    """Mean silhouette of squared Euclidean distances per label column, over all rows.
+
+    One aggregate for the clusters, then one narrow pass. A one-row cluster scores 0.
+    """
+    rows = _long(_centred(df, features), features, labels)
+    clusters = [(r["model"], r["label"], r["n"], r["q"] / r["n"], [r[f"s{i}"] / r["n"] for i in range(len(features))])
+                for r in _cluster_sums(rows, features)]
+    dim = frame_of(df.sparkSession, clusters, "model string, c int, n long, q double, mean array<double>")
+    dim = dim.groupBy("model").agg(F.collect_list(F.struct("c", "n", "q", "mean")).alias("clusters"))
+    x = F.array(*features)
+    norm = _squared_norm([F.col(f) for f in features])
+
+    def apart(cluster: Column) -> Column:
+        dot = F.aggregate(F.zip_with(x, cluster["mean"], lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+        return F.struct(cluster["c"].alias("c"), cluster["n"].alias("n"), (norm - 2 * dot + cluster["q"]).alias("d"))
+
+    near = rows.join(F.broadcast(dim), "model").withColumn("near", F.transform("clusters", apart))
+    own = F.filter("near", lambda c: c["c"] == F.col("label"))[0]
+    inner = own["d"] * own["n"] / (own["n"] - 1)
+    outer = F.array_min(F.transform(F.filter("near", lambda c: c["c"] != F.col("label")), lambda c: c["d"]))
+    wider = F.greatest(inner, outer)
+    value = F.when(own["n"] == 1, 0.0).when(wider > 0, (outer - inner) / wider).otherwise(0.0)
+    found = near.select("model", F.when(outer.isNotNull(), value).alias("v")).groupBy("model").agg(F.avg("v").alias("v"))
+    return {r["model"]: r["v"] for r in found.collect()}
+
+
+def centroid_scores(df: DataFrame, features: Sequence[str], labels: Sequence[str]) -> dict[str, dict]:
+    """n_clusters, davies_bouldin and calinski_harabasz per label column, over all rows."""
+    rows = _long(_centred(df, features), features, labels)
+    sums = _cluster_sums(rows, features)
     centres = [
         (r["model"], r["label"], *[r[f"s{i}"] / r["n"] for i in range(len(features))]) for r in sums
     ]
@@ -89,6 +133,7 @@ def _calinski_harabasz(n: np.ndarray, total: np.ndarray, squares: float) -> floa
 def silhouettes(df: DataFrame, features: Sequence[str], labels: Sequence[str],
                 limit: int = S.SCORE_SAMPLE) -> dict[str, float]:
     """Mean Euclidean silhouette per label column; a one-row cluster scores 0."""
+    ship_package(df.sparkSession)
     features, labels = list(features), list(labels)
     flat = df.select(*[F.col(x).cast("double").alias(x) for x in features],
                      *[F.col(c).cast("int").alias(c) for c in labels])
@@ -142,15 +187,17 @@ def _silhouette(sums: np.ndarray, label: np.ndarray, codes: np.ndarray, n: np.nd
     return np.where(alone, 0.0, value)
 
 
-def cluster_scores(df: DataFrame, features: Sequence[str], labels: Sequence[str]) -> DataFrame:
-    """model, n_clusters, silhouette, davies_bouldin, calinski_harabasz per label column."""
+def cluster_scores(df: DataFrame, features: Sequence[str], labels: Sequence[str],
+                   sample_rows: int = S.SCORE_SAMPLE, seed: int = S.SEED) -> DataFrame:
+    """All scores per label column: ``silhouette`` on a sample of ``sample_rows``, the others on all rows."""
     flat = centroid_scores(df, features, labels)
-    tight = silhouettes(df, features, labels)
+    wide = squared_silhouettes(df, features, labels)
+    tight = silhouettes(exact_sample(df, sample_rows, seed), features, labels, sample_rows)
     rows = [
-        (c, flat[c]["n_clusters"], tight[c], flat[c]["davies_bouldin"], flat[c]["calinski_harabasz"])
+        (c, flat[c]["n_clusters"], tight[c], wide[c], flat[c]["davies_bouldin"], flat[c]["calinski_harabasz"])
         for c in labels
     ]
     return frame_of(
         df.sparkSession, rows,
-        "model string, n_clusters int, silhouette double, davies_bouldin double, "
+        "model string, n_clusters int, silhouette double, squared_silhouette double, davies_bouldin double, "
         "calinski_harabasz double")

@@ -9,21 +9,28 @@ from pyspark.sql import functions as F
 
 from cohortix.functions.expr import turn_in_table, whole_table, zero_div
 from cohortix.functions.running import running_totals, slice_bounds
-from cohortix.session import frame_of
+from cohortix.session import frame_of, written
+
+
+def known(score: str) -> Column:
+    """The score; the job fails on a missing or undefined one, which no curve or cell could hold."""
+    c = F.col(score).cast("double")
+    return F.when(c.isNull() | F.isnan(c), F.raise_error(F.lit(f"{score} is missing or NaN")).cast("double")).otherwise(c)
 
 
 # ---- curves -----------------------------------------------------------------
 def score_ladder(df: DataFrame, score: str, label: str) -> DataFrame:
     """One row per distinct score with the positives and negatives at or above it.
 
-    Scores are combined before the shuffle, and running totals go by range slices, so
-    neither a popular score nor the global order ends up in one task.
+    Scores are combined before the shuffle and written once; bounds and running totals by
+    range slice come from that table, so neither a popular score nor the global order ends up
+    in one task.
     """
-    bounds = slice_bounds(df, score)
     positive = F.count_if(F.col(label) == 1)
-    steps = df.groupBy(F.col(score).alias("score")).agg(
+    steps = written(df.groupBy(known(score).alias("score")).agg(
         positive.alias("pos"), (F.count(F.lit(1)) - positive).alias("neg"),
-    ).withColumn("pt", F.lit(1).cast("long"))
+    ).withColumn("pt", F.lit(1).cast("long")), "scores")
+    bounds = slice_bounds(steps, "score")
     return running_totals(steps, "score", ["pos", "neg", "pt"], bounds, heads=["pos", "neg"])
 
 
@@ -100,7 +107,7 @@ def confusion(df: DataFrame, score: str, label: str, thresholds: Sequence[float]
     positive = F.col(label) == 1
 
     def cells(t: float) -> Column:
-        flagged = F.col(score) >= F.lit(float(t))
+        flagged = known(score) >= F.lit(float(t))
         return F.struct(
             F.lit(float(t)).alias("threshold"),
             F.count_if(flagged & positive).alias("tp"), F.count_if(flagged & ~positive).alias("fp"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
@@ -13,14 +14,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortix import schema as S
-from cohortix.operators.cluster_scores import cluster_scores
+from cohortix.operators.cluster_scores import centroid_scores, silhouettes
 from cohortix.operators.sample import exact_sample
 from cohortix.session import frame_of, held, sized
 
 VECTOR = "features"
 MAX_ITERATIONS = 300
-# Per-centre shift matching a total squared shift of 1e-4 of the variance over six centres.
-TOLERANCE = 4e-3
+# All centres together may still move by this squared distance, in units of the variance.
+TOTAL_SHIFT = 1e-4
 CONCURRENT_FITS = 16
 
 In = TypeVar("In")
@@ -39,7 +40,7 @@ def with_vector(df: DataFrame, features: Sequence[str], out: str = VECTOR) -> Da
 
 
 def fit_once(vectors: DataFrame, k: int, seed: int, label: str = "prediction") -> KMeansModel:
-    return KMeans(k=k, seed=seed, maxIter=MAX_ITERATIONS, tol=TOLERANCE,
+    return KMeans(k=k, seed=seed, maxIter=MAX_ITERATIONS, tol=math.sqrt(TOTAL_SHIFT / k),
                   featuresCol=VECTOR, predictionCol=label).fit(vectors)
 
 
@@ -84,25 +85,23 @@ def sweep_k(
     df: DataFrame, features: Sequence[str], ks: Sequence[int] = S.SWEEP_K,
     n: int = S.KMEANS_RESTARTS, seed: int = S.SEED, sample_rows: int = S.SCORE_SAMPLE,
 ) -> DataFrame:
-    """k, inertia on all rows, and the three scores on one fixed sample.
+    """k, inertia, Davies-Bouldin and Calinski-Harabasz on all rows, the silhouette on one fixed sample.
 
     ``df`` needs the id and the feature columns.
     """
-    with held(sized(with_vector(df.select(*features), features).select(VECTOR))) as vectors:
+    with held(sized(with_vector(df.select(S.ID, *features), features).select(S.ID, VECTOR), S.ID)) as vectors:
         jobs = [(k, s) for k in ks for s in range(seed, seed + n)]
         fits = overlapped(vectors, lambda job: fit_once(vectors, *job), jobs)
         best = {k: min((m for (kk, _), m in zip(jobs, fits) if kk == k), key=cost) for k in ks}
-    sample = exact_sample(df.select(S.ID, *features), sample_rows, seed)
-    labelled = with_vector(sample, features)
+    labelled = with_vector(df.select(S.ID, *features), features)
     for k, model in best.items():
         labelled = model.setPredictionCol(f"k{k}").transform(labelled)
+    labels = [f"k{k}" for k in ks]
     with held(labelled.drop(VECTOR)) as scored:
-        scores = {
-            r["model"]: r for r in cluster_scores(scored, features, [f"k{k}" for k in ks]).collect()
-        }
+        flat = centroid_scores(scored, features, labels)
+        tight = silhouettes(exact_sample(scored, sample_rows, seed), features, labels, sample_rows)
     rows = [
-        (k, cost(best[k]), *[scores[f"k{k}"][c] for c in
-                             ("silhouette", "davies_bouldin", "calinski_harabasz")])
+        (k, cost(best[k]), tight[f"k{k}"], flat[f"k{k}"]["davies_bouldin"], flat[f"k{k}"]["calinski_harabasz"])
         for k in ks
     ]
     return frame_of(

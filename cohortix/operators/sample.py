@@ -20,7 +20,7 @@ from cohortix.functions.expr import order_key, turn_in_table, whole_table
 from cohortix.session import frame_of, small_side
 
 DIGITS = 4
-SORT_ROWS = 200_000
+SORT_ROWS = 1_000
 
 
 def cell_levels(n: int, sort_rows: int = SORT_ROWS) -> int:

@@ -37,17 +37,23 @@ def prepare(raw: DataFrame, params: clean.CleaningParams, like_training: bool =
     return clean.cap_ratios(df, params.ratio_caps) if like_training else df
 
 
+GATED = dict(zip((S.SEGMENT, "offer", "action", "priority"), (*S.UNSEGMENTED, None)))
+
+
 def risk_band(p: Column) -> Column:
     return right_closed_band(p, S.RISK_BANDS, -0.01)
 
 
 def gate_tenure(df: DataFrame) -> DataFrame:
-    """Rows without enough tenure keep their numbers but get no segment and no offer."""
-    short = ~clean.tenured()
-    return df.withColumns({
-        c: F.when(short, F.lit(value)).otherwise(F.col(c))
-        for c, value in zip((S.SEGMENT, "offer", "action"), S.UNSEGMENTED)
-    })
+    """Rows without enough tenure, or that no segment was found for, keep their numbers but get
+    no segment, no offer and no priority."""
+    short = ~clean.tenured() | F.col(S.SEGMENT).isNull()
+    # one struct, so that the test sees the segment as it was
+    gated = F.when(short, F.struct(*[F.lit(v).alias(c) for c, v in GATED.items()])).otherwise(
+        F.struct(*[F.col(c).alias(c) for c in GATED if c in df.columns],
+                 *[F.lit(None).cast("string").alias(c) for c in GATED if c not in df.columns]))
+    out = df.withColumn("_gated", gated)
+    return out.withColumns({c: F.col(f"_gated.{c}") for c in GATED if c in df.columns}).drop("_gated")
 
 
 def _offer_part(position: int) -> Column:
@@ -57,7 +63,7 @@ def _offer_part(position: int) -> Column:
 
 def attach_offer_narrow(df: DataFrame) -> DataFrame:
     """Offer, action and escalated priority without a join, so a stream needs no static side."""
-    offer = one_of(F.col(S.SEGMENT), _offer_part(0), "offer")
+    offer = F.when(F.col(S.SEGMENT).isNotNull(), one_of(F.col(S.SEGMENT), _offer_part(0), "offer"))
     return df.withColumns({
         "offer": offer, "action": _offer_part(1),
         "priority": escalated(_offer_part(2), F.col(PROBABILITY)),
@@ -75,10 +81,15 @@ class Scorer:
     like_training: bool = False
 
     def segment_of(self, cluster: str) -> Column:
-        return one_of(F.col(cluster), constant_map(F.col(cluster), self.names), "segment")
+        named = one_of(F.col(cluster), constant_map(F.col(cluster), self.names), "segment")
+        return F.when(F.col(cluster).isNotNull(), named)
 
     def score(self, raw: DataFrame) -> DataFrame:
-        """Segment, confidence, runner-up, churn risk, band, offer and priority per row."""
+        """Segment, confidence, runner-up, churn risk, band, offer and priority per row.
+
+        A row that lacks a cluster feature stays unsegmented; one that lacks a model feature
+        has no probability, flag or band. A cluster without a name fails the job.
+        """
         params = self.cleaning
         working = [clean.scaled_name(c) for c in params.means]
         assigned = (

@@ -21,7 +21,6 @@ from cohortix.operators.mixture import (
     information_criteria,
     soft_assign,
 )
-from cohortix.operators.sample import exact_sample
 from cohortix.plans.settings import Settings
 from cohortix.session import frame_of, held, sized
 from cohortix.sources.sinks import records, write_document, write_report, write_table
@@ -32,7 +31,7 @@ SCALED = tuple(clean.scaled_name(c) for c in S.CLUSTER_FEATURES)
 
 def fit_clusters(table: DataFrame, settings: Settings) -> tuple[kmeans.KMeansModel, MixtureFit]:
     """K-Means and mixture over the scaled features; the mixture starts from the restarts."""
-    with held(sized(kmeans.with_vector(table.select(*SCALED), SCALED), EM_ROWS_PER_TASK)) as vectors:
+    with held(sized(kmeans.with_vector(table.select(S.ID, *SCALED), SCALED), S.ID, EM_ROWS_PER_TASK)) as vectors:
         models = kmeans.restarts(vectors, settings.clusters, settings.kmeans_restarts, settings.seed)
         starts = [hard_start(vectors, m, SCALED, S.MIXTURE_REG)
                   for m in models[:settings.mixture_restarts]]
@@ -76,11 +75,9 @@ def segment_customers(raw: DataFrame, out: str, settings: Settings = Settings())
     checkpoint = label_clusters(scaled, best, fit).drop(
         *SCALED, "probabilities", "squared_distance", "runner_up_id")
     labelled = write_table(checkpoint, f"{out}/labelled")
-    sample = clean.standardise(
-        exact_sample(labelled, settings.sample_rows, settings.seed),
-        cleaned.params.means, cleaned.params.stds)
-    scores = {r.pop("model"): r for r in records(
-        cluster_scores(sample, SCALED, ["kmeans_cluster", "gmm_cluster"]))}
+    points = clean.standardise(labelled, cleaned.params.means, cleaned.params.stds)
+    scores = {r.pop("model"): r for r in records(cluster_scores(
+        points, SCALED, ["kmeans_cluster", "gmm_cluster"], settings.sample_rows, settings.seed))}
     doc["kmeans_eval"] = scores["kmeans_cluster"]
     doc["gmm_eval"] = {**scores["gmm_cluster"],
                        **records(information_criteria(labelled, fit.mixture))[0]}
@@ -92,13 +89,16 @@ def segment_customers(raw: DataFrame, out: str, settings: Settings = Settings())
     write_report(prof, f"{out}/cluster_profile")
     doc["profile"] = records(prof)
     doc["cluster_to_segment"] = names
-    _write_state(spark, out, cleaned.params, fit, names)
+    centres = [[float(v) for v in c] for c in best.clusterCenters()]
+    _write_state(spark, out, cleaned.params, fit, names, centres)
     doc["segmentation_seconds"] = round(time.time() - started, 1)
     write_document(spark, doc, f"{out}/segmentation_metrics")
     return doc
 
 
-def _write_state(spark, out: str, params: clean.CleaningParams, fit: MixtureFit, names: dict[int, str]) -> None:
-    rows = [(params.to_json(), fit.mixture.to_json(), names)]
-    state = frame_of(spark, rows, "cleaning string, mixture string, names map<int,string>")
+def _write_state(spark, out: str, params: clean.CleaningParams, fit: MixtureFit, names: dict[int, str],
+                 centres: list[list[float]]) -> None:
+    rows = [(params.to_json(), fit.mixture.to_json(), names, centres)]
+    state = frame_of(spark, rows, "cleaning string, mixture string, names map<int,string>, "
+                                   "centres array<array<double>>")
     state.coalesce(1).write.mode("overwrite").parquet(f"{out}/segmentation_state")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-BROADCAST_ROWS = 100_000
+BROADCAST_ROWS = 10_000
 ROWS_PER_TASK = 50_000
 
 _local_dir: str | None = None
@@ -93,15 +93,13 @@ def held(df: DataFrame) -> Iterator[DataFrame]:
         df.unpersist()
 
 
-def sized(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Spread a table evenly over the partitions its rows are worth before an iterative fit.
+def sized(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Deal a table by the hash of ``key`` to as many partitions as its rows are worth.
 
-    Up to one partition per core, and only while the table is small against the cluster;
-    a larger one stays as the scan made it.
+    Their number and content depend on the rows alone, so a seeded fit gives the same on any
+    cluster.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    wanted = max(1, -(-df.count() // rows_per_task))
-    return df.repartition(min(wanted, cores)) if wanted <= 64 * cores else df
+    return df.repartition(max(1, -(-df.count() // rows_per_task)), key)
 
 
 def frame_of(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:

@@ -16,7 +16,8 @@ def _put(spark: SparkSession, path: str, rows: list[tuple], schema: str) -> None
 
 
 def save(spark: SparkSession, path: str, cleaning: CleaningParams, mixture: Mixture,
-         names: dict[int, str], threshold: float, segments: list[str], model: PipelineModel) -> None:
+         names: dict[int, str], threshold: float, segments: list[str], model: PipelineModel,
+         centres: list[list[float]] | None = None) -> None:
     numbers = [("median", c, v) for c, v in cleaning.medians.items()]
     numbers += [("ratio_cap", c, v) for c, v in cleaning.ratio_caps.items()]
     numbers += [("mean", c, v) for c, v in cleaning.means.items()]
@@ -30,11 +31,19 @@ def save(spark: SparkSession, path: str, cleaning: CleaningParams, mixture: Mixt
     ]
     _put(spark, f"{path}/mixture", components,
          "component int, weight double, position int, feature string, mean double, variance double")
+    if centres:
+        _put(spark, f"{path}/centres", list(enumerate(centres)), "cluster int, centre array<double>")
     _put(spark, f"{path}/segments", sorted(names.items()), "cluster_id int, segment string")
     _put(spark, f"{path}/metadata", [(threshold, segments)], "threshold double, levels array<string>")
     model.write().overwrite().save(f"{path}/churn_model")
 
 
+def load_centres(spark: SparkSession, path: str) -> list[list[float]]:
+    """The K-Means centres in the scaled features, by cluster number."""
+    rows = spark.read.parquet(f"{path}/centres").collect()
+    return [list(r["centre"]) for r in sorted(rows, key=lambda r: r["cluster"])]
+
+
 def load(spark: SparkSession, path: str) -> Scorer:
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{path}/{name}")
