@@ -131,7 +131,7 @@ def mix(docs: DataFrame, *, weights: Sequence[float] = WEIGHTS, share: float = S
         f"sequence(start div {block_words}, (start + size - 1) div {block_words})")))
     first = F.greatest(F.col("start"), F.col("block") * block_words)
     last = F.least(F.col("start") + F.col("size"), F.col("block") * block_words + F.col("take"))
-    draws = covered.join(slots, ["source_number", "block"]).withColumn("from", first).withColumn(
+    draws = covered.join(slots.hint("merge"), ["source_number", "block"]).withColumn("from", first).withColumn(
         "words", last - F.col("from")).where("words > 0").select(
         "source", "source_number", "start", (F.col("from") - F.col("start")).alias("first"), "words", "round", "shard", "slot")
     return documents, draws
