@@ -6,8 +6,8 @@ equal strings; gaps and inserted characters only weaken it. Landmarks are stretc
 that tell the labelled classes apart. A sentence is described by its best kernel value with
 every landmark, whitened by the landmarks' own kernel matrix (Nyström), and scored by a linear
 machine with squared hinge loss. A toxic document is one with a toxic sentence, so each round
-of training takes, of toxic documents, the sentences found toxic so far and the worst one, and
-all sentences of clean ones (Andrews et al., 2003). A document scores as its worst sentence, through a
+of training takes the sentence of a toxic document found worst so far and all sentences of
+clean ones (Andrews et al., 2003). A document scores as its worst sentence, through a
 logistic curve fitted on the training documents.
 """
 
@@ -16,7 +16,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from itertools import combinations
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -35,16 +35,18 @@ ALIKE = 0.85
 FIT_DOCS = 2_500
 FIT_SENTENCES = 24
 MIN_DOCS = 3
-ROUNDS = 4
+ROUNDS = 3
 RIDGE = 1e-4
-LIKE_MARK = 0.9
 SPELLED = 3
 CACHE_WORDS = 500_000
+CACHE_WINDOWS = 300_000
 CHUNK = 256
+GATHER_WORDS = 200_000
+STEPS = 64
+SENTENCE_ENDS = (".", "!", "?")
 
 _combinations = np.array(list(combinations(range(WINDOW), ORDER)))
 _weights = DECAY ** (_combinations[:, -1] - _combinations[:, 0] + 1.0)
-_sentence_end = re.compile(r"(?<=[.!?])\s+|\n+")
 _not_word = re.compile(r"[\W_]+")
 
 _readers: dict[tuple[str, ...], Reader] = {}
@@ -61,38 +63,47 @@ def windows(word: str) -> list[str]:
     return [edged[i:i + WINDOW] for i in range(max(1, len(edged) - WINDOW + 1))]
 
 
-def sentences(text: str) -> list[list[str]]:
-    """The words of each sentence, in lower case; three or more single characters in a row are one word."""
-    out = []
-    for part in _sentence_end.split(text):
-        words = [plain(w) for w in part.split()]
-        if any(len(w) < 2 for w in words):
-            words = joined(words)
-        if words:
-            out.append(words)
-    return out
+def words_of(text: str) -> set[str]:
+    return {w for w in map(plain, set(text.split())) if w}
+
+
+def codes_of(strings: Sequence[str]) -> np.ndarray:
+    """The characters of strings of at most ``WINDOW`` characters, 0 past the end."""
+    return np.array(strings, f"U{WINDOW}").view(np.uint32).reshape(-1, WINDOW)
 
 
-def joined(words: list[str]) -> list[str]:
-    out, run = [], []
-    for w in [*words, "  "]:
-        if len(w) < 2:
-            run.append(w)
-            continue
-        out += ["".join(run)] if len(run) >= SPELLED else run
-        run = []
-        out.append(w)
-    return [w for w in out[:-1] if w]
+def window_codes(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """What ``windows`` cuts each word into, as ``codes_of``, and the first window of each word."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    text = "".join(f" {w} \0" for w in words) + "\0" * WINDOW
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    begins = np.cumsum(sizes + 1) - sizes - 1
+    counts = np.maximum(1, sizes - WINDOW + 1)
+    firsts = np.cumsum(counts) - counts
+    at = np.repeat(begins - firsts, counts) + np.arange(counts.sum())
+    out = codes[at[:, None] + np.arange(WINDOW)]
+    short = np.repeat(sizes < WINDOW, counts)
+    out[short] = np.where(np.logical_or.accumulate(out[short] == 0, axis=1), 0, out[short])
+    return out, firsts
 
 
-def features(strings: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Subsequence codes of strings of at most ``WINDOW`` characters and their weights, 0 past the end."""
-    codes = np.array(strings, f"U{WINDOW}").view(np.uint32).reshape(-1, WINDOW).astype(np.uint64)
-    picked = codes[:, _combinations]
+def features(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the subsequences of coded strings and their weights, 0 past the end."""
+    picked = codes.astype(np.uint64)[:, _combinations]
     ids = picked[..., 0] | picked[..., 1] << np.uint64(21) | picked[..., 2] << np.uint64(42)
     return ids, np.where((picked > 0).all(axis=2), _weights, 0.0)
 
 
+def _window_keys(codes: np.ndarray) -> np.ndarray:
+    """64 bits that tell coded strings apart."""
+    out = np.zeros(len(codes), np.uint64)
+    with np.errstate(over="ignore"):
+        for c in range(WINDOW):
+            out = (out ^ codes[:, c]) * np.uint64(0x9E3779B97F4A7C15)
+            out ^= out >> np.uint64(29)
+    return out
+
+
 def own_kernel(ids: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """The kernel of each string with itself, equal subsequences added up."""
     total = np.zeros(len(ids))
@@ -105,17 +116,19 @@ class Kernel:
     """Normalised kernel values with fixed landmarks."""
 
     def __init__(self, landmarks: Sequence[str]):
-        ids, weights = features(landmarks)
+        ids, weights = features(codes_of(landmarks))
         self.codes, place = np.unique(ids, return_inverse=True)
         self.table = np.zeros((len(self.codes) + 1, len(landmarks)), np.float32)
         norm = np.sqrt(np.maximum(own_kernel(ids, weights), 1e-12))
         rows = np.repeat(np.arange(len(landmarks)), ids.shape[1])
         np.add.at(self.table, (place.ravel(), rows), (weights / norm[:, None]).ravel())
 
-    def __call__(self, strings: Sequence[str]) -> np.ndarray:
-        out = np.zeros((len(strings), self.table.shape[1]), np.float32)
-        for at in range(0, len(strings), 20_000):
-            ids, weights = features(strings[at:at + 20_000])
+    def __call__(self, strings: Sequence[str] | np.ndarray) -> np.ndarray:
+        """One row per string (or row of codes), one column per landmark."""
+        codes = strings if isinstance(strings, np.ndarray) else codes_of(strings)
+        out = np.zeros((len(codes), self.table.shape[1]), np.float32)
+        for at in range(0, len(codes), 20_000):
+            ids, weights = features(codes[at:at + 20_000])
             found = np.minimum(np.searchsorted(self.codes, ids), len(self.codes) - 1)
             found = np.where(self.codes[found] == ids, found, len(self.codes))
             part = out[at:at + 20_000]
@@ -126,52 +139,123 @@ class Kernel:
         return out
 
 
+def largest(values: np.ndarray, rows: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """The column-wise maximum of ``values[rows]`` over stretches that begin at ``firsts``.
+
+    Stretches advance together, the longest first, so each step is one array operation; what
+    a stretch holds beyond ``STEPS`` rows is reduced on its own, in parts of bounded size.
+    """
+    sizes = np.diff(np.append(firsts, len(rows)))
+    order = np.argsort(-sizes, kind="stable")
+    begins, left = firsts[order], sizes[order]
+    out = values[rows[begins]]
+    for k in range(1, min(STEPS, int(left[0]))):
+        active = int(np.searchsorted(-left, -k))
+        np.maximum(out[:active], values[rows[begins[:active] + k]], out=out[:active])
+    for i in range(int(np.searchsorted(-left, -STEPS))):
+        for at in range(begins[i] + STEPS, begins[i] + left[i], GATHER_WORDS):
+            part = rows[at:min(at + GATHER_WORDS, begins[i] + left[i])]
+            np.maximum(out[i], values[part].max(axis=0), out=out[i])
+    back = np.empty_like(out)
+    back[order] = out
+    return back
+
+
+class Rows:
+    """A growing table of landmark values by key; row 0 is that of the empty key."""
+
+    def __init__(self, width: int):
+        self.rows: dict = {"": 0}
+        self.values = np.zeros((1, width), np.uint8)
+
+    def add(self, keys: list, values: np.ndarray) -> None:
+        at, to = len(self.rows), len(self.rows) + len(keys)
+        if to > len(self.values):
+            grown = np.zeros((max(2 * len(self.values), to), self.values.shape[1]), np.uint8)
+            grown[:at] = self.values[:at]
+            self.values = grown
+        self.values[at:to] = values
+        self.rows.update(zip(keys, range(at, to)))
+
+
 class Reader:
-    """Describes sentences by landmark; keeps the values of words it has met, in steps of 1/255."""
+    """Describes sentences by landmark; keeps the values of words it has met, in steps of 1/255.
+
+    A token is a run without white space. Its code holds the row of its word, whether the
+    word is a single character, and whether the token ends a sentence. Row 0 is that of no word.
+    """
 
     def __init__(self, landmarks: Sequence[str]):
         self.kernel, self.width = Kernel(landmarks), len(landmarks)
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[str, int] = {}
-        self.values = np.zeros((0, self.width), np.uint8)
-
-    def _learn(self, words: list[str]) -> None:
-        cut = [windows(w) for w in words]
-        distinct = list({w for ws in cut for w in ws})
-        number = {w: i for i, w in enumerate(distinct)}
-        values = np.rint(255 * np.minimum(1.0, self.kernel(distinct))).astype(np.uint8)
-        flat = np.fromiter((number[w] for ws in cut for w in ws), np.int64)
-        begins = np.cumsum([0, *map(len, cut)])[:-1]
-        best = np.maximum.reduceat(values[flat], begins, axis=0)
-        at = len(self.place)
-        if at + len(words) > len(self.values):
-            grown = np.zeros((max(2 * len(self.values), at + len(words)), self.width), np.uint8)
-            grown[:at] = self.values[:at]
-            self.values = grown
-        self.values[at:at + len(words)] = best
-        self.place.update(zip(words, range(at, at + len(words))))
+        self.tokens: dict[str, int] = {"": 0}
+        self.words, self.windows = Rows(self.width), Rows(self.width)
+
+    def _learn_words(self, words: list[str]) -> None:
+        codes, firsts = window_codes(words)
+        if len(self.windows.rows) > CACHE_WINDOWS:
+            self.windows = Rows(self.width)
+        keys, place, number = np.unique(_window_keys(codes), return_index=True, return_inverse=True)
+        found = [self.windows.rows.get(k) for k in keys.tolist()]
+        new = [i for i, f in enumerate(found) if f is None]
+        if new:
+            values = np.rint(255 * np.minimum(1.0, self.kernel(codes[place[new]]))).astype(np.uint8)
+            self.windows.add(keys[new].tolist(), values)
+            found = [self.windows.rows[k] for k in keys.tolist()]
+        self.words.add(words, largest(self.windows.values, np.array(found, np.int64)[number], firsts))
+
+    def _learn_tokens(self, tokens: set[str]) -> None:
+        new = tokens.difference(self.tokens)
+        if len(self.tokens) + len(new) > CACHE_WORDS:
+            self._forget()
+            new = tokens.difference(self.tokens)
+        words = {t: plain(t) for t in new}
+        if missing := list(set(words.values()).difference(self.words.rows)):
+            self._learn_words(missing)
+        for t, w in words.items():
+            self.tokens[t] = self.words.rows[w] << 2 | (len(w) == 1) << 1 | (t[-1:] in SENTENCE_ENDS)
+
+    def _join_spelled(self, code: np.ndarray, flat: list[str], line: np.ndarray) -> np.ndarray:
+        """The rows of the tokens; three or more single characters in a row of a line are one word."""
+        rows = code >> 2
+        single = (code & 2) > 0
+        if not (single[2:] & single[1:-1] & single[:-2]).any():
+            return rows
+        same = np.concatenate([[False], single[1:] & single[:-1] & (line[1:] == line[:-1])])
+        begins = np.flatnonzero(single & ~same)
+        sizes = np.diff(np.append(np.cumsum(single)[begins] - 1, single.sum()))
+        runs = [(b, n) for b, n in zip(begins.tolist(), sizes.tolist()) if n >= SPELLED]
+        spelled = ["".join(map(plain, flat[b:b + n])) for b, n in runs]
+        if missing := list(set(spelled).difference(self.words.rows)):
+            self._learn_words(missing)
+        for (b, n), word in zip(runs, spelled):
+            rows[b:b + n] = 0
+            rows[b] = self.words.rows[word]
+        return rows
 
     def describe(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """Rows of landmark values, one per sentence, and the first row of each text.
 
-        A text without words has one row of zeros.
+        Lines end sentences too. A text without words has one row of zeros.
         """
-        cut = [sentences(t) or [[""]] for t in texts]
-        flat = [w for s in cut for words in s for w in words]
-        met = set(flat)
-        new = met.difference(self.place)
-        if len(self.place) + len(new) > CACHE_WORDS:
-            self._forget()
-            new = met
-        if new:
-            self._learn(list(new))
-        index = np.fromiter(map(self.place.__getitem__, flat), np.int64, len(flat))
-        sizes = [len(words) for s in cut for words in s]
-        begins = np.cumsum([0, *sizes])[:-1]
-        firsts = np.cumsum([0, *map(len, cut)])[:-1]
-        return np.maximum.reduceat(self.values[index], begins, axis=0), firsts
+        lines: list[list[str]] = []
+        first_line = []
+        for text in texts:
+            first_line.append(len(lines))
+            lines += [tokens for part in text.split("\n") if (tokens := part.split())] or [[""]]
+        flat = list(chain.from_iterable(lines))
+        self._learn_tokens(set(flat))
+        code = np.fromiter(map(self.tokens.__getitem__, flat), np.int64, len(flat))
+        sizes = np.fromiter(map(len, lines), np.int64, len(lines))
+        begins = np.cumsum(sizes) - sizes
+        starts = np.zeros(len(flat), bool)
+        starts[1:] = code[:-1] & 1
+        starts[begins] = True
+        rows = self._join_spelled(code, flat, np.repeat(np.arange(len(lines)), sizes))
+        starts = np.flatnonzero(starts)
+        return largest(self.words.values, rows, starts), np.searchsorted(starts, begins[first_line])
 
 
 def reader(landmarks: Sequence[str]) -> Reader:
@@ -240,8 +324,7 @@ def choose_landmarks(rows: DataFrame, wanted: int) -> tuple[list[str], int]:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = {w for s in sentences(text) for w in s if len(w) >= ORDER}
-                found = list({x for w in words for x in windows(w)})
+                found = list({x for w in words_of(text) if len(w) >= ORDER for x in windows(w)})
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(found, pa.string()), pa.array([toxic] * len(found), pa.int32())], ["window", "toxic"])
 
@@ -314,10 +397,10 @@ def train(landmarks: tuple[str, ...], bags: Sequence[np.ndarray], toxic: np.ndar
     x = np.concatenate(bags) / 255.0 @ root
     owner = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
     clean = toxic[owner] == 0
-    score = np.concatenate(bags)[:, :marks].max(axis=1) / 255.0 - LIKE_MARK
+    score = np.concatenate(bags)[:, :marks].max(axis=1).astype(np.float64)
     for _ in range(ROUNDS):
         worst = np.array([a + int(np.argmax(score[a:b])) for a, b in zip(firsts, [*firsts[1:], len(x)])])
-        rows = clean | (score > 0)
+        rows = clean.copy()
         rows[worst] = True
         y = np.where(clean, -1.0, 1.0)
         weights, bias = squared_hinge(x[rows], y[rows])
