@@ -15,7 +15,7 @@ import re
 from array import array
 from collections.abc import Sequence
 
-CACHE_PIECES = 800_000
+CACHE_PIECES = 1_000_000
 CACHE_TAILS = 10_000
 _inner_space = re.compile(r"\s ")
 # Latin-1 letters, then ASCII punctuation but the apostrophe, which contractions begin with
@@ -31,6 +31,10 @@ def byte_letters() -> dict[int, str]:
 
 _letters = byte_letters()
 
+
+def _as_bytes(text: str) -> str:
+    return text.encode().decode("latin-1").translate(_letters)
+
 _encoders: dict[str, Encoder] = {}
 
 
@@ -75,23 +79,45 @@ class Encoder(dict):
         return out
 
     def __missing__(self, piece: str) -> bytes:
-        plain = _plain.fullmatch(piece) if self.keeps_space or self.lowers else None
-        if plain is None:
-            ids = self._text_ids(" " + piece)
-        else:
-            word, tail = plain.groups()
-            if tail not in self.tails:
-                if len(self.tails) >= CACHE_TAILS:
-                    self.tails = {"": b""}
-                self.tails[tail] = self._model_ids(tail)
-            ids = self._model_ids(word.lower() if self.lowers else " " + word) + self.tails[tail]
         if len(self) >= CACHE_PIECES:
             self.clear()
-        self[piece] = ids
+        self[piece] = ids = self._piece_ids(piece)
         return ids
 
-    def _model_ids(self, text: str) -> bytes:
-        written = text.encode().decode("latin-1").translate(_letters)
+    def _piece_ids(self, piece: str) -> bytes:
+        if not (self.keeps_space or self.lowers):
+            return self._text_ids(" " + piece)
+        if "\n" in piece:
+            return self._line_ids(piece)
+        if piece.isascii() and piece.isalpha():  # its bytes and its characters are the same
+            return self._cut_ids("Ġ" + piece if self.keeps_space else piece.lower())
+        plain = _plain.fullmatch(piece)
+        if plain is None:
+            return self._text_ids(" " + piece)
+        word, tail = plain.groups()
+        known = self.get(word) if tail else None
+        return (known or self._word_ids(" " + word if self.keeps_space else word)) + self._tail_ids(tail)
+
+    def _line_ids(self, piece: str) -> bytes:
+        """A piece that goes over line ends: a single one between plain words stands alone."""
+        first, *rest = piece.split("\n")
+        later = [_plain.fullmatch(p) for p in rest]
+        if None in later or not _plain.fullmatch(first):
+            return self._text_ids(" " + piece)
+        end = self._tail_ids("\n") if self.keeps_space else b""
+        return self[first] + b"".join(end + self._word_ids(p[1]) + self._tail_ids(p[2]) for p in later)
+
+    def _word_ids(self, word: str) -> bytes:
+        return self._cut_ids(_as_bytes(word.lower() if self.lowers else word))
+
+    def _tail_ids(self, tail: str) -> bytes:
+        if tail not in self.tails:
+            if len(self.tails) >= CACHE_TAILS:
+                self.tails = {"": b""}
+            self.tails[tail] = self._cut_ids(_as_bytes(tail))
+        return self.tails[tail]
+
+    def _cut_ids(self, written: str) -> bytes:
         return array("I", [t.id for t in self.cut(written)]).tobytes()
 
     def _text_ids(self, text: str) -> bytes:
