@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cohortix.session import ship_package
+from cohortix.session import ship_package, written
 
 SHAPES = 64
 MIN_PAGES = 3
@@ -50,6 +50,7 @@ SCOPE = frozenset("html body table ul ol dl select article section div td th".sp
 LEFT_OUT = frozenset(
     "nav header footer aside form script style noscript template iframe svg button select textarea input dialog menu "
     "head title object canvas audio video".split())
+WHOLE = frozenset("html body main article".split())
 LEFT_OUT_NAMES = re.compile(
     r"^(?:nav\w*|menus?|breadcrumbs?|header|masthead|footer|sidebar|aside|ads?|advert\w*|banner|sponsor\w*|promo\w*|"
     r"cookies?|consent|notices?|popup|modal|overlay|newsletter|subscri\w+|share\w*|sharing|social|related|recommend\w*|"
@@ -62,6 +63,7 @@ _token = re.compile(
 _attribute = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _bare_hidden = re.compile(r"(?:^|\s)hidden(?:\s|/|$)")
 _name = re.compile(r"[^a-z0-9]+")
+_state = re.compile(r"(?:has|with|without|no|is|js|can)[-_]")  # says what an element has, not what it is
 _digits = re.compile(r"\d+")
 
 TEXT = "#"
@@ -84,7 +86,8 @@ def _described(tag: str, attributes: str) -> tuple[str, bool]:
     found = {}
     for name, a, b, c in _attribute.findall(attributes):
         found.setdefault(name.lower(), entities.unescape(a or b or c).lower())
-    names = [n for key in ("class", "id", "role") for n in _name.split(found.get(key, "")) if n]
+    said = " ".join(found.get(key, "") for key in ("class", "id", "role")).split()
+    names = [] if tag in WHOLE else [n for word in said if not _state.match(word) for n in _name.split(word) if n]
     label = ".".join([tag, *_digits.sub("", found.get("class", "")).split()])
     hidden = found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "")
     return label, tag in LEFT_OUT or hidden or any(map(LEFT_OUT_NAMES.match, names)) or bool(
@@ -151,14 +154,21 @@ def _make_room(stack: list[Node], tag: str) -> None:
             return
 
 
+def text_key(text: str) -> str:
+    return hashlib.md5(text.encode("utf-8", "surrogatepass")).hexdigest()[:12]
+
+
 def tidy(text: str) -> str:
     return " ".join(text.split())
 
 
-# ---- templates: [label, out, children], text leaves are [TEXT, key, chars] -----------------
+# ---- templates: [label, out, children], text leaves are [TEXT, keys, chars, changes] ---------
 def template(node: Node, linked: bool = False) -> list:
-    """The tree with runs of like siblings merged into one; a text leaf keeps a key of its text,
-    empty once texts differ, and how many characters outside links it holds."""
+    """The tree with runs of like siblings merged into one.
+
+    A text leaf keeps the keys of its texts, how many characters outside links they hold, and
+    whether pages differ in them.
+    """
     children: list[list] = []
     if node.tag not in RAW:
         linked = linked or node.tag == "a"
@@ -167,12 +177,11 @@ def template(node: Node, linked: bool = False) -> list:
                 text = tidy(c)
                 if not text:
                     continue
-                child = [TEXT, hashlib.md5(text.encode("utf-8", "surrogatepass")).hexdigest()[:12],
-                         0 if linked else len(text)]
+                child = [TEXT, [text_key(text)], 0 if linked else len(text), False]
             else:
                 child = template(c, linked)
             if children and children[-1][0] == child[0]:
-                children[-1] = merged(children[-1], child)
+                children[-1] = merged(children[-1], child, one_page=True)
             else:
                 children.append(child)
     return [node.label, node.out, children]
@@ -196,31 +205,38 @@ def _aligned(a: Sequence[list], b: Sequence[list]) -> list[list[int]]:
     return best
 
 
-def merged(a: list, b: list) -> list:
-    """Two templates of one label as one: paired nodes merged, the others side by side."""
+def merged(a: list, b: list, one_page: bool = False) -> list:
+    """Two templates of one label as one: paired nodes merged, the others side by side.
+
+    Leaves of different pages keep the texts that all of them have, like siblings of one page
+    all of their texts.
+    """
     if a[0] == TEXT:
-        return [TEXT, a[1] if a[1] == b[1] else "", a[2] + b[2]]
+        keys = sorted({*a[1], *b[1]} if one_page else {*a[1]} & {*b[1]})
+        changes = a[3] or b[3] or (not one_page and sorted(a[1]) != sorted(b[1]))
+        return [TEXT, keys, a[2] + b[2], changes]
     x, y = a[2], b[2]
     if [c[0] for c in x] == [c[0] for c in y]:
-        return [a[0], a[1], [merged(c, d) for c, d in zip(x, y)]]
+        return [a[0], a[1], [merged(c, d, one_page) for c, d in zip(x, y)]]
+    alone = (lambda t: t) if one_page else _optional
     best, i, j, out = _aligned(x, y), len(x), len(y), []
     while i or j:
         pair = match_size(x[i - 1], y[j - 1]) if i and j and x[i - 1][0] == y[j - 1][0] else 0
         if pair and best[i][j] == best[i - 1][j - 1] + pair:
             i, j = i - 1, j - 1
-            out.append(merged(x[i], y[j]))
+            out.append(merged(x[i], y[j], one_page))
         elif i and best[i][j] == best[i - 1][j]:
             i -= 1
-            out.append(_optional(x[i]))
+            out.append(alone(x[i]))
         else:
             j -= 1
-            out.append(_optional(y[j]))
+            out.append(alone(y[j]))
     return [a[0], a[1], out[::-1]]
 
 
 def _optional(t: list) -> list:
     """A node that some pages lack holds no constant text."""
-    return [TEXT, "", t[2]] if t[0] == TEXT else [t[0], t[1], [_optional(c) for c in t[2]]]
+    return [TEXT, [], t[2], True] if t[0] == TEXT else [t[0], t[1], [_optional(c) for c in t[2]]]
 
 
 def shape(t: list) -> str:
@@ -235,7 +251,7 @@ def leaves(t: list) -> list[list]:
 def slot_chars(t: list) -> int:
     """Characters of changing text outside links and outside what is left out."""
     if t[0] == TEXT:
-        return 0 if t[1] else t[2]
+        return t[2] if t[3] else 0
     return 0 if t[1] else sum(map(slot_chars, t[2]))
 
 
@@ -273,8 +289,7 @@ def constants(t: list, path: Sequence[str]) -> list[str]:
     def collect(node: list, labels: str) -> None:
         for c in node[2]:
             if c[0] == TEXT:
-                if c[1]:
-                    out.append(f"{labels}{TEXT}{c[1]}")
+                out.extend(f"{labels}{TEXT}{key}" for key in c[1])
             else:
                 collect(c, f"{labels}/{c[0]}")
 
@@ -329,7 +344,7 @@ def _flush(held: list[str], blocks: list[str]) -> None:
 def _blocks(node: Node, labels: str, fixed, held: list[str], blocks: list[str]) -> None:
     for c in node.children:
         if isinstance(c, str):
-            if fixed and f"{labels}{TEXT}{hashlib.md5(tidy(c).encode('utf-8', 'surrogatepass')).hexdigest()[:12]}" in fixed:
+            if fixed and f"{labels}{TEXT}{text_key(tidy(c))}" in fixed:
                 continue
             held.append(c)
         elif c.tag == "br":
@@ -366,13 +381,21 @@ def induce(pages: DataFrame, html_col: str, host_col: str) -> DataFrame:
             yield _folded(found)
 
     folded = pages.select(host_col, html_col).mapInArrow(
-        fold, "host string, shape string, tree string, keys array<string>, chars array<long>, n long")
-    leaf = folded.select("host", "shape", "tree", "n", F.posexplode(F.arrays_zip("keys", "chars")).alias("i", "leaf"))
-    summed = leaf.groupBy("host", "shape", "i").agg(
-        F.min("leaf.keys").alias("low"), F.max("leaf.keys").alias("high"), F.sum("leaf.chars").alias("chars"))
-    same = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise("")
-    texts = summed.groupBy("host", "shape").agg(
-        F.sort_array(F.collect_list(F.struct("i", same.alias("key"), "chars"))).alias("leaves"))
+        fold, "host string, shape string, tree string, n long, "
+              "leaves array<struct<keys: array<string>, chars: bigint, changes: boolean>>")
+    folded = written(folded, "shapes")
+    leaf = folded.select("host", "shape", F.posexplode("leaves").alias("i", "leaf"))
+    place = ["host", "shape", "i"]
+    summed = leaf.groupBy(*place).agg(
+        F.count("*").alias("parts"), F.sum("leaf.chars").alias("chars"),
+        (F.bool_or("leaf.changes") | (F.min("leaf.keys") != F.max("leaf.keys"))).alias("changes"))
+    everywhere = (
+        leaf.select(*place, F.explode("leaf.keys").alias("key")).groupBy(*place, "key").agg(F.count("*").alias("found"))
+        .join(summed.select(*place, "parts"), place).where("found = parts")
+        .groupBy(*place).agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    )
+    texts = summed.join(everywhere, place, "left").groupBy("host", "shape").agg(F.sort_array(F.collect_list(
+        F.struct("i", F.coalesce("keys", F.array().cast("array<string>")).alias("keys"), "chars", "changes"))).alias("leaves"))
     trees = folded.groupBy("host", "shape").agg(F.min("tree").alias("tree"), F.sum("n").alias("n"))
     shapes = trees.join(texts, ["host", "shape"], "left")
     common = W.partitionBy("host").orderBy(F.desc("n"), "shape")
@@ -384,7 +407,7 @@ def induce(pages: DataFrame, html_col: str, host_col: str) -> DataFrame:
         for r in rows:
             t = json.loads(r["tree"])
             for own, all_pages in zip(leaves(t), r["leaves"] or []):
-                own[1], own[2] = all_pages["key"], all_pages["chars"]
+                own[1:] = all_pages["keys"], all_pages["chars"], all_pages["changes"]
             templates.append(t)
         wrapper = wrapper_of(templates, sum(r["n"] for r in rows))
         return pa.table({"host": group["host"].slice(0, 1), "wrapper": [json.dumps(wrapper)]})
@@ -394,11 +417,17 @@ def induce(pages: DataFrame, html_col: str, host_col: str) -> DataFrame:
 
 
 def _folded(found: dict) -> pa.RecordBatch:
-    rows = [(name, key, json.dumps(t), [x[1] for x in leaves(t)], [x[2] for x in leaves(t)], n)
+    leaf = pa.struct([("keys", pa.list_(pa.string())), ("chars", pa.int64()), ("changes", pa.bool_())])
+    rows = [(name, key, json.dumps(_bare(t)), n, [dict(zip(("keys", "chars", "changes"), x[1:])) for x in leaves(t)])
             for (name, key), (t, n) in found.items()]
-    kinds = (pa.string(), pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.int64())
+    kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.list_(leaf))
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                                      ["host", "shape", "tree", "keys", "chars", "n"])
+                                      ["host", "shape", "tree", "n", "leaves"])
+
+
+def _bare(t: list) -> list:
+    """The template without its texts."""
+    return [TEXT, [], 0, False] if t[0] == TEXT else [t[0], t[1], [_bare(c) for c in t[2]]]
 
 
 def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -407,8 +436,6 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
     Missing pages count as empty, pages without a host form a group of their own, repeated
     pages come back repeated. Other columns are dropped; an empty table stays empty.
     """
-    from cohortix.session import written
-
     ship_package(pages.sparkSession)
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
                         host(url_col).alias("host"))
