@@ -28,7 +28,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 LIMIT = 2
 MAX_SOURCES = 100_000
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_000
 ROUNDS = 6
 STRETCH = 1 << 16
 
@@ -276,22 +276,25 @@ def mixed_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     are not in the mix. A column ``n_chars`` is set to the length of the new text.
     """
     documents, draws = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
+    text_hash, key_id, key_source, key_hash, taken_spans = (
+        fresh(docs, c) for c in ("_hash", "_key_id", "_key_source", "_key_hash", "_spans"))
     spans = draws.groupBy("source_number", "start", "round").agg(
         F.sort_array(F.collect_list(F.struct("first", "words"))).alias("spans"))
     picked = documents.join(spans, ["source_number", "start"]).select(
-        F.col("doc_id").alias("k_id"), F.col("source").alias("k_source"), F.col("hash").alias("k_hash"), "spans")
-    text_hash = fresh(docs, "_hash")
+        F.col("doc_id").alias(key_id), F.col("source").alias(key_source), F.col("hash").alias(key_hash),
+        F.col("spans").alias(taken_spans))
     texts = docs.withColumn(text_hash, F.xxhash64(filled(text_col))).dropDuplicates([id_col, source_col, text_hash])
-    same = (F.col(id_col).eqNullSafe(F.col("k_id")) & F.col(source_col).eqNullSafe(F.col("k_source"))
-            & (F.col(text_hash) == F.col("k_hash")))
-    joined = texts.join(picked, same).select(*docs.columns, "spans")
+    same = (F.col(id_col).eqNullSafe(F.col(key_id)) & F.col(source_col).eqNullSafe(F.col(key_source))
+            & (F.col(text_hash) == F.col(key_hash)))
+    joined = texts.join(picked, same).select(*docs.columns, taken_spans)
     return cut_texts(joined, docs, text_col)
 
 
 def cut_texts(joined: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
-    """Replace the text by its stretches ``spans`` and drop that column."""
+    """Replace the text by its stretches, the last column, and drop that."""
     ship_package(docs.sparkSession)
-    at = docs.columns.index(text_col)
+    names = docs.columns
+    at = names.index(text_col)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -299,7 +302,7 @@ def cut_texts(joined: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
             texts = [stretches_of(t, [(s["first"], s["words"]) for s in s_])
                      for t, s_ in zip(columns[at].to_pylist(), spans.to_pylist())]
             columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, docs.columns)
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     out = joined.mapInArrow(cut, docs.schema)
     if "n_chars" in docs.columns:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cohortix.llm.common import fresh, offsets
 
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_000
 
 
 def interleave(docs: DataFrame, shards: int, *, seed: int = 7, source_col: str = "source",
@@ -27,9 +27,8 @@ def interleave(docs: DataFrame, shards: int, *, seed: int = 7, source_col: str =
     new ones are replaced. An empty table stays empty.
     """
     kept = docs.drop("shard", "slot")
-    names = {n: fresh(kept, f"_{n}") for n in ("draw", "part", "before", "rank", "size", "turn", "cell", "all")}
-    draw, part, before, rank, size, turn, cell, whole = names.values()
-    source = F.col(source_col)
+    draw, part, before, rank, size, turn, cell, whole, n, key, key_part = (
+        fresh(kept, f"_{c}") for c in "draw part before rank size turn cell all n key key_part".split())
     rows = kept.count()
     buckets = max(1, -(-rows // BUCKET_ROWS))
     dealt = kept.withColumn(
@@ -37,26 +36,25 @@ def interleave(docs: DataFrame, shards: int, *, seed: int = 7, source_col: str =
     ).withColumn(part, F.expr(f"cast(shiftrightunsigned({draw}, 34) % {buckets} as int)"))
 
     # rank within the source: buckets of the draw, then the draw inside a bucket
-    stratum = F.col(source_col).alias("s")
-    parts = dealt.groupBy(stratum, part).agg(F.count("*").alias("n"))
-    parts = offsets(parts, ["s"], [part], "n", before).withColumn(
-        size, F.sum("n").over(W.partitionBy("s"))).select(
-        "s", F.col(part).alias("p"), before, size)
-    ranked = dealt.join(parts, source.eqNullSafe(F.col("s")) & (F.col(part) == F.col("p"))).drop("s", "p")
+    parts = dealt.groupBy(F.col(source_col).alias(key), F.col(part).alias(key_part)).agg(F.count("*").alias(n))
+    parts = offsets(parts, [key], [key_part], n, before).withColumn(
+        size, F.sum(n).over(W.partitionBy(key))).drop(n)
+    same = F.col(source_col).eqNullSafe(F.col(key)) & (F.col(part) == F.col(key_part))
+    ranked = dealt.join(parts, same).drop(key, key_part)
     inside = W.partitionBy(source_col, part).orderBy(draw)
     ranked = ranked.withColumn(rank, F.col(before) + F.row_number().over(inside) - 1)
 
-    # rank of the fraction over all sources: (2 rank + 1) / (2 size), compared as integers in a cell
+    # rank of the fraction over all sources, in cells of even size
     ranked = ranked.withColumn(turn, (2 * F.col(rank) + 1) / (2 * F.col(size))).withColumn(
         cell, F.least(F.lit(buckets - 1), F.floor(F.col(turn) * buckets)).cast("int")).drop(part, before, rank, size)
-    cells = ranked.groupBy(cell).agg(F.count("*").alias("n")).withColumn(whole, F.lit(0))
-    cells = offsets(cells, [whole], [cell], "n", before).select(F.col(cell).alias("c"), before)
+    cells = ranked.groupBy(F.col(cell).alias(key)).agg(F.count("*").alias(n)).withColumn(whole, F.lit(0))
+    cells = offsets(cells, [whole], [key], n, before).select(key, before)
     within = W.partitionBy(cell).orderBy(turn, F.col(source_col).asc_nulls_last(), draw)
     place = F.col(before) + F.row_number().over(within) - 1
     low, more = divmod(rows, shards)
     cut = F.lit(more * (low + 1))  # the first ``more`` shards hold one row more
     at = F.col(turn)
-    placed = ranked.join(cells, F.col(cell) == F.col("c")).withColumn(turn, place)
+    placed = ranked.join(cells, F.col(cell) == F.col(key)).withColumn(turn, place)
     shard = F.when(at < cut, F.expr(f"{turn} div {low + 1}")).otherwise(
         more + F.expr(f"({turn} - {more * (low + 1)}) div {max(1, low)}"))
     slot = F.when(at < cut, at % (low + 1)).otherwise((at - cut) % max(1, low))

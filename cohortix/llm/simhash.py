@@ -135,12 +135,13 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "hash", "print")).alias("first")
     by_print = prints.groupBy("print").agg(first)
     labelled = by_print.join(roots(by_print, "print", distance), "print", "left")
+    key_mark, key_id, key_hash = (fresh(marked, c) for c in ("_key_print", "_key_id", "_key_hash"))
     kept = (
         labelled.groupBy(F.coalesce("root", "print").alias("root")).agg(F.min("first").alias("first"))
-        .select(F.col("first.print").alias("k_print"), F.col("first.id").alias("k_id"),
-                F.col("first.hash").alias("k_hash"))
+        .select(F.col("first.print").alias(key_mark), F.col("first.id").alias(key_id),
+                F.col("first.hash").alias(key_hash))
     )
-    match = ((F.col(mark) == F.col("k_print")) & (F.col(text_hash) == F.col("k_hash"))
-             & F.col(id_col).eqNullSafe(F.col("k_id")))
+    match = ((F.col(mark) == F.col(key_mark)) & (F.col(text_hash) == F.col(key_hash))
+             & F.col(id_col).eqNullSafe(F.col(key_id)))
     one = marked.join(kept, match, "left_semi").dropDuplicates([mark, text_hash, id_col])
     return one.select(*docs.columns)
