@@ -189,7 +189,8 @@ def read_tokens(spark: SparkSession, path: str, doc_ids: list[int] | None = None
             .withColumn("all", F.lit(0)))
     before = offsets(sums, ["all"], ["part"], "n", "before").select("part", "before")
     return (
-        blocks.join(before, "part").select("dict_hash", "before", "index", "payload")
+        # one row per part, and a part is what one task wrote
+        blocks.join(F.broadcast(before), "part").select("dict_hash", "before", "index", "payload")
         .mapInArrow(documents, "doc_id long, start long, n_tokens long, ids binary")
     )
 
