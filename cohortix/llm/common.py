@@ -2,17 +2,46 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortix.session import written
+from cohortix.session import ship_package, written
 
 SPACE = " \t\n\x0b\f\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+# Batches of whole texts handed to Python: few enough to stay small in both processes.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1_000,
+         "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
+
+_caches: dict[str, Callable[[], None]] = {}
+
+
+def sole_cache(owner: str, drop: Callable[[], None]) -> None:
+    """Keep one operator's table of remembered strings in a worker process; ``drop`` empties it.
+
+    Workers serve one stage after another, and the tables of earlier stages would stay.
+    """
+    for other in [o for o in _caches if o != owner]:
+        _caches.pop(other)()
+    _caches[owner] = drop
+
+
+def ready(spark: SparkSession) -> None:
+    """Let functions over whole texts run on the executors: ship the package, keep batches small.
+
+    A smaller batch that the session already asks for stays.
+    """
+    ship_package(spark)
+    for key, most in BATCH.items():
+        asked = spark.conf.get(key, None) or ""
+        if not asked.isdigit() or not 0 < int(asked) <= most:
+            spark.conf.set(key, str(most))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

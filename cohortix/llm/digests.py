@@ -20,8 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohortix.functions.running import slice_bounds, sliced
-from cohortix.llm.common import filled
-from cohortix.session import ship_package
+from cohortix.llm.common import filled, ready
 
 WIDTH = 64
 RUN = 64
@@ -177,7 +176,7 @@ def rarity_ranks(docs: DataFrame, text_col: str) -> np.ndarray:
                 total += histogram(texts)
         yield pa.RecordBatch.from_arrays([pa.array(range(BINS), pa.int32()), pa.array(total)], ["bin", "n"])
 
-    ship_package(docs.sparkSession)
+    ready(docs.sparkSession)
     table = docs.select(filled(text_col)).mapInArrow(count, "bin int, n long").groupBy("bin").agg(
         F.sum("n").alias("n")).toArrow()
     total = np.zeros(BINS, np.int64)
@@ -243,7 +242,7 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     follow the hash of their text, repeated rows follow each other, a single row follows
     itself. Other columns are ignored; an empty table gives an empty result.
     """
-    ship_package(docs.sparkSession)
+    ready(docs.sparkSession)
     ranks = rarity_ranks(docs, text_col)
     ordered = with_successors(docs, id_col, text_col)
 

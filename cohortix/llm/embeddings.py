@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortix.llm.common import components
-from cohortix.session import ship_package, written
+from cohortix.llm.common import components, ready
+from cohortix.session import written
 
 COSINE = 0.93
 BITS = 64
@@ -130,7 +130,7 @@ def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str
     stay missing and their rows have no component. An empty table gives an empty result.
     """
     spark = vectors.sparkSession
-    ship_package(spark)
+    ready(spark)
     width = vectors.agg(F.coalesce(F.max(F.size(vector_col)), F.lit(0))).first()[0]
     width = max(1, width)
     rows = vectors.select(

@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortix.llm.common import WORD, filled, fresh, offsets
-from cohortix.session import frame_of, ship_package, written
+from cohortix.llm.common import WORD, filled, fresh, offsets, ready, sole_cache
+from cohortix.session import frame_of, written
 
 BLOCK_WORDS = 512
 SHARDS = 64
@@ -237,7 +237,7 @@ def slots_of(source: Source, number: int, begin: int, n: int, block_words: int,
 
 def _slots(spark, plan: Sequence[Source], block_words: int, shards: int, seed: int) -> DataFrame:
     """One row per slot of the mix, made by the executors from one row per shard and source."""
-    ship_package(spark)
+    ready(spark)
     counts = shard_counts([s.slots for s in plan], shards, seed)
     begins = np.cumsum(counts, axis=0) - counts
     stretches = frame_of(
@@ -292,11 +292,12 @@ def mixed_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 def cut_texts(joined: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
     """Replace the text by its stretches, the last column, and drop that."""
-    ship_package(docs.sparkSession)
+    ready(docs.sparkSession)
     names = docs.columns
     at = names.index(text_col)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sole_cache("none", dict)
         for batch in batches:
             *columns, spans = batch.columns
             texts = [stretches_of(t, [(s["first"], s["words"]) for s in s_])

@@ -14,9 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortix.llm.common import filled
+from cohortix.llm.common import filled, ready
 from cohortix.llm.tokens import encoder
-from cohortix.session import ship_package
 
 LENGTH = 2_048
 GROUP_DOCS = 4_096
@@ -106,7 +105,7 @@ def pack(docs: DataFrame, tokenizer: str, *, end_id: int, length: int = LENGTH,
     A group ends at ``group_docs`` documents or ``group_tokens`` ids, so its memory is bounded
     by that and its longest document.
     """
-    ship_package(docs.sparkSession)
+    ready(docs.sparkSession)
     text = filled(text_col)
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
     dealt = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).repartition(

@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cohortix.session import ship_package, written
+from cohortix.llm.common import ready
+from cohortix.session import written
 
 SHAPES = 64
 MIN_PAGES = 3
@@ -436,7 +437,7 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
     Missing pages count as empty, pages without a host form a group of their own, repeated
     pages come back repeated. Other columns are dropped; an empty table stays empty.
     """
-    ship_package(pages.sparkSession)
+    ready(pages.sparkSession)
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
                         host(url_col).alias("host"))
     wrappers = written(induce(rows, "html", "host"), "wrappers")

@@ -20,8 +20,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortix.llm.common import components, filled, fresh
-from cohortix.session import ship_package, written
+from cohortix.llm.common import components, filled, fresh, ready, sole_cache
+from cohortix.session import written
 
 BITS = 64
 SEED = 42
@@ -56,10 +56,11 @@ def fingerprint(text: str, width: int = 3) -> int:
 
 def with_fingerprints(docs: DataFrame, text_col: str, out: str, width: int = 3) -> DataFrame:
     """Add the fingerprint of the whole text as a long; missing text counts as empty."""
-    ship_package(docs.sparkSession)
+    ready(docs.sparkSession)
     at = docs.columns.index(text_col)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sole_cache("none", dict)
         for batch in batches:
             found = [fingerprint(t or "", width) for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays(

@@ -24,9 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortix.llm.common import filled, offsets
+from cohortix.llm.common import filled, offsets, ready
 from cohortix.llm.tokens import encoder
-from cohortix.session import ship_package
 
 SAMPLE_DOCS = 1_500
 SAMPLE_IDS = 2_048
@@ -92,7 +91,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, *, end_id: int,
     import zstandard
 
     spark = docs.sparkSession
-    ship_package(spark)
+    ready(spark)
     width = id_width(tokenizer)
     dictionary = train_dictionary(docs, text_col, tokenizer, end_id, width)
     digest = hashlib.sha256(dictionary).hexdigest()
@@ -150,7 +149,7 @@ def read_tokens(spark: SparkSession, path: str, doc_ids: list[int] | None = None
     """
     import zstandard
 
-    ship_package(spark)
+    ready(spark)
     header = spark.read.parquet(f"{path}/dictionary").first()
     dictionary, digest, width = bytes(header.dictionary), header.dict_hash, header.id_bytes
     if hashlib.sha256(dictionary).hexdigest() != digest:

@@ -15,7 +15,9 @@ import re
 from array import array
 from collections.abc import Sequence
 
-CACHE_PIECES = 1_000_000
+from cohortix.llm.common import sole_cache
+
+CACHE_PIECES = 500_000
 CACHE_TAILS = 10_000
 _inner_space = re.compile(r"\s ")
 # Latin-1 letters, then ASCII punctuation but the apostrophe, which contractions begin with
@@ -125,6 +127,8 @@ class Encoder(dict):
 
 
 def encoder(path: str) -> Encoder:
+    sole_cache("tokens", _encoders.clear)
     if path not in _encoders:
+        _encoders.clear()
         _encoders[path] = Encoder(path)
     return _encoders[path]

@@ -23,8 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortix.llm.common import filled, fresh
-from cohortix.session import ship_package
+from cohortix.llm.common import filled, fresh, ready, sole_cache
 
 WINDOW = 6
 ORDER = 3
@@ -38,7 +37,7 @@ MIN_DOCS = 3
 ROUNDS = 3
 RIDGE = 1e-4
 SPELLED = 3
-CACHE_WORDS = 500_000
+CACHE_WORDS = 250_000
 CACHE_WINDOWS = 300_000
 CHUNK = 256
 GATHER_WORDS = 200_000
@@ -171,7 +170,7 @@ class Rows:
     def add(self, keys: list, values: np.ndarray) -> None:
         at, to = len(self.rows), len(self.rows) + len(keys)
         if to > len(self.values):
-            grown = np.zeros((max(2 * len(self.values), to), self.values.shape[1]), np.uint8)
+            grown = np.zeros((max(len(self.values) * 5 // 4, to), self.values.shape[1]), np.uint8)
             grown[:at] = self.values[:at]
             self.values = grown
         self.values[at:to] = values
@@ -187,11 +186,12 @@ class Reader:
 
     def __init__(self, landmarks: Sequence[str]):
         self.kernel, self.width = Kernel(landmarks), len(landmarks)
+        self.windows = Rows(self.width)
         self._forget()
 
     def _forget(self) -> None:
         self.tokens: dict[str, int] = {"": 0}
-        self.words, self.windows = Rows(self.width), Rows(self.width)
+        self.words = Rows(self.width)
 
     def _learn_words(self, words: list[str]) -> None:
         codes, firsts = window_codes(words)
@@ -260,6 +260,7 @@ class Reader:
 
 def reader(landmarks: Sequence[str]) -> Reader:
     key = tuple(landmarks)
+    sole_cache("toxicity", _readers.clear)
     if key not in _readers:
         _readers.clear()
         _readers[key] = Reader(key)
@@ -354,7 +355,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     Of a training document up to ``FIT_SENTENCES`` sentences are used, those closest to the
     landmarks of toxicity. With labels of one class only, or none, every text gets that class' share.
     """
-    ship_package(docs.sparkSession)
+    ready(docs.sparkSession)
     rows, share = training_rows(docs, labels, id_col, text_col, label_col, fit_docs)
     # the few thousand rows of the fit are read twice
     rows = rows.persist()
@@ -449,7 +450,7 @@ def logistic_curve(score: np.ndarray, toxic: np.ndarray, share: float, rounds: i
 
 def with_scores(docs: DataFrame, model: Model, text_col: str, out: str) -> DataFrame:
     """Add the score of every whole text; missing texts score as empty ones."""
-    ship_package(docs.sparkSession)
+    ready(docs.sparkSession)
     at = docs.columns.index(text_col)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
