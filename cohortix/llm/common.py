@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortix.session import ship_package, written
 
-SPACE = " \t\n\x0b\f\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -25,9 +26,20 @@ def sole_cache(owner: str, drop: Callable[[], None]) -> None:
 
     Workers serve one stage after another, and the tables of earlier stages would stay.
     """
-    for other in [o for o in _caches if o != owner]:
+    others = [o for o in _caches if o != owner]
+    for other in others:
         _caches.pop(other)()
     _caches[owner] = drop
+    if others:
+        give_back()
+
+
+def give_back() -> None:
+    """Return freed memory of this worker process to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def ready(spark: SparkSession) -> None:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortix.llm.common import WORD, filled, fresh, offsets, ready, sole_cache
+from cohortix.llm.common import WORD, filled, fresh, give_back, offsets, ready, sole_cache
 from cohortix.session import frame_of, written
 
 BLOCK_WORDS = 512
@@ -304,6 +304,7 @@ def cut_texts(joined: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
                      for t, s_ in zip(columns[at].to_pylist(), spans.to_pylist())]
             columns[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names)
+        give_back()
 
     out = joined.mapInArrow(cut, docs.schema)
     if "n_chars" in docs.columns:

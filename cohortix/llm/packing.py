@@ -14,12 +14,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortix.llm.common import filled, ready
+from cohortix.llm.common import filled, give_back, ready
 from cohortix.llm.tokens import encoder
 
 LENGTH = 2_048
-GROUP_DOCS = 4_096
-GROUP_TOKENS = 4 << 20
+GROUP_DOCS = 2_048
+GROUP_TOKENS = 2 << 20
 BYTES_PER_TASK = 32 << 20
 
 
@@ -140,6 +140,7 @@ def pack(docs: DataFrame, tokenizer: str, *, end_id: int, length: int = LENGTH,
                         yield from close()
         if ids:
             yield from close()
+        give_back()
 
     return dealt.mapInArrow(
         packed, "doc_id long, start long, length long, sequence_id long, offset long, "

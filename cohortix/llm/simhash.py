@@ -20,7 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortix.llm.common import components, filled, fresh, ready, sole_cache
+from cohortix.llm.common import components, filled, fresh, give_back, ready, sole_cache
 from cohortix.session import written
 
 BITS = 64
@@ -65,6 +65,7 @@ def with_fingerprints(docs: DataFrame, text_col: str, out: str, width: int = 3)
             found = [fingerprint(t or "", width) for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(found, pa.int64())], [*batch.schema.names, out])
+        give_back()
 
     return docs.mapInArrow(add, T.StructType([*docs.schema.fields, T.StructField(out, T.LongType())]))
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortix.llm.common import filled, offsets, ready
+from cohortix.llm.common import filled, give_back, offsets, ready
 from cohortix.llm.tokens import encoder
 
 SAMPLE_DOCS = 1_500
@@ -130,6 +130,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, *, end_id: int,
                         number, index, frames, held = number + 1, [], [], 0
         if index:
             yield close()
+        give_back()
 
     ordered = (
         docs.select(F.col(id_col).cast("long").alias("doc_id"), filled(text_col).alias("text"))

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 
 from cohortix.llm.common import sole_cache
 
-CACHE_PIECES = 500_000
+CACHE_PIECES = 400_000
 CACHE_TAILS = 10_000
 _inner_space = re.compile(r"\s ")
 # Latin-1 letters, then ASCII punctuation but the apostrophe, which contractions begin with

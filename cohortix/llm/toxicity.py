@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortix.llm.common import filled, fresh, ready, sole_cache
+from cohortix.llm.common import filled, fresh, give_back, ready, sole_cache
 
 WINDOW = 6
 ORDER = 3
@@ -460,6 +460,7 @@ def with_scores(docs: DataFrame, model: Model, text_col: str, out: str) -> DataF
                 found = model.scores([t or "" for t in part.column(at).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(found, pa.float64())], [*part.schema.names, out])
+        give_back()
 
     from pyspark.sql import types as T
     return docs.mapInArrow(add, T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())]))
