@@ -84,8 +84,14 @@ def _inside(n: int, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.cumsum(change)[:n - WIDTH + 1] > 0
 
 
-def selected(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, ranks: np.ndarray) -> np.ndarray:
-    """Positions of the selected windows, ascending."""
+def selected(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, ranks: np.ndarray,
+             scaled: bool = False) -> np.ndarray:
+    """Positions of the windows with ``WINS`` wins, ascending.
+
+    ``scaled`` selects at least one for each text that is not empty: in a text of fewer than
+    ``RUN`` runs as large a share of them is enough, and where no feature has it, those with
+    most wins are selected.
+    """
     rank = ranks[entropy_bins(data)]
     n = len(rank)
     low = max(1, int(n - 1).bit_length())
@@ -103,7 +109,15 @@ def selected(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, ranks: np.n
     runs = np.cumsum(change)[:len(least)] > 0
     wins = np.bincount(least[runs] & kind((1 << low) - 1), minlength=n)
     few = [b + int(np.argmin(keys[b:b + f])) for b, f in zip(begins[~long].tolist(), features[~long].tolist()) if f > 0]
-    return np.sort(np.concatenate([np.flatnonzero(wins >= WINS), np.array(few, np.int64)]))
+    often = np.flatnonzero(wins >= WINS)
+    if scaled:
+        winners = np.flatnonzero(wins)
+        owner = np.searchsorted(ends, winners, side="right")
+        most = np.zeros(len(ends), np.int64)
+        np.maximum.at(most, owner, wins[winners])
+        enough = np.minimum(most, np.clip(-(-WINS * (features - RUN + 1) // RUN), 1, WINS))
+        often = winners[wins[winners] >= enough[owner]]
+    return np.sort(np.concatenate([often, np.array(few, np.int64)]))
 
 
 def _hashes(data: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -127,7 +141,7 @@ def digests(texts: Sequence[bytes], ranks: np.ndarray) -> list[np.ndarray]:
     empty = np.zeros((0, FILTER_BITS // 8), np.uint8)
     if not len(data):
         return [empty] * len(texts)
-    at = selected(data, begins, ends, ranks)
+    at = selected(data, begins, ends, ranks, scaled=True)
     owner = np.searchsorted(ends, at, side="right")
     hashes = _hashes(data, at)
     order = np.lexsort((at, hashes, owner))

@@ -240,6 +240,22 @@ def test_digest_selection_equals_brute_force():
         assert digests.selected(*digests.laid_out([text]), ranks).tolist() == want
 
 
+def test_no_text_but_the_empty_one_has_an_empty_digest():
+    rnd = random.Random(2)
+    texts = [bytes(rnd.choice(b"abcde  the") for _ in range(n)) for n in [0, 1, 63, 64, *range(120, 260), 400, 2_000]]
+    texts += [b"x" * n for n in (64, 127, 200)] + [bytes(range(64, 128)) * 3, *texts[10:20]]
+    ranks = np.array(rnd.sample(range(digests.BINS), digests.BINS), np.int32)
+    found = digests.digests(texts, ranks)
+    assert [len(d) > 0 for d in found] == [len(t) > 0 for t in texts]
+    for text, chain in zip(texts, found):
+        assert np.array_equal(chain, digests.digests([text], ranks)[0])
+        strict, scaled = (digests.selected(*digests.laid_out([text]), ranks, scaled=s) for s in (False, True)) \
+            if text else (np.zeros(0), np.zeros(0))
+        assert set(strict) <= set(scaled) and (len(text) < 190 or not len(strict) or np.array_equal(strict, scaled))
+    short = [d for t, d in zip(texts, found) if 127 <= len(t) <= 141 and len(set(t)) > 1]
+    assert all(digests.likeness(a, b) < 1 for a, b in zip(short[:15], short[1:15]))
+
+
 def test_digests_of_documents(spark, sf_dir):
     docs = documents(spark, sf_dir)[::-1]
     got = {r["doc_id"]: r for r in llm_queries()["op9_digests"](spark, sf_dir).collect()}
