@@ -218,21 +218,25 @@ class Reader:
             self.tokens[t] = self.words.rows[w] << 2 | (len(w) == 1) << 1 | (t[-1:] in SENTENCE_ENDS)
 
     def _join_spelled(self, code: np.ndarray, flat: list[str], line: np.ndarray) -> np.ndarray:
-        """The rows of the tokens; three or more single characters in a row of a line are one word."""
+        """The rows of the tokens; three or more single characters in a row of a line are one word.
+
+        Tokens without letters and digits between them are passed over.
+        """
         rows = code >> 2
-        single = (code & 2) > 0
-        if not (single[2:] & single[1:-1] & single[:-2]).any():
+        single = np.flatnonzero(code & 2)
+        if len(single) < SPELLED:
             return rows
-        same = np.concatenate([[False], single[1:] & single[:-1] & (line[1:] == line[:-1])])
-        begins = np.flatnonzero(single & ~same)
-        sizes = np.diff(np.append(np.cumsum(single)[begins] - 1, single.sum()))
-        runs = [(b, n) for b, n in zip(begins.tolist(), sizes.tolist()) if n >= SPELLED]
-        spelled = ["".join(map(plain, flat[b:b + n])) for b, n in runs]
+        place, own_line = np.cumsum(rows > 0)[single], line[single]
+        begins = np.flatnonzero(np.append(True, (np.diff(place) > 1) | (np.diff(own_line) > 0)))
+        sizes = np.diff(np.append(begins, len(single)))
+        long = sizes >= SPELLED
+        runs = [single[b:b + n] for b, n in zip(begins[long].tolist(), sizes[long].tolist())]
+        spelled = ["".join(plain(flat[i]) for i in run) for run in runs]
         if missing := list(set(spelled).difference(self.words.rows)):
             self._learn_words(missing)
-        for (b, n), word in zip(runs, spelled):
-            rows[b:b + n] = 0
-            rows[b] = self.words.rows[word]
+        for run, word in zip(runs, spelled):
+            rows[run] = 0
+            rows[run[0]] = self.words.rows[word]
         return rows
 
     def describe(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:

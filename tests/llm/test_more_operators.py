@@ -310,6 +310,25 @@ def test_classifier_on_held_out_rows(spark):
     assert min(plain, spelled) > 0.5 > inserted
 
 
+def test_marks_between_the_letters_of_a_held_out_word(spark):
+    rows = made_up(random.Random(8), 900)
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(table.select("doc_id", "text"), table.select("doc_id", "toxic"))
+    marked = ["ka lo i - d - i - o - t mi", "i * d * i * o * t", "ka m . o . r . o . n", "| i | d i --- o | t |"]
+    assert min(model.scores(marked)) > 0.5 > max(model.scores(["ka - lo - mi - ra", "- - - -", "ka lo i - mi"]))
+
+
+def test_spelled_words_pass_over_marks_but_not_over_lines():
+    reader = toxicity.Reader(["idiot", "moron", "an dio"])
+
+    def seen(text):
+        return reader.describe([text])[0].max(axis=0).tolist()
+
+    assert seen("an i - d -- i * o | t") == seen("an i d i o t") == seen("an idiot")
+    assert seen("i - d\ni - o - t") != seen("idiot") and seen("i - an - d - i") == seen("i an d i")
+    assert seen("i - d") == seen("i d") and seen("- - -") == seen("")
+
+
 def test_query_on_the_labelled_documents(spark, sf_dir):
     got = {r["doc_id"]: r for r in llm_queries()["op8_toxicity"](spark, sf_dir).collect()}
     toxic = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
