@@ -26,15 +26,48 @@ CENTURY = {False: (92, 397), True: (75, 487)}  # factors of the days of a centur
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])"
 ISO = r"(?<![0-9./-])[0-9]{4}([-/])[0-9]{2}\1[0-9]{2}(?![0-9/-]|\.[0-9])"
-DAY_FIRST = r"(?<![0-9./-])[0-9]{1,2}([-./])[0-9]{1,2}\1[0-9]{4}(?![0-9/-]|\.[0-9])"
+DAY_FIRST = r"(?<![0-9./-])[0-9]{1,2}([-./])[0-9]{1,2}\1(?:[0-9]{4}|[0-9]{2})(?![0-9/-]|\.[0-9])"
+# The months in English, short and long, German, French and Spanish.
+MONTHS = [row.split() for row in (
+    "january february march april may june july august september october november december",
+    "jan feb mar apr may jun jul aug sep oct nov dec",
+    "jan feb mar apr may jun jul aug sept oct nov dec",
+    "januar februar märz april mai juni juli august september oktober november dezember",
+    "janvier février mars avril mai juin juillet août septembre octobre novembre décembre",
+    "enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre")]
+MONTH_NAMES = [m for row in MONTHS for m in row]
+_accents = {"ä": "[äÄ]", "é": "[éÉ]", "û": "[ûÛ]"}
+MONTH = "(?i:" + "|".join("".join(_accents.get(c, c) for c in m)
+                          for m in sorted({*MONTH_NAMES}, key=lambda m: (-len(m), m))) + ")"
+NAMED = (rf"(?<![0-9A-Za-z./-])[0-9]{{1,2}}(?:st|nd|rd|th|er|\.)?(?: of | de |[ -])?{MONTH}"
+         r"(?:\.?,? (?:de |del )?|-)(?:[0-9]{4}|[0-9]{2})(?![0-9A-Za-z/-]|[.,:][0-9])"
+         rf"|(?<![0-9A-Za-z])(?=[JFMASONDEjfmasonde][^0-9 ]{{2,10}} [0-9]){MONTH}\.? [0-9]{{1,2}}(?:st|nd|rd|th)?,? [0-9]{{4}}(?![0-9A-Za-z/-]|\.[0-9])")
 ADDRESS = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
 SOCIAL = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
+# The first try ends a number where no mark and further digit follow, the second one anywhere.
+ABROAD = r"(?<![0-9+])\+[0-9](?:(?:[ .-]?\(|\)[ .-]?|[ .-])?[0-9]){7,14}"
 PHONE = (r"(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])"
-         r"|(?<![0-9+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,3}(?![0-9])"
-         r"|(?<![0-9.-])[0-9]{3}([-. ])[0-9]{3}\1[0-9]{4}(?![0-9-]|\.[0-9])")
+         rf"|{ABROAD}(?![0-9]|[./-][0-9])|{ABROAD}(?![0-9])"
+         r"|(?<![0-9.-])(?:1[-. ])?[0-9]{3}([-. ])[0-9]{3}\1[0-9]{4}(?![0-9-]|\.[0-9])")
 CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])"
-IBAN = (r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}"
-        r"(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,4})?)(?![A-Za-z0-9])")
+# Countries by the length of their account numbers, as the registry of ISO 13616 has them.
+LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _account(length: int, countries: str) -> str:
+    """An account number of ``length`` characters, in one or in groups of four."""
+    fours, rest = divmod(length - 4, 4)
+    grouped = f"(?: [A-Z0-9]{{4}}){{{fours}}}" + (f" [A-Z0-9]{{{rest}}}" if rest else "")
+    return f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?:[A-Z0-9]{{{length - 4}}}|{grouped})"
+
+
+IBAN = (r"(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2})(?:" + "|".join(_account(n, c) for n, c in LENGTHS.items()) +
+        r"|[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,4})?))(?![A-Za-z0-9])")
 HEX_KEY = r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])"
 ACCESS_KEY = r"(?<![0-9A-Za-z])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])"
 
@@ -51,7 +84,7 @@ def _alternatives(*patterns: str) -> str:
     return "|".join(out)
 
 
-ANY = _alternatives(EMAIL, IBAN, ISO, DAY_FIRST, CARD, ADDRESS, SOCIAL, PHONE, HEX_KEY, ACCESS_KEY)
+ANY = _alternatives(EMAIL, IBAN, ISO, DAY_FIRST, NAMED, CARD, ADDRESS, SOCIAL, PHONE, HEX_KEY, ACCESS_KEY)
 MAYBE = r"[0-9]{2}|@"  # every kind has one of these
 
 
@@ -157,17 +190,32 @@ def card(net: Keyed, m: Column) -> Column:
 
 
 def iban(net: Keyed, m: Column) -> Column:
-    """Account digits permuted, country and letters kept, check digits made anew; otherwise unchanged."""
-    plain = F.regexp_replace(m, " ", "")
-    land, account = F.substring(plain, 1, 2), F.substring(plain, F.lit(5), F.length(plain) - 4)
-    valid = mod_97(F.concat(account, land, F.substring(plain, 3, 2))) == 1
+    """Account digits permuted, country and letters kept, check digits made anew; otherwise unchanged.
+
+    If the check fails, words behind the number may have been taken for its groups: then
+    groups are left off from the end as long as a number can be left.
+    """
+    words = F.split(m, " ")
+    heads = F.transform(F.sequence(F.size(words), F.least(F.size(words), F.lit(4)), F.lit(-1)),
+                        lambda n: F.array_join(F.slice(words, F.lit(1), n), " "))
+
+    def valid(h: Column) -> Column:
+        plain = F.regexp_replace(h, " ", "")
+        account = F.substring(plain, F.lit(5), F.length(plain) - 4)
+        return (F.length(plain) >= 15) & (mod_97(F.concat(account, F.substring(plain, 1, 4))) == 1)
+
+    def renewed(h: Column) -> Column:
+        plain = F.regexp_replace(h, " ", "")
+        land, account = F.substring(plain, 1, 2), F.substring(plain, F.lit(5), F.length(plain) - 4)
+
+        def rebuilt(a: Column) -> Column:
+            check = F.lpad((98 - mod_97(F.concat(a, land, F.lit("00")))).cast("string"), 2, "0")
+            return F.concat(spliced(h, "A-Z0-9", F.concat(land, check, a)), F.substring(m, F.length(h) + 1, F.length(m)))
 
-    def rebuilt(a: Column) -> Column:
-        check = F.lpad((98 - mod_97(F.concat(a, land, F.lit("00")))).cast("string"), 2, "0")
-        return spliced(m, "A-Z0-9", F.concat(land, check, a))
+        moved = spliced(account, "0-9", net.string("iban", only(account, "0-9"), 10))
+        return F.transform(F.array(moved), rebuilt)[0]
 
-    moved = spliced(account, "0-9", net.string("iban", only(account, "0-9"), 10))
-    return F.when(valid, F.transform(F.array(moved), rebuilt)[0]).otherwise(m)
+    return F.coalesce(F.get(F.transform(F.slice(F.filter(heads, valid), 1, 1), renewed), F.lit(0)), m)
 
 
 def address(net: Keyed, m: Column) -> Column:
@@ -198,53 +246,93 @@ def social(net: Keyed, m: Column) -> Column:
 
 
 def phone(net: Keyed, m: Column) -> Column:
-    """8 to 15 digits, 10 without a country code; what stands for the country stays."""
+    """8 to 15 digits, without a plus 10 or 11 with a leading 1; what stands for the country stays."""
     plus = m.startswith("+")
     apart = F.regexp_extract(m, r"^\+[0-9]{1,3}(?=[ .(-])", 0)
-    lead = F.when(~plus, F.lit("")).when(apart != "", apart).otherwise(F.substring(m, 1, 3))
+    one = F.regexp_extract(m, r"^1[-. ](?=[0-9]{3}[-. ])", 0)
+    lead = F.when(~plus, one).when(apart != "", apart).otherwise(F.substring(m, 1, 3))
     rest = F.substring(m, F.length(lead) + 1, F.length(m))
     new = F.concat(lead, spliced(rest, "0-9", net.string("phone", only(rest, "0-9"), 10)))
     n = F.length(only(m, "0-9"))
-    return F.when(F.when(plus, (n >= 8) & (n <= 15)).otherwise(n == 10), new).otherwise(m)
+    local = n == F.when(one != "", 11).otherwise(10)
+    return F.when(F.when(plus, (n >= 8) & (n <= 15)).otherwise(local), new).otherwise(m)
 
 
-def date(net: Keyed, m: Column) -> Column:
-    """A day of the calendar becomes one of the same century in the same notation.
-
-    Day and month before the year are read as month and day if that is possible, else the
-    other way.
-    """
-    mark = F.regexp_extract(m, "([-./])", 1)
-    parts = F.split(m, "[-./]")
-    a, b, c = (F.element_at(parts, i) for i in (1, 2, 3))
-    year_first = F.length(a) == 4
-    dotted = mark == "."
+def real_day(y: Column, mo: Column, d: Column) -> Column:
+    """The day of the calendar, null if there is none; a year of two digits is one after 2000."""
+    year = F.when(F.length(y) == 2, F.concat(F.lit("20"), y)).otherwise(y)
+    return F.try_to_date(F.concat_ws("-", F.lpad(year, 4, "0"), F.lpad(mo, 2, "0"), F.lpad(d, 2, "0")), "yyyy-MM-dd")
 
-    def day(y: Column, mo: Column, d: Column) -> Column:
-        return F.try_to_date(F.concat_ws("-", F.lpad(y, 4, "0"), F.lpad(mo, 2, "0"), F.lpad(d, 2, "0")), "yyyy-MM-dd")
 
-    month_first = F.when(dotted, F.lit(None).cast("date")).otherwise(day(c, a, b))
-    order = F.when(year_first, F.lit("y")).when(month_first.isNotNull(), F.lit("m")).otherwise(F.lit("d"))
-    real = F.when(year_first, day(a, b, c)).otherwise(F.coalesce(month_first, day(c, b, a)))
+def moved_day(net: Keyed, real: Column) -> Column:
+    """An array of one day of the same century, so that the network runs once."""
     first = F.make_date(F.floor(F.year(real) / 100).cast("int") * 100, F.lit(1), F.lit(1))
     leap = F.year(first) % 400 == 0
     size_l = F.when(leap, CENTURY[True][0]).otherwise(CENTURY[False][0])
     size_r = F.when(leap, CENTURY[True][1]).otherwise(CENTURY[False][1])
     at = F.datediff(real, first)
     moved = net.pair("date", F.floor(at / size_r), at % size_r, size_l, size_r, F.year(first).cast("string"))
+    return F.transform(F.array(moved), lambda p: F.date_add(first, (p["l"] * size_r + p["r"]).cast("int")))
 
-    def written(p: Column) -> Column:
-        new = F.date_add(first, (p["l"] * size_r + p["r"]).cast("int"))
 
-        def padded(x: Column, like: Column) -> Column:
-            return F.when(F.length(like) == 2, F.lpad(x.cast("string"), 2, "0")).otherwise(x.cast("string"))
+def padded(x: Column, like: Column) -> Column:
+    """A number with as many digits, at least, as ``like`` has."""
+    return F.when(F.length(like) == 2, F.lpad(x.cast("string"), 2, "0")).otherwise(x.cast("string"))
+
 
-        y, mo, d = F.lpad(F.year(new).cast("string"), 4, "0"), F.month(new), F.day(new)
-        return (F.when(order == "y", F.concat(y, mark, padded(mo, b), mark, padded(d, c)))
-                .when(order == "m", F.concat(padded(mo, a), mark, padded(d, b), mark, y))
-                .otherwise(F.concat(padded(d, a), mark, padded(mo, b), mark, y)))
+def year_of(new: Column, like: Column) -> Column:
+    return F.substring(F.lpad(F.year(new).cast("string"), 4, "0"), 5 - F.length(like), F.lit(4))
+
+
+def date(net: Keyed, m: Column) -> Column:
+    """A day of the calendar becomes one of the same century in the same notation.
 
-    return F.when(real.isNull() | (F.year(real) < 1600), m).otherwise(F.transform(F.array(moved), written)[0])
+    Day and month before the year are read as month and day if that is possible, else the
+    other way.
+    """
+    mark = F.regexp_extract(m, "([-./])", 1)
+    parts = F.split(m, "[-./]")
+    a, b, c = (F.element_at(parts, i) for i in (1, 2, 3))
+    year_first = F.length(a) == 4
+    month_first = F.when(mark == ".", F.lit(None).cast("date")).otherwise(real_day(c, a, b))
+    order = F.when(year_first, F.lit("y")).when(month_first.isNotNull(), F.lit("m")).otherwise(F.lit("d"))
+    real = F.when(year_first, real_day(a, b, c)).otherwise(F.coalesce(month_first, real_day(c, b, a)))
+
+    def written(new: Column) -> Column:
+        mo, d = F.month(new), F.day(new)
+        return (F.when(order == "y", F.concat(year_of(new, a), mark, padded(mo, b), mark, padded(d, c)))
+                .when(order == "m", F.concat(padded(mo, a), mark, padded(d, b), mark, year_of(new, c)))
+                .otherwise(F.concat(padded(d, a), mark, padded(mo, b), mark, year_of(new, c))))
+
+    return F.when(real.isNull() | (F.year(real) < 1600), m).otherwise(F.transform(moved_day(net, real), written)[0])
+
+
+def named_date(net: Keyed, m: Column) -> Column:
+    """A date with the name of its month, in the same order, language and case."""
+    names = F.array(*map(F.lit, MONTH_NAMES))
+    name = F.regexp_extract(m, MONTH, 0)
+    place = F.array_position(names, F.lower(name)).cast("int") - 1
+    numbers = F.regexp_extract_all(m, F.lit("[0-9]+"), F.lit(0))
+    d, y = F.get(numbers, F.lit(0)), F.get(numbers, F.lit(1))
+    real = real_day(y, (place % 12 + 1).cast("string"), d)
+    before = F.regexp_extract(m, "^[^0-9]*", 0)
+    between = F.substring(m, F.length(before) + F.length(d) + 1,
+                          F.length(m) - F.length(before) - F.length(d) - F.length(y))
+
+    def written(new: Column) -> Column:
+        low = F.get(names, place - place % 12 + F.month(new) - 1)
+        called = (F.when(name == F.lower(name), low).when(name == F.upper(name), F.upper(low))
+                  .otherwise(F.initcap(low)))
+        last = F.day(new) % 10
+        ordinal = (F.when(F.day(new).between(11, 13), "th").when(last == 1, "st").when(last == 2, "nd")
+                   .when(last == 3, "rd").otherwise("th"))
+        own = F.regexp_extract(between, "^(?:st|nd|rd|th)", 0)
+        middle = F.concat(F.when(own != "", ordinal).otherwise(F.lit("")),
+                          F.substring(between, F.length(own) + 1, F.length(between)))
+        return F.concat(F.replace(before, name, called), padded(F.day(new), d), F.replace(middle, name, called),
+                        year_of(new, y))
+
+    return F.when(real.isNull() | (F.year(real) < 1600), m).otherwise(F.transform(moved_day(net, real), written)[0])
 
 
 def email(net: Keyed, m: Column) -> Column:
@@ -275,6 +363,7 @@ def pseudonym(net: Keyed, m: Column) -> Column:
             .when(like(_alternatives(HEX_KEY, ACCESS_KEY)), secret(net, m))
             .when(like(IBAN), iban(net, m))
             .when(like(_alternatives(ISO, DAY_FIRST)), date(net, m))
+            .when(like(NAMED), named_date(net, m))
             .when(like(ADDRESS), address(net, m))
             .when(like(SOCIAL), social(net, m))
             .when(like(CARD), card(net, m))
@@ -285,8 +374,8 @@ def pseudonymise(docs: DataFrame, *, key: str = KEY, text_col: str = "text", cou
     """``docs`` with the personal data in ``text_col`` replaced; all else is left as it was.
 
     Covers e-mail addresses, payment cards, IBANs, telephone and social security numbers, IPv4
-    addresses, dates, and access keys. Lengths are kept but for unpadded dates and numbers of
-    IP addresses. Missing texts stay missing, empty ones empty; rows are neither dropped nor
+    addresses, dates, and access keys. Lengths are kept but for unpadded dates, names of months
+    and numbers of IP addresses. Missing texts stay missing, empty ones empty; rows are neither dropped nor
     joined. ``count_col`` adds how many values were replaced (0 for missing text). ``key`` is
     the secret: hand it in from a safe place.
     """

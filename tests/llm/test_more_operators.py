@@ -147,6 +147,56 @@ def test_each_kind_keeps_its_format_and_links(spark):
     assert changed(spark, texts) == changed(spark, texts) != changed(spark, texts, key="another")
 
 
+RUNNING = [  # text, the value in it, what its pseudonym looks like
+    ("paid to ES91 2100 0418 4502 0005 1332 BIC CAIXESBB today", "ES91 2100 0418 4502 0005 1332", r"ES\d\d( \d{4}){5}"),
+    ("an BE68 5390 0754 7034 KBC in Gent", "BE68 5390 0754 7034", r"BE\d\d( \d{4}){3}"),
+    ("IBAN GB82 WEST 1234 5698 7654 32 OR CASH", "GB82 WEST 1234 5698 7654 32", r"GB\d\d WEST( \d{4}){3} \d\d"),
+    ("of ZZ59 1234 5678 9012 3456 IN USE", "ZZ59 1234 5678 9012 3456", r"ZZ\d\d( \d{4}){4}"),
+    ("call +33 1 42 68 53 00 now", "+33 1 42 68 53 00", r"\+33 \d( \d\d){4}"),
+    ("call +33 1 42 68 53 00 03.05.2024", "+33 1 42 68 53 00", r"\+33 \d( \d\d){4}"),
+    ("call +49 30 12 34 56 78.", "+49 30 12 34 56 78", r"\+49( \d\d){5}"),
+    ("call +44 (0)20 7946 0958, or", "+44 (0)20 7946 0958", r"\+44 \(\d\)\d\d \d{4} \d{4}"),
+    ("call 1-212-555-0199 now", "1-212-555-0199", r"1-\d{3}-\d{3}-\d{4}"),
+    ("call 1 212 555 0199 now", "1 212 555 0199", r"1 \d{3} \d{3} \d{4}"),
+    ("born 3 March 2024 in", "3 March 2024", r"\d{1,2} [A-Z][a-z]+ 20\d\d"),
+    ("born 3rd of March 1984 in", "3rd of March 1984", r"\d{1,2}(st|nd|rd|th) of [A-Z][a-z]+ 19\d\d"),
+    ("born March 23, 1984, in", "March 23, 1984", r"[A-Z][a-z]+ \d\d, 19\d\d"),
+    ("born 03-MAR-84 in", "03-MAR-84", r"\d\d-[A-Z]{3}-\d\d"),
+    ("am 3. März 2024 in", "3. März 2024", r"\d{1,2}\. \w+ 20\d\d"),
+    ("le 3 août 1999 à", "3 août 1999", r"\d{1,2} \w+ 19\d\d"),
+    ("el 3 de mayo de 1999 en", "3 de mayo de 1999", r"\d{1,2} de [a-z]+ de 19\d\d"),
+    ("on 31/12/99, or", "31/12/99", r"\d\d/\d\d/\d\d"),
+    ("on 3.5.24 or", "3.5.24", r"\d{1,2}\.\d{1,2}\.\d\d"),
+]
+
+
+def test_values_in_running_text_are_found(spark):
+    new = changed(spark, [t for t, _, _ in RUNNING])
+    for (text, value, form), got in zip(RUNNING, new):
+        before, after = text.split(value)
+        assert got.startswith(before) and value not in got, (text, got)
+        if "03.05.2024" in after:
+            assert "03.05.2024" not in got
+            after = got[-11:]
+        assert got.endswith(after), (text, got)
+        own = got[len(before):len(got) - len(after)]
+        assert re.fullmatch(form, own), (text, got)
+        assert not re.match("[A-Z]{2}[0-9]{2} ", value) or iban_ok(own)
+
+
+def test_running_text_that_only_looks_like_values_stays(spark):
+    clean = ["ES91 2100 0418 4502 0005 1333 BIC now", "31 February 2024", "version 1.2.345", "99/99/24", "may 2024 or march 12",
+             "40 March 2024", "in March 2024, 12 of 34"]
+    assert changed(spark, clean) == clean
+
+
+def test_dates_with_names_are_one_to_one(spark):
+    days = [np.datetime64("2000-01-01") + i for i in range(0, 36_525, 13)]
+    texts = [f"{d.item():%-d} {pii.MONTHS[0][d.item().month - 1].title()} {d.item().year}" for d in days]
+    assert len(set(changed(spark, texts))) == len(texts)
+    assert len(set(changed(spark, [f"{d.item():%d.%m.%y}" for d in days]))) == len(texts)
+
+
 def test_what_fails_its_checks_stays(spark):
     clean = ["4111 1111 1111 1112", "DE89370400440532013001", "300.1.1.1", "v 4.0. and 1.2.3", "2023-02-29", "13/13/2020",
              "000-12-3456", "in 1999 or 2021, 12 of 34", "a@b", "9" * 25, "Licensed under CC BY-NC 4.0."]
