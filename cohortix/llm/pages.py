@@ -8,8 +8,8 @@ article if the template has one, else the part that holds most of the changing t
 the constant nodes inside it. Menus, notices, forms and the like are left out by what their
 elements say of themselves.
 
-All pages count: a task folds its pages into one row per host and shape of tree, these are
-summed up, and the commonest shapes of a host are merged.
+All pages count but those without a tree: a task folds its pages into one row per host and
+shape of tree. The commonest shapes of a host are merged. What is constant is told by counting, per node and text, the pages that have them.
 """
 
 from __future__ import annotations
@@ -29,7 +29,10 @@ from cohortix.llm.common import ready
 from cohortix.session import written
 
 SHAPES = 64
+FOLDED = 20_000
+FOLDED_TEXTS = 500_000
 MIN_PAGES = 3
+NEARLY = 0.9
 SHARE = 0.6
 WRAPPER_BYTES = 32 << 20
 DEPTH = 200
@@ -283,50 +286,66 @@ def content_path(t: list) -> list[str]:
         t = top
 
 
-def constants(t: list, path: Sequence[str]) -> list[str]:
-    """Keys of the constant texts below ``path``, each with the labels that lead to it."""
-    out: list[str] = []
+def spots(t: list) -> list[tuple[str, list]]:
+    """The text leaves outside what is left out, each with the labels that lead to it."""
+    out: list[tuple[str, list]] = []
 
     def collect(node: list, labels: str) -> None:
         for c in node[2]:
             if c[0] == TEXT:
-                out.extend(f"{labels}{TEXT}{key}" for key in c[1])
-            else:
+                out.append((labels, c))
+            elif not c[1]:
                 collect(c, f"{labels}/{c[0]}")
 
-    for label in path:
-        t = next(c for c in t[2] if c[0] == label)
     collect(t, "")
     return out
 
 
-def wrapper_of(templates: Sequence[list], pages: int) -> dict:
-    """The wrapper of a host from its templates: ``path`` and ``constants``.
-
-    Constants are believed only if at least ``MIN_PAGES`` pages agree and something else changes.
-    """
+def merged_all(templates: Sequence[list]) -> list:
     whole = templates[0]
     for t in templates[1:]:
         whole = merged(whole, t)
-    path = content_path(whole if slot_chars(whole) else _optional(whole))
-    fixed = constants(whole, path) if pages >= MIN_PAGES and slot_chars(whole) else []
-    return {"path": path, "constants": fixed}
+    return whole
+
+
+def wrapper_of(whole: list, fixed: dict[str, tuple[list[str], bool]]) -> dict:
+    """The wrapper of a host from its merged template: ``path`` and ``constants``.
+
+    ``fixed`` holds for the labels of a node the keys of its constant texts, and whether it
+    has hardly any others. Constants are believed only if something else changes.
+    """
+    for labels, leaf in spots(whole):
+        leaf[3] = not fixed.get(labels, ([], False))[1]
+    changing = slot_chars(whole)
+    path = content_path(whole if changing else _optional(whole))
+    lead = "".join(f"/{label}" for label in path)
+    below = sorted((labels[len(lead):], key) for labels, (keys, _) in fixed.items()
+                   if labels == lead or labels.startswith(f"{lead}/") for key in keys) if changing else []
+    return {"path": path, "constants": [f"{labels}{TEXT}{key}" for labels, key in below]}
 
 
 def main_text(html: str, wrapper: dict | None) -> str:
-    """The blocks of the content, one per line. Without a wrapper that fits, the page is its own."""
+    """The blocks of the content, one per line. Without a wrapper that fits, the page is its own.
+
+    A page of nothing but constants, such as a copy made many times, keeps them.
+    """
     root = parse(html)
     path, fixed = (wrapper["path"], wrapper["constants"]) if wrapper else ([], frozenset())
     found = _at(root, path) if path else []
     if not found:
         own = _optional(template(root))
         found, fixed = _at(root, content_path(own)), frozenset()
+    blocks = _content(found, fixed)
+    return "\n".join(blocks or _content(found, frozenset()))
+
+
+def _content(nodes: Sequence[Node], fixed) -> list[str]:
     blocks: list[str] = []
-    for node in found:
+    for node in nodes:
         held: list[str] = []
         _blocks(node, "", fixed, held, blocks)
         _flush(held, blocks)
-    return "\n".join(blocks)
+    return blocks
 
 
 def _at(node: Node, path: Sequence[str]) -> list[Node]:
@@ -366,64 +385,99 @@ def host(url_col: str):
 
 
 def induce(pages: DataFrame, html_col: str, host_col: str) -> DataFrame:
-    """``host, wrapper`` (JSON) of every host, from all of its pages."""
+    """``host, wrapper`` (JSON) of every host, from all of its pages that have a tree."""
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[tuple[str, str], list] = {}
+        found: dict[tuple[str, str], Folded] = {}
+        texts = 0
         for batch in batches:
             for name, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 t = template(parse(page or ""))
+                if not t[2]:
+                    continue
                 key = name, shape(t)
-                known = found.get(key)
-                found[key] = [t, 1] if known is None else [merged(known[0], t), known[1] + 1]
-                if len(found) >= 20_000:
+                if key not in found:
+                    found[key] = Folded(t)
+                texts += found[key].add(t)
+                if len(found) >= FOLDED or texts >= FOLDED_TEXTS:
                     yield _folded(found)
-                    found = {}
+                    found, texts = {}, 0
         if found:
             yield _folded(found)
 
-    folded = pages.select(host_col, html_col).mapInArrow(
-        fold, "host string, shape string, tree string, n long, "
-              "leaves array<struct<keys: array<string>, chars: bigint, changes: boolean>>")
-    folded = written(folded, "shapes")
-    leaf = folded.select("host", "shape", F.posexplode("leaves").alias("i", "leaf"))
-    place = ["host", "shape", "i"]
-    summed = leaf.groupBy(*place).agg(
-        F.count("*").alias("parts"), F.sum("leaf.chars").alias("chars"),
-        (F.bool_or("leaf.changes") | (F.min("leaf.keys") != F.max("leaf.keys"))).alias("changes"))
-    everywhere = (
-        leaf.select(*place, F.explode("leaf.keys").alias("key")).groupBy(*place, "key").agg(F.count("*").alias("found"))
-        .join(summed.select(*place, "parts"), place).where("found = parts")
-        .groupBy(*place).agg(F.sort_array(F.collect_list("key")).alias("keys"))
-    )
-    texts = summed.join(everywhere, place, "left").groupBy("host", "shape").agg(F.sort_array(F.collect_list(
-        F.struct("i", F.coalesce("keys", F.array().cast("array<string>")).alias("keys"), "chars", "changes"))).alias("leaves"))
-    trees = folded.groupBy("host", "shape").agg(F.min("tree").alias("tree"), F.sum("n").alias("n"))
-    shapes = trees.join(texts, ["host", "shape"], "left")
-    common = W.partitionBy("host").orderBy(F.desc("n"), "shape")
-    picked = shapes.withColumn("turn", F.row_number().over(common)).where(F.col("turn") <= SHAPES)
-
-    def merge(group: pa.Table) -> pa.Table:
-        rows = sorted(group.select(["turn", "tree", "n", "leaves"]).to_pylist(), key=lambda r: r["turn"])
+    folded = written(pages.select(host_col, html_col).mapInArrow(
+        fold, "host string, shape string, tree string, n long, chars array<bigint>, "
+              "spots array<struct<labels: string, total: bigint, keys: array<struct<key: string, n: bigint>>>>"), "shapes")
+    place = ["host", "shape"]
+    chars = (
+        folded.select(*place, F.posexplode("chars").alias("i", "chars")).groupBy(*place, "i").agg(F.sum("chars").alias("chars"))
+        .groupBy(*place).agg(F.sort_array(F.collect_list(F.struct("i", "chars")))["chars"].alias("chars")))
+    trees = folded.groupBy(*place).agg(F.min("tree").alias("tree"), F.sum("n").alias("n"))
+    rows = written(trees.join(chars, place, "left"), "templates")
+
+    def whole_of(group: pa.Table) -> list:
         templates = []
-        for r in rows:
+        for r in sorted(group.to_pylist(), key=lambda r: (-r["n"], r["shape"])):
             t = json.loads(r["tree"])
-            for own, all_pages in zip(leaves(t), r["leaves"] or []):
-                own[1:] = all_pages["keys"], all_pages["chars"], all_pages["changes"]
+            for own, size in zip(leaves(t), r["chars"] or []):
+                own[2] = size
             templates.append(t)
-        wrapper = wrapper_of(templates, sum(r["n"] for r in rows))
-        return pa.table({"host": group["host"].slice(0, 1), "wrapper": [json.dumps(wrapper)]})
-
-    return picked.select("host", "turn", "tree", "n", "leaves").groupBy("host").applyInArrow(
-        merge, "host string, wrapper string")
+        return merged_all(templates)
 
+    common = W.partitionBy("host").orderBy(F.desc("n"), "shape")
+    rows = rows.withColumn("turn", F.row_number().over(common)).where(F.col("turn") <= SHAPES).drop("turn")
+
+    spot = folded.select("host", "n", F.explode("spots").alias("spot")).select("host", "n", "spot.*")
+    have = spot.groupBy("host", "labels").agg(F.sum("n").alias("pages"), F.sum("total").alias("total"))
+    said = spot.select("host", "labels", F.explode("keys").alias("k")).groupBy("host", "labels", "k.key").agg(
+        F.sum("k.n").alias("found")).where(F.col("found") >= MIN_PAGES * NEARLY)
+    fixed = (
+        said.join(have, ["host", "labels"])
+        .where((F.col("pages") >= MIN_PAGES) & (F.col("found") >= NEARLY * F.col("pages")))
+        .groupBy("host", "labels").agg(
+            F.sort_array(F.collect_list("key")).alias("keys"),
+            (F.first("total") - F.sum("found") <= (1 - NEARLY) * F.first("pages")).alias("steady")))
+
+    def finish(group: pa.Table, known: pa.Table) -> pa.Table:
+        if not group.num_rows:
+            return pa.table({"host": pa.array([], pa.string()), "wrapper": pa.array([], pa.string())})
+        wrapper = wrapper_of(whole_of(group), {r["labels"]: (r["keys"], r["steady"]) for r in known.to_pylist()})
+        return pa.table({"host": group["host"].slice(0, 1), "wrapper": [json.dumps(wrapper)]})
 
-def _folded(found: dict) -> pa.RecordBatch:
-    leaf = pa.struct([("keys", pa.list_(pa.string())), ("chars", pa.int64()), ("changes", pa.bool_())])
-    rows = [(name, key, json.dumps(_bare(t)), n, [dict(zip(("keys", "chars", "changes"), x[1:])) for x in leaves(t)])
-            for (name, key), (t, n) in found.items()]
-    kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.list_(leaf))
+    return rows.groupBy("host").cogroup(fixed.groupBy("host")).applyInArrow(finish, "host string, wrapper string")
+
+
+class Folded:
+    """The pages of one host and shape: how often each node has which text, on how many pages."""
+
+    def __init__(self, t: list):
+        self.tree, self.n, self.chars = json.dumps(_bare(t)), 0, [0] * len(leaves(t))
+        self.spots: dict[str, dict[str, int]] = {}
+
+    def add(self, t: list) -> int:
+        """Add a page; how many texts are new to their nodes."""
+        self.n += 1
+        self.chars = [a + x[2] for a, x in zip(self.chars, leaves(t))]
+        own: dict[str, set[str]] = {}
+        for labels, leaf in spots(t):
+            own.setdefault(labels, set()).update(leaf[1])
+        new = 0
+        for labels, keys in own.items():
+            counts = self.spots.setdefault(labels, {})
+            for key in keys:
+                new += key not in counts
+                counts[key] = counts.get(key, 0) + 1
+        return new
+
+
+def _folded(found: dict[tuple[str, str], Folded]) -> pa.RecordBatch:
+    kept = pa.list_(pa.struct([("key", pa.string()), ("n", pa.int64())]))
+    spot = pa.struct([("labels", pa.string()), ("total", pa.int64()), ("keys", kept)])
+    rows = [(name, key, f.tree, f.n, f.chars,
+             [{"labels": labels, "total": sum(c.values()), "keys": [{"key": k, "n": n} for k, n in c.items()]}
+              for labels, c in f.spots.items()]) for (name, key), f in found.items()]
+    kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(spot))
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                                      ["host", "shape", "tree", "n", "leaves"])
+                                      ["host", "shape", "tree", "n", "chars", "spots"])
 
 
 def _bare(t: list) -> list:

@@ -85,6 +85,20 @@ def test_wrapper_learns_the_template(spark):
     assert alone.endswith("Written by the staff") and "Nice" not in alone and "cookies" not in alone
 
 
+def texts_of(spark, pages_):
+    rows = [(i, "http://h.org/", page) for i, page in enumerate(pages_)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r["page_id"]: r["text"] for r in pages.extract(table).collect()}
+
+
+def test_odd_pages_of_a_host_do_not_switch_the_constants_off(spark):
+    own = [PAGE.format(n=i, title=f"Title {i}", body=f"Body of number {i}, long enough.") for i in range(30)]
+    got = texts_of(spark, [*own, None, "", "<html><body><p>Error 500</p></body></html>", "<div>other<ul><li>layout</ul></div>"])
+    for i in range(30):
+        assert got[i] == f"Title {i}\nBody of number {i}, long enough.\nSecond & last {i}."
+    assert got[30] == got[31] == "" and "Error 500" in got[32] and "layout" in got[33]
+
+
 def test_copies_of_one_page_keep_their_text(spark):
     rows = [(i, "http://one.org/", "<body><article><p>All the same text.</p></article></body>") for i in range(6)]
     got = pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
