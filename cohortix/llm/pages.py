@@ -9,7 +9,8 @@ the constant nodes inside it. Menus, notices, forms and the like are left out by
 elements say of themselves.
 
 All pages count but those without a tree: a task folds its pages into one row per host and
-shape of tree. The commonest shapes of a host are merged. What is constant is told by counting, per node and text, the pages that have them.
+shape of tree. The shapes of a host are merged in buckets until one template is left. What is
+constant is told by counting, per node and text, the pages that have them.
 """
 
 from __future__ import annotations
@@ -22,13 +23,13 @@ from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohortix.llm.common import ready
 from cohortix.session import written
 
 SHAPES = 64
+WIDE = 64
 FOLDED = 20_000
 FOLDED_TEXTS = 500_000
 MIN_PAGES = 3
@@ -301,10 +302,27 @@ def spots(t: list) -> list[tuple[str, list]]:
     return out
 
 
+def compact(t: list) -> list:
+    """Runs of like siblings merged into one, in a list of more than ``WIDE`` all like siblings."""
+    if t[0] == TEXT:
+        return t
+    children: list[list] = []
+    places: dict[str, int] = {}
+    wide = len(t[2]) > WIDE
+    for c in t[2]:
+        at = places.get(c[0]) if wide else len(children) - 1
+        if at is not None and at >= 0 and children[at][0] == c[0]:
+            children[at] = merged(children[at], c, one_page=True)
+        else:
+            places[c[0]] = len(children)
+            children.append(c)
+    return [t[0], t[1], [compact(c) for c in children]]
+
+
 def merged_all(templates: Sequence[list]) -> list:
     whole = templates[0]
     for t in templates[1:]:
-        whole = merged(whole, t)
+        whole = compact(merged(whole, t))
     return whole
 
 
@@ -423,8 +441,17 @@ def induce(pages: DataFrame, html_col: str, host_col: str) -> DataFrame:
             templates.append(t)
         return merged_all(templates)
 
-    common = W.partitionBy("host").orderBy(F.desc("n"), "shape")
-    rows = rows.withColumn("turn", F.row_number().over(common)).where(F.col("turn") <= SHAPES).drop("turn")
+    def merge(group: pa.Table) -> pa.Table:
+        return pa.table({
+            "host": group["host"].slice(0, 1), "shape": group["bucket"].slice(0, 1).cast(pa.string()),
+            "tree": [json.dumps(whole_of(group))], "n": pa.array([sum(group["n"].to_pylist())], pa.int64()),
+            "chars": pa.array([None], pa.list_(pa.int64()))})
+
+    # each turn leaves about a template for SHAPES of the host with most
+    while (most := rows.groupBy("host").count().agg(F.max("count")).first()[0] or 0) > SHAPES:
+        bucket = F.pmod(F.xxhash64("shape"), F.lit(-(-most // SHAPES))).alias("bucket")
+        rows = written(rows.select("*", bucket).groupBy("host", "bucket").applyInArrow(
+            merge, "host string, shape string, tree string, n long, chars array<bigint>"), "templates")
 
     spot = folded.select("host", "n", F.explode("spots").alias("spot")).select("host", "n", "spot.*")
     have = spot.groupBy("host", "labels").agg(F.sum("n").alias("pages"), F.sum("total").alias("total"))

@@ -99,6 +99,36 @@ def test_odd_pages_of_a_host_do_not_switch_the_constants_off(spark):
     assert got[30] == got[31] == "" and "Error 500" in got[32] and "layout" in got[33]
 
 
+def test_every_shape_of_a_host_votes(spark, monkeypatch):
+    monkeypatch.setattr(pages, "SHAPES", 4)
+    inline = ["b", "i", "em", "u", "s", "code", "q"]
+
+    def marked(i):
+        body = "".join(f"<{inline[int(d)]}>w{i}</{inline[int(d)]}> and " for d in np.base_repr(i + 7, 7))
+        return PAGE.format(n=i, title=f"Title {i}", body=f"Body {body} of number {i}.")
+
+    own = [marked(i) for i in range(40)]
+    assert len({pages.shape(pages.template(pages.parse(p))) for p in own}) > 4 * 4
+    got = texts_of(spark, own)
+    for i in range(40):
+        lines = got[i].split("\n")
+        assert lines[0] == f"Title {i}" and lines[1].endswith(f"of number {i}.") and lines[2:] == [f"Second & last {i}."]
+
+
+def test_many_rare_shapes_outvote_the_commonest(spark, monkeypatch):
+    monkeypatch.setattr(pages, "SHAPES", 4)
+    inline = ["b", "i", "em", "u", "s", "code", "q"]
+    few = [f"<body><div class=list><p>{'<b>x</b> and ' * (k % 4)}entry {k}</p><ul><li>{'<i>y</i> or ' * (k % 4)}{k}</ul></div></body>"
+           for k in range(12)]
+    rare = ["<body><div class=story><p>" + "".join(f"<{inline[int(d)]}>w{i}</{inline[int(d)]}> and " for d in np.base_repr(i + 7, 7))
+            + f"a long enough body of number {i}</p><p>By the staff</p><h4>More</h4></div></body>" for i in range(60)]
+    got = texts_of(spark, few + rare)
+    for i in range(60):
+        text = got[len(few) + i]
+        assert text.endswith(f"number {i}") and "staff" not in text and "More" not in text
+    assert all(f"entry {k}" in got[k] for k in range(12))
+
+
 def test_copies_of_one_page_keep_their_text(spark):
     rows = [(i, "http://one.org/", "<body><article><p>All the same text.</p></article></body>") for i in range(6)]
     got = pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
