@@ -9,8 +9,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortix.llm import digests, embeddings, mixing, packing, pages, pii, sharding, simhash, tokenbin, toxicity
+from cohortix.llm import (
+    digests, embeddings, mixing, negatives, packing, pages, pii, sharding, simhash, tokenbin, toxicity, trie, warc)
 from cohortix.llm.common import filled, table
+from cohortix.llm.oracles import ORACLES
 from cohortix.session import shared_dir
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -32,6 +34,10 @@ def llm_queries() -> dict[str, Query]:
     return dict(_registered)
 
 
+def llm_oracles() -> dict[str, str]:
+    return dict(ORACLES)
+
+
 def crc(c: str):
     return F.crc32(F.col(c))
 
@@ -101,3 +107,33 @@ def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = trie.paths(table(spark, sf_dir, "conversations"))
+    heads = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9).cast("int")
+    return trie.prefix_trie(trie.grafted(own, F.col("conv_id") - F.col("conv_id") % 5, heads, 8))
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
+@query
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/cohortix/warc-{uuid.uuid4().hex}"
+    warc.write_warc(table(spark, sf_dir, "pages"), path)
+    found = warc.resolved(warc.captures(warc.read_records(spark, path, payloads=False)))
+
+    def page(metadata: str):
+        return F.get_json_object(F.element_at(F.col(metadata), 1)["fields"].cast("string"), "$.page_id").cast("long")
+
+    return found.select(
+        page("metadata").alias("page_id"),
+        F.coalesce("response.payload_bytes", "original.payload_bytes").alias("payload_bytes"),
+        F.col("response.payload_digest").alias("payload_digest"), F.col("response.type").alias("record_type"),
+        page("original.metadata").alias("refers_to"))
