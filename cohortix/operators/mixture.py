@@ -1,24 +1,27 @@
 """Diagonal Gaussian mixture: soft assignment, likelihood criteria and the EM fit.
 
 ``pyspark.ml.GaussianMixture`` is full-covariance only and has no regularisation or
-restarts, so EM runs here as DataFrame aggregates. All restarts share each pass: a row is
-paired with the parameters of every open restart through a broadcast join on the restart
-number, and one hash aggregate per pass returns the sums of all of them.
+restarts. Here every E-step is one scan for all restarts (``operators.moments``). Each restart
+settles on the weighted coreset of K-Means first, a task each; all rows then take over until
+the likelihood of all rows settles.
 """
 
 from __future__ import annotations
 
 import json
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import asdict, dataclass
 
-from pyspark.ml.clustering import KMeansModel
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortix import schema as S
-from cohortix.session import frame_of
+from cohortix.operators.kmeans import Coreset, nearest_of
+from cohortix.operators.moments import Moments, Weigh, moment_sums, reduced
+from cohortix.session import frame_of, ship_package
 
 TOLERANCE = 1e-3
 MAX_ITERATIONS = 100
@@ -120,74 +123,39 @@ def information_criteria(assigned: DataFrame, mixture: Mixture) -> DataFrame:
 
 
 # ---- fit --------------------------------------------------------------------
-def _moments(weight: Column, features: Sequence[str], j: int) -> list[Column]:
-    """Weight, weighted sum and weighted sum of squares of component ``j``."""
-    return [
-        F.sum(weight).alias(f"n{j}"),
-        *[F.sum(weight * F.col(x)).alias(f"s{j}_{i}") for i, x in enumerate(features)],
-        *[F.sum(weight * F.col(x) * F.col(x)).alias(f"q{j}_{i}") for i, x in enumerate(features)],
-    ]
+def maximise(m: Moments, features: Sequence[str], reg: float) -> Mixture:
+    """The mixture that the sums of one E-step imply."""
+    totals = m.n + _TINY
+    means = m.s / totals[:, None]
+    variances = np.maximum(m.q / totals[:, None] - means ** 2, 0.0) + reg
+    weights = totals / totals.sum()
+    return Mixture(tuple(features), tuple(weights.tolist()), tuple(map(tuple, means.tolist())),
+                   tuple(map(tuple, variances.tolist())))
 
 
-def maximise(row: Mapping, features: Sequence[str], k: int, reg: float) -> Mixture:
-    """The mixture that the sums of one E-step imply."""
-    dims = range(len(features))
-    totals = [row[f"n{j}"] + _TINY for j in range(k)]
-    means = [tuple(row[f"s{j}_{i}"] / totals[j] for i in dims) for j in range(k)]
-    variances = [
-        tuple(max(row[f"q{j}_{i}"] / totals[j] - means[j][i] ** 2, 0.0) + reg for i in dims)
-        for j in range(k)
-    ]
-    weights = [t / sum(totals) for t in totals]
-    return Mixture(tuple(features), tuple(weights), tuple(means), tuple(variances))
-
-
-def hard_start(df: DataFrame, model: KMeansModel, features: Sequence[str], reg: float) -> Mixture:
-    """First M-step from the hard labels of a K-Means model."""
-    k = model.summary.k if model.hasSummary else len(model.clusterCenters())
-    label = F.col(model.getPredictionCol())
-    sums = [a for j in range(k) for a in _moments((label == j).cast("double"), features, j)]
-    return maximise(model.transform(df).agg(*sums).first(), features, k, reg)
-
-
-class _Expectation:
-    """The aggregate of one E-step over all open restarts; built once per fit."""
-
-    def __init__(self, features: Sequence[str], k: int):
-        self.features, self.k = features, k
-        d = len(features)
-        self.joint = []
-        for j in range(k):
-            gaps = [(F.col(x) - F.col("mu")[j * d + i]) * (F.col(x) - F.col("mu")[j * d + i])
-                    * F.col("precision")[j * d + i] for i, x in enumerate(features)]
-            self.joint.append((F.col("base")[j] - 0.5 * sum(gaps[1:], gaps[0])).alias(f"l{j}"))
-        logs = [F.col(f"l{j}") for j in range(k)]
-        self.top = _highest(logs).alias("top")
-        self.total = _log_sum(logs, F.col("top")).alias("total")
-        self.shares = [F.exp(c - F.col("total")).alias(f"r{j}") for j, c in enumerate(logs)]
-        self.sums = [
-            F.count(F.lit(1)).alias("rows"), F.sum("total").alias("ll"),
-            *[a for j in range(k) for a in _moments(F.col(f"r{j}"), features, j)],
-        ]
+def soft_shares(mixture: Mixture, weights: np.ndarray | float = 1.0) -> Weigh:
+    """Shares of the components in each row, times its weight, and the weighted log likelihood."""
+    weight = np.asarray(weights).reshape(-1, 1)
+    base, means = np.array(mixture.constants()), np.array(mixture.means)
+    precision = 1.0 / np.array(mixture.variances)
 
-    def run(self, df: DataFrame, mixtures: Mapping[int, Mixture]) -> dict[int, Mapping]:
-        rows = [
-            (r, m.constants(), [v for vs in m.means for v in vs], [1.0 / v for vs in m.variances for v in vs])
-            for r, m in mixtures.items()
-        ]
-        params = frame_of(
-            df.sparkSession, rows,
-            "restart int, base array<double>, mu array<double>, precision array<double>")
-        open_restarts = F.explode(F.array(*[F.lit(r) for r in mixtures])).alias("restart")
-        sums = (
-            df.select(*self.features, open_restarts)
-            .join(F.broadcast(params), "restart")
-            .select("restart", *self.features, *self.joint)
-            .select("*", self.top).select("*", self.total)
-            .select("restart", "total", *self.features, *self.shares)
-            .groupBy("restart").agg(*self.sums)
-        )
-        return {row["restart"]: row for row in sums.collect()}
+    def weigh(points: np.ndarray) -> tuple[np.ndarray, float]:
+        gaps = np.zeros((len(points), len(base)))
+        for i in range(points.shape[1]):
+            gaps += (points[:, i, None] - means[None, :, i]) ** 2 * precision[None, :, i]
+        joint = base - 0.5 * gaps
+        top = joint.max(axis=1, keepdims=True)
+        share = np.exp(joint - top)
+        whole = share.sum(axis=1, keepdims=True)
+        return share * (weight / whole), float((weight * (top + np.log(whole))).sum())
+
+    return weigh
+
+
+def hard_starts(df: DataFrame, features: Sequence[str], centres: Sequence[np.ndarray], reg: float) -> list[Mixture]:
+    """First M-step from the nearest of each set of centres; one scan for all sets."""
+    sums = moment_sums(df, features, {i: nearest_of(np.asarray(c)) for i, c in enumerate(centres)})
+    return [maximise(sums[i], features, reg) for i in range(len(centres))]
 
 
 @dataclass(frozen=True)
@@ -200,8 +168,39 @@ class MixtureFit:
 
 def em_step(df: DataFrame, mixture: Mixture, reg: float = S.MIXTURE_REG) -> tuple[Mixture, float]:
     """One E-step and M-step; also the mean log density under the given parameters."""
-    row = _Expectation(mixture.features, mixture.k).run(df, {0: mixture})[0]
-    return maximise(row, mixture.features, mixture.k, reg), row["ll"] / row["rows"]
+    sums = moment_sums(df, mixture.features, {0: soft_shares(mixture)})[0]
+    return maximise(sums, mixture.features, reg), sums.value / sums.rows
+
+
+def settle(core: Coreset, mixture: Mixture, reg: float, tolerance: float, max_iterations: int) -> Mixture:
+    """EM over the weighted points of the coreset until their mean log density settles."""
+    last, total = -math.inf, core.weights.sum()
+    for _ in range(max_iterations):
+        share, value = soft_shares(mixture, core.weights)(core.points)
+        mixture = maximise(reduced(core.points, share, value), mixture.features, reg)
+        if abs(value / total - last) < tolerance:
+            break
+        last = value / total
+    return mixture
+
+
+def settled_starts(df: DataFrame, core: Coreset, starts: Sequence[Mixture], reg: float, tolerance: float,
+                   max_iterations: int) -> list[Mixture]:
+    """Every start settled on the coreset, one task each."""
+    spark = df.sparkSession
+    ship_package(spark)
+    shared = spark.sparkContext.broadcast(core)  # about CORESET_ROWS rows
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, text in zip(*(c.to_pylist() for c in batch.columns)):
+                found = settle(shared.value, Mixture.from_json(text), reg, tolerance, max_iterations)
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([found.to_json()])], ["start", "mixture"])
+
+    table = frame_of(spark, [(i, m.to_json()) for i, m in enumerate(starts)], "start int, mixture string")
+    rows = table.repartitionByRange(len(starts), "start").mapInArrow(task, "start int, mixture string").collect()
+    shared.unpersist()
+    return [Mixture.from_json(r["mixture"]) for r in sorted(rows)]
 
 
 def fit_mixture(
@@ -210,17 +209,24 @@ def fit_mixture(
     reg: float = S.MIXTURE_REG,
     tolerance: float = TOLERANCE,
     max_iterations: int = MAX_ITERATIONS,
+    core: Coreset | None = None,
 ) -> MixtureFit:
-    """EM from every start over ``df`` (keep it cached); the best final likelihood wins."""
-    step = _Expectation(starts[0].features, starts[0].k)
+    """EM from every start over ``df`` (keep it cached); the best final likelihood wins.
+
+    With ``core`` the starts settle on it first. All rows decide when a restart has settled
+    and which one wins.
+    """
+    features = starts[0].features
+    if core is not None:
+        starts = settled_starts(df, core, starts, reg, tolerance, max_iterations)
     open_runs = dict(enumerate(starts))
     last = {r: -math.inf for r in open_runs}
     done: dict[int, MixtureFit] = {}
     for iteration in range(1, max_iterations + 1):
-        sums = step.run(df, open_runs)
+        sums = moment_sums(df, features, {r: soft_shares(m) for r, m in open_runs.items()})
         for r in list(open_runs):
-            mean_ll = sums[r]["ll"] / sums[r]["rows"]
-            mixture = maximise(sums[r], step.features, step.k, reg)
+            mean_ll = sums[r].value / sums[r].rows
+            mixture = maximise(sums[r], features, reg)
             settled = abs(mean_ll - last[r]) < tolerance
             if settled or iteration == max_iterations:
                 done[r] = MixtureFit(mixture, mean_ll, iteration, settled)

@@ -17,7 +17,7 @@ from cohortix.operators.cluster_scores import cluster_scores
 from cohortix.operators.mixture import (
     MixtureFit,
     fit_mixture,
-    hard_start,
+    hard_starts,
     information_criteria,
     soft_assign,
 )
@@ -25,23 +25,23 @@ from cohortix.plans.settings import Settings
 from cohortix.session import frame_of, held, sized
 from cohortix.sources.sinks import records, write_document, write_report, write_table
 
-EM_ROWS_PER_TASK = 10_000
 SCALED = tuple(clean.scaled_name(c) for c in S.CLUSTER_FEATURES)
 
 
-def fit_clusters(table: DataFrame, settings: Settings) -> tuple[kmeans.KMeansModel, MixtureFit]:
+def fit_clusters(table: DataFrame, settings: Settings) -> tuple[kmeans.KMeansFit, MixtureFit]:
     """K-Means and mixture over the scaled features; the mixture starts from the restarts."""
-    with held(sized(kmeans.with_vector(table.select(S.ID, *SCALED), SCALED), S.ID, EM_ROWS_PER_TASK)) as vectors:
-        models = kmeans.restarts(vectors, settings.clusters, settings.kmeans_restarts, settings.seed)
-        starts = [hard_start(vectors, m, SCALED, S.MIXTURE_REG)
-                  for m in models[:settings.mixture_restarts]]
-        return min(models, key=kmeans.cost), fit_mixture(vectors, starts)
+    with held(sized(table.select(S.ID, *SCALED), S.ID, kmeans.FIT_ROWS_PER_TASK)) as rows:
+        core = kmeans.coreset(rows, SCALED, seed=settings.seed)
+        jobs = [(settings.clusters, s) for s in range(settings.seed, settings.seed + settings.kmeans_restarts)]
+        settled = kmeans.restart_centres(rows, core, jobs)
+        best = kmeans.finish(rows, SCALED, jobs, settled, core.variance)[settings.clusters]
+        starts = hard_starts(rows, SCALED, settled[:settings.mixture_restarts], S.MIXTURE_REG)
+        return best, fit_mixture(rows, starts, core=core)
 
 
-def label_clusters(table: DataFrame, best: kmeans.KMeansModel, fit: MixtureFit) -> DataFrame:
+def label_clusters(table: DataFrame, best: kmeans.KMeansFit, fit: MixtureFit) -> DataFrame:
     """Add both hard labels, the mixture confidence and the log density."""
-    centres = [[float(v) for v in c] for c in best.clusterCenters()]
-    hard = kmeans.nearest_centroid(table, SCALED, centres, "kmeans_cluster", "squared_distance")
+    hard = kmeans.nearest_centroid(table, SCALED, best.centres, "kmeans_cluster", "squared_distance")
     return soft_assign(hard, fit.mixture).withColumnsRenamed(
         {"cluster_id": "gmm_cluster", "confidence": "gmm_confidence"})
 
@@ -52,7 +52,7 @@ def segment_customers(raw: DataFrame, out: str, settings: Settings = Settings())
     spark = raw.sparkSession
     doc: dict[str, Any] = {}
     cleaned = clean.run(raw, settings.quantiles)
-    audit = records(clean.audit(cleaned.deduped))[0]
+    audit = cleaned.audited
     doc["raw_rows"], doc["clean_rows"] = audit["rows_in"], audit["rows_out"]
     doc["cleaning_report"] = audit
     filled = clean.impute(cleaned.valid, cleaned.params.medians)
@@ -60,7 +60,9 @@ def segment_customers(raw: DataFrame, out: str, settings: Settings = Settings())
         r["feature"]: {c: r[c] for c in ("low", "high", "n_capped")}
         for r in records(clean.count_capped(filled, cleaned.params.fences))
     }
-    table = write_table(cleaned.table, f"{out}/clean")
+    table, broken = clean.write_checked(cleaned.table, cleaned.params, lambda df: write_table(df, f"{out}/clean"))
+    if any(broken.values()):
+        raise ValueError(f"the cleaned table breaks its conditions: {broken}")
 
     scaled = clean.standardise(table, cleaned.params.means, cleaned.params.stds)
     sweep = kmeans.sweep_k(scaled, SCALED, settings.sweep, settings.kmeans_restarts,
@@ -89,7 +91,7 @@ def segment_customers(raw: DataFrame, out: str, settings: Settings = Settings())
     write_report(prof, f"{out}/cluster_profile")
     doc["profile"] = records(prof)
     doc["cluster_to_segment"] = names
-    centres = [[float(v) for v in c] for c in best.clusterCenters()]
+    centres = [list(c) for c in best.centres]
     _write_state(spark, out, cleaned.params, fit, names, centres)
     doc["segmentation_seconds"] = round(time.time() - started, 1)
     write_document(spark, doc, f"{out}/segmentation_metrics")

@@ -18,6 +18,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 BROADCAST_ROWS = 10_000
 ROWS_PER_TASK = 50_000
+FIT_TASKS = 10_000  # beyond so many tasks their rows grow instead
 
 _local_dir: str | None = None
 _shipped: set[str] = set()
@@ -99,7 +100,7 @@ def sized(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFr
     Their number and content depend on the rows alone, so a seeded fit gives the same on any
     cluster.
     """
-    return df.repartition(max(1, -(-df.count() // rows_per_task)), key)
+    return df.repartition(min(FIT_TASKS, max(1, -(-df.count() // rows_per_task))), key)
 
 
 def frame_of(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:

@@ -1,5 +1,8 @@
 import numpy as np
+import pandas as pd
 import pytest
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import VectorAssembler
 
 from cohortix import schema as S
 from cohortix.operators import clean, kmeans, mixture, profile
@@ -146,9 +149,9 @@ def test_elbow_of_published_curves(spark, sweep, k):
 def test_segments_follow_the_revenue_rank(cleaned):
     z = clean.standardise(cleaned.table, cleaned.params.means, cleaned.params.stds)
     features = [clean.scaled_name(c) for c in S.CLUSTER_FEATURES]
-    with held(kmeans.with_vector(z, features)) as vectors:
-        model = kmeans.fit_kmeans(vectors, n=2)
-        labelled = model.setPredictionCol("cluster").transform(z.transform(kmeans.with_vector, features))
+    with held(z) as rows:
+        model = kmeans.fit_kmeans(rows, features, n=2)
+        labelled = kmeans.nearest_centroid(rows, features, model.centres, "cluster")
         prof = profile.cluster_profile(labelled, "cluster").orderBy("revenue_rank").collect()
     assert [r[S.SEGMENT] for r in prof] == [S.SEGMENT_BY_RANK[i] for i in range(1, 7)]
     revenue = [r[S.REVENUE] for r in prof]
@@ -156,15 +159,91 @@ def test_segments_follow_the_revenue_rank(cleaned):
     assert sum(r["n_customers"] for r in prof) == z.count()
 
 
-def test_nearest_centroid_agrees_with_the_model(blobs):
+def test_cost_and_sizes_are_those_of_the_nearest_centres(blobs):
     _, _, df = blobs
-    with held(kmeans.with_vector(df, FEATURES)) as vectors:
-        model = kmeans.fit_kmeans(vectors, k=3, n=2)
-        centres = [[float(v) for v in c] for c in model.clusterCenters()]
-        both = kmeans.nearest_centroid(model.transform(vectors), FEATURES, centres)
-        assert both.where("prediction <> cluster_id").count() == 0
-        total = both.selectExpr("sum(squared_distance)").first()[0]
-        assert total == pytest.approx(kmeans.cost(model))
+    model = kmeans.fit_kmeans(df, FEATURES, k=3, n=2)
+    placed = kmeans.nearest_centroid(df, FEATURES, model.centres)
+    assert placed.selectExpr("sum(squared_distance)").first()[0] == pytest.approx(model.inertia)
+    assert tuple(r[1] for r in sorted(placed.groupBy("cluster_id").count().collect())) == model.sizes
+
+
+def test_restarts_match_a_library_fit(blobs):
+    """Spark's own K-Means from many seeds finds no lower cost."""
+    _, _, df = blobs
+    vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(df)
+    theirs = min(KMeans(k=4, seed=s, maxIter=200, tol=1e-6).fit(vectors).summary.trainingCost for s in range(5))
+    assert kmeans.fit_kmeans(df, FEATURES, k=4).inertia <= theirs * 1.001
+
+
+@pytest.fixture(scope="module")
+def many(spark):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(scale=6, size=(6, 2))
+    label = rng.choice(6, 20_000, p=[0.5, 0.3, 0.1, 0.06, 0.03, 0.01])
+    points = centres[label] + rng.standard_t(4, size=(20_000, 2))
+    rows = pd.DataFrame({"customer_id": np.arange(len(points)), "x": points[:, 0], "y": points[:, 1]})
+    return points, spark.createDataFrame(rows).repartition(4).cache()
+
+
+def test_coreset_estimates_the_cost_of_any_centres(many):
+    points, df = many
+    core = kmeans.coreset(df, FEATURES, rows=2_000)
+    assert 1_800 < len(core.points) < 2_200 and core.weights.sum() == pytest.approx(len(points), rel=0.1)
+    rng = np.random.default_rng(1)
+    for k in (1, 3, 8):
+        centres = rng.normal(scale=6, size=(k, 2))
+        whole = kmeans.squared_distances(points, centres).min(axis=1).sum()
+        drawn = (core.weights * kmeans.squared_distances(core.points, centres).min(axis=1)).sum()
+        assert drawn == pytest.approx(whole, rel=0.1)
+    again = kmeans.coreset(df.repartition(7), FEATURES, rows=2_000)
+    assert (again.points == core.points).all() and again.weights == pytest.approx(core.weights)
+
+
+def test_small_table_is_its_own_coreset(blobs):
+    points, _, df = blobs
+    core = kmeans.coreset(df, FEATURES, rows=800)
+    assert len(core.points) == 400 and (core.weights == 1).all()
+
+
+def test_fit_from_the_coreset_is_within_one_per_cent_of_all_rows(many):
+    _, df = many
+    small = kmeans.fit_kmeans(df, FEATURES, k=6, n=4, core=kmeans.coreset(df, FEATURES, rows=1_000))
+    whole = kmeans.fit_kmeans(df, FEATURES, k=6, n=4, core=kmeans.coreset(df, FEATURES, rows=80_000))
+    assert small.inertia <= 1.01 * whole.inertia and sum(small.sizes) == 20_000
+
+
+def test_more_centres_than_points(spark):
+    df = frame_of(spark, [(1, 0.0, 0.0), (2, 0.0, 0.0), (3, 1.0, 1.0)], "customer_id long, x double, y double")
+    fit = kmeans.fit_kmeans(df, FEATURES, k=3, n=1)
+    assert fit.inertia == 0 and sum(fit.sizes) == 3
+    with pytest.raises(ValueError):
+        kmeans.fit_kmeans(df.where("false"), FEATURES, k=2, n=1)
+
+
+def test_missing_feature_is_an_error(spark):
+    df = frame_of(spark, [(1, 0.0, 0.0), (2, None, 0.0)], "customer_id long, x double, y double")
+    with pytest.raises(Exception, match="feature is missing"):
+        kmeans.fit_kmeans(df, FEATURES, k=1, n=1)
+
+
+def test_mixture_settled_on_the_coreset_first(many):
+    points, df = many
+    starts = mixture.hard_starts(df, FEATURES, [np.array([[0.0, 0.0], [5.0, 5.0], [-5.0, 3.0]]), points[:3]], 1e-5)
+    plain = mixture.fit_mixture(df, starts)
+    quick = mixture.fit_mixture(df, starts, core=kmeans.coreset(df, FEATURES, rows=4_000))
+    assert quick.mean_log_density >= plain.mean_log_density - 0.01 and quick.iterations < plain.iterations
+    _, again = mixture.em_step(df, quick.mixture)
+    assert again >= quick.mean_log_density - 1e-9
+
+
+def test_all_starts_share_one_scan(blobs, spark):
+    points, _, df = blobs
+    centres = [points[:3], points[3:6]]
+    before = mixture.hard_starts(df, FEATURES, centres, 1e-5)
+    for found, c in zip(before, centres):
+        label = kmeans.squared_distances(points, c).argmin(axis=1)
+        assert np.allclose(found.means, [points[label == j].mean(axis=0) for j in range(3)])
+        assert np.allclose(found.weights, [np.mean(label == j) for j in range(3)])
 
 
 def test_unnamed_cluster_is_an_error(spark):
