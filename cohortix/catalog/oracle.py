@@ -577,7 +577,7 @@ def all_oracles() -> dict[str, str]:
             UNION ALL SELECT 'groups', campaign_group, 'pct', round(CAST(pct AS DOUBLE), 4) FROM shares""",
         # what every right fit shows
         "kmeans_fit": f"""{BASE} SELECT {S.N_CLUSTERS} AS clusters, count(*) AS n, true AS sizes_add_up,
-            true AS all_nearest, true AS cost_recomputed, true AS beats_fixed_centres FROM clean""",
+            true AS centres_at_rest, true AS cost_recomputed, true AS beats_fixed_centres FROM clean""",
         "k_sweep": f"""SELECT CAST(unnest(range({min(S.SWEEP_K)}, {max(S.SWEEP_K) + 1})) AS INTEGER) AS k, true AS falls,
             true AS silhouette_in_range, true AS scores_positive""",
         "gmm_fit": f"""{BASE} SELECT {S.N_CLUSTERS} AS components, count(*) AS n, true AS weights_add_up,
@@ -594,4 +594,6 @@ def all_oracles() -> dict[str, str]:
             NOT coalesce(aon >= 90, false) AS no_offer, NOT coalesce(aon >= 90, false) AS no_priority,
             aon IS NOT NULL AS has_probability, true AS floored, true AS flag_follows FROM raw""",
     }
+    out["write_counts"] = f"""{BASE} SELECT * FROM ({out['cleaning_audit'].removeprefix(BASE)}),
+        ({out['clean_violations'].removeprefix(BASE)})"""
     return out

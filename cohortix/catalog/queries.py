@@ -131,19 +131,27 @@ def clean_violations(spark, sf_dir):
     return clean.violations(done.table, done.params)
 
 
+@query
+def write_counts(spark, sf_dir):
+    """The audit and the post-conditions as the writes of the two tables count them."""
+    done = cleaned(spark, sf_dir)
+    _, broken = clean.write_checked(done.table, done.params, lambda df: written(df, "clean"))
+    return clean.one_row(spark, done.audited | broken)
+
+
 # ---- features ---------------------------------------------------------------
 @query
 def learn_fences(spark, sf_dir):
     valid = valid_rows(spark, sf_dir)
-    filled = clean.impute(valid, clean.learn_medians(valid))
-    return rounded(clean.count_capped(filled, clean.learn_fences(filled)), 4, "low", "high")
+    medians, fences = clean.learn_gaps_and_fences(valid)
+    return rounded(clean.count_capped(clean.impute(valid, medians), fences), 4, "low", "high")
 
 
 @query
 def apply_fences(spark, sf_dir):
     valid = valid_rows(spark, sf_dir)
-    filled = clean.impute(valid, clean.learn_medians(valid))
-    capped = clean.apply_fences(filled, clean.learn_fences(filled))
+    medians, fences = clean.learn_gaps_and_fences(valid)
+    capped = clean.apply_fences(clean.impute(valid, medians), fences)
     return rounded(capped.select(S.ID, S.USAGE, S.REVENUE), 4, S.USAGE, S.REVENUE)
 
 
@@ -156,7 +164,7 @@ def ratio_features(spark, sf_dir):
 
 @query
 def dormant_flag(spark, sf_dir):
-    return cleaned(spark, sf_dir).table.select(S.ID, S.DORMANT)
+    return clean.add_ratios(valid_rows(spark, sf_dir)).select(S.ID, S.DORMANT)
 
 
 @query
@@ -172,10 +180,10 @@ def learn_ratio_caps(spark, sf_dir):
 
 @query
 def quantile_search(spark, sf_dir):
-    """Five quantiles per column by the narrowing search, as it runs on columns too large to sort."""
+    """Five quantiles per column by small sketches, as the search runs on columns of many values."""
     table = cleaned(spark, sf_dir).table
     probs = (0.005, 0.25, 0.5, 0.75, 0.995)
-    found = exact_quantiles(table, {c: probs for c in S.CLUSTER_FEATURES}, in_task=16, accuracy=50)
+    found = exact_quantiles(table, {c: probs for c in S.CLUSTER_FEATURES}, k=64)
     rows = [(c, q, v) for c, values in found.items() for q, v in zip(probs, values)]
     return rounded(frame_of(spark, rows, "feature string, q double, value double"), 4, "value")
 
@@ -433,17 +441,17 @@ def best_candidate(spark, sf_dir):
 # ---- sampling ---------------------------------------------------------------
 @query
 def exact_sample(spark, sf_dir):
-    return sample.exact_sample(cleaned(spark, sf_dir).table, 500).select(S.ID)
+    return sample.exact_sample(valid_rows(spark, sf_dir), 500).select(S.ID)
 
 
 @query
 def stratified_split(spark, sf_dir):
-    return sample.stratified_split(cleaned(spark, sf_dir).table).select(S.ID, S.CHURN, "is_test")
+    return sample.stratified_split(valid_rows(spark, sf_dir)).select(S.ID, S.CHURN, "is_test")
 
 
 @query
 def stratified_kfold(spark, sf_dir):
-    return sample.stratified_folds(cleaned(spark, sf_dir).table).select(S.ID, S.CHURN, "fold")
+    return sample.stratified_folds(valid_rows(spark, sf_dir)).select(S.ID, S.CHURN, "fold")
 
 
 def _grouped(spark, sf_dir) -> DataFrame:
@@ -600,20 +608,21 @@ def _scaled(spark, sf_dir) -> DataFrame:
 
 @query
 def kmeans_fit(spark, sf_dir):
-    """Sizes add up, rows lie with their nearest centre, the cost is the recomputed one and beats fixed centres."""
+    """Sizes and cost are those of the nearest centres, which are the means of their rows and beat fixed centres."""
     table = _scaled(spark, sf_dir)
-    with held(sized(kmeans.with_vector(table.select(S.ID, *SCALED), SCALED), S.ID)) as vectors:
-        best = kmeans.fit_kmeans(vectors)
-        centres = [[float(v) for v in c] for c in best.clusterCenters()]
-        placed = kmeans.nearest_centroid(best.transform(vectors), SCALED, centres)
+    with held(sized(table.select(S.ID, *SCALED), S.ID, kmeans.FIT_ROWS_PER_TASK)) as points:
+        best = kmeans.fit_kmeans(points, SCALED)
+        placed = kmeans.nearest_centroid(points, SCALED, best.centres)
         fixed = kmeans.nearest_centroid(placed, SCALED, P.CENTROIDS, "fixed", "fixed_distance")
-        found = fixed.agg(
+        sums = fixed.groupBy("cluster_id").agg(
             F.count("*").alias("n"), F.sum("squared_distance").alias("cost"), F.sum("fixed_distance").alias("fixed"),
-            F.count_if(F.col("prediction") != F.col("cluster_id")).alias("elsewhere")).first()
-        sizes, inertia = best.summary.clusterSizes, kmeans.cost(best)
-    rows = [(len(sizes), found["n"], sum(sizes) == found["n"], found["elsewhere"] == 0,
-             abs(found["cost"] - inertia) <= 1e-6 * inertia, inertia <= found["fixed"])]
-    return frame_of(spark, rows, "clusters int, n long, sizes_add_up boolean, all_nearest boolean, "
+            F.array(*[F.avg(x) for x in SCALED]).alias("mean")).collect()
+    own = {r["cluster_id"]: r for r in sums}
+    shift = sum((m - c) ** 2 for j, centre in enumerate(best.centres) for m, c in zip(own[j]["mean"], centre))
+    n, total = sum(r["n"] for r in sums), sum(r["cost"] for r in sums)
+    rows = [(best.k, n, tuple(own[j]["n"] for j in range(best.k)) == best.sizes, shift <= kmeans.TOTAL_SHIFT * 1.001,
+             abs(total - best.inertia) <= 1e-6 * total, total <= sum(r["fixed"] for r in sums))]
+    return frame_of(spark, rows, "clusters int, n long, sizes_add_up boolean, centres_at_rest boolean, "
                                  "cost_recomputed boolean, beats_fixed_centres boolean")
 
 
@@ -685,7 +694,7 @@ def saved_scorer(spark, sf_dir):
     matrix, features = churn.add_one_hot(segmented, levels), churn.feature_names(levels)
     model = churn.train_churn_models(matrix, features, names=["logistic_regression"])
     path = f"{shared_dir(spark)}/cohortix/artefacts-{uuid.uuid4().hex}"
-    centres = [[float(v) for v in c] for c in best.clusterCenters()]
+    centres = [list(c) for c in best.centres]
     artefacts.save(spark, path, done.params, fit.mixture, names, model.threshold, levels, model.best_model, centres)
     scorer = replace(artefacts.load(spark, path), like_training=True)
     scored = scorer.score(subscribers(spark, sf_dir))

@@ -1,23 +1,31 @@
-"""Exact linear-interpolation quantiles with bounded state.
-
-``percentile`` keeps every distinct value of a column in one task. Here a mergeable
-sketch proposes two pivots around each wanted rank, a counting pass says on which side
-of them the rank lies, and once few rows are left between the bounds the value is read
-from those. Correct for any pivots; the sketch only makes the search short.
+"""Exact linear-interpolation quantiles from mergeable sketches with bounded state.
+
+``percentile`` keeps every distinct value of a column in one task. Here one pass gathers a
+KLL sketch of each column; up to ``k`` values the sketch holds them all and its answers are
+exact. Beyond that the sketch brackets every wanted rank, and the next pass counts what lies
+below the bracket and sketches what lies inside, for all ranks of all columns at once. Inside
+a bracket there are few rows, so the second sketch usually holds them all; otherwise it gives
+the next bracket. Correct for any brackets; the sketches only make the search short.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-IN_TASK = 1_000
+from cohortix.functions.expr import nan_to_null
+from cohortix.session import frame_of
+
+# Values a sketch holds exactly; beyond them its ranks are off by about a ten thousandth.
+SKETCH = 32_768
 ACCURACY = 10_000
 
+Ranks = Mapping[str, Sequence[int]]
+
 
 @dataclass
 class _Search:
@@ -25,14 +33,13 @@ class _Search:
 
     col: str
     rank: int
-    inside: int
-    below: int = 0
     low: float | None = None
     high: float | None = None
+    below: int = 0  # values not above ``low``
     value: float | None = None
 
     @property
-    def bounds(self) -> tuple:
+    def region(self) -> tuple:
         return self.col, self.low, self.high
 
     def within(self) -> Column:
@@ -44,112 +51,116 @@ class _Search:
             ok = ok & (c < F.lit(self.high))
         return ok
 
-    def split(self, a: float, b: float, lt_a: int, le_a: int, lt_b: int, le_b: int) -> None:
-        """Move to the side of the pivots ``a <= b`` that holds the rank."""
-        if self.rank < lt_a:
-            self.high, self.inside = a, lt_a - self.below
-        elif self.rank < le_a:
-            self.value = a
-        elif self.rank < lt_b:
-            self.low, self.high, self.below, self.inside = a, b, le_a, lt_b - le_a
-        elif self.rank < le_b:
-            self.value = b
-        else:
-            self.low, self.inside, self.below = b, self.below + self.inside - le_b, le_b
+
+def bracket(rank: int, inside: int, k: int) -> tuple[int, int]:
+    """Ranks below and above that a sketch's answers for ``rank`` lie between, all but surely."""
+    off = math.ceil(2 * inside / k ** 0.9)
+    return max(0, rank - off), min(inside - 1, rank + off)
 
 
-def _shares(share: float, accuracy: int) -> list[float]:
-    return [max(0.0, share - 2.0 / accuracy), min(1.0, share + 2.0 / accuracy)]
+def sketch_values(spark: SparkSession, wanted: Sequence[tuple[bytes, int, Sequence[int]]]) -> list[list[float]]:
+    """Values at 0-based ranks of sketches of so many values; planned as a local projection, without a job."""
+    own = {bytes(sketch): f"s{i}" for i, (sketch, _, _) in enumerate(wanted)}
+    table = frame_of(spark, [tuple(own)], ", ".join(f"{name} binary" for name in own.values()))
+    asked = [F.kll_sketch_get_quantile_double(own[bytes(sketch)], F.array(*[F.lit((r + 0.5) / n) for r in ranks])).alias(f"v{i}")
+             for i, (sketch, n, ranks) in enumerate(wanted)]
+    return [list(v) for v in table.select(*asked).first()]
 
 
-def exact_quantiles(
-    df: DataFrame,
-    wanted: Mapping[str, Sequence[float]],
-    *,
-    sizes: Mapping[str, int] | None = None,
-    in_task: int = IN_TASK,
-    accuracy: int = ACCURACY,
-) -> dict[str, list[float | None]]:
-    """``{column: [value per probability]}``, ignoring nulls; None for an empty column.
+def order_statistics(
+    df: DataFrame, cols: Sequence[str], ranks: Callable[[Row], Ranks], *, also: Sequence[Column] = (), k: int = SKETCH,
+) -> tuple[dict[tuple[str, int], float], Row]:
+    """Values at 0-based ranks of columns, and the row of sizes and of the aggregates ``also``.
 
-    ``sizes`` are the non-null counts where the caller knows them already.
+    Nulls and NaN are no values. ``ranks`` gets that row (``n_<column>`` are the numbers of values) and returns
+    the wanted ranks by column. Everything is gathered in the same passes, of which there is
+    one up to ``k`` values, and most often one more beyond.
     """
-    df = df.select(*[F.col(c).cast("double").alias(c) for c in wanted])
-    if sizes is None:
-        sizes = column_sizes(df, list(wanted))
-    searches = {
-        (c, rank): _Search(c, rank, sizes[c])
-        for c, probs in wanted.items() if sizes[c]
-        for q in probs
-        for rank in (math.floor((sizes[c] - 1) * q), math.ceil((sizes[c] - 1) * q))
-    }
-    while wide := [s for s in searches.values() if s.value is None and s.inside > in_task]:
-        _narrow(df, wide, accuracy)
-    _read(df, [s for s in searches.values() if s.value is None])
-
-    def interpolate(c: str, q: float) -> float | None:
-        if not sizes[c]:
-            return None
-        h = (sizes[c] - 1) * q
-        low, high = (searches[c, r].value for r in (math.floor(h), math.ceil(h)))
-        return low + (high - low) * (h - math.floor(h))
-
-    return {c: [interpolate(c, q) for q in probs] for c, probs in wanted.items()}
-
-
-def column_sizes(df: DataFrame, cols: Sequence[str]) -> dict[str, int]:
-    return df.agg(*[F.count(c).alias(c) for c in cols]).first().asDict()
-
-
-def _narrow(df: DataFrame, wide: list[_Search], accuracy: int) -> None:
-    groups: dict[tuple, list[_Search]] = {}
-    for s in wide:
-        groups.setdefault(s.bounds, []).append(s)
-    sketches = []
-    for i, members in enumerate(groups.values()):
-        head = members[0]
-        shares = [p for s in members
-                  for p in _shares((s.rank - s.below) / (s.inside - 1), accuracy)]
-        sketches.append(F.percentile_approx(
-            F.when(head.within(), F.col(head.col)), shares, accuracy).alias(f"s{i}"))
-    pivots = df.agg(*sketches).first()
-    probes = [(s, pivots[f"s{i}"][2 * j], pivots[f"s{i}"][2 * j + 1])
-              for i, members in enumerate(groups.values()) for j, s in enumerate(members)]
-    counts = df.agg(*[
-        F.count_if(test).alias(f"{name}{i}")
-        for i, (s, a, b) in enumerate(probes)
-        for name, test in (
-            ("lt_a", F.col(s.col) < F.lit(a)), ("le_a", F.col(s.col) <= F.lit(a)),
-            ("lt_b", F.col(s.col) < F.lit(b)), ("le_b", F.col(s.col) <= F.lit(b)),
-        )
-    ]).first()
+    spark = df.sparkSession
+    sketches = [F.kll_sketch_agg_double(nan_to_null(F.col(c).cast("double")), F.lit(k)).alias(f"s_{c}") for c in cols]
+    first = df.agg(*sketches, *[F.count(nan_to_null(F.col(c).cast("double"))).alias(f"n_{c}") for c in cols], *also).first()
+    searches = [_Search(c, r) for c, wanted in ranks(first).items() for r in sorted(set(wanted)) if 0 <= r < first[f"n_{c}"]]
+    values = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in cols])
+    open_, pivots = searches, _resolved(spark, [(s, first[f"s_{s.col}"], first[f"n_{s.col}"]) for s in searches], k)
+    while open_ := [s for s in open_ if s.value is None]:
+        pivots = _pass(values, [(s, *pivots[s.col, s.rank]) for s in open_], k)
+    return {(s.col, s.rank): s.value for s in searches}, first
+
+
+def _resolved(spark: SparkSession, found: Sequence[tuple[_Search, bytes, int]], k: int) -> dict[tuple, tuple]:
+    """Set values that a sketch of the search's region holds exactly; pivots for the other searches."""
+    wanted = []
+    for s, sketch, inside in found:
+        rank = s.rank - s.below
+        wanted.append((sketch, inside, [rank] if inside <= k else list(bracket(rank, inside, k))))
+    pivots = {}
+    for (s, _, _), values in zip(found, sketch_values(spark, wanted) if wanted else []):
+        if len(values) == 1:
+            s.value = values[0]
+        else:
+            pivots[s.col, s.rank] = tuple(values)
+    return pivots
+
+
+def _pass(df: DataFrame, probes: Sequence[tuple[_Search, float, float]], k: int) -> dict[tuple, tuple]:
+    """Move every search to the side of its pivots that holds the rank, and sketch between them."""
+    spark = df.sparkSession
+    counts, sketches = [], {}
+    for i, (s, a, b) in enumerate(probes):
+        c = F.col(s.col)
+        counts += [F.count_if(test).alias(f"{name}{i}") for name, test in (
+            ("lt_a", c < F.lit(a)), ("le_a", c <= F.lit(a)), ("lt_b", c < F.lit(b)), ("le_b", c <= F.lit(b)))]
+        between = _Search(s.col, s.rank, a, b)
+        sketches.setdefault(between.region, F.kll_sketch_agg_double(F.when(between.within(), c), F.lit(k)).alias(f"s{len(sketches)}"))
+    place = {region: f"s{i}" for i, region in enumerate(sketches)}
+    row = df.agg(*counts, *sketches.values()).first()
+    inside, missed = [], {}
     for i, (s, a, b) in enumerate(probes):
-        s.split(a, b, *[counts[f"{name}{i}"] for name in ("lt_a", "le_a", "lt_b", "le_b")])
-
-
-def _read(df: DataFrame, todo: list[_Search]) -> None:
-    """Read the remaining ranks from the at most ``in_task`` rows each still spans."""
-    if not todo:
-        return
-    groups: dict[tuple, list[_Search]] = {}
-    for s in todo:
-        groups.setdefault(s.bounds, []).append(s)
-    spans = df.agg(*[
-        F.sort_array(F.collect_list(F.when(members[0].within(), F.col(members[0].col)))).alias(f"g{i}")
-        for i, members in enumerate(groups.values())
-    ])
-    wanted = [(i, s) for i, members in enumerate(groups.values()) for s in members]
-    row = spans.select(*[
-        F.get(f"g{i}", F.lit(s.rank - s.below)).alias(f"v{j}") for j, (i, s) in enumerate(wanted)
-    ]).first()
-    for j, (_, s) in enumerate(wanted):
-        s.value = row[f"v{j}"]
-
-
-def approx_quantiles(
-    df: DataFrame, wanted: Mapping[str, Sequence[float]], *,
-    sizes: Mapping[str, int] | None = None, accuracy: int = ACCURACY,
-) -> dict[str, list[float | None]]:
+        lt_a, le_a, lt_b, le_b = (row[f"{name}{i}"] for name in ("lt_a", "le_a", "lt_b", "le_b"))
+        if lt_a <= s.rank < le_a:
+            s.value = a
+        elif lt_b <= s.rank < le_b:
+            s.value = b
+        elif le_a <= s.rank < lt_b:
+            s.low, s.high, s.below = a, b, le_a
+            inside.append((s, row[place[s.col, a, b]], lt_b - le_a))
+        elif s.rank < lt_a:
+            s.high, missed[s.col, s.rank] = a, s
+        else:
+            s.low, s.below, missed[s.col, s.rank] = b, le_b, s
+    pivots = _resolved(spark, inside, k)
+    if missed:  # outside of the bracket: sketch the whole region that is left
+        left = list(missed.values())
+        regions = {s.region: s for s in left}
+        again = df.agg(*[F.kll_sketch_agg_double(F.when(s.within(), F.col(s.col)), F.lit(k)).alias(f"s{i}") for i, s in enumerate(regions.values())],
+                       *[F.count_if(s.within()).alias(f"n{i}") for i, s in enumerate(regions.values())]).first()
+        at = {region: i for i, region in enumerate(regions)}
+        pivots |= _resolved(spark, [(s, again[f"s{at[s.region]}"], again[f"n{at[s.region]}"]) for s in left], k)
+    return pivots
+
+
+def quantile_ranks(n: int, probs: Sequence[float]) -> list[int]:
+    """The ranks between which the quantiles of ``n`` values lie."""
+    return [r for q in probs for r in (math.floor((n - 1) * q), math.ceil((n - 1) * q))] if n else []
+
+
+def interpolated(at: Callable[[int], float], n: int, q: float) -> float | None:
+    """Linear interpolation between neighbouring order statistics; None of no values."""
+    if not n:
+        return None
+    h = (n - 1) * q
+    low, high = at(math.floor(h)), at(math.ceil(h))
+    return low if low == high else low + (high - low) * (h - math.floor(h))
+
+
+def exact_quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]], *, k: int = SKETCH) -> dict[str, list[float | None]]:
+    """``{column: [value per probability]}``, ignoring nulls and NaN; None for an empty column."""
+    found, sizes = order_statistics(
+        df, list(wanted), lambda row: {c: quantile_ranks(row[f"n_{c}"], probs) for c, probs in wanted.items()}, k=k)
+    return {c: [interpolated(lambda r: found[c, r], sizes[f"n_{c}"], q) for q in probs] for c, probs in wanted.items()}
+
+
+def approx_quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]], *, accuracy: int = ACCURACY) -> dict[str, list[float | None]]:
     """One-pass alternative within a rank error of ``1/accuracy``; no interpolation."""
     row = df.agg(
         *[F.percentile_approx(F.col(c).cast("double"), list(probs), accuracy).alias(c)

@@ -8,16 +8,16 @@ unseen rows or a stream.
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from cohortix import schema as S
 from cohortix.functions.expr import clip
-from cohortix.functions.quantile import QUANTILES
-from cohortix.session import written
+from cohortix.functions.quantile import QUANTILES, interpolated, order_statistics, quantile_ranks
+from cohortix.session import frame_of, written
 
 COPIES = "copies"
 
@@ -85,13 +85,8 @@ def valid_rows(deduped: DataFrame) -> DataFrame:
 
 
 # ---- gaps and outliers ------------------------------------------------------
-Sizes = Mapping[str, int] | None
-
-
-def learn_medians(
-    df: DataFrame, cols: Sequence[str] = S.IMPUTED, method: str = "exact", sizes: Sizes = None
-) -> dict[str, float]:
-    found = QUANTILES[method](df, {c: [0.5] for c in cols}, sizes=sizes)
+def learn_medians(df: DataFrame, cols: Sequence[str] = S.IMPUTED, method: str = "exact") -> dict[str, float]:
+    found = QUANTILES[method](df, {c: [0.5] for c in cols})
     return {c: v[0] for c, v in found.items() if v[0] is not None}
 
 
@@ -99,15 +94,54 @@ def impute(df: DataFrame, medians: Mapping[str, float]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(m)) for c, m in medians.items()})
 
 
+QUARTILES = (0.25, 0.75)
+
+
+def fence(q1: float, q3: float, k: float = S.FENCE_K) -> Fence:
+    return Fence(q1 - k * (q3 - q1), q3 + k * (q3 - q1))
+
+
 def learn_fences(
     df: DataFrame, cols: Sequence[str] = S.CAPPED, k: float = S.FENCE_K, method: str = "exact",
-    sizes: Sizes = None,
 ) -> dict[str, Fence]:
-    found = QUANTILES[method](df, {c: [0.25, 0.75] for c in cols}, sizes=sizes)
-    return {
-        c: Fence(q1 - k * (q3 - q1), q3 + k * (q3 - q1))
-        for c, (q1, q3) in found.items() if q1 is not None
-    }
+    found = QUANTILES[method](df, {c: QUARTILES for c in cols})
+    return {c: fence(*q, k) for c, q in found.items() if q[0] is not None}
+
+
+def learn_gaps_and_fences(
+    df: DataFrame, cols: Sequence[str] = S.IMPUTED, k: float = S.FENCE_K,
+) -> tuple[dict[str, float], dict[str, Fence]]:
+    """Medians, and the fences of the columns once their gaps are filled with them, in one search.
+
+    Filling puts as many copies of the median into the order of the values as there are gaps.
+    The value at a rank of the filled column is then the one at that rank of the present values
+    if it is below the median, the one as many ranks lower as there are gaps if that is above
+    it, and else the median: all of them ranks of the column as it is.
+    """
+    def ranks(row: Row) -> dict[str, list[int]]:
+        out = {}
+        for c in cols:
+            n, gaps = row[f"n_{c}"], row["rows"] - row[f"n_{c}"]
+            filled = quantile_ranks(row["rows"], QUARTILES)
+            out[c] = [*quantile_ranks(n, [0.5]), *filled, *[r - gaps for r in filled]]
+        return out
+
+    found, row = order_statistics(df, cols, ranks, also=[F.count(F.lit(1)).alias("rows")])
+    medians, fences = {}, {}
+    for c in cols:
+        n, rows = row[f"n_{c}"], row["rows"]
+        if not n:
+            continue
+        medians[c] = middle = interpolated(lambda r: found[c, r], n, 0.5)
+
+        def filled(rank: int) -> float:
+            below, above = found.get((c, rank)), found.get((c, rank - (rows - n)))
+            if below is not None and below < middle:
+                return below
+            return above if above is not None and above > middle else middle
+
+        fences[c] = fence(*[interpolated(filled, rows, q) for q in QUARTILES], k)
+    return medians, fences
 
 
 def apply_fences(df: DataFrame, fences: Mapping[str, Fence]) -> DataFrame:
@@ -138,11 +172,20 @@ def add_ratios(df: DataFrame) -> DataFrame:
     })
 
 
-def learn_ratio_caps(df: DataFrame, method: str = "exact", sizes: Sizes = None) -> dict[str, float]:
-    found = QUANTILES[method](df, {c: [S.RATIO_CAP_QUANTILE] for c in S.RATIOS}, sizes=sizes)
+def learn_ratio_caps(df: DataFrame, method: str = "exact") -> dict[str, float]:
+    found = QUANTILES[method](df, {c: [S.RATIO_CAP_QUANTILE] for c in S.RATIOS})
     return {c: v[0] for c, v in found.items() if v[0] is not None}
 
 
+def learn_caps_and_scaler(df: DataFrame) -> tuple[dict[str, float], dict, dict]:
+    """Ratio caps, means and standard deviations in one search."""
+    q = S.RATIO_CAP_QUANTILE
+    found, row = order_statistics(
+        df, S.RATIOS, lambda row: {c: quantile_ranks(row[f"n_{c}"], [q]) for c in S.RATIOS}, also=_moments(S.CLUSTER_FEATURES))
+    caps = {c: interpolated(lambda r: found[c, r], row[f"n_{c}"], q) for c in S.RATIOS if row[f"n_{c}"]}
+    return caps, *_scaler(row, S.CLUSTER_FEATURES)
+
+
 def cap_ratios(df: DataFrame, caps: Mapping[str, float]) -> DataFrame:
     return df.withColumns({c: clip(F.col(c), high=v) for c, v in caps.items()})
 
@@ -182,24 +225,25 @@ def complete(df: DataFrame, params: CleaningParams) -> DataFrame:
 
 
 def learn_params(valid: DataFrame, method: str = "exact") -> CleaningParams:
-    """Learn each statistic on the output of the step before it."""
-    present = valid.agg(
-        F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(c) for c in S.IMPUTED]).first().asDict()
-    medians = learn_medians(valid, method=method, sizes=present)
+    """Learn each statistic on the output of the step before it.
+
+    The exact method reads the rows twice up to ``quantile.SKETCH`` of them, and four times up to
+    some hundred million.
+    """
+    if method == "exact":
+        medians, fences = learn_gaps_and_fences(valid)
+        caps, means, stds = learn_caps_and_scaler(add_ratios(apply_fences(impute(valid, medians), fences)))
+        return CleaningParams(medians, fences, caps, means, stds)
+    medians = learn_medians(valid, method=method)
     filled = impute(valid, medians)
-    full = {c: present["rows"] if c in medians else 0 for c in S.CAPPED}
-    fences = learn_fences(filled, method=method, sizes=full)
+    fences = learn_fences(filled, method=method)
     capped = add_ratios(apply_fences(filled, fences))
-    row = capped.agg(*_moments(S.CLUSTER_FEATURES), *[F.count(c).alias(c) for c in S.RATIOS]).first()
-    means, stds = _scaler(row, S.CLUSTER_FEATURES)
-    caps = learn_ratio_caps(capped, method=method, sizes=row.asDict())
-    return CleaningParams(medians, fences, caps, means, stds)
+    return CleaningParams(medians, fences, learn_ratio_caps(capped, method=method), *learn_scaler(capped))
 
 
-def audit(deduped: DataFrame) -> DataFrame:
-    """Every dropped or repaired row counted, in one aggregate over ``drop_copies(.., count=True)``."""
+def _audit() -> list[Column]:
     kept = tenured()
-    return deduped.agg(
+    return [
         F.coalesce(F.sum(COPIES), F.lit(0)).alias("rows_in"),
         F.coalesce(F.sum(F.col(COPIES) - 1), F.lit(0)).alias("dropped_duplicates"),
         F.count_if(~kept).alias("dropped_by_aon_filter"),
@@ -208,7 +252,12 @@ def audit(deduped: DataFrame) -> DataFrame:
         .alias("dou_clipped_to_0_30"),
         *[F.count_if(kept & F.col(c).isNull()).alias(f"imputed_{c}") for c in S.IMPUTED],
         F.count_if(kept).alias("rows_out"),
-    )
+    ]
+
+
+def audit(deduped: DataFrame) -> DataFrame:
+    """Every dropped or repaired row counted, in one aggregate over ``drop_copies(.., count=True)``."""
+    return deduped.agg(*_audit())
 
 
 @dataclass(frozen=True)
@@ -217,14 +266,28 @@ class Cleaned:
     params: CleaningParams
     valid: DataFrame
     deduped: DataFrame
+    audited: dict[str, int]  # the audit, counted by the write of the deduplicated rows
 
 
 def run(raw: DataFrame, method: str = "exact") -> Cleaned:
-    """Clean ``raw``. The deduplicated rows are written once; every later step is narrow."""
-    deduped = written(drop_copies(raw, count=True), "deduped")
+    """Clean ``raw``. The deduplicated rows are written and counted once; every later step is narrow."""
+    counted = Observation()
+    deduped = written(drop_copies(raw, count=True).observe(counted, *_audit()), "deduped")
     valid = valid_rows(deduped)
     params = learn_params(valid, method)
-    return Cleaned(complete(valid, params), params, valid, deduped)
+    return Cleaned(complete(valid, params), params, valid, deduped, counted.get)
+
+
+def one_row(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
+    """Observed counts as a table of one row."""
+    return frame_of(spark, [tuple(counts.values())], ", ".join(f"{c} long" for c in counts))
+
+
+def write_checked(clean: DataFrame, params: CleaningParams, write: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, dict[str, int]]:
+    """Write the cleaned table by ``write``; the counts of ``violations`` come from the write itself."""
+    counted = Observation()
+    table = write(clean.observe(counted, *_violations(params)))
+    return table, counted.get
 
 
 # ---- data quality -----------------------------------------------------------
@@ -249,12 +312,11 @@ def quality_profile(raw: DataFrame, subset: Sequence[str] = (S.REVENUE, S.DOU, S
     )
 
 
-def violations(clean: DataFrame, params: CleaningParams) -> DataFrame:
-    """Post-conditions of the cleaning; every count must be 0."""
+def _violations(params: CleaningParams) -> list[Column]:
     def broken(c: str):
         return F.col(c).isNull() | F.isnan(c) | (F.abs(F.col(c)) == float("inf"))
 
-    out = [
+    return [
         F.count_if(~tenured()).alias("short_tenure"),
         *[F.count_if(F.col(c).isNull()).alias(f"missing_{c}") for c in S.CLUSTER_FEATURES],
         F.count_if(F.col(S.REVENUE) < 0).alias("negative_revenue"),
@@ -263,4 +325,8 @@ def violations(clean: DataFrame, params: CleaningParams) -> DataFrame:
           for c, f in params.fences.items()],
         *[F.count_if(broken(c)).alias(f"not_finite_{c}") for c in S.RATIOS],
     ]
-    return clean.agg(*out)
+
+
+def violations(clean: DataFrame, params: CleaningParams) -> DataFrame:
+    """Post-conditions of the cleaning; every count must be 0."""
+    return clean.agg(*_violations(params))

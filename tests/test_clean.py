@@ -1,9 +1,12 @@
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from cohortix import schema as S
 from cohortix.operators import clean
 from cohortix.operators.clean import CleaningParams
+from cohortix.session import written
 
 COLUMNS = "customer_id long, average_data_usage double, average_revenue double, average_dou double, " \
           "pack_flag int, aon int, churn int"
@@ -84,3 +87,31 @@ def test_params_survive_json(cleaned):
 
 def test_approximate_method_runs(raw):
     assert clean.run(raw, "approx").params.fences[S.USAGE].high > 0
+
+
+def test_audit_and_conditions_come_from_the_writes(raw):
+    done = clean.run(raw)
+    assert done.audited == clean.audit(done.deduped).first().asDict()
+    _, broken = clean.write_checked(done.table, done.params, lambda df: written(df, "clean"))
+    assert broken == clean.violations(done.table, done.params).first().asDict() and not any(broken.values())
+    worse = done.table.withColumn(S.REVENUE, F.col(S.REVENUE) - 20)
+    _, broken = clean.write_checked(worse, done.params, lambda df: written(df, "worse"))
+    assert broken["negative_revenue"] > 0
+
+
+@pytest.mark.parametrize("gaps", [0, 1, 7, 40, 300])
+def test_fences_of_the_filled_column_from_ranks_of_the_present_values(spark, gaps):
+    rng = np.random.default_rng(gaps)
+    for values in (rng.normal(size=101), rng.integers(0, 5, 80).astype(float)):
+        held = pd.DataFrame({S.USAGE: np.concatenate([values, np.full(gaps, np.nan)])})
+        df = spark.createDataFrame(held)
+        medians, fences = clean.learn_gaps_and_fences(df, [S.USAGE])
+        filled = held[S.USAGE].fillna(held[S.USAGE].median())
+        q1, q3 = filled.quantile([0.25, 0.75])
+        assert medians[S.USAGE] == pytest.approx(held[S.USAGE].median())
+        assert (fences[S.USAGE].low, fences[S.USAGE].high) == pytest.approx((q1 - 3 * (q3 - q1), q3 + 3 * (q3 - q1)))
+
+
+def test_nothing_present_gives_no_median(spark):
+    df = spark.range(5).selectExpr(f"cast(null as double) {S.USAGE}")
+    assert clean.learn_gaps_and_fences(df, [S.USAGE]) == ({}, {})
