@@ -579,15 +579,19 @@ def all_oracles() -> dict[str, str]:
         "kmeans_fit": f"""{BASE} SELECT {S.N_CLUSTERS} AS clusters, count(*) AS n, true AS sizes_add_up,
             true AS centres_at_rest, true AS cost_recomputed, true AS beats_fixed_centres FROM clean""",
         "k_sweep": f"""SELECT CAST(unnest(range({min(S.SWEEP_K)}, {max(S.SWEEP_K) + 1})) AS INTEGER) AS k, true AS falls,
-            true AS silhouette_in_range, true AS scores_positive""",
+            true AS beats_bands, true AS calinski_follows, true AS silhouette_in_range, true AS davies_positive""",
         "gmm_fit": f"""{BASE} SELECT {S.N_CLUSTERS} AS components, count(*) AS n, true AS weights_add_up,
             true AS confidences_in_range, true AS density_recomputed, true AS beats_fixed_mixture FROM clean""",
-        "churn_fit_select": f"""{BASE} SELECT name, true AS in_range, true AS best_selected,
+        "churn_fit_select": f"""{BASE} SELECT name, true AS fitted, true AS area_recomputed, true AS best_selected,
             CAST((SELECT ceil(count(*) * 2e-1) FROM clean) AS BIGINT) AS test_rows
             FROM (VALUES ('logistic_regression'), ('random_forest'), ('hist_gradient_boosting')) AS t(name)""",
         "churn_score_base": f"{BASE} SELECT customer_id, true AS scored, true AS flag_follows FROM clean",
-        "churn_cv": f"SELECT CAST({S.CV_FOLDS} AS BIGINT) AS folds, true AS in_range, true AS mean_of_folds",
-        "importance_topk": "SELECT 10 AS n, true AS known, true AS falling, true AS shares",
+        "churn_cv": f"""{BASE}, cvf AS (SELECT churn, CAST(ntile(5) OVER (PARTITION BY churn ORDER BY {KEY}, customer_id) - 1
+                AS INTEGER) AS fold FROM clean)
+            SELECT fold, count(*) AS n, CAST(sum(churn) AS BIGINT) AS positives, true AS area_recomputed, true AS f1_recomputed,
+            true AS fitted FROM cvf GROUP BY fold""",
+        "boosting_rounds": "SELECT true AS lowest_chosen, true AS patience_used, true AS loss_recomputed, true AS fitted",
+        "importance_topk": "SELECT 10 AS n, true AS shares_recomputed, true AS greatest_first, true AS fitted",
         "surrogate_fit": f"""{LAB} SELECT CAST(ceil(count(*) * 2e-1) AS BIGINT) AS test_rows,
             true AS beats_largest_segment FROM lab""",
         "saved_scorer": f"""{BASE} SELECT customer_id, coalesce(aon >= 90, false) AS segmented,

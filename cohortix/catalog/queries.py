@@ -6,14 +6,15 @@ import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortix import schema as S
 from cohortix.catalog import standins as P
 from cohortix.functions.expr import constant_map
 from cohortix.functions.quantile import exact_quantiles
-from cohortix.operators import campaign, churn, clean, curves, kmeans, mixture, profile, sample, score
+from cohortix.operators import campaign, churn, clean, curves, fit_checks, kmeans, mixture, profile, sample, score
 from cohortix.operators.cluster_scores import centroid_scores, cluster_scores, silhouettes, squared_silhouettes
 from cohortix.plans.segmentation import SCALED, fit_clusters, label_clusters
 from cohortix.plans.settings import Settings
@@ -628,13 +629,21 @@ def kmeans_fit(spark, sf_dir):
 
 @query
 def k_sweep(spark, sf_dir):
-    """The curve falls with k and the scores keep to their ranges."""
-    sweep = written(kmeans.sweep_k(_scaled(spark, sf_dir), SCALED), "sweep")
+    """The curve falls with k and beats k equal bands of usage; Calinski-Harabasz is what the inertia implies."""
+    table = _scaled(spark, sf_dir)
+    sweep = written(kmeans.sweep_k(table, SCALED), "sweep")
     before = sweep.select((F.col("k") + 1).alias("k"), F.col("inertia").alias("before"))
-    return sweep.join(before, "k", "left").select(
+    band = F.least(F.floor(F.col(S.USAGE) * F.col("k") / 110.0), F.col("k").cast("long") - 1)
+    cells = table.select(S.USAGE, *SCALED, F.explode(F.sequence(F.lit(min(S.SWEEP_K)), F.lit(max(S.SWEEP_K)))).alias("k")).groupBy(
+        "k", band.alias("band")).agg(F.count("*").alias("n"), *[F.var_pop(c).alias(c) for c in SCALED])
+    bands = cells.groupBy("k").agg(F.sum(F.col("n") * sum((F.col(c) for c in SCALED[1:]), F.col(SCALED[0]))).alias("bands"))
+    n, spread = table.agg(F.count("*"), F.count("*") * sum((F.var_pop(c) for c in SCALED[1:]), F.var_pop(SCALED[0]))).first()
+    implied = (spread - F.col("inertia")) * (n - F.col("k")) / (F.col("inertia") * (F.col("k") - 1))
+    return sweep.join(before, "k", "left").join(bands, "k").select(
         "k", F.coalesce(F.col("inertia") < F.col("before"), F.lit(True)).alias("falls"),
-        F.abs("silhouette").between(0, 1).alias("silhouette_in_range"),
-        ((F.col("davies_bouldin") > 0) & (F.col("calinski_harabasz") > 0)).alias("scores_positive"))
+        (F.col("inertia") < F.col("bands")).alias("beats_bands"),
+        (F.abs(F.col("calinski_harabasz") / implied - 1) < 0.01).alias("calinski_follows"),
+        F.abs("silhouette").between(0, 1).alias("silhouette_in_range"), (F.col("davies_bouldin") > 0).alias("davies_positive"))
 
 
 @query
@@ -659,15 +668,90 @@ def _matrix(spark, sf_dir) -> tuple[DataFrame, list[str]]:
     return churn.add_one_hot(table, levels), churn.feature_names(levels)
 
 
+def _training_rows(matrix: DataFrame, fit: churn.ChurnFit) -> DataFrame:
+    return matrix.join(fit.scored_test.select(S.ID), S.ID, "left_anti")
+
+
+def _area(model, features: list[str], rows: DataFrame) -> float:
+    """Area of the model's scores under the labels of ``rows``."""
+    whole = PipelineModel([churn.assembler(features, "keep"), model])
+    return curves.curve_summary(curves.score_ladder(churn.with_probability(whole, rows), PROB, S.CHURN)).first()["roc_auc"]
+
+
+def _repeated(spark, model, nodes: DataFrame, features: list[str], rows: DataFrame) -> bool:
+    """Whether the saved nodes, walked by some rows, give the model's probabilities."""
+    some = rows.where(F.col(S.ID) % 100 == 0)
+    depth = max(tree.depth for tree in model.trees)
+    by_nodes = fit_checks.walked(some, S.ID, model, nodes, features, depth, "walked")
+    by_model = churn.with_probability(PipelineModel([churn.assembler(features, "keep"), model]), some)
+    both = by_model.join(by_nodes, S.ID, "full").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.abs(F.col("walked") - F.col(PROB)) < 1e-9).alias("same")).first()
+    return both["n"] == both["same"] > 0
+
+
+def fit_facts(spark, matrix: DataFrame, features: list[str], fit: churn.ChurnFit) -> list[tuple]:
+    """Per candidate what only a right fit to the labels of ``matrix`` shows, and the number of its test rows."""
+    train = _training_rows(matrix, fit)
+    test = matrix.join(fit.scored_test.select(S.ID), S.ID, "left_semi")
+    weight, n, test_rows = churn.balanced_weight(churn.class_sizes(train)), train.count(), fit.scored_test.count()
+    top = max(r["auc"] for r in fit.comparison)
+
+    def facts(r: dict) -> tuple:
+        model = fit.models[r["name"]]
+        if r["name"] == "logistic_regression":
+            fitted = fit_checks.logistic_gradient(train, model, features, S.CHURN, weight, 1.0 / n) < 1e-4
+        else:
+            nodes = fit_checks.node_table(spark, model)
+            # labels without any pattern still are learnt in part by rows that train the trees
+            fitted = _repeated(spark, model, nodes, features, matrix) and _area(model, features, train) > 0.55
+        return (r["name"], fitted, abs(_area(model, features, test) - r["auc"]) < 1e-9,
+                (r["name"] == fit.best_name) <= (r["auc"] == top), test_rows)
+
+    return kmeans.overlapped(matrix, facts, fit.comparison)
+
+
 @query
 def churn_fit_select(spark, sf_dir):
-    """Per candidate: metrics in range, and the best area is the one selected."""
+    """Per candidate: it fits the labels, its area is that of its test rows, and the best one is selected.
+
+    The penalised gradient of the regression vanishes; the saved nodes of the ensembles give
+    their probabilities, which order the training rows.
+    """
     matrix, features = _matrix(spark, sf_dir)
-    fit = churn.train_churn_models(matrix, features)
-    top = max(r["auc"] for r in fit.comparison)
-    rows = [(r["name"], all(0 <= r[c] <= 1 for c in ("auc", "accuracy", "f1", "best_threshold")),
-             (r["name"] == fit.best_name) <= (r["auc"] == top), fit.scored_test.count()) for r in fit.comparison]
-    return frame_of(spark, rows, "name string, in_range boolean, best_selected boolean, test_rows long")
+    rows = fit_facts(spark, matrix, features, churn.train_churn_models(matrix, features))
+    return frame_of(spark, rows, "name string, fitted boolean, area_recomputed boolean, best_selected boolean, test_rows long")
+
+
+def boosting_facts(spark, matrix: DataFrame, features: list[str], found: churn.Boosting, sizes: churn.TreeSizes) -> tuple:
+    """What the losses of the rounds and the chosen one show, from the saved nodes and the validation rows."""
+    check = churn.training_table(matrix, features, [*features], sizes.boost_validation).where(churn.VALIDATION)
+    nodes = fit_checks.node_table(spark, found.model)
+    depth = max(tree.depth for tree in found.model.trees)
+    p = F.col("p")
+    walked = fit_checks.walked(check, S.ID, found.model, nodes, features, depth, "p").join(check.select(S.ID, S.CHURN), S.ID)
+    loss = walked.agg(F.avg(-2 * F.when(F.col(S.CHURN) == 1, F.ln(p)).otherwise(F.ln(1 - p)))).first()[0]
+    losses = frame_of(spark, list(enumerate(found.losses, 1)), "round int, loss double")
+    ahead = Window.orderBy("round").rowsBetween(Window.unboundedPreceding, -1)  # as many rows as rounds
+    improved = losses.withColumn("lowest", F.min("loss").over(ahead)).where(
+        F.col("lowest").isNull() | (F.col("loss") < F.col("lowest") - sizes.boost_tolerance)).select("round")
+    rounds = [r[0] for r in improved.orderBy("round").collect()]
+    gaps = [b - a for a, b in zip(rounds, rounds[1:])]
+    # the round after which no better one comes within the patience
+    chosen = next((a for a, gap in zip(rounds, gaps) if gap > sizes.boost_patience), rounds[-1])
+    enough = len(found.losses) - chosen >= sizes.boost_patience or len(found.losses) == sizes.boost_rounds
+    return (found.model.getNumTrees == found.rounds == chosen, enough, abs(loss - found.losses[chosen - 1]) < 1e-9,
+            _area(found.model, features, matrix.join(check.select(S.ID), S.ID, "left_anti")) > 0.55)
+
+
+@query
+def boosting_rounds(spark, sf_dir):
+    """Boosting keeps the rounds up to the lowest validation loss that its patience lets it see."""
+    matrix, features = _matrix(spark, sf_dir)
+    sizes = churn.TreeSizes()
+    with held(sized(churn.training_table(matrix, features, validation=sizes.boost_validation), S.ID, churn.TREE_ROWS_PER_TASK)) as train:
+        found = churn.fit_boosting(churn.candidates(train.count(), sizes)["hist_gradient_boosting"], train, sizes)
+    row = boosting_facts(spark, matrix, features, found, sizes)
+    return frame_of(spark, [row], "lowest_chosen boolean, patience_used boolean, loss_recomputed boolean, fitted boolean")
 
 
 @query
@@ -708,26 +792,43 @@ def saved_scorer(spark, sf_dir):
 
 @query
 def churn_cv(spark, sf_dir):
-    """Five folds with areas and F1 in range, and the summary is that of the folds."""
+    """Per fold its rows and positives; its metrics are those of rows the model did not see, and it fits those it saw."""
     matrix, features = _matrix(spark, sf_dir)
-    folds = written(churn.cross_validate(matrix, features, "random_forest"), "folds")
-    summary = churn.cv_summary(folds).first()
-    found = folds.agg(F.count("*").alias("folds"), F.min(F.least("roc_auc", "f1")).alias("low"),
-                      F.max(F.greatest("roc_auc", "f1")).alias("high"), F.avg("roc_auc").alias("mean")).first()
-    rows = [(found["folds"], found["low"] >= 0 and found["high"] <= 1, abs(found["mean"] - summary["roc_auc_mean"]) < 1e-12)]
-    return frame_of(spark, rows, "folds long, in_range boolean, mean_of_folds boolean")
+    path = f"{shared_dir(spark)}/cohortix/cv-{uuid.uuid4().hex}"
+    folds = {r["fold"]: r for r in churn.cross_validate(matrix, features, "random_forest", scores=path).collect()}
+    truth = matrix.select(S.ID, S.CHURN)
+    return frame_of(spark, fold_facts(spark, path, folds, truth),
+                    "fold int, n long, positives long, area_recomputed boolean, f1_recomputed boolean, fitted boolean")
+
+
+def fold_facts(spark, path: str, folds: dict, truth: DataFrame) -> list[tuple]:
+    def facts(fold: int) -> tuple:
+        def scored(part: str) -> DataFrame:
+            return spark.read.parquet(f"{path}/{part}/{fold}").drop(S.CHURN).join(truth, S.ID)
+
+        found = scored("unseen")
+        area = curves.curve_summary(curves.score_ladder(found, PROB, S.CHURN)).first()["roc_auc"]
+        seen = curves.curve_summary(curves.score_ladder(scored("seen"), PROB, S.CHURN)).first()["roc_auc"]
+        flag, y = F.col(PROB) >= 0.5, F.col(S.CHURN) == 1
+        n, positives, hits, flags = found.agg(F.count("*"), F.count_if(y), F.count_if(y & flag), F.count_if(flag)).first()
+        f1 = 2 * hits / (positives + flags) if positives + flags else 0.0
+        return fold, n, positives, abs(area - folds[fold]["roc_auc"]) < 1e-9, abs(f1 - folds[fold]["f1"]) < 1e-9, seen > 0.6
+
+    return kmeans.overlapped(truth, facts, folds)
 
 
 @query
 def importance_topk(spark, sf_dir):
-    """Ten known features, most important first, shares of one."""
+    """The ten most important features are those of the greatest shares in the gain of the saved nodes."""
     matrix, features = _matrix(spark, sf_dir)
     fit = churn.train_churn_models(matrix, features, names=["random_forest"])
-    found = churn.importance(fit.models["random_forest"], features, 10)
-    shares = [v for _, v in found]
-    rows = [(len(found), all(f in features for f, _ in found), shares == sorted(shares, reverse=True),
-             0 < sum(shares) <= 1 + 1e-9)]
-    return frame_of(spark, rows, "n int, known boolean, falling boolean, shares boolean")
+    model = fit.models["random_forest"]
+    found = churn.importance(model, features, 10)
+    shares = dict(zip(features, fit_checks.importances(fit_checks.node_table(spark, model), len(features))))
+    order = sorted(shares.values(), reverse=True)
+    rows = [(len(found), all(abs(shares[f] - v) < 1e-9 for f, v in found),
+             all(abs(v - o) < 1e-9 for (_, v), o in zip(found, order)), _area(model, features, _training_rows(matrix, fit)) > 0.6)]
+    return frame_of(spark, rows, "n int, shares_recomputed boolean, greatest_first boolean, fitted boolean")
 
 
 @query

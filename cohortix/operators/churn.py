@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml import Model, Pipeline, PipelineModel
+from pyspark import SparkContext
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
+    GBTClassificationModel,
     GBTClassifier,
     LogisticRegression,
     RandomForestClassifier,
@@ -33,6 +35,9 @@ VECTOR = "churn_features"
 PROBABILITY = "churn_probability"
 VALIDATION = "is_validation"
 TREE_ROWS_PER_TASK = 2_000
+MOST_LEVELS = 1_000
+# Boosting is fitted for so many rounds first, then for twice as many while its patience lasts.
+FIRST_ROUNDS = 25
 
 
 @dataclass(frozen=True)
@@ -53,6 +58,9 @@ class TreeSizes:
     boost_bins: int = 255
     # Share of the training rows on which boosting decides when to stop; 0 runs all rounds.
     boost_validation: float = 0.1
+    # Boosting stops after so many rounds without a lower validation loss and keeps those up to the lowest.
+    boost_patience: int = 10
+    boost_tolerance: float = 1e-7
     # Statistics one task may hold per pass: deep levels need fewer passes over the rows.
     memory_mb: int = 512
     seed: int = S.SEED
@@ -76,12 +84,20 @@ def add_one_hot(df: DataFrame, segments: Sequence[str]) -> DataFrame:
     })
 
 
+def _few(df: DataFrame, what: str) -> list:
+    """The rows of a table of distinct values; more than ``MOST_LEVELS`` mean a wrong column."""
+    rows = df.limit(MOST_LEVELS + 1).collect()
+    if len(rows) > MOST_LEVELS:
+        raise ValueError(f"more than {MOST_LEVELS} different values of {what}")
+    return rows
+
+
 def segment_levels(df: DataFrame) -> list[str]:
-    return [r[0] for r in df.select(S.SEGMENT).distinct().orderBy(S.SEGMENT).collect()]
+    return sorted(r[0] for r in _few(df.select(S.SEGMENT).distinct(), S.SEGMENT))
 
 
 def class_sizes(df: DataFrame) -> dict[int, int]:
-    return {r[0]: r[1] for r in df.groupBy(S.CHURN).agg(F.count(F.lit(1))).collect()}
+    return {r[0]: r[1] for r in _few(df.groupBy(S.CHURN).agg(F.count(F.lit(1))), S.CHURN)}
 
 
 def balanced_weight(sizes: dict[int, int]) -> Column:
@@ -104,9 +120,7 @@ def candidates(rows: int, sizes: TreeSizes) -> dict[str, object]:
     boost = GBTClassifier(
         maxIter=sizes.boost_rounds, maxDepth=sizes.boost_depth, stepSize=sizes.boost_rate,
         maxBins=sizes.boost_bins, minInstancesPerNode=sizes.boost_leaf, maxMemoryInMB=sizes.memory_mb,
-        validationTol=1e-7, seed=sizes.seed, **common)
-    if sizes.boost_validation > 0:
-        boost = boost.setValidationIndicatorCol(VALIDATION)
+        seed=sizes.seed, **common)
     return {
         "logistic_regression": LogisticRegression(
             weightCol=WEIGHT, maxIter=2000, regParam=1.0 / rows, **common),
@@ -118,6 +132,75 @@ def candidates(rows: int, sizes: TreeSizes) -> dict[str, object]:
     }
 
 
+def chosen_round(losses: Sequence[float], patience: int, tolerance: float) -> tuple[int, bool]:
+    """Number of rounds up to the lowest loss that ``patience`` allows to see, and whether it ran out."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best] - tolerance:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+@dataclass(frozen=True)
+class Boosting:
+    """The kept ensemble, and the validation loss after every fitted round."""
+
+    model: GBTClassificationModel
+    losses: list[float]
+    rounds: int
+
+
+def fit_boosting(boost: GBTClassifier, train: DataFrame, sizes: TreeSizes) -> Boosting:
+    """Boosting on the rows not marked for validation, which then choose the number of rounds.
+
+    Rounds are seeded and do not depend on later ones, so a longer fit begins with the
+    rounds of a shorter one: rounds are doubled until the patience runs out.
+    """
+    if not sizes.boost_validation:
+        return Boosting(boost.fit(train), [], sizes.boost_rounds)
+    inner, check = train.where(~F.col(VALIDATION)), train.where(VALIDATION)
+    rounds = min(FIRST_ROUNDS, sizes.boost_rounds)
+    while True:
+        model = boost.copy({boost.maxIter: rounds}).fit(inner)
+        losses = model.evaluateEachIteration(check)
+        kept, out = chosen_round(losses, sizes.boost_patience, sizes.boost_tolerance)
+        if out or rounds >= sizes.boost_rounds:
+            return Boosting(first_trees(model, kept), losses, kept)
+        rounds = min(2 * rounds, sizes.boost_rounds)
+
+
+def first_trees(model: GBTClassificationModel, n: int) -> GBTClassificationModel:
+    """The ensemble of the first ``n`` trees."""
+    whole, context = model._java_obj, SparkContext._active_spark_context
+    trees, weights = whole.trees(), whole.treeWeights()
+    kept = context._gateway.new_array(context._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    shares = context._gateway.new_array(context._jvm.double, n)
+    for i in range(n):
+        kept[i], shares[i] = trees[i], weights[i]
+    cut = context._jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+        whole.uid(), kept, shares, whole.numFeatures(), whole.numClasses())
+    return GBTClassificationModel(cut.copy(whole.extractParamMap()))
+
+
+def without_summary(model: Model) -> Model:
+    """Drop the training summary, which holds the session and the training rows, from a model or pipeline.
+
+    Spark sends a model with its summary to the tasks that apply it.
+    """
+    for part in getattr(model, "stages", [model]):
+        if getattr(part, "hasSummary", False):
+            part._java_obj.setSummary(SparkContext._active_spark_context._jvm.scala.Option.empty())
+    return model
+
+
+def fit_candidate(estimator: Estimator, train: DataFrame, sizes: TreeSizes) -> Model:
+    if isinstance(estimator, GBTClassifier):
+        return fit_boosting(estimator, train, sizes).model
+    return without_summary(estimator.fit(train))
+
+
 def assembler(features: Sequence[str], invalid: str = "error") -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=VECTOR, handleInvalid=invalid)
 
@@ -170,13 +253,14 @@ def train_churn_models(
     with held(sized(train_rows, S.ID, TREE_ROWS_PER_TASK)) as train:
         test = assembler(features).transform(split.where("is_test"))
         with held(sized(test.select(S.ID, S.CHURN, S.REVENUE, VECTOR), S.ID)) as held_test:
-            fits = {}
-            for name, estimator in candidates(train.count(), sizes).items():
-                if names is None or name in names:
-                    fits[name] = estimator.fit(train)
-            comparison = [
-                compare(name, with_probability(model, held_test)) for name, model in fits.items()
-            ]
+            wanted = {n: e for n, e in candidates(train.count(), sizes).items() if names is None or n in names}
+
+            def one(name: str) -> tuple[Model, dict]:
+                model = fit_candidate(wanted[name], train, sizes)
+                return model, compare(name, with_probability(model, held_test))
+
+            done = dict(zip(wanted, overlapped(train, one, wanted)))
+            fits, comparison = {n: model for n, (model, _) in done.items()}, [row for _, row in done.values()]
             best = max(comparison, key=lambda r: r["auc"])
     model = fits[best["name"]]
     scored = with_probability(model, test).select(S.ID, S.CHURN, S.REVENUE, PROBABILITY)
@@ -196,18 +280,27 @@ def compare(name: str, scored: DataFrame) -> dict:
 
 def cross_validate(
     df: DataFrame, features: Sequence[str], name: str, *, sizes: TreeSizes = TreeSizes(),
-    rows: int = S.CV_ROWS, folds: int = S.CV_FOLDS, seed: int = S.SEED,
+    rows: int = S.CV_ROWS, folds: int = S.CV_FOLDS, seed: int = S.SEED, scores: str | None = None,
 ) -> DataFrame:
-    """fold, roc_auc, f1 (at 0.5) of one candidate refitted on each fold's complement."""
+    """fold, roc_auc, f1 (at 0.5) of one candidate refitted on each fold's complement.
+
+    With ``scores`` id, label, fold and probability of every row by the model that did not
+    see it are written below that folder, and those of the rows it saw.
+    """
     prepare_checkpoints(df.sparkSession)
     part = stratified_folds(exact_sample(df, rows, seed), folds, seed)
-    with held(sized(training_table(part, features, ["fold"], sizes.boost_validation), S.ID)) as cached:
+    with held(sized(training_table(part, features, ["fold"], sizes.boost_validation), S.ID, TREE_ROWS_PER_TASK)) as cached:
         n = cached.count()
         estimator = candidates(n * (folds - 1) // folds, sizes)[name]
 
         def one(fold: int) -> tuple[int, float, float]:
-            model = estimator.copy().fit(cached.where(F.col("fold") != fold))
-            row = compare(name, with_probability(model, cached.where(F.col("fold") == fold)))
+            model = fit_candidate(estimator.copy(), cached.where(F.col("fold") != fold), sizes)
+            out_of_fold = with_probability(model, cached.where(F.col("fold") == fold))
+            if scores:
+                kept = [S.ID, S.CHURN, F.lit(fold).alias("fold"), PROBABILITY]
+                out_of_fold.select(*kept).write.parquet(f"{scores}/unseen/{fold}")
+                with_probability(model, cached.where(F.col("fold") != fold)).select(*kept).write.parquet(f"{scores}/seen/{fold}")
+            row = compare(name, out_of_fold)
             return fold, row["auc"], row["f1"]
 
         rows_out = overlapped(cached, one, range(folds))
@@ -256,7 +349,7 @@ def train_surrogate(
         maxBins=sizes.forest_bins, maxMemoryInMB=sizes.memory_mb, featureSubsetStrategy="sqrt", seed=sizes.seed)
     back = IndexToString(inputCol="prediction", outputCol="predicted_segment", labels=labels)
     with held(sized(columns, S.ID, TREE_ROWS_PER_TASK)) as cached:
-        model = Pipeline(stages=[index, vector, forest]).fit(cached.where("NOT is_test"))
+        model = without_summary(Pipeline(stages=[index, vector, forest]).fit(cached.where("NOT is_test")))
     whole = PipelineModel([*model.stages, back])
     scored = whole.transform(columns.where("is_test"))
     return SurrogateFit(whole, labels, class_counts(scored, S.SEGMENT, "predicted_segment"))
