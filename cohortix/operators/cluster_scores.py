@@ -2,6 +2,7 @@
 
 Davies-Bouldin, Calinski-Harabasz and the silhouette of squared distances are aggregates over
 all rows: the mean squared distance to a cluster follows from its size, mean and mean square.
+The clusters are a table like any other, of any size; pairs of them are compared in blocks.
 The Euclidean silhouette needs all pair distances and is therefore defined on a sample of
 stated size: the sample is broadcast, and tasks reduce their own rows' distances to
 per-cluster sums with array arithmetic, so no pair is ever a row.
@@ -13,15 +14,17 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortix import schema as S
 from cohortix.operators.sample import exact_sample
-from cohortix.session import frame_of, ship_package
+from cohortix.session import BROADCAST_ROWS, frame_of, ship_package, written
 
 BLOCK = 512
-MAX_CLUSTERS = 10_000
+CLUSTER_BLOCK = 2_048  # clusters compared with as many others at once
+SALTS = 16
 
 
 def _long(df: DataFrame, features: Sequence[str], labels: Sequence[str]) -> DataFrame:
@@ -41,93 +44,115 @@ def _centred(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.withColumns({x: F.col(x) - F.lit(means[f"m{i}"]) for i, x in enumerate(features)})
 
 
-def _cluster_sums(rows: DataFrame, features: Sequence[str]) -> list:
-    """Size, sum of squares and sums of every cluster; at most ``MAX_CLUSTERS`` of them."""
+def _clusters(rows: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``model, label, n, q, mean``: size, mean square norm and mean of every cluster, a written table."""
     squares = _squared_norm([F.col(x) for x in features])
-    sums = rows.groupBy("model", "label").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(squares).alias("q"),
-        *[F.sum(x).alias(f"s{i}") for i, x in enumerate(features)],
-    ).limit(MAX_CLUSTERS + 1).collect()
-    if len(sums) > MAX_CLUSTERS:
-        raise ValueError(f"more than {MAX_CLUSTERS} clusters")
-    return sums
+    sums = rows.where("label is not null").groupBy("model", "label").agg(
+        F.count(F.lit(1)).alias("n"), F.avg(squares).alias("q"), F.array(*[F.avg(x) for x in features]).alias("mean"))
+    return written(sums, "clusters")
+
+
+def _with_own(rows: DataFrame, clusters: DataFrame) -> DataFrame:
+    """Add its cluster's columns to every row. A label may hold most rows: beyond a broadcast it is salted."""
+    if clusters.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(clusters), ["model", "label"])
+    salt = F.pmod(F.xxhash64(*[c for c in rows.columns if c not in ("model", "label")]), F.lit(SALTS)).cast("int")
+    many = clusters.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", salt).join(many, ["model", "label", "salt"]).drop("salt")
+
+
+def _gap_to(mean: Column, features: Sequence[str]) -> Column:
+    """Squared distance of a row to a centre."""
+    return _squared_norm([F.col(x) - mean[i] for i, x in enumerate(features)])
 
 
 def squared_silhouettes(df: DataFrame, features: Sequence[str], labels: Sequence[str]) -> dict[str, float]:
     """Mean silhouette of squared Euclidean distances per label column, over all rows.
 
-    One aggregate for the clusters, then one narrow pass. A one-row cluster scores 0.
+    One aggregate for the clusters, then one narrow pass, in which the clusters come in blocks of
+    bounded size. A one-row cluster scores 0. A single cluster has no score.
     """
     rows = _long(_centred(df, features), features, labels)
-    clusters = [(r["model"], r["label"], r["n"], r["q"] / r["n"], [r[f"s{i}"] / r["n"] for i in range(len(features))])
-                for r in _cluster_sums(rows, features)]
-    dim = frame_of(df.sparkSession, clusters, "model string, c int, n long, q double, mean array<double>")
-    dim = dim.groupBy("model").agg(F.collect_list(F.struct("c", "n", "q", "mean")).alias("clusters"))
-    x = F.array(*features)
-    norm = _squared_norm([F.col(f) for f in features])
-
-    def apart(cluster: Column) -> Column:
-        dot = F.aggregate(F.zip_with(x, cluster["mean"], lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
-        return F.struct(cluster["c"].alias("c"), cluster["n"].alias("n"), (norm - 2 * dot + cluster["q"]).alias("d"))
-
-    near = rows.join(F.broadcast(dim), "model").withColumn("near", F.transform("clusters", apart))
-    own = F.filter("near", lambda c: c["c"] == F.col("label"))[0]
-    inner = own["d"] * own["n"] / (own["n"] - 1)
-    outer = F.array_min(F.transform(F.filter("near", lambda c: c["c"] != F.col("label")), lambda c: c["d"]))
-    wider = F.greatest(inner, outer)
-    value = F.when(own["n"] == 1, 0.0).when(wider > 0, (outer - inner) / wider).otherwise(0.0)
-    found = near.select("model", F.when(outer.isNotNull(), value).alias("v")).groupBy("model").agg(F.avg("v").alias("v"))
+    clusters = _clusters(rows, features)
+    spread = F.col("q") - _squared_norm([F.col("mean")[i] for i in range(len(features))])
+    table = clusters.select("model", "label", "n", "mean", spread.alias("spread"))
+    blocks = max(1, -(-table.count() // BROADCAST_ROWS))
+    near = _with_own(rows, table).withColumns({
+        "outer": F.lit(None).cast("double"),
+        "inner": (_gap_to(F.col("mean"), features) + F.col("spread")) * F.col("n") / F.greatest(F.col("n") - 1, F.lit(1))}).drop("mean", "spread")
+    for block in range(blocks):
+        some = table.where(F.pmod(F.xxhash64("model", "label"), F.lit(blocks)) == block).groupBy("model").agg(
+            F.collect_list(F.struct("label", "mean", "spread")).alias("others"))
+        apart = F.transform("others", lambda c: F.when(
+            c["label"] != F.col("label"), _gap_to(c["mean"], features) + c["spread"]))
+        near = near.join(F.broadcast(some), "model", "left").withColumn("outer", F.least("outer", F.array_min(apart))).drop("others")
+    wider = F.greatest("inner", "outer")
+    value = F.when(F.col("n") == 1, 0.0).when(wider > 0, (F.col("outer") - F.col("inner")) / wider).otherwise(0.0)
+    found = near.select("model", F.when(F.col("outer").isNotNull(), value).alias("v")).groupBy("model").agg(F.avg("v").alias("v"))
     return {r["model"]: r["v"] for r in found.collect()}
 
 
 def centroid_scores(df: DataFrame, features: Sequence[str], labels: Sequence[str]) -> dict[str, dict]:
-    """n_clusters, davies_bouldin and calinski_harabasz per label column, over all rows."""
+    """n_clusters, davies_bouldin and calinski_harabasz per label column, over all rows and any number of clusters."""
     rows = _long(_centred(df, features), features, labels)
-    sums = _cluster_sums(rows, features)
-    centres = [
-        (r["model"], r["label"], *[r[f"s{i}"] / r["n"] for i in range(len(features))]) for r in sums
-    ]
-    width = ", ".join(f"c{i} double" for i in range(len(features)))
-    dim = frame_of(df.sparkSession, centres, f"model string, label int, {width}")
-    gap = F.sqrt(_squared_norm([F.col(x) - F.col(f"c{i}") for i, x in enumerate(features)]))
-    spread = {
-        (r["model"], r["label"]): r["s"]
-        for r in rows.join(F.broadcast(dim), ["model", "label"])
-        .groupBy("model", "label").agg(F.avg(gap).alias("s")).collect()
-    }
+    clusters = _clusters(rows, features)
+    gap = F.sqrt(_gap_to(F.col("mean"), features))
+    spread = written(_with_own(rows, clusters.select("model", "label", "mean")).groupBy("model", "label").agg(
+        F.avg(gap).alias("spread")).join(clusters, ["model", "label"]), "spreads")
+    n, mean = F.col("n"), [F.col("mean")[i] for i in range(len(features))]
+    sums = clusters.groupBy("model").agg(
+        F.count(F.lit(1)).alias("k"), F.sum("n").alias("rows"), F.sum(n * F.col("q")).alias("squares"),
+        F.sum(n * _squared_norm(mean)).alias("centres"), F.array(*[F.sum(n * m) for m in mean]).alias("total")).collect()
+    worst = {r["model"]: r["worst"] for r in _worst_ratios(spread).groupBy("model").agg(F.avg("worst").alias("worst")).collect()}
     out = {}
-    for model in labels:
-        mine = sorted((r for r in sums if r["model"] == model), key=lambda r: r["label"])
-        n = np.array([r["n"] for r in mine], dtype=float)
-        total = np.array([[r[f"s{i}"] for i in range(len(features))] for r in mine])
-        centre = total / n[:, None]
-        s = np.array([spread[model, r["label"]] for r in mine])
-        out[model] = {
-            "n_clusters": len(mine),
-            "davies_bouldin": _davies_bouldin(centre, s),
-            "calinski_harabasz": _calinski_harabasz(n, total, sum(r["q"] for r in mine)),
-        }
+    for r in sums:
+        k, size = r["k"], r["rows"]
+        score = None
+        if 2 <= k < size:
+            within = r["squares"] - r["centres"]
+            between = r["centres"] - sum(t * t for t in r["total"]) / size
+            score = 1.0 if within <= 0 else between * (size - k) / (within * (k - 1))
+        out[r["model"]] = {"n_clusters": k, "davies_bouldin": worst.get(r["model"], 0.0) if k > 1 else 0.0, "calinski_harabasz": score}
     return out
 
 
-def _davies_bouldin(centre: np.ndarray, spread: np.ndarray) -> float:
-    """Mean over clusters of the worst ratio of spreads to centre distance (k x k)."""
-    k = len(spread)
-    if k < 2:
-        return 0.0
-    apart = np.sqrt(((centre[:, None, :] - centre[None, :, :]) ** 2).sum(axis=2))
-    ratio = np.divide(spread[:, None] + spread[None, :], apart,
-                      out=np.zeros((k, k)), where=apart > 0)
-    return float(ratio.max(axis=1).mean())
-
-
-def _calinski_harabasz(n: np.ndarray, total: np.ndarray, squares: float) -> float | None:
-    k, rows = len(n), n.sum()
-    if k < 2 or rows <= k:
-        return None
-    within = squares - ((total ** 2).sum(axis=1) / n).sum()
-    between = ((total ** 2).sum(axis=1) / n).sum() - (total.sum(axis=0) ** 2).sum() / rows
-    return float(1.0 if within <= 0 else between * (rows - k) / (within * (k - 1)))
+def _worst_ratios(spread: DataFrame) -> DataFrame:
+    """``model, label, worst``: per cluster the greatest sum of spreads to distance of the centres, over all others.
+
+    Every block of clusters meets every block in a group of its own; a pair is never a row.
+    """
+    ship_package(spread.sparkSession)
+    blocks = max(1, -(-spread.count() // CLUSTER_BLOCK))
+    block = F.pmod(F.xxhash64("model", "label"), F.lit(blocks)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    kept = ["model", "label", "mean", "spread"]
+    cells = spread.select(*kept, block.alias("a"), every.alias("b"), F.lit(0).alias("role")).union(
+        spread.select(*kept, every.alias("a"), block.alias("b"), F.lit(1).alias("role")))
+
+    def compare(cell: pa.Table) -> pa.Table:
+        out: dict[str, list] = {"model": [], "label": [], "worst": []}
+        frame = cell.to_pandas()
+        for model, of in frame.groupby("model"):
+            own, other = of[of["role"] == 0], of[of["role"] == 1]
+            if own.empty or other.empty:
+                continue
+            centres, spreads = np.stack(other["mean"].to_numpy()), other["spread"].to_numpy()
+            for at in range(0, len(own), BLOCK):
+                some = own.iloc[at:at + BLOCK]
+                mine = np.stack(some["mean"].to_numpy())
+                squared = np.zeros((len(some), len(other)))
+                for i in range(mine.shape[1]):
+                    squared += (mine[:, i, None] - centres[None, :, i]) ** 2
+                ratio = np.divide(some["spread"].to_numpy()[:, None] + spreads, np.sqrt(squared),
+                                  out=np.zeros_like(squared), where=squared > 0)
+                ratio[some["label"].to_numpy()[:, None] == other["label"].to_numpy()[None, :]] = 0.0
+                out["model"] += [model] * len(some)
+                out["label"] += some["label"].tolist()
+                out["worst"] += ratio.max(axis=1).tolist()
+        return pa.table(out, schema=pa.schema([("model", pa.string()), ("label", pa.int32()), ("worst", pa.float64())]))
+
+    found = cells.groupBy("a", "b").applyInArrow(compare, "model string, label int, worst double")
+    return found.groupBy("model", "label").agg(F.max("worst").alias("worst"))
 
 
 def silhouettes(df: DataFrame, features: Sequence[str], labels: Sequence[str],

@@ -6,7 +6,8 @@ from pyspark.ml.feature import VectorAssembler
 
 from cohortix import schema as S
 from cohortix.operators import clean, kmeans, mixture, profile
-from cohortix.operators.cluster_scores import cluster_scores, silhouettes
+from cohortix.operators import cluster_scores as cluster_scores_module
+from cohortix.operators.cluster_scores import centroid_scores, cluster_scores, silhouettes, squared_silhouettes
 from cohortix.operators.mixture import Mixture
 from cohortix.session import frame_of, held
 
@@ -250,3 +251,37 @@ def test_unnamed_cluster_is_an_error(spark):
     prof = frame_of(spark, [(0, "Loyal Core"), (7, None)], "cluster int, segment string")
     with pytest.raises(ValueError):
         profile.cluster_names(prof, "cluster")
+
+
+def test_many_clusters(spark, monkeypatch):
+    """More clusters than a broadcast and than a block, one of them with a third of the rows."""
+    monkeypatch.setattr(cluster_scores_module, "CLUSTER_BLOCK", 40)
+    monkeypatch.setattr(cluster_scores_module, "BROADCAST_ROWS", 30)
+    rng = np.random.default_rng(4)
+    label = np.concatenate([rng.integers(0, 150, 600), np.full(300, 7)])
+    points = rng.normal(size=(150, 2))[label] * 5 + rng.normal(size=(900, 2))
+    df = spark.createDataFrame(pd.DataFrame({"x": points[:, 0], "y": points[:, 1], "label": label}))
+    names, n = np.unique(label, return_counts=True)
+    centre = np.array([points[label == c].mean(axis=0) for c in names])
+    spread = np.array([np.sqrt(((points[label == c] - m) ** 2).sum(axis=1)).mean() for c, m in zip(names, centre)])
+    apart = np.sqrt(((centre[:, None] - centre[None]) ** 2).sum(axis=2))
+    ratio = np.divide(spread[:, None] + spread, apart, out=np.zeros_like(apart), where=apart > 0)
+    within = sum(((points[label == c] - m) ** 2).sum() for c, m in zip(names, centre))
+    between = (n * ((centre - points.mean(axis=0)) ** 2).sum(axis=1)).sum()
+    got = centroid_scores(df, FEATURES, ["label"])["label"]
+    assert got["n_clusters"] == len(names) and got["davies_bouldin"] == pytest.approx(ratio.max(axis=1).mean())
+    assert got["calinski_harabasz"] == pytest.approx(between / (len(names) - 1) / (within / (900 - len(names))))
+    squared = ((points[:, None] - points[None]) ** 2).sum(axis=2)
+    s = []
+    for i in range(900):
+        mean = {c: squared[i][label == c].mean() for c in names}
+        own = (label == label[i]).sum()
+        inner, outer = mean.pop(label[i]) * own / max(own - 1, 1), min(mean.values())
+        s.append((outer - inner) / max(inner, outer) if own > 1 else 0.0)
+    assert squared_silhouettes(df, FEATURES, ["label"])["label"] == pytest.approx(np.mean(s))
+
+
+def test_fifty_thousand_clusters(spark):
+    df = spark.range(100_000).selectExpr("cast(id % 50000 as int) label", "cast(id % 50000 as double) x", "cast(floor(id / 50000) as double) y")
+    got = centroid_scores(df, FEATURES, ["label"])["label"]
+    assert got["n_clusters"] == 50_000 and got["davies_bouldin"] == pytest.approx(1.0)  # spreads of a half, centres one apart
