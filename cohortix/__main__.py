@@ -9,7 +9,8 @@ from pyspark.sql import SparkSession
 from cohortix.plans import prediction, report, scoring, segmentation
 from cohortix.plans.settings import Settings
 from cohortix.session import build_session
-from cohortix.sources.tables import READERS, load_canonical, read_table
+from cohortix.sources.sinks import write_table
+from cohortix.sources.tables import READERS, load_canonical, load_checked, read_table
 
 
 def _pairs(text: str) -> tuple[str, str]:
@@ -26,6 +27,8 @@ def parser() -> argparse.ArgumentParser:
     segment.add_argument("--format", choices=READERS, default="parquet")
     segment.add_argument("--column", action="append", type=_pairs, default=[], metavar="NAME=SOURCE",
                          help="canonical column name and its name in the input")
+    segment.add_argument("--quarantine", action="store_true",
+                         help="check CSV lines against the types and set those that do not fit aside, in OUT/quarantine")
     segment.add_argument("--quantiles", choices=("exact", "approx"), default="exact")
     steps.add_parser("predict", help="churn, surrogate, campaign, exports, artefacts")
     score = steps.add_parser("score", help="score a table of unseen rows")
@@ -42,8 +45,13 @@ def parser() -> argparse.ArgumentParser:
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.step == "segment":
         names = dict(args.column)
-        raw = load_canonical(spark, args.input, args.format,
-                             {c: names.get(c, c) for c in segmentation.S.CANONICAL})
+        names = {c: names.get(c, c) for c in segmentation.S.CANONICAL}
+        if args.quarantine:
+            found = load_checked(spark, args.input, names)
+            write_table(found.quarantined, f"{args.out}/quarantine")
+            raw = found.rows
+        else:
+            raw = load_canonical(spark, args.input, args.format, names)
         segmentation.segment_customers(raw, args.out, Settings(quantiles=args.quantiles))
     elif args.step == "predict":
         prediction.predict_and_plan(spark, args.out)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from cohortix import schema as S
 from cohortix.catalog import standins as P
+from cohortix.plans.scoring import CASES
 
 PAY = "average_data_usage, average_revenue, average_dou, pack_flag, aon, churn"
 U, R, D = "average_data_usage", "average_revenue", "average_dou"
@@ -567,14 +568,33 @@ def all_oracles() -> dict[str, str]:
         "score_batch": SCORE_BATCH,
         "report_sections": f"""{BALANCE},
             seg AS (SELECT segment, count(*) AS customers, count(*) FILTER (WHERE campaign_group = 'UCG') AS ucg_count,
-                    count(*) FILTER (WHERE campaign_group = 'UTG') AS utg_count FROM grp GROUP BY segment),
-            shares AS (SELECT campaign_group, count(*) AS n, 100 * count(*) / sum(count(*)) OVER () AS pct
-                       FROM grp GROUP BY campaign_group)
-            SELECT 'segments' AS section, segment AS item, figure, round(CAST(value AS DOUBLE), 4) AS value FROM (
-                UNPIVOT seg ON customers, ucg_count, utg_count INTO NAME figure VALUE value)
+                    count(*) FILTER (WHERE campaign_group = 'UTG') AS utg_count,
+                    sum({R} * churn_probability) AS revenue_at_risk_inr FROM grp GROUP BY segment),
+            grid AS (SELECT i / 1e2 AS t, count(*) FILTER (WHERE churn_probability >= 1e-2 + (i - 1) * 1e-2) AS contacted,
+                    coalesce(round(2 * count(*) FILTER (WHERE churn_probability >= 1e-2 + (i - 1) * 1e-2 AND churn = 1)
+                      / nullif(count(*) FILTER (WHERE churn_probability >= 1e-2 + (i - 1) * 1e-2) + sum(churn), 0), 4), 0) AS f1
+                    FROM grp, range(1, 100) AS x(i) GROUP BY i),
+            head AS (SELECT count(*) AS clean_rows, count(*) FILTER (WHERE campaign_group = 'UCG') AS ucg_count,
+                    count(*) FILTER (WHERE campaign_group = 'UTG') AS utg_count, sum({R}) AS total_monthly_revenue,
+                    sum({R} * churn_probability) AS total_revenue_at_risk FROM grp)
+            SELECT 'segments' AS section, segment AS item, figure, round(value, 4) AS value FROM (
+                UNPIVOT (SELECT segment, COLUMNS(* EXCLUDE segment)::DOUBLE FROM seg)
+                ON COLUMNS(* EXCLUDE segment) INTO NAME figure VALUE value)
             UNION ALL SELECT 'ucg_balance', feature, 'abs_smd', round(smd, 4) FROM bal
-            UNION ALL SELECT 'groups', campaign_group, 'n', CAST(n AS DOUBLE) FROM shares
-            UNION ALL SELECT 'groups', campaign_group, 'pct', round(CAST(pct AS DOUBLE), 4) FROM shares""",
+            UNION ALL SELECT 'thresholds', CAST(round(t, 2) AS VARCHAR), figure, value FROM (
+                UNPIVOT (SELECT t, contacted::DOUBLE AS contacted, f1::DOUBLE AS f1 FROM grid) ON contacted, f1 INTO NAME figure VALUE value)
+            UNION ALL SELECT 'headline', 'all', figure, round(value, 4) FROM (
+                UNPIVOT (SELECT COLUMNS(*)::DOUBLE FROM head) ON COLUMNS(*) INTO NAME figure VALUE value)
+            UNION ALL SELECT 'order', s, 'rank', r FROM (VALUES {', '.join(f"({text(s)}, {k}e0)" for k, s in S.SEGMENT_BY_RANK.items())}) AS o(s, r)
+            UNION ALL SELECT 'cases', c, 'refused', CASE WHEN a < 90 THEN 1e0 ELSE 0e0 END
+                FROM (VALUES {', '.join(f"('{c[0]}', {c[5]})" for c in CASES)}) AS cs(c, a)
+            UNION ALL SELECT 'missing', 'clusters', 'k_sweep', 1e0""",
+        "quarantined_csv": f"""{BASE}, k AS (SELECT customer_id, round({U}, 4) AS {U},
+                CASE WHEN customer_id % 97 IN (5, 6, 7) THEN 'quarantined' ELSE 'loaded' END AS kind FROM raw)
+            SELECT customer_id, kind, CASE WHEN kind = 'loaded' THEN {U} END AS {U}, count(*) OVER (PARTITION BY kind) AS of_kind FROM k""",
+        "resumed_stages": f"""{BASE} SELECT 'deduped' AS stage, count(*) AS rows, 1 AS runs FROM dedup
+            UNION ALL SELECT 'valid', count(*), 1 FROM valid
+            UNION ALL SELECT 'segments', count(DISTINCT pack_flag), 2 FROM valid""",
         # what every right fit shows
         "kmeans_fit": f"""{BASE} SELECT {S.N_CLUSTERS} AS clusters, count(*) AS n, true AS sizes_add_up,
             true AS centres_at_rest, true AS cost_recomputed, true AS beats_fixed_centres FROM clean""",

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from contextlib import suppress
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -16,12 +18,15 @@ from cohortix.functions.expr import constant_map
 from cohortix.functions.quantile import exact_quantiles
 from cohortix.operators import campaign, churn, clean, curves, fit_checks, kmeans, mixture, profile, sample, score
 from cohortix.operators.cluster_scores import centroid_scores, cluster_scores, silhouettes, squared_silhouettes
+from cohortix.plans import scoring
+from cohortix.plans.manifest import Manifest, fingerprint, read_manifest
+from cohortix.plans.report import report_table
 from cohortix.plans.segmentation import SCALED, fit_clusters, label_clusters
 from cohortix.plans.settings import Settings
 from cohortix.session import frame_of, held, shared_dir, sized, written
 from cohortix.sources import artefacts, sinks
 from cohortix.sources.subscribers import subscribers
-from cohortix.sources.tables import load_canonical, narrowed
+from cohortix.sources.tables import load_canonical, load_checked, narrowed
 
 Query = Callable[[SparkSession, str], DataFrame]
 PROB = "churn_probability"
@@ -83,6 +88,55 @@ def renamed_csv(spark, sf_dir):
     return rounded(table.withColumn(S.ID, F.col(S.ID).cast("long")), 4, S.USAGE, S.REVENUE)
 
 
+@query
+def quarantined_csv(spark, sf_dir):
+    """A CSV with broken lines: cut ones, ones with a field too many and ones with a field that is no number."""
+    kind = F.col(S.ID) % 97
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in S.CANONICAL]
+    spoilt = [fields[0], F.when(kind == 6, "n/a").otherwise(fields[1]), *fields[2:]]
+    line = F.when(kind == 5, F.concat_ws(",", *fields[:3])).when(kind == 7, F.concat_ws(",", *fields, F.lit("x"))).otherwise(
+        F.concat_ws(",", *spoilt))
+    path = f"{shared_dir(spark)}/cohortix/lines-{uuid.uuid4().hex}"
+    subscribers(spark, sf_dir).select(line.alias("value")).write.text(path)
+    found = load_checked(spark, path, columns=S.CANONICAL)
+    broken = found.quarantined.select(F.split("record", ",")[0].cast("long").alias(S.ID), F.lit("quarantined").alias("kind"),
+                                      F.lit(None).cast("double").alias(S.USAGE))
+    loaded = found.rows.select(F.col(S.ID).cast("long").alias(S.ID), F.lit("loaded").alias("kind"), F.round(S.USAGE, 4).alias(S.USAGE))
+    counts = F.when(F.col("kind") == "loaded", F.lit(found.loaded)).otherwise(F.lit(found.malformed)).alias("of_kind")
+    return loaded.union(broken).select("*", counts)
+
+
+@query
+def resumed_stages(spark, sf_dir):
+    """A job of three stages that is killed in the third and run again: what the manifest holds, and how often each stage ran."""
+    raw, out, runs = subscribers(spark, sf_dir), f"{shared_dir(spark)}/cohortix/job-{uuid.uuid4().hex}", []
+
+    def job(killed: bool) -> None:
+        manifest = Manifest(spark, out, fingerprint(raw))
+
+        def kept(name: str, build: Callable[[], DataFrame]) -> None:
+            def work() -> dict:
+                runs.append(name)
+                if killed and name == "segments":
+                    raise InterruptedError(name)
+                return {"rows": sinks.write_table(build(), f"{out}/{name}").count()}
+
+            manifest.stage(name, work)
+
+        kept("deduped", lambda: clean.drop_copies(raw))
+        kept("valid", lambda: clean.valid_rows(spark.read.parquet(f"{out}/deduped")))
+        kept("segments", lambda: spark.read.parquet(f"{out}/valid").groupBy(S.PACK).count())
+
+    for killed in (True, False):
+        with suppress(InterruptedError):
+            job(killed)
+    count = F.lit(0)
+    for name in dict.fromkeys(runs):
+        count = F.when(F.col("stage") == name, F.lit(runs.count(name))).otherwise(count)
+    return read_manifest(spark, out).select(
+        "stage", F.variant_get("result", "$.rows", "bigint").alias("rows"), count.alias("runs"))
+
+
 @query
 def quality_profile(spark, sf_dir):
     return clean.quality_profile(subscribers(spark, sf_dir))
@@ -585,20 +639,42 @@ def score_batch(spark, sf_dir):
 
 @query
 def report_sections(spark, sf_dir):
-    """Segment sizes, balance and group shares as the report nests them, one row per figure."""
-    table = written(_grouped(spark, sf_dir), "grouped")
-    parts = {
-        "segments": (campaign.segment_summary(table), S.SEGMENT, ("customers", "ucg_count", "utg_count")),
-        "ucg_balance": (campaign.balance_check(table), "feature", ("abs_smd",)),
-        "groups": (profile.value_shares(table, S.GROUP), S.GROUP, ("n", "pct")),
-    }
-    out = None
-    for name, (df, item, figures) in parts.items():
-        measures = F.array(*[F.struct(F.lit(f).alias("figure"), F.round(F.col(f).cast("double"), 4).alias("value"))
-                             for f in figures])
-        nested = df.select(F.lit(name).alias("section"), F.col(item).alias("item"), F.inline(measures))
-        out = nested if out is None else out.unionByName(nested)
-    return out
+    """The report over a written metrics document and scored cases, one row per figure of some sections."""
+    table, out = written(_grouped(spark, sf_dir), "grouped"), f"{shared_dir(spark)}/cohortix/run-{uuid.uuid4().hex}"
+    totals, shares = sinks.records(profile.portfolio_totals(table))[0], sinks.records(profile.value_shares(table, S.GROUP))
+    counts = {r[S.GROUP]: r["n"] for r in shares}
+    sinks.write_document(spark, {
+        "clean_rows": sum(counts.values()), "ucg_count": counts[S.CONTROL], "utg_count": counts[S.TARGET],
+        "total_monthly_revenue": totals["total_monthly_revenue"], "total_revenue_at_risk": totals["total_revenue_at_risk"],
+        "segment_summary": sinks.records(campaign.segment_summary(table)), "ucg_balance": sinks.records(campaign.balance_check(table)),
+        "threshold_grid": sinks.records(curves.threshold_grid(table, PROB, S.CHURN, S.REVENUE)),
+        "segment_order": list(S.SEGMENT_BY_RANK.values())}, f"{out}/metrics")
+    _scorer().score(scoring.cases(spark)).select(*scoring.CASE_COLUMNS).write.json(f"{out}/sample_predictions_json")
+    report = written(report_table(spark, out), "report")
+
+    def figures(section: str, row, item, *names: str):
+        measures = F.array(*[F.struct(F.lit(f).alias("figure"), F.round(row[f].cast("double"), 4).alias("value")) for f in names])
+        return F.lit(section).alias("section"), item.cast("string").alias("item"), F.inline(measures)
+
+    def nested(section: str, path: str, item: str, *names: str) -> DataFrame:
+        rows = report.select(F.explode(path).alias("r"))
+        return rows.select(*figures(section, F.col("r"), F.col("r")[item], *names))
+
+    parts = [
+        nested("segments", "campaign.segment_summary", S.SEGMENT, "customers", "ucg_count", "utg_count", "revenue_at_risk_inr"),
+        nested("ucg_balance", "campaign.ucg_balance", "feature", "abs_smd"),
+        nested("thresholds", "churn.threshold_grid", "t", "contacted", "f1"),
+        report.select(*figures("headline", F.col("headline"), F.lit("all"), "clean_rows", "ucg_count", "utg_count",
+                               "total_monthly_revenue", "total_revenue_at_risk")),
+        report.select(F.posexplode("campaign.segment_order").alias("at", "r")).select(
+            F.lit("order").alias("section"), F.col("r").alias("item"), F.lit("rank").alias("figure"), (F.col("at") + 1.0).alias("value")),
+        report.select(F.explode("samples").alias("r")).select(
+            F.lit("cases").alias("section"), F.col("r.case_id").alias("item"), F.lit("refused").alias("figure"),
+            (F.col("r.offer") == S.UNSEGMENTED[1]).cast("double").alias("value")),
+        report.select(F.lit("missing").alias("section"), F.lit("clusters").alias("item"), F.lit("k_sweep").alias("figure"),
+                      F.col("clusters.k_sweep").isNull().cast("double").alias("value")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 # ---- fits: what any right fit must show; the fitted numbers themselves are seeded ----

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortix import schema as S
 from cohortix.functions.expr import nan_to_null
+from cohortix.session import written
 
 READERS = ("parquet", "orc", "json", "csv")
+RECORD = "malformed_record"
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -51,3 +55,43 @@ def load_canonical(
 ) -> DataFrame:
     table = read_table(spark, path, fmt)
     return typed(rename_to_canonical(table, column_map or {c: c for c in S.CANONICAL}))
+
+
+@dataclass(frozen=True)
+class Checked:
+    """Rows that fit the schema, and the lines that do not, with their file."""
+
+    rows: DataFrame
+    quarantined: DataFrame
+    loaded: int
+    malformed: int
+
+
+def load_checked(spark: SparkSession, path: str, column_map: Mapping[str, str] | None = None, *,
+                 columns: Sequence[str] | None = None) -> Checked:
+    """Canonical rows of CSV files bound to their types; lines that do not fit are set aside, none is lost.
+
+    A line does not fit if it has too few or too many fields or a field that is no value of its
+    column. Empty fields and NaN are missing values and fit. The files have a header, which must
+    be the same in all of them, or ``columns`` in that order. The text is parsed once, into a
+    written table, whose write also counts both kinds.
+    """
+    names = {source: name for name, source in (column_map or {c: c for c in S.CANONICAL}).items()}
+    headed = columns is None
+    found = read_table(spark, path, "csv").columns if headed else list(columns)
+    missing = sorted(set(S.CANONICAL) - {names.get(c, c) for c in found})
+    if missing:
+        raise KeyError(f"missing required columns after renaming: {missing}")
+    kinds = {f.name: f.dataType for f in S.RAW_SCHEMA.fields}
+    schema = T.StructType([T.StructField(c, kinds.get(names.get(c, c), T.StringType())) for c in found]
+                          + [T.StructField(RECORD, T.StringType())])
+    lines = (spark.read.schema(schema).option("header", headed).option("enforceSchema", not headed).option("mode", "PERMISSIVE")
+             .option("columnNameOfCorruptRecord", RECORD).csv(path))
+    counted = Observation()
+    fits = F.col(RECORD).isNull()
+    # all columns are parsed: a line is only checked as far as it is read
+    whole = lines.withColumn("source_file", F.col("_metadata.file_path")).observe(
+        counted, F.count_if(fits).alias("loaded"), F.count_if(~fits).alias("malformed"))
+    table = written(whole, "parsed")
+    rows = typed(rename_to_canonical(table.where(fits).drop(RECORD, "source_file"), {n: s for s, n in names.items()}))
+    return Checked(rows, table.where(~fits).select(F.col(RECORD).alias("record"), "source_file"), **counted.get)

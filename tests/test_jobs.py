@@ -1,11 +1,13 @@
 """Both jobs, the artefacts, the report and the stream on a small table with small trees."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
 from cohortix import schema as S
 from cohortix.operators.churn import TreeSizes
-from cohortix.plans import prediction, report, scoring, segmentation
+from cohortix.plans import manifest, prediction, report, scoring, segmentation
 from cohortix.plans.settings import Settings
 from cohortix.sources import artefacts, sinks
 from cohortix.streaming.score_stream import landed, score_stream
@@ -58,6 +60,56 @@ def test_loaded_scorer_repeats_the_training_segments(spark, raw, finished):
     assert scored.where("abs(segment_confidence - gmm_confidence) > 1e-9").count() == 0
 
 
+def test_a_killed_job_goes_on_where_it_ended(spark, raw, tmp_path, monkeypatch):
+    out, calls = str(tmp_path), []
+
+    def counted(module, name):
+        real = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda *a, **k: calls.append(name) or real(*a, **k))
+
+    for name in ("_clean", "_sweep", "_clusters"):
+        counted(segmentation, name)
+    evaluate = segmentation._evaluate
+    monkeypatch.setattr(segmentation, "_evaluate", lambda *a: (_ for _ in ()).throw(InterruptedError()))
+    with pytest.raises(InterruptedError):
+        segmentation.segment_customers(raw, out, SMALL)
+    assert calls == ["_clean", "_sweep", "_clusters"] and not manifest.exists(spark, f"{out}/segmentation_state")
+    monkeypatch.setattr(segmentation, "_evaluate", evaluate)
+    doc = segmentation.segment_customers(raw.repartition(3), out, SMALL)
+    assert calls == ["_clean", "_sweep", "_clusters"]  # the same rows in another order
+    entries = {r["stage"]: r["key"] for r in manifest.read_manifest(spark, out).collect()}
+    assert set(entries) == {"clean", "sweep", "clusters", "evaluation"}
+    again = segmentation.segment_customers(raw, out, SMALL)
+    assert {k: v for k, v in again.items() if k != "segmentation_seconds"} == {k: v for k, v in doc.items() if k != "segmentation_seconds"}
+    segmentation.segment_customers(raw, out, replace(SMALL, sweep=(2, 3, 4)))
+    assert calls[3:] == ["_sweep", "_clusters"]  # the cleaning does not depend on the sweep; what follows it is repeated
+    segmentation.segment_customers(raw.where(F.col(S.ID) % 50 != 1), out, replace(SMALL, sweep=(2, 3, 4)))
+    assert calls[5:] == ["_clean", "_sweep", "_clusters"]
+
+
+def test_an_entry_without_its_mark_is_not_finished(spark, tmp_path):
+    job = manifest.Manifest(spark, str(tmp_path), "k")
+    assert job.stage("a", lambda: {"x": 1}) == {"x": 1}
+    again = manifest.Manifest(spark, str(tmp_path), "k")
+    assert again.stage("a", lambda: {"x": 2}) == {"x": 1} and again.skipped == ["a"]
+    (tmp_path / "manifest" / "a" / "_SUCCESS").unlink()
+    assert manifest.Manifest(spark, str(tmp_path), "k").stage("a", lambda: {"x": 3}) == {"x": 3}
+
+
+def test_fingerprint_follows_the_content(spark, raw):
+    first = manifest.fingerprint(raw)
+    assert first == manifest.fingerprint(raw.repartition(5)) != manifest.fingerprint(raw.union(raw.limit(1)))
+    assert first != manifest.fingerprint(raw.withColumn(S.REVENUE, F.col(S.REVENUE) + (F.col(S.ID) == 3).cast("int")))
+    assert first != manifest.fingerprint(raw.withColumnRenamed(S.REVENUE, "other"))
+    assert manifest.fingerprint(raw.where("false")) == manifest.fingerprint(raw.where("false"))
+
+
+def test_missing_sections_of_the_document_are_null(spark, tmp_path):
+    sinks.write_document(spark, {"clean_rows": 5, "ucg_balance": []}, str(tmp_path / "metrics"))
+    row = report.metrics_variant(spark, str(tmp_path)).select(*[report.section(n).alias(n) for n in report.SECTIONS]).first()
+    assert row["headline"]["clean_rows"] == 5 and row["campaign"]["ucg_balance"] == [] and row["clusters"]["k_sweep"] is None
+
+
 def test_cases_and_report(spark, finished):
     out, doc = finished
     scored = scoring.score_cases(spark, out)
