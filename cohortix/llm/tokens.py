@@ -52,7 +52,8 @@ class Encoder(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # strings that are tokens of their own wherever they stand; texts with one are encoded whole
+        self.marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cut = self.tokenizer.model.tokenize
         self.tails: dict[str, bytes] = {"": b""}
         shape = json.loads(self.tokenizer.to_str())
@@ -63,6 +64,9 @@ class Encoder(dict):
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         out = []
         for text in texts:
+            if any(mark in text for mark in self.marks):
+                out.append(self._text_ids(text))
+                continue
             first, *rest = self._pieces(text)
             out.append(self._text_ids(first) + b"".join(map(self.__getitem__, rest)))
         return out
