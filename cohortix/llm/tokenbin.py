@@ -105,30 +105,29 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, *, end_id: int,
         part = TaskContext.get().partitionId()
         trained = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         press = zstandard.ZstdCompressor(level=LEVEL, dict_data=trained)
-        number = done = 0
-        index, frames, held = [], [], 0
+        number = done = held = 0
+        doc_ids, frames, counts = [], [], []
 
         def close() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pylist([{
-                "part": part, "block": number, "dict_hash": digest, "n_docs": len(index),
-                "n_tokens": sum(i["n_tokens"] for i in index), "index": index,
-                "payload": b"".join(frames)}], _blocks)
+            sizes, n = np.fromiter(map(len, frames), np.int64, len(frames)), np.array(counts, np.int64)
+            columns = (pa.array(doc_ids, pa.int64()), np.cumsum(sizes) - sizes, sizes, done - n.sum() + np.cumsum(n) - n, n)
+            index = pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], fields=list(_entry))
+            lists = pa.ListArray.from_arrays(pa.array([0, len(n)], pa.int32()), index)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), pa.array([number]), pa.array([digest]), pa.array([len(n)]),
+                 pa.array([int(n.sum())]), lists, pa.array([b"".join(frames)], pa.binary())], schema=_blocks)
 
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            for at in range(0, len(ids), 256):
-                texts = batch.column(1)[at:at + 256].to_pylist()
-                for doc_id, raw in zip(ids[at:at + 256], encoder(tokenizer).encode(texts)):
-                    stored = narrowed(raw, end_id, width)
-                    frame = press.compress(stored)
-                    n = len(stored) // width
-                    index.append({"doc_id": doc_id, "at": held, "size": len(frame), "start": done, "n_tokens": n})
-                    frames.append(frame)
-                    held, done = held + len(frame), done + n
-                    if held >= BLOCK_BYTES or len(index) >= BLOCK_DOCS:
-                        yield close()
-                        number, index, frames, held = number + 1, [], [], 0
-        if index:
+            for doc_id, raw in zip(batch.column(0).to_pylist(), encoder(tokenizer).encode(batch.column(1).to_pylist())):
+                stored = narrowed(raw, end_id, width)
+                doc_ids.append(doc_id)
+                frames.append(press.compress(stored))
+                counts.append(len(stored) // width)
+                held, done = held + len(frames[-1]), done + counts[-1]
+                if held >= BLOCK_BYTES or len(frames) >= BLOCK_DOCS:
+                    yield close()
+                    number, held, doc_ids, frames, counts = number + 1, 0, [], [], []
+        if frames:
             yield close()
         give_back()
 

@@ -2,7 +2,8 @@
 
 A space after a non-space ends a token in both public tokenizers used here, so what lies
 between such spaces encodes on its own. Each worker keeps the ids of the pieces it has met
-in a table of bounded size and gives the tokenizer only new ones. A plain word with
+in a table of two generations of bounded size and gives the tokenizer only new ones; pieces
+that were met in the last generation move on to the next. A plain word with
 punctuation behind it is cut by any of the two into the word and the punctuation, so these
 go to the tokenizer's model directly, without its pattern and offsets.
 """
@@ -13,15 +14,22 @@ import json
 import os
 import re
 from array import array
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from cohortix.llm.common import sole_cache
 
-CACHE_PIECES = 400_000
+CACHE_PIECES = 400_000  # of both generations
 CACHE_TAILS = 10_000
+GATHERED = 1 << 16
 _inner_space = re.compile(r"\s ")
 # Latin-1 letters, then ASCII punctuation but the apostrophe, which contractions begin with
-_plain = re.compile("([A-Za-zªµºÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@[-`{-~]*)")
+_letter, _mark = "[A-Za-zªµºÀ-ÖØ-öø-ÿ]", r"[!-&(-/:-@\[-`{-~]"
+_plain = re.compile(f"({_letter}+)({_mark}*)")
+_plain_named = f"^(?P<word>{_letter}+)(?P<tail>{_mark}*)$"
 
 
 def byte_letters() -> dict[int, str]:
@@ -55,6 +63,7 @@ class Encoder(dict):
         # strings that are tokens of their own wherever they stand; texts with one are encoded whole
         self.marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cut = self.tokenizer.model.tokenize
+        self.before: dict[str, bytes] = {}  # the last generation
         self.tails: dict[str, bytes] = {"": b""}
         shape = json.loads(self.tokenizer.to_str())
         before, rule = shape["pre_tokenizer"], shape["normalizer"]
@@ -62,32 +71,96 @@ class Encoder(dict):
         self.lowers = "Lowercase" in json.dumps(rule) and "Split" in json.dumps(before)
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
-        out = []
-        for text in texts:
+        """The texts together: a piece that comes in many of them is looked up once."""
+        out: list[bytes | None] = [None] * len(texts)
+        plain = []
+        for i, text in enumerate(texts):
             if any(mark in text for mark in self.marks):
-                out.append(self._text_ids(text))
-                continue
-            first, *rest = self._pieces(text)
-            out.append(self._text_ids(first) + b"".join(map(self.__getitem__, rest)))
+                out[i] = self._text_ids(text)
+            elif text.startswith(" ") or _inner_space.search(text):
+                first, *rest = self._pieces(text)
+                out[i] = self._text_ids(first) + b"".join(map(self.__getitem__, rest))
+            else:
+                plain.append(i)
+        for i, ids in zip(plain, self._encode_plain([texts[i] for i in plain])):
+            out[i] = ids
         return out
 
+    def _encode_plain(self, texts: list[str]) -> Iterator[bytes]:
+        """Texts whose spaces all follow a non-space, cut at every space, and plain words from what stands behind them."""
+        if not texts:
+            return
+        parts = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        begun = parts.offsets.to_numpy()
+        first = [text.split(" ", 1)[0] for text in texts]
+        pieces = parts.flatten().dictionary_encode()
+        place = pieces.indices.to_numpy().astype(np.int64)
+        ids, word, tail = self._ids_of(pieces.dictionary)
+        # two entries of ids a piece; the first piece of a text has no space before it and an entry of its own
+        entries = np.stack([word[place], tail[place]], axis=1)
+        entries[begun[:-1]] = np.stack([len(ids) + np.arange(len(texts)), np.zeros(len(texts), np.int64)], axis=1)
+        ids += [self._text_ids(p) for p in first]
+        length = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        start, flat = np.cumsum(length) - length, np.frombuffer(b"".join(ids), "<u4")
+        # as many texts at a time as have GATHERED pieces
+        cuts = np.flatnonzero(np.diff(begun[1:] // GATHERED)) + 1
+        for some in np.split(np.arange(len(texts)), cuts):
+            a, b = begun[some[0]], begun[some[-1] + 1]
+            taken = entries[a:b].ravel()
+            each = length[taken]
+            ends = np.cumsum(each)
+            shift = start[taken] - (ends - each)
+            whole = flat[np.repeat(shift, each) + np.arange(ends[-1])]
+            upto = [0, *ends[2 * (begun[some + 1] - a) - 1].tolist()]
+            for begin, end in zip(upto, upto[1:]):
+                yield whole[begin:end].tobytes()
+
+    def _ids_of(self, pieces: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """Ids of different pieces as entries of a list: for each piece the entry of its word and that of its tail.
+
+        The first entry is empty. What is no plain word with punctuation is an entry as a whole.
+        """
+        if not (self.keeps_space or self.lowers):
+            return [b"", *map(self.__getitem__, pieces.to_pylist())], 1 + np.arange(len(pieces)), np.zeros(len(pieces), np.int64)
+        split = pc.extract_regex(pieces, _plain_named)
+        other = split.is_null()
+        words, tails = (split.field(i).dictionary_encode() for i in range(2))
+        word, tail = (d.indices.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) for d in (words, tails))
+        ids = [b""]
+        word += len(ids)
+        ids += self._words_ids(words.dictionary.to_pylist())
+        tail += len(ids)
+        ids += map(self._tail_ids, tails.dictionary.to_pylist())
+        at = np.flatnonzero(other.to_numpy(zero_copy_only=False))
+        word[at], tail[at] = len(ids) + np.arange(len(at)), 0
+        ids += map(self.__getitem__, pieces.filter(other).to_pylist())
+        return ids, word, tail
+
+    def _words_ids(self, words: list[str]) -> list[bytes]:
+        found = list(map(self.get, words))
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            found[i] = self[words[i]]
+        return found
+
     def _pieces(self, text: str) -> list[str]:
         """The text cut at spaces that follow a non-space; those spaces are left out."""
-        pieces = text.split(" ")
-        if not _inner_space.search(text) and not text.startswith(" "):
-            return pieces
-        out = pieces[:1]
-        for p in pieces[1:]:
-            if not out[-1] or out[-1][-1].isspace():
-                out[-1] += " " + p
+        out = text.split(" ")
+        joined = out[:1]
+        for p in out[1:]:
+            if not joined[-1] or joined[-1][-1].isspace():
+                joined[-1] += " " + p
             else:
-                out.append(p)
-        return out
+                joined.append(p)
+        return joined
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= CACHE_PIECES:
+        if len(self) >= CACHE_PIECES // 2:
+            self.before = dict(self)
             self.clear()
-        self[piece] = ids = self._piece_ids(piece)
+        ids = self.before.get(piece)
+        if ids is None:
+            ids = self._piece_ids(piece)
+        self[piece] = ids
         return ids
 
     def _piece_ids(self, piece: str) -> bytes:
@@ -101,8 +174,9 @@ class Encoder(dict):
         if plain is None:
             return self._text_ids(" " + piece)
         word, tail = plain.groups()
-        known = self.get(word) if tail else None
-        return (known or self._word_ids(" " + word if self.keeps_space else word)) + self._tail_ids(tail)
+        if tail:  # the word alone is met with other punctuation too
+            return self[word] + self._tail_ids(tail)
+        return self._word_ids(" " + word if self.keeps_space else word)
 
     def _line_ids(self, piece: str) -> bytes:
         """A piece that goes over line ends: a single one between plain words stands alone."""
@@ -111,7 +185,17 @@ class Encoder(dict):
         if None in later or not _plain.fullmatch(first):
             return self._text_ids(" " + piece)
         end = self._tail_ids("\n") if self.keeps_space else b""
-        return self[first] + b"".join(end + self._word_ids(p[1]) + self._tail_ids(p[2]) for p in later)
+        return self[first] + b"".join(end + self._line_word(p[1]) + self._tail_ids(p[2]) for p in later)
+
+    def _line_word(self, word: str) -> bytes:
+        """A word at the beginning of a line, remembered under a key that is no piece's."""
+        if not self.keeps_space:
+            return self[word]
+        key = "\n" + word
+        ids = self.get(key) or self.before.get(key)
+        if ids is None:
+            self[key] = ids = self._word_ids(word)
+        return ids
 
     def _word_ids(self, word: str) -> bytes:
         return self._cut_ids(_as_bytes(word.lower() if self.lowers else word))
