@@ -129,15 +129,12 @@ def pack(docs: DataFrame, tokenizer: str, *, end_id: int, length: int = LENGTH,
 
         end = int(end_id).to_bytes(4, "little")
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                for doc_id, raw in zip(part.column(0).to_pylist(),
-                                       encoder(tokenizer).encode(part.column(1).to_pylist())):
-                    ids.append(doc_id)
-                    raws.append(raw + end)
-                    held += len(raw) // 4 + 1
-                    if len(ids) >= group_docs or held >= group_tokens:
-                        yield from close()
+            for doc_id, raw in zip(batch.column(0).to_pylist(), encoder(tokenizer).encode(batch.column(1).to_pylist())):
+                ids.append(doc_id)
+                raws.append(raw + end)
+                held += len(raw) // 4 + 1
+                if len(ids) >= group_docs or held >= group_tokens:
+                    yield from close()
         if ids:
             yield from close()
         give_back()

@@ -137,11 +137,25 @@ class Encoder(dict):
         return ids, word, tail
 
     def _words_ids(self, words: list[str]) -> list[bytes]:
+        if len(self) >= CACHE_PIECES // 2:
+            self._age()
         found = list(map(self.get, words))
+        before, cut, space = self.before.get, self._cut_ids, "Ġ" if self.keeps_space else None
         for i in [i for i, ids in enumerate(found) if ids is None]:
-            found[i] = self[words[i]]
+            word = words[i]
+            ids = before(word)
+            if ids is None:
+                if word.isascii():
+                    ids = cut(space + word if space else word.lower())
+                else:
+                    ids = self._word_ids(" " + word if space else word)
+            self[word] = found[i] = ids
         return found
 
+    def _age(self) -> None:
+        self.before = dict(self)
+        self.clear()
+
     def _pieces(self, text: str) -> list[str]:
         """The text cut at spaces that follow a non-space; those spaces are left out."""
         out = text.split(" ")
@@ -155,8 +169,7 @@ class Encoder(dict):
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= CACHE_PIECES // 2:
-            self.before = dict(self)
-            self.clear()
+            self._age()
         ids = self.before.get(piece)
         if ids is None:
             ids = self._piece_ids(piece)
