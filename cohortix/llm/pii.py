@@ -85,7 +85,9 @@ def _alternatives(*patterns: str) -> str:
 
 
 ANY = _alternatives(EMAIL, IBAN, ISO, DAY_FIRST, NAMED, CARD, ADDRESS, SOCIAL, PHONE, HEX_KEY, ACCESS_KEY)
-MAYBE = r"[0-9]{2}|@"  # every kind has one of these
+# Every match holds one of these: an @, two digits together, an address' digit before a dot, the digit behind
+# the plus of a spaced number, an access key's prefix, a key's run of hexadecimal digits.
+MAYBE = r"[0-9]{2}|@|[0-9]\.[0-9]|\+[0-9]|AKIA|[0-9a-fA-F]{32}"
 
 
 @dataclass(frozen=True)
