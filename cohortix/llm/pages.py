@@ -6,7 +6,7 @@ like siblings are one repeated node. Trees of a host are aligned by simple tree
 template, one whose text changes is a slot. The wrapper is the path to the content - the
 article if the template has one, else the part that holds most of the changing text - and
 the constant nodes inside it. Menus, notices, forms and the like are left out by what their
-elements say of themselves.
+elements are; what they are named counts only for elements that do not hold the content.
 
 All pages count but those without a tree: a task folds its pages into one row per host and
 shape of tree. The shapes of a host are merged in buckets until one template is left. What is
@@ -36,7 +36,7 @@ MIN_PAGES = 3
 NEARLY = 0.9
 SHARE = 0.6
 WRAPPER_BYTES = 32 << 20
-DEPTH = 200
+DEPTH = 200  # of the trees; deeper elements follow one another there
 
 # Elements of HTML by what they do.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -77,17 +77,17 @@ TEXT = "#"
 class Node:
     """An element; ``children`` are elements and strings."""
 
-    __slots__ = ("tag", "label", "out", "children")
+    __slots__ = ("tag", "label", "out", "named", "children")
 
-    def __init__(self, tag: str, label: str, out: bool):
-        self.tag, self.label, self.out = tag, label, out
+    def __init__(self, tag: str, label: str, out: bool, named: bool = False):
+        self.tag, self.label, self.out, self.named = tag, label, out or named, named and not out
         self.children: list[Node | str] = []
 
 
-def _described(tag: str, attributes: str) -> tuple[str, bool]:
-    """The label an element is aligned by, and whether it says that it is no content."""
+def _described(tag: str, attributes: str) -> tuple[str, bool, bool]:
+    """The label an element is aligned by, whether it is no content, and whether its names say so."""
     if not attributes or "=" not in attributes:
-        return tag, tag in LEFT_OUT or bool(attributes and _bare_hidden.search(attributes))
+        return tag, tag in LEFT_OUT or bool(attributes and _bare_hidden.search(attributes)), False
     found = {}
     for name, a, b, c in _attribute.findall(attributes):
         found.setdefault(name.lower(), entities.unescape(a or b or c).lower())
@@ -95,21 +95,49 @@ def _described(tag: str, attributes: str) -> tuple[str, bool]:
     names = [] if tag in WHOLE else [n for word in said if not _state.match(word) for n in _name.split(word) if n]
     label = ".".join([tag, *_digits.sub("", found.get("class", "")).split()])
     hidden = found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "")
-    return label, tag in LEFT_OUT or hidden or any(map(LEFT_OUT_NAMES.match, names)) or bool(
-        _bare_hidden.search(_attribute.sub("", attributes)))
+    return label, tag in LEFT_OUT or hidden or bool(_bare_hidden.search(_attribute.sub("", attributes))), any(
+        map(LEFT_OUT_NAMES.match, names))
 
 
 def parse(html: str) -> Node:
-    """The tree of a page; broken nesting is mended as browsers do in the common cases."""
+    """The tree of a page; broken nesting is mended as browsers do in the common cases.
+
+    Elements nested deeper than ``DEPTH`` lie in the tree one after another, in page order, and
+    left out with what holds them.
+    """
     root = Node("", "", False)
     stack, at, n = [root], 0, len(html)
+
+    def add(child: Node | str) -> None:
+        if len(stack) <= DEPTH:
+            stack[-1].children.append(child)
+            return
+        # marks inside a line hold nothing themselves; what they hold is their block's
+        i = len(stack) - 1
+        while i >= DEPTH and not stack[i].out and stack[i].tag not in BLOCK:
+            i -= 1
+        level = stack[DEPTH - 1].children
+        if isinstance(child, Node):
+            child.out, child.named = child.out or stack[-1].out, child.named or stack[-1].named
+            if child.tag in BLOCK or child.out:
+                level.append(child)
+                return
+            if child.tag not in VOID:
+                return
+        if i >= DEPTH and level[-1] is not stack[i]:  # the block goes on behind one inside it
+            again = Node(stack[i].tag, stack[i].label, stack[i].out)
+            again.named = stack[i].named
+            level.append(again)
+            stack[i] = again
+        stack[i].children.append(child)
+
     while at < n:
         m = _token.search(html, at)
         end = m.start() if m else n
         if end > at and not (text := html[at:end]).isspace():
-            stack[-1].children.append(entities.unescape(text) if "&" in text else text)
+            add(entities.unescape(text) if "&" in text else text)
         elif end > at:
-            stack[-1].children.append(" ")
+            add(" ")
         if m is None:
             break
         at = m.end()
@@ -117,18 +145,59 @@ def parse(html: str) -> Node:
             _close(stack, m.group(1).lower())
         elif m.group(2):
             tag = m.group(2).lower()
-            label, out = _described(tag, m.group(3))
             _make_room(stack, tag)
-            node = Node(tag, label, out)
-            stack[-1].children.append(node)
+            node = Node(tag, *_described(tag, m.group(3)))
+            add(node)
             if tag in RAW:
                 close = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|$)", re.I).search(html, at)
                 at = close.end() if close else n
-            elif tag not in VOID and not m.group(3).endswith("/") and len(stack) < DEPTH:
+            elif tag not in VOID and not m.group(3).endswith("/"):
                 stack.append(node)
+    _take_in(root)
     return root
 
 
+def _take_in(root: Node) -> None:
+    """Elements that only their names leave out stay in if they hold the content.
+
+    That is the article or main part with most text, if all of them are so named or within
+    such an element; on a page without one, whatever holds ``SHARE`` of the text.
+    """
+    sizes: dict[int, int] = {}
+    found: list[tuple[int, bool, list[Node]]] = []  # text, whether it is left out by names, the way to it
+
+    def look(node: Node, way: list[Node], linked: bool) -> int:
+        linked = linked or node.tag == "a"
+        way = [*way, node] if node.named else way
+        size = 0
+        for c in node.children:
+            if isinstance(c, str):
+                size += 0 if linked else len(c.strip())
+            elif (not c.out or c.named) and c.tag not in RAW:
+                size += look(c, way, linked)
+        sizes[id(node)] = size
+        if node.tag in ("article", "main"):
+            found.append((size, bool(way), way))
+        return size
+
+    whole = look(root, [], False)
+    with_text = [f for f in found if f[0]]
+    if with_text:
+        if all(named for _, named, _ in with_text):
+            for node in max(with_text, key=lambda f: f[0])[2]:
+                node.out = node.named = False
+        return
+
+    def widen(node: Node) -> None:
+        for c in node.children:
+            if isinstance(c, Node) and sizes.get(id(c), 0) >= SHARE * whole > 0:
+                if c.named:
+                    c.out = c.named = False
+                widen(c)
+
+    widen(root)
+
+
 def _close(stack: list[Node], tag: str) -> None:
     for i in range(len(stack) - 1, 0, -1):
         if stack[i].tag == tag:
@@ -174,7 +243,7 @@ def template(node: Node, linked: bool = False) -> list:
     A text leaf keeps the keys of its texts, how many characters outside links they hold, and
     whether pages differ in them.
     """
-    children: list[list] = []
+    runs: list[list[list]] = []
     if node.tag not in RAW:
         linked = linked or node.tag == "a"
         for c in node.children:
@@ -185,58 +254,109 @@ def template(node: Node, linked: bool = False) -> list:
                 child = [TEXT, [text_key(text)], 0 if linked else len(text), False]
             else:
                 child = template(c, linked)
-            if children and children[-1][0] == child[0]:
-                children[-1] = merged(children[-1], child, one_page=True)
+            if runs and runs[-1][0][0] == child[0]:
+                runs[-1].append(child)
             else:
-                children.append(child)
-    return [node.label, node.out, children]
+                runs.append([child])
+    return [node.label, node.out, [merged_run(run) for run in runs]]
+
+
+def merged_run(run: Sequence[list]) -> list:
+    """Like siblings of one page as one node; those of one shape at once, others by halves."""
+    if len(run) == 1:
+        return run[0]
+    first = run[0]
+    if first[0] == TEXT:
+        return [TEXT, sorted({key for t in run for key in t[1]}), sum(t[2] for t in run), any(t[3] for t in run)]
+    labels = [c[0] for c in first[2]]
+    if all([c[0] for c in t[2]] == labels for t in run):
+        return [first[0], first[1], [merged_run([t[2][i] for t in run]) for i in range(len(labels))]]
+    half = len(run) // 2
+    return merged(merged_run(run[:half]), merged_run(run[half:]), one_page=True)
+
+
+Sizes = dict[tuple[int, int], int]
+
 
+def match_size(a: list, b: list, known: Sizes | None = None) -> int:
+    """Simple tree matching: the most nodes that two trees can pair in order, below paired parents.
 
-def match_size(a: list, b: list) -> int:
-    """Simple tree matching: the most nodes that two trees can pair in order, below paired parents."""
+    ``known`` remembers the pairs of trees of one merge.
+    """
     if a[0] != b[0]:
         return 0
     if a[0] == TEXT:
         return 1
-    return 1 + _aligned(a[2], b[2])[-1][-1]
+    known = {} if known is None else known
+    key = id(a), id(b)
+    if key not in known:
+        x, y = a[2], b[2]
+        start, end = _same_ends(x, y)
+        same = sum(map(nodes, [*x[:start], *x[len(x) - end:]]))
+        known[key] = 1 + same + _aligned(x[start:len(x) - end], y[start:len(y) - end], known)[-1][-1]
+    return known[key]
+
+
+def nodes(t: list) -> int:
+    return 1 if t[0] == TEXT else 1 + sum(map(nodes, t[2]))
+
+
+def alike(a: list, b: list) -> bool:
+    """Whether two templates have the same labels throughout."""
+    return a[0] == b[0] and (a[0] == TEXT or len(a[2]) == len(b[2]) and all(map(alike, a[2], b[2])))
+
+
+def _same_ends(x: Sequence[list], y: Sequence[list]) -> tuple[int, int]:
+    """How many trees are alike at the beginning and at the end; pairing those is best."""
+    most, start, end = min(len(x), len(y)), 0, 0
+    while start < most and alike(x[start], y[start]):
+        start += 1
+    while end < most - start and alike(x[-1 - end], y[-1 - end]):
+        end += 1
+    return start, end
 
 
-def _aligned(a: Sequence[list], b: Sequence[list]) -> list[list[int]]:
+def _aligned(a: Sequence[list], b: Sequence[list], known: Sizes) -> list[list[int]]:
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a):
         for j, y in enumerate(b):
-            pair = match_size(x, y) if x[0] == y[0] else 0
+            pair = match_size(x, y, known) if x[0] == y[0] else 0
             best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + pair)
     return best
 
 
-def merged(a: list, b: list, one_page: bool = False) -> list:
+def merged(a: list, b: list, one_page: bool = False, known: Sizes | None = None) -> list:
     """Two templates of one label as one: paired nodes merged, the others side by side.
 
     Leaves of different pages keep the texts that all of them have, like siblings of one page
     all of their texts.
     """
+    known = {} if known is None else known
     if a[0] == TEXT:
         keys = sorted({*a[1], *b[1]} if one_page else {*a[1]} & {*b[1]})
         changes = a[3] or b[3] or (not one_page and sorted(a[1]) != sorted(b[1]))
         return [TEXT, keys, a[2] + b[2], changes]
     x, y = a[2], b[2]
     if [c[0] for c in x] == [c[0] for c in y]:
-        return [a[0], a[1], [merged(c, d, one_page) for c, d in zip(x, y)]]
+        return [a[0], a[1], [merged(c, d, one_page, known) for c, d in zip(x, y)]]
     alone = (lambda t: t) if one_page else _optional
-    best, i, j, out = _aligned(x, y), len(x), len(y), []
+    start, end = _same_ends(x, y)
+    lead = [merged(c, d, one_page, known) for c, d in zip(x[:start], y[:start])]
+    tail = [merged(c, d, one_page, known) for c, d in zip(x[len(x) - end:], y[len(y) - end:])]
+    x, y = x[start:len(x) - end], y[start:len(y) - end]
+    best, i, j, out = _aligned(x, y, known), len(x), len(y), []
     while i or j:
-        pair = match_size(x[i - 1], y[j - 1]) if i and j and x[i - 1][0] == y[j - 1][0] else 0
+        pair = match_size(x[i - 1], y[j - 1], known) if i and j and x[i - 1][0] == y[j - 1][0] else 0
         if pair and best[i][j] == best[i - 1][j - 1] + pair:
             i, j = i - 1, j - 1
-            out.append(merged(x[i], y[j], one_page))
+            out.append(merged(x[i], y[j], one_page, known))
         elif i and best[i][j] == best[i - 1][j]:
             i -= 1
             out.append(alone(x[i]))
         else:
             j -= 1
             out.append(alone(y[j]))
-    return [a[0], a[1], out[::-1]]
+    return [a[0], a[1], [*lead, *out[::-1], *tail]]
 
 
 def _optional(t: list) -> list:
@@ -306,23 +426,23 @@ def compact(t: list) -> list:
     """Runs of like siblings merged into one, in a list of more than ``WIDE`` all like siblings."""
     if t[0] == TEXT:
         return t
-    children: list[list] = []
+    runs: list[list[list]] = []
     places: dict[str, int] = {}
     wide = len(t[2]) > WIDE
     for c in t[2]:
-        at = places.get(c[0]) if wide else len(children) - 1
-        if at is not None and at >= 0 and children[at][0] == c[0]:
-            children[at] = merged(children[at], c, one_page=True)
+        at = places.get(c[0]) if wide else len(runs) - 1
+        if at is not None and at >= 0 and runs[at][0][0] == c[0]:
+            runs[at].append(c)
         else:
-            places[c[0]] = len(children)
-            children.append(c)
-    return [t[0], t[1], [compact(c) for c in children]]
+            places[c[0]] = len(runs)
+            runs.append([c])
+    return [t[0], t[1], [compact(merged_run(run)) for run in runs]]
 
 
 def merged_all(templates: Sequence[list]) -> list:
-    whole = templates[0]
+    whole = compact(templates[0])
     for t in templates[1:]:
-        whole = compact(merged(whole, t))
+        whole = compact(merged(whole, compact(t)))
     return whole
 
 
