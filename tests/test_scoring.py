@@ -13,7 +13,6 @@ from cohortix import schema as S
 from cohortix.catalog import standins as P
 from cohortix.operators import churn, curves
 from cohortix.operators.cluster_scores import centroid_scores, squared_silhouettes
-from cohortix.operators.kmeans import with_vector
 from cohortix.operators.score import Scorer, model_probability
 from cohortix.session import sized
 
@@ -93,7 +92,7 @@ def test_squared_silhouette_equals_brute_force(spark):
 
 
 def test_partitions_follow_the_rows_alone(spark):
-    table = with_vector(spark.range(1_000).select(F.col("id").alias(S.ID), F.col("id").cast("double").alias("x")), ["x"])
+    table = spark.range(1_000).select(F.col("id").alias(S.ID), F.col("id").cast("double").alias("x"))
     for source in (table, table.repartition(7)):
         parts = sized(source, S.ID, 100)
         assert parts.rdd.getNumPartitions() == 10
