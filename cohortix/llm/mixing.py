@@ -6,6 +6,10 @@ each shard draws its counts from the multinomial distribution of what the source
 so the totals are met. Slot j of a source takes the block to which a keyed permutation of
 its block numbers sends j, once around after another, and the last slot takes only the words
 still missing. Slots and blocks are joined by block number.
+
+Sources are rows of a table, however many there are. The driver sees two sums per round of the
+targets and the slots of groups of ``GROUP`` sources; a multinomial draw among all sources is one
+among the groups followed by one inside each group, which a task makes.
 """
 
 from __future__ import annotations
@@ -16,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortix.llm.common import WORD, filled, fresh, give_back, offsets, ready, sole_cache
@@ -27,7 +31,7 @@ SHARDS = 64
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 LIMIT = 2
-MAX_SOURCES = 100_000
+GROUP = 1_000
 BUCKET_ROWS = 4_000
 ROUNDS = 6
 STRETCH = 1 << 16
@@ -35,50 +39,24 @@ STRETCH = 1 << 16
 
 @dataclass(frozen=True)
 class Source:
-    """One source: its words, its target, and its slots per shard."""
+    """What the slots of a source depend on: its words, how many the mix takes, its blocks."""
 
-    name: str | None
+    number: int
     size: int
-    target: float
     words: int
     blocks: int
-    slots: int
-
-
-def targets(sizes: Sequence[int], weights: Sequence[float], share: float, limit: float) -> list[float]:
-    """Shares of ``share`` times all sizes by weight, none above ``limit`` times its size.
-
-    What lies above a limit goes to the others by weight until none is above.
-    """
-    left = share * sum(sizes)
-    out = [0.0] * len(sizes)
-    free = [i for i, n in enumerate(sizes) if n]
-    while free:
-        weight = sum(weights[i] for i in free)
-        over = [i for i in free if left * weights[i] / weight > limit * sizes[i]]
-        if not over:
-            for i in free:
-                out[i] = left * weights[i] / weight
-            break
-        for i in over:
-            out[i] = float(limit * sizes[i])
-        left -= sum(out[i] for i in over)
-        free = [i for i in free if i not in set(over)]
-    return out
 
 
-def shard_counts(slots: Sequence[int], shards: int, seed: int) -> np.ndarray:
+def draw_counts(slots: Sequence[int], needs: Sequence[int], seed: int | Sequence[int]) -> np.ndarray:
     """``counts[shard, source]``: multinomial draws from the slots each source has left.
 
-    The shards have equal lengths up to one slot. A draw above what a source has left is cut
-    and drawn anew among the others, so the columns add up to ``slots``.
+    A shard draws as many slots as it ``needs``. A draw above what a source has left is cut
+    and drawn anew among the others, so the columns add up to ``slots`` if the needs do.
     """
     rng = np.random.default_rng(seed)
     left = np.array(slots, np.int64)
-    total = int(left.sum())
-    counts = np.zeros((shards, len(slots)), np.int64)
-    for shard in range(shards):
-        need = total * (shard + 1) // shards - total * shard // shards
+    counts = np.zeros((len(needs), len(left)), np.int64)
+    for shard, need in enumerate(needs):
         while need:
             drawn = np.minimum(rng.multinomial(need, left / left.sum()), left)
             counts[shard] += drawn
@@ -87,6 +65,12 @@ def shard_counts(slots: Sequence[int], shards: int, seed: int) -> np.ndarray:
     return counts
 
 
+def shard_counts(slots: Sequence[int], shards: int, seed: int) -> np.ndarray:
+    """``draw_counts`` for shards of equal lengths up to one slot."""
+    total = sum(slots)
+    return draw_counts(slots, [total * (k + 1) // shards - total * k // shards for k in range(shards)], seed)
+
+
 def mix(docs: DataFrame, *, weights: Sequence[float] = WEIGHTS, share: float = SHARE,
         limit: int = LIMIT, block_words: int = BLOCK_WORDS, shards: int = SHARDS, seed: int = 11,
         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -103,30 +87,17 @@ def mix(docs: DataFrame, *, weights: Sequence[float] = WEIGHTS, share: float = S
     Sources weigh ``weights`` in turn, by code point, missing source last. Repeated rows are
     documents of their own; a table without words gives targets of 0 and no draws.
     """
-    spark = docs.sparkSession
     text = filled(text_col)
     words = F.when(F.col(text_col).isNull(), 0).otherwise(F.regexp_count(text, F.lit(WORD)))
     sized = written(docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
         F.xxhash64(text).alias("hash"), words.cast("long").alias("size")), "sizes")
-    names = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("rows")).limit(
-        MAX_SOURCES + 1).toArrow().to_pylist()
-    if len(names) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources; mix groups of them")
-    plan = plan_sources(names, weights, share, limit, block_words)
-    table = frame_of(
-        spark, [(i, s.name, s.size, s.target, s.words, s.blocks) for i, s in enumerate(plan)],
-        "number int, name string, source_size long, target double, words long, blocks long")
-
-    rows = sum(n["rows"] for n in names)
-    placed = _starts(sized, max(1, -(-rows // BUCKET_ROWS)))
-    documents = placed.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("name")), "left").select(
-        "doc_id", "source", "hash", "size", F.coalesce("source_size", F.lit(0)).alias("source_size"),
-        F.coalesce("target", F.lit(0.0)).alias("target"), F.when(F.col("size") > 0, F.col("start")).alias("start"),
-        F.col("number").alias("source_number"))
-    documents = written(documents, "mix-documents")
-
-    slots = _slots(spark, plan, block_words, shards, seed)
+    plan = plan_sources(sized, weights, share, limit, block_words)
+    rows = plan.agg(F.sum("rows")).first()[0] or 0
+    documents = written(_starts(sized, plan, max(1, -(-rows // BUCKET_ROWS))).withColumn(
+        "start", F.when(F.col("size") > 0, F.col("start"))), "mix-documents")
+
+    slots = _slots(plan, block_words, shards, seed)
     covered = documents.where("size > 0").withColumn("block", F.explode(F.expr(
         f"sequence(start div {block_words}, (start + size - 1) div {block_words})")))
     first = F.greatest(F.col("start"), F.col("block") * block_words)
@@ -137,46 +108,86 @@ def mix(docs: DataFrame, *, weights: Sequence[float] = WEIGHTS, share: float = S
     return documents, draws
 
 
-def plan_sources(names: Sequence[dict], weights: Sequence[float], share: float, limit: int,
-                 block_words: int) -> list[Source]:
-    """Targets, whole words and slots of the sources, in code point order, missing last."""
-    # UTF-8 keeps the order of code points
-    order = sorted(names, key=lambda n: (n["source"] is None, (n["source"] or "").encode("utf-8", "surrogatepass")))
-    sizes = [int(n["size"] or 0) for n in order]
-    wanted = targets(sizes, [weights[i % len(weights)] for i in range(len(sizes))], share, limit)
-    out = []
-    for n, size, target in zip(order, sizes, wanted):
-        blocks = -(-size // block_words)
-        words = round(target)
-        full, rest = divmod(words, size) if size else (0, 0)
-        out.append(Source(n["source"], size, target, words, blocks, full * blocks + _slots_for(rest, size, block_words)))
-    return out
+def plan_sources(sized: DataFrame, weights: Sequence[float], share: float, limit: float,
+                 block_words: int) -> DataFrame:
+    """The sources of ``sized`` (``source, size``), numbered from 0 in code point order, missing last.
 
-
-def _slots_for(words: int, size: int, block_words: int) -> int:
-    """Slots that surely hold ``words``, should the short last block be among them."""
-    if not words:
-        return 0
+    A row per source: ``source_number, name, rows, source_size``, the ``target``, the whole ``words``
+    of it, ``blocks`` and ``slots``. Targets are shares of ``share`` times all sizes by weight,
+    none above ``limit`` times its size; what lies above goes to the others by weight.
+    """
+    names = written(sized.groupBy(F.col("source").alias("name")).agg(
+        F.sum("size").alias("source_size"), F.count("*").alias("rows")), "source-sizes")
+    turns = F.array(*(F.lit(float(w)) for w in weights))
+    sources = _numbered(names).withColumn(
+        "weight", F.element_at(turns, (F.col("source_number") % len(weights)).cast("int") + 1))
+    sources = written(sources, "sources")
+
+    size, words, blocks = F.col("source_size"), F.col("words"), F.col("blocks")
+    target = F.when(size > 0, F.least(F.lit(float(limit)) * size, _level(sources, share, limit))).otherwise(0.0)
+    # the slots that surely hold the rest of the words, should the short last block be among them
     short = size % block_words
-    return min(-(-size // block_words), -(-(words + (block_words - short if short else 0)) // block_words))
+    rest = F.col("rest") + F.when(short > 0, block_words - short).otherwise(0)
+    last = F.when(F.col("rest") > 0, F.least(blocks, F.ceil(rest / block_words))).otherwise(0)
+    full = F.when(size > 0, F.floor(words / size)).otherwise(0)
+    planned = sources.withColumn("target", target).withColumns({
+        "words": F.rint("target").cast("long"), "blocks": F.ceil(size / block_words)}).withColumn(
+        "rest", F.when(size > 0, words % size).otherwise(0))
+    return written(planned.withColumn("slots", full * blocks + last).drop("weight", "rest"), "source-plan")
+
+
+def _numbered(names: DataFrame) -> DataFrame:
+    """Add ``source_number``: ranges of names are numbered apart, their sizes summed up first."""
+    from pyspark.sql import Window as W
+
+    order = F.col("name").asc_nulls_last()
+    ranges = max(1, -(-names.count() // BUCKET_ROWS))
+    parted = written(names.repartitionByRange(ranges, order).withColumn("range", F.spark_partition_id()), "source-ranges")
+    before = offsets(parted.groupBy("range").agg(F.count("*").alias("n")).withColumn("all", F.lit(0)),
+                     ["all"], ["range"], "n", "before").select("range", "before")
+    place = F.row_number().over(W.partitionBy("range").orderBy(order)) - 1
+    return parted.join(before, "range").withColumn("source_number", F.col("before") + place).drop("range", "before")
 
 
-def _starts(sized: DataFrame, buckets: int) -> DataFrame:
-    """Add ``start``, the words of the source before a row, in the order of a hash.
+def _level(sources: DataFrame, share: float, limit: float) -> Column:
+    """What a source gets by its weight when those above their limit are held to it.
 
-    A bucket holds few rows of a source; the totals of the buckets are summed up first.
+    The level only rises, so sources once above it stay there; rounds end when no more are.
+    """
+    size, weight = F.col("source_size"), F.col("weight")
+    filled_sources = sources.where(size > 0)
+    totals = filled_sources.agg(F.sum(size), F.sum(weight)).first()
+    all_words, all_weight = totals[0] or 0, totals[1] or 0.0
+    left, free, held = share * all_words, all_weight, 0
+    while free > 0:
+        over = F.lit(float(left)) * weight / F.lit(float(free)) > F.lit(float(limit)) * size
+        row = filled_sources.where(over).agg(F.count("*"), F.sum(size), F.sum(weight)).first()
+        if row[0] <= held:
+            return F.lit(float(left)) * weight / F.lit(float(free))
+        held, left, free = row[0], share * all_words - limit * row[1], all_weight - row[2]
+    return F.lit(float("inf"))
+
+
+def _starts(sized: DataFrame, plan: DataFrame, buckets: int) -> DataFrame:
+    """Add number, size and target of the source, and ``start``, the words of the source before
+    a row, in the order of a hash.
+
+    A bucket holds few rows of a source; the totals of the buckets are summed up first and
+    carry what is known of the source, so rows are never joined by the source alone.
     """
     from pyspark.sql import Window as W
 
     spread = sized.withColumn("draw", F.xxhash64("doc_id", "hash")).withColumn(
         "part", F.pmod(F.col("draw"), F.lit(buckets)).cast("int"))
     parts = spread.groupBy("source", "part").agg(F.sum("size").alias("n"))
-    parts = offsets(parts, ["source"], ["part"], "n", "before").select(
-        F.col("source").alias("s"), F.col("part").alias("p"), "before")
+    known = plan.select("name", "source_number", "source_size", "target")
+    parts = offsets(parts, ["source"], ["part"], "n", "before").join(
+        known, F.col("source").eqNullSafe(F.col("name"))).select(
+        F.col("source").alias("s"), F.col("part").alias("p"), "before", "source_number", "source_size", "target")
     inside = W.partitionBy("source", "part").orderBy("draw", "doc_id", "hash").rowsBetween(W.unboundedPreceding, -1)
     joined = spread.join(parts, F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p")))
     return joined.withColumn("start", F.col("before") + F.coalesce(F.sum("size").over(inside), F.lit(0))).select(
-        "doc_id", "source", "hash", "size", "start")
+        "doc_id", "source", "hash", "size", "source_size", "target", "start", "source_number")
 
 
 class Permutation:
@@ -213,7 +224,7 @@ class Permutation:
         return out.astype(np.int64)
 
 
-def slots_of(source: Source, number: int, begin: int, n: int, block_words: int, seed: int) -> dict[str, np.ndarray]:
+def slots_of(source: Source, begin: int, n: int, block_words: int, seed: int) -> dict[str, np.ndarray]:
     """``block, take, round`` of the slots ``begin`` to ``begin + n - 1`` of a source.
 
     ``take`` is how many words, from the start of its block, a slot takes; the last round
@@ -225,7 +236,7 @@ def slots_of(source: Source, number: int, begin: int, n: int, block_words: int,
     short = source.blocks * block_words - source.size
     for r in np.unique(rounds).tolist():
         here = rounds == r
-        order = Permutation(source.blocks, (seed << 40) ^ (number << 16) ^ r)
+        order = Permutation(source.blocks, (seed << 40) ^ (source.number << 16) ^ r)
         block[here] = order(turn[here])
         last = int(order(np.array([source.blocks - 1]), back=True)[0])
         before = turn[here] * block_words - np.where(turn[here] > last, short, 0)
@@ -235,29 +246,49 @@ def slots_of(source: Source, number: int, begin: int, n: int, block_words: int,
     return {"block": block, "take": take, "round": rounds}
 
 
-def _slots(spark, plan: Sequence[Source], block_words: int, shards: int, seed: int) -> DataFrame:
+def _slots(plan: DataFrame, block_words: int, shards: int, seed: int) -> DataFrame:
     """One row per slot of the mix, made by the executors from one row per shard and source."""
+    spark = plan.sparkSession
     ready(spark)
-    counts = shard_counts([s.slots for s in plan], shards, seed)
-    begins = np.cumsum(counts, axis=0) - counts
-    stretches = frame_of(
-        spark, [(i, shard, int(begins[shard, i]), int(counts[shard, i]))
-                for shard in range(shards) for i in range(len(plan)) if counts[shard, i]],
-        "source_number int, shard int, begin long, n long")
+    grouped = plan.where("slots > 0").withColumn("group", F.floor(F.col("source_number") / GROUP))
+    # a row per GROUP sources
+    totals = grouped.groupBy("group").agg(F.sum("slots").alias("slots")).orderBy("group").toArrow()
+    counts = shard_counts(totals["slots"].to_pylist(), shards, seed)
+    needs = frame_of(spark, [(g, counts[:, i].tolist()) for i, g in enumerate(totals["group"].to_pylist())],
+                     "group long, needs array<long>")
+    members = grouped.groupBy("group").agg(F.sort_array(F.collect_list(F.struct(
+        "source_number", "source_size", "words", "blocks", "slots"))).alias("sources"))
+    stretches = members.join(needs, "group").select("group", "sources", "needs").mapInArrow(
+        _group_draws(seed), "source_number long, source_size long, words long, blocks long, shard int, begin long, n long")
     pieces = stretches.withColumn("at", F.explode(F.expr(f"sequence(0L, n - 1, {STRETCH}L)")))
-    names = ("source_number", "shard", "slot", "block", "take", "round")
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for number, shard, begin, n, at in zip(*(c.to_pylist() for c in batch.columns)):
-                size = min(STRETCH, n - at)
-                found = slots_of(plan[number], number, begin + at, size, block_words, seed)
-                columns = {"source_number": np.full(size, number, np.int32), "shard": np.full(size, shard, np.int32),
-                           "slot": np.arange(at, at + size), **found}
-                yield pa.RecordBatch.from_arrays([pa.array(columns[c]) for c in names], list(names))
+            for number, size, words, blocks, shard, begin, n, at in zip(*(c.to_pylist() for c in batch.columns)):
+                length = min(STRETCH, n - at)
+                found = slots_of(Source(number, size, words, blocks), begin + at, length, block_words, seed)
+                columns = {"source_number": np.full(length, number, np.int64), "shard": np.full(length, shard, np.int32),
+                           "slot": np.arange(at, at + length), **found}
+                yield pa.RecordBatch.from_pydict(columns)
 
     return pieces.repartition("source_number", "shard", "at").mapInArrow(
-        spread, "source_number int, shard int, slot long, block long, take long, round long").where("take > 0")
+        spread, "source_number long, shard int, slot long, block long, take long, round long").where("take > 0")
+
+
+def _group_draws(seed: int):
+    """Draws the slots of each shard among the sources of a group, as many as the group gives it."""
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for group, sources, needs in zip(*(c.to_pylist() for c in batch.columns)):
+                counts = draw_counts([s["slots"] for s in sources], needs, [seed, group])
+                begins = np.cumsum(counts, axis=0) - counts
+                shard, place = np.nonzero(counts)
+                of = {k: np.array([s[k] for s in sources], np.int64)[place]
+                      for k in ("source_number", "source_size", "words", "blocks")}
+                yield pa.RecordBatch.from_pydict(
+                    {**of, "shard": shard.astype(np.int32), "begin": begins[shard, place], "n": counts[shard, place]})
+
+    return draw
 
 
 def taken(documents: DataFrame, draws: DataFrame) -> DataFrame:
@@ -273,7 +304,8 @@ def mixed_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     The text is what the slots of the round take, in the order of the document: the whole
     text unchanged, or its taken stretches joined by a line break. Documents without words
-    are not in the mix. A column ``n_chars`` is set to the length of the new text.
+    are not in the mix. A column ``n_chars`` is set to the length of the new text. Of rows equal
+    in id, source and text one is taken for all, whatever their other columns hold.
     """
     documents, draws = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
     text_hash, key_id, key_source, key_hash, taken_spans = (

@@ -324,10 +324,65 @@ def test_shards_of_an_odd_table(odd, none):
 
 
 # ---- mixes ------------------------------------------------------------------
-def test_targets_share_the_excess():
-    assert mixing.targets([100, 100, 100], (3, 1, 2), 1.5, 2) == pytest.approx([200, 250 / 3, 500 / 3])
-    assert mixing.targets([10, 0, 5], (3, 1, 2), 1.5, 2) == pytest.approx([13.5, 0, 9])
-    assert mixing.targets([], (), 1.5, 2) == []
+def brute_targets(sizes, weights, share, limit):
+    left, out = share * sum(sizes), [0.0] * len(sizes)
+    free = [i for i, n in enumerate(sizes) if n]
+    while free:
+        weight = sum(weights[i] for i in free)
+        over = [i for i in free if left * weights[i] / weight > limit * sizes[i]]
+        for i in over or free:
+            out[i] = float(limit * sizes[i]) if over else left * weights[i] / weight
+        left -= sum(out[i] for i in over)
+        free = [i for i in free if i not in over] if over else []
+    return out
+
+
+def planned(spark, sizes, names=None, weights=mixing.WEIGHTS, block_words=32):
+    rows = [(n, int(s)) for n, s in zip(names or [f"s{i:06d}" for i in range(len(sizes))], sizes)]
+    table = spark.createDataFrame(rows, "source string, size long")
+    return [r.asDict() for r in mixing.plan_sources(table, weights, 1.5, 2, block_words).orderBy("source_number").collect()]
+
+
+def test_targets_share_the_excess(spark):
+    assert [r["target"] for r in planned(spark, [100, 100, 100])] == pytest.approx([200, 250 / 3, 500 / 3])
+    assert [r["target"] for r in planned(spark, [10, 0, 5])] == pytest.approx([13.5, 0, 9])
+    assert planned(spark, []) == []
+    rnd = random.Random(3)
+    for n in (1, 2, 7, 60):
+        sizes = [rnd.choice([0, 1, 5, 40, 1_000, 90_000]) for _ in range(n)]
+        want = brute_targets(sizes, [mixing.WEIGHTS[i % 3] for i in range(n)], 1.5, 2)
+        assert [r["target"] for r in planned(spark, sizes)] == pytest.approx(want)
+
+
+def test_sources_are_numbered_by_code_point(spark):
+    names = ["b", None, "é", "", "B", "\U0001F600", "\uFFFD", "a"]
+    want = sorted((n for n in names if n is not None), key=lambda n: [ord(c) for c in n]) + [None]
+    assert [r["name"] for r in planned(spark, range(1, 9), names)] == want
+
+
+def test_many_sources_are_mixed_in_groups(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "GROUP", 7)
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 50)
+    docs = spark.range(600).selectExpr("id doc_id", "repeat('w ', cast(1 + id % 90 as int)) text",
+                                       "if(id % 3 = 0, 'hot', cast(id % 130 as string)) source")
+    documents_, draws = mixing.mix(docs, block_words=16, shards=4)
+    rows = mixing.taken(documents_, draws).collect()
+    assert len(rows) == 600 and len({r["source"] for r in rows}) == 131
+    by_source = defaultdict(list)
+    for r in rows:
+        by_source[r["source"]].append(r)
+    order = sorted(by_source)
+    sizes = [sum(r["size"] for r in by_source[s]) for s in order]
+    want = brute_targets(sizes, [mixing.WEIGHTS[i % 3] for i in range(len(order))], 1.5, 2)
+    for source, size, target in zip(order, sizes, want):
+        group = by_source[source]
+        assert {r["source_size"] for r in group} == {size} and group[0]["target"] == pytest.approx(target)
+        assert sum(r["taken"] for r in group) == round(group[0]["target"])
+        assert all(r["taken"] <= 2 * r["size"] for r in group)
+    shards = Counter()
+    for r in draws.select("shard", "source", "slot").distinct().collect():
+        shards[r["shard"]] += 1
+    assert len(shards) == 4
 
 
 def test_permutation_and_its_inverse():
@@ -352,15 +407,17 @@ def test_mix_equals_brute_force(spark, sf_dir):
     by_source = defaultdict(list)
     for r in rows:
         by_source[r["source"]].append(r)
-    plan = mixing.plan_sources([{"source": s, "size": sum(r["size"] for r in g), "rows": len(g)}
-                                for s, g in by_source.items()], mixing.WEIGHTS, 1.5, 2, 32)
-    for number, source in enumerate(plan):
-        group = sorted((r for r in by_source[source.name] if r["size"]), key=lambda r: r["start"])
+    order = sorted(by_source, key=lambda s: (s is None, (s or "").encode()))
+    plan = planned(spark, [sum(r["size"] for r in by_source[s]) for s in order], order)
+    assert [p["name"] for p in plan] == order
+    for p in plan:
+        source = mixing.Source(p["source_number"], p["source_size"], p["words"], p["blocks"])
+        group = sorted((r for r in by_source[p["name"]] if r["size"]), key=lambda r: r["start"])
         owner = [i for i, r in enumerate(group) for _ in range(r["size"])]
         assert len(owner) == source.size and [r["start"] for r in group] == [owner.index(i) for i in range(len(group))]
         count, blocks = Counter(), Counter()
-        if source.slots:
-            slots = mixing.slots_of(source, number, 0, source.slots, 32, 11)
+        if p["slots"]:
+            slots = mixing.slots_of(source, 0, p["slots"], 32, 11)
             for b, t in zip(slots["block"].tolist(), slots["take"].tolist()):
                 count.update(owner[32 * b:32 * b + t])
                 blocks[b] += t > 0
