@@ -528,6 +528,30 @@ def test_marks_between_the_letters_of_a_held_out_word(spark):
     assert min(model.scores(marked)) > 0.5 > max(model.scores(["ka - lo - mi - ra", "- - - -", "ka lo i - mi"]))
 
 
+def test_inserted_letters_of_a_held_out_word(spark):
+    rows = made_up(random.Random(8), 900)
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(table.select("doc_id", "text"), table.select("doc_id", "toxic"))
+
+    def inserted(word):
+        return [word[:i] + c + word[i:] for i in range(1, len(word)) for c in "abcdefghijklmnopqrstuvwxyz0*"]
+
+    insults = [w for word in ("idiot", "moron", "scumbag", "loser") for w in inserted(word)]
+    caught = model.scores([f"ka lo {w} mi" for w in insults]) > 0.5
+    assert caught.mean() > 0.95
+    assert (model.scores([f"ka lo {w} mi" for word in ("kaner", "velpora", "tusmi") for w in inserted(word)]) > 0.5).mean() < 0.05
+
+
+def test_altered_texts_have_a_letter_more_in_each_longer_word():
+    text = "An idiot,  who\nlosers call\n\nvery é𝄞éé"
+    again = toxicity.with_insertions(text)
+    assert again == toxicity.with_insertions(text) and again.count("\n") == 3
+    for word, other in zip(text.split(), again.split(), strict=True):
+        assert len(other) == len(word) + (len(word) >= 4)
+        assert word == other or any(other[:i] + other[i + 1:] == word for i in range(len(other)))
+    assert toxicity.with_insertions("") == ""
+
+
 def test_spelled_words_pass_over_marks_but_not_over_lines():
     reader = toxicity.Reader(["idiot", "moron", "an dio"])
 
