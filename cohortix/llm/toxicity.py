@@ -7,8 +7,8 @@ that tell the labelled classes apart. A sentence is described by its best kernel
 every landmark, whitened by the landmarks' own kernel matrix (Nyström), and scored by a linear
 machine with squared hinge loss. A toxic document is one with a toxic sentence, so each round
 of training takes the sentence of a toxic document found worst so far and all sentences of
-clean ones (Andrews et al., 2003). Every training document is learnt from twice, as it is and with
-a letter inserted in each longer word: an inserted letter is then no sign of either class, and
+clean ones (Andrews et al., 2003). Every training document is learnt from twice, as it is and by its
+closest sentences with a letter inserted in each longer word: an inserted letter is then no sign of either class, and
 what it weakens still lies on its side. A document scores as its worst sentence, through a
 logistic curve fitted on all of these.
 """
@@ -380,8 +380,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
         label_col: str = "toxic", landmarks: int = LANDMARKS, fit_docs: int = FIT_DOCS) -> Model:
     """Learn from at most ``2 * fit_docs`` labelled documents of each class.
 
-    Of a training document up to ``FIT_SENTENCES`` sentences are used, and ``ALTERED_SENTENCES`` of its
-    text with inserted letters, those closest to the landmarks of toxicity. With labels of one class only, or none, every text gets that class' share.
+    Of a training document up to ``FIT_SENTENCES`` sentences are used, those closest to the
+    landmarks of toxicity, and ``ALTERED_SENTENCES`` of these again with inserted letters. With labels
+    of one class only, or none, every text gets that class' share.
     """
     ready(docs.sparkSession)
     rows, share = training_rows(docs, labels, id_col, text_col, label_col, fit_docs)
@@ -399,15 +400,13 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
                 for at in range(0, batch.num_rows, CHUNK):
                     part = batch.slice(at, CHUNK)
                     texts = part.column(0).to_pylist()
-                    for read, most in ((texts, FIT_SENTENCES), ([*map(with_insertions, texts)], ALTERED_SENTENCES)):
-                        values, firsts = reader(picked).describe(read)
-                        bags = []
-                        for a, b in zip(firsts, [*firsts[1:], len(values)]):
-                            bag = np.unique(values[a:b], axis=0)
-                            close = np.argsort(-bag[:, :marks].max(axis=1), kind="stable")[:most]
-                            bags.append(bag[close].tobytes())
+                    bags, closest = nearest_sentences(picked, marks, texts, FIT_SENTENCES)
+                    altered = ["\n".join(sentences_of(t)[i] for i in found[:ALTERED_SENTENCES])
+                               for t, found in zip(texts, closest)]
+                    again, _ = nearest_sentences(picked, marks, [*map(with_insertions, altered)], ALTERED_SENTENCES)
+                    for found in (bags, again):
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(bags, pa.binary()), part.column(1)], ["bag", "toxic"])
+                            [pa.array(found, pa.binary()), part.column(1)], ["bag", "toxic"])
 
         table = rows.select("text", "toxic").mapInArrow(describe, "bag binary, toxic int").toArrow()
     finally:
@@ -416,6 +415,29 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     return train(picked, bags, np.array(table["toxic"].to_pylist()), share, marks)
 
 
+def sentences_of(text: str) -> list[str]:
+    """What ``Reader.describe`` has a row for."""
+    out = []
+    for line in text.split("\n"):
+        tokens = line.split()
+        ends = [i + 1 for i, t in enumerate(tokens) if t[-1] in SENTENCE_ENDS or i == len(tokens) - 1]
+        out += [" ".join(tokens[a:b]) for a, b in zip([0, *ends], ends)]
+    return out or [""]
+
+
+def nearest_sentences(landmarks: tuple[str, ...], marks: int, texts: Sequence[str],
+                      most: int) -> tuple[list[bytes], list[list[int]]]:
+    """Different rows of each text, the ``most`` closest to the first ``marks`` landmarks, and their numbers."""
+    values, firsts = reader(landmarks).describe(texts)
+    bags, numbers = [], []
+    for a, b in zip(firsts, [*firsts[1:], len(values)]):
+        bag, number = np.unique(values[a:b], axis=0, return_index=True)
+        close = np.argsort(-bag[:, :marks].max(axis=1), kind="stable")[:most]
+        bags.append(bag[close].tobytes())
+        numbers.append(number[close].tolist())
+    return bags, numbers
+
+
 def train(landmarks: tuple[str, ...], bags: Sequence[np.ndarray], toxic: np.ndarray, share: float,
           marks: int) -> Model:
     """Alternate the choice of worst sentences and the fit; then fit the logistic curve.

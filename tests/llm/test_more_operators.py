@@ -552,6 +552,14 @@ def test_altered_texts_have_a_letter_more_in_each_longer_word():
     assert toxicity.with_insertions("") == ""
 
 
+def test_sentences_are_those_that_have_a_row():
+    texts = ["", "\n \n", "One two. Three? four", "a\nb c!\n\nd e", "... ! x", "end.\nno end", "a. b"]
+    _, firsts = toxicity.Reader(["idiot"]).describe(texts)
+    rows = len(toxicity.Reader(["idiot"]).describe(texts)[0])
+    assert [len(toxicity.sentences_of(t)) for t in texts] == np.diff([*firsts, rows]).tolist()
+    assert toxicity.sentences_of("One two. Three? four\nfive") == ["One two.", "Three?", "four", "five"]
+
+
 def test_spelled_words_pass_over_marks_but_not_over_lines():
     reader = toxicity.Reader(["idiot", "moron", "an dio"])
 
