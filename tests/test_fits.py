@@ -107,3 +107,17 @@ def test_too_many_levels_are_refused(spark):
         churn.segment_levels(wide)
     with pytest.raises(ValueError, match="churn"):
         churn.class_sizes(wide)
+
+
+def test_tree_fits_have_a_bounded_number_of_tasks(spark, matrix, monkeypatch):
+    """Each task sends the statistics of all nodes, so their number must not grow with the rows."""
+    seen = []
+
+    def fit(estimator, train, sizes):
+        seen.append((train.rdd.getNumPartitions(), train.count()))
+        return estimator.fit(train)
+
+    monkeypatch.setattr(churn, "TREE_ROWS_PER_TASK", 10)
+    monkeypatch.setattr(churn, "fit_candidate", fit)
+    churn.train_churn_models(matrix, FEATURES, sizes=SMALL, names=["random_forest"])
+    assert seen == [(churn.TREE_TASKS, 2400)]
