@@ -32,7 +32,10 @@ SAMPLE_IDS = 2_048
 DICTIONARY_BYTES = 64 * 1024
 BLOCK_BYTES = 1 << 20
 BLOCK_DOCS = 4_096
-LEVEL = 3
+# Batches encoded together: what several of them have in common is looked up once.
+GATHER_DOCS = 4_096
+GATHER_BYTES = 14 << 20
+LEVEL = 2  # with the dictionary, files no larger than at level 3
 
 ENTRY = "struct<doc_id: bigint, at: bigint, size: bigint, start: bigint, n_tokens: bigint>"
 BLOCKS = (f"part int, block bigint, dict_hash string, n_docs bigint, n_tokens bigint, "
@@ -80,6 +83,20 @@ def narrowed(raw: bytes, end_id: int, width: int) -> bytes:
     return ids.astype(f"<u{width}").tobytes()
 
 
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int | None], list[str]]]:
+    """Ids and texts of as many batches as stay within ``GATHER_DOCS`` and ``GATHER_BYTES``, one at least."""
+    ids, texts, size = [], [], 0
+    for batch in batches:
+        if ids and (len(ids) + batch.num_rows > GATHER_DOCS or size + batch.nbytes > GATHER_BYTES):
+            yield ids, texts
+            ids, texts, size = [], [], 0
+        ids += batch.column(0).to_pylist()
+        texts += batch.column(1).to_pylist()
+        size += batch.nbytes
+    if ids:
+        yield ids, texts
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, *, end_id: int,
                  id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode whole texts and write them in ascending id order (missing ids last).
@@ -117,8 +134,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, *, end_id: int,
                 [pa.array([part], pa.int32()), pa.array([number]), pa.array([digest]), pa.array([len(n)]),
                  pa.array([int(n.sum())]), lists, pa.array([b"".join(frames)], pa.binary())], schema=_blocks)
 
-        for batch in batches:
-            for doc_id, raw in zip(batch.column(0).to_pylist(), encoder(tokenizer).encode(batch.column(1).to_pylist())):
+        for ids, texts in gathered(batches):
+            for doc_id, raw in zip(ids, encoder(tokenizer).encode(texts)):
                 stored = narrowed(raw, end_id, width)
                 doc_ids.append(doc_id)
                 frames.append(press.compress(stored))

@@ -45,6 +45,12 @@ _letters = byte_letters()
 def _as_bytes(text: str) -> str:
     return text.encode().decode("latin-1").translate(_letters)
 
+
+def _listed(strings: pa.Array) -> list[str]:
+    """``to_pylist`` of strings without a null, in a fraction of its time."""
+    return strings.to_numpy(zero_copy_only=False).tolist()
+
+
 _encoders: dict[str, Encoder] = {}
 
 
@@ -121,19 +127,19 @@ class Encoder(dict):
         The first entry is empty. What is no plain word with punctuation is an entry as a whole.
         """
         if not (self.keeps_space or self.lowers):
-            return [b"", *map(self.__getitem__, pieces.to_pylist())], 1 + np.arange(len(pieces)), np.zeros(len(pieces), np.int64)
+            return [b"", *map(self.__getitem__, _listed(pieces))], 1 + np.arange(len(pieces)), np.zeros(len(pieces), np.int64)
         split = pc.extract_regex(pieces, _plain_named)
         other = split.is_null()
         words, tails = (split.field(i).dictionary_encode() for i in range(2))
         word, tail = (d.indices.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) for d in (words, tails))
         ids = [b""]
         word += len(ids)
-        ids += self._words_ids(words.dictionary.to_pylist())
+        ids += self._words_ids(_listed(words.dictionary))
         tail += len(ids)
-        ids += map(self._tail_ids, tails.dictionary.to_pylist())
+        ids += map(self._tail_ids, _listed(tails.dictionary))
         at = np.flatnonzero(other.to_numpy(zero_copy_only=False))
         word[at], tail[at] = len(ids) + np.arange(len(at)), 0
-        ids += map(self.__getitem__, pieces.filter(other).to_pylist())
+        ids += map(self.__getitem__, _listed(pieces.filter(other)))
         return ids, word, tail
 
     def _words_ids(self, words: list[str]) -> list[bytes]:

@@ -9,11 +9,12 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cohortix.llm import embeddings, pages, pii, stages, toxicity
+from cohortix.llm import embeddings, pages, pii, stages, tokenbin, toxicity
 from cohortix.llm.queries import llm_queries
 
 
@@ -624,3 +625,16 @@ def test_pipeline_runs_on_an_odd_table(spark, odd, sf_dir, tmp_path):
     spark.read.parquet(f"{sf_dir}/labels.parquet").write.parquet(str(tmp_path / "labels.parquet"))
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert out.columns[:2] == ["doc_id", "start"] and out.count() > 0
+
+
+def test_batches_are_gathered_within_bounds():
+    def batch(first, n, text):
+        return pa.RecordBatch.from_arrays([pa.array(range(first, first + n), pa.int64()), pa.array([text] * n)], ["doc_id", "text"])
+
+    small = [batch(1_000 * i, 1_000, "a b") for i in range(9)] + [batch(9_000, 1, None), batch(9_001, 1, "x")]
+    found = list(tokenbin.gathered(iter(small)))
+    assert [len(ids) for ids, _ in found] == [4_000, 4_000, 1_002] and sum((ids for ids, _ in found), []) == [*range(9_002)]
+    assert found[2][1][-3:] == ["a b", None, "x"] and [len(t) for _, t in found] == [len(ids) for ids, _ in found]
+    large = [batch(0, 2, "x" * (tokenbin.GATHER_BYTES * 3 // 8)), batch(2, 1, "x"), batch(3, 1, "y" * tokenbin.GATHER_BYTES)]
+    assert [ids for ids, _ in tokenbin.gathered(iter(large))] == [[0, 1, 2], [3]]
+    assert list(tokenbin.gathered(iter([]))) == [] == list(tokenbin.gathered(iter([batch(0, 0, "")])))
