@@ -43,8 +43,8 @@ MIN_DOCS = 3
 ROUNDS = 3
 RIDGE = 1e-4
 SPELLED = 3
-CACHE_WORDS = 250_000
-CACHE_WINDOWS = 300_000
+CACHE_WORDS = 160_000
+CACHE_WINDOWS = 200_000
 CHUNK = 256
 GATHER_WORDS = 200_000
 STEPS = 64
@@ -407,6 +407,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
                     for found in (bags, again):
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(found, pa.binary()), part.column(1)], ["bag", "toxic"])
+            give_back()
 
         table = rows.select("text", "toxic").mapInArrow(describe, "bag binary, toxic int").toArrow()
     finally:

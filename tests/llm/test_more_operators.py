@@ -2,8 +2,11 @@
 
 import hashlib
 import html
+import itertools
 import random
 import re
+import string
+import sys
 import time
 import zlib
 from collections import Counter, defaultdict
@@ -638,3 +641,16 @@ def test_batches_are_gathered_within_bounds():
     large = [batch(0, 2, "x" * (tokenbin.GATHER_BYTES * 3 // 8)), batch(2, 1, "x"), batch(3, 1, "y" * tokenbin.GATHER_BYTES)]
     assert [ids for ids, _ in tokenbin.gathered(iter(large))] == [[0, 1, 2], [3]]
     assert list(tokenbin.gathered(iter([]))) == [] == list(tokenbin.gathered(iter([batch(0, 0, "")])))
+
+
+def test_the_tables_of_a_toxicity_reader_stay_within_100_mb():
+    def held(r):
+        tables = (r.tokens, r.words.rows, r.windows.rows)
+        return r.words.values.nbytes + r.windows.values.nbytes + sum(
+            sys.getsizeof(d) + sum(map(sys.getsizeof, d)) + sum(map(sys.getsizeof, d.values())) for d in tables)
+
+    reader = toxicity.Reader([f" {a}{b}xyz" for a, b in itertools.product("abcdefgh", "abcdefghijkl")])
+    words = map("".join, itertools.product(string.ascii_lowercase, repeat=4))
+    for _ in range(16):
+        reader.describe([" ".join(itertools.islice(words, 20_000))])
+        assert held(reader) < 100e6
