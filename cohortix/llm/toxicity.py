@@ -47,6 +47,7 @@ CACHE_WORDS = 160_000
 CACHE_WINDOWS = 200_000
 CHUNK = 256
 GATHER_WORDS = 200_000
+FIT_ROWS = 8_192
 STEPS = 64
 SENTENCE_ENDS = (".", "!", "?")
 
@@ -367,15 +368,29 @@ def choose_landmarks(rows: DataFrame, wanted: int) -> tuple[list[str], int]:
         "evidence": F.abs(ratio) * (F.col("p") / sizes[0] + F.col("n") / sizes[1]), "toxic": ratio > 0,
     }).orderBy(F.desc("evidence"), "window").limit(CANDIDATES).select("window", "toxic").toArrow()
     best, speaks = table["window"].to_pylist(), table["toxic"].to_pylist()
-    kernel = Kernel(best)(best) if best else None
-    chosen: list[int] = []
-    for i in range(len(best)):
-        if len(chosen) < wanted and (not chosen or kernel[i, chosen].max() < ALIKE):
-            chosen.append(i)
-    chosen.sort(key=lambda i: (not speaks[i], i))
+    chosen = sorted(unlike(best, wanted), key=lambda i: (not speaks[i], i))
     return [best[i] for i in chosen], sum(speaks[i] for i in chosen)
 
 
+def unlike(strings: Sequence[str], wanted: int) -> list[int]:
+    """The numbers of the first ``wanted`` strings that are not much alike to an earlier one of them.
+
+    What is left is compared with its first ``LANDMARKS`` strings at a time, never all with all.
+    """
+    codes, left = codes_of(strings), np.arange(len(strings))
+    chosen: list[int] = []
+    while len(left) and len(chosen) < wanted:
+        block = left[:LANDMARKS]
+        alike = Kernel([strings[i] for i in block])(codes[left]) >= ALIKE
+        free = np.ones(len(left), bool)
+        for k, i in enumerate(block.tolist()):
+            if free[k] and len(chosen) < wanted:
+                chosen.append(i)
+                free &= ~alike[:, k]
+        left = left[len(block):][free[len(block):]]
+    return chosen
+
+
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic", landmarks: int = LANDMARKS, fit_docs: int = FIT_DOCS) -> Model:
     """Learn from at most ``2 * fit_docs`` labelled documents of each class.
@@ -413,7 +428,11 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     finally:
         rows.unpersist()
     bags = [np.frombuffer(b, np.uint8).reshape(-1, len(picked)) for b in table["bag"].to_pylist()]
-    return train(picked, bags, np.array(table["toxic"].to_pylist()), share, marks)
+    toxic = np.array(table["toxic"].to_pylist())
+    del table
+    model = train(picked, bags, toxic, share, marks)
+    give_back()
+    return model
 
 
 def sentences_of(text: str) -> list[str]:
@@ -449,34 +468,60 @@ def train(landmarks: tuple[str, ...], bags: Sequence[np.ndarray], toxic: np.ndar
     values = np.linalg.eigh(Kernel(landmarks)(landmarks).astype(np.float64))
     root = values[1] / np.sqrt(np.maximum(values[0], 1e-3))  # Nyström: inverse root of the kernel matrix
     firsts = np.cumsum([0, *map(len, bags)])[:-1]
-    x = np.concatenate(bags) / 255.0 @ root
+    x = np.concatenate(bags)
     owner = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
     clean = toxic[owner] == 0
-    score = np.concatenate(bags)[:, :marks].max(axis=1).astype(np.float64)
+    score = x[:, :marks].max(axis=1).astype(np.float64)
     for _ in range(ROUNDS):
         worst = np.array([a + int(np.argmax(score[a:b])) for a, b in zip(firsts, [*firsts[1:], len(x)])])
         rows = clean.copy()
         rows[worst] = True
-        y = np.where(clean, -1.0, 1.0)
-        weights, bias = squared_hinge(x[rows], y[rows])
-        score = x @ weights + bias
+        weights, bias = squared_hinge(x, rows, clean, root / 255.0)
+        score = products(x, weights) + bias
     best = np.maximum.reduceat(score, firsts)
     slope, offset = logistic_curve(best, toxic, share)
-    return Model(landmarks, (root @ weights / 255.0).astype(np.float32), float(bias), slope, offset)
+    return Model(landmarks, weights.astype(np.float32), float(bias), slope, offset)
+
 
+def products(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """``x @ weights``; of the bytes in ``x`` only ``FIT_ROWS`` rows at a time become doubles."""
+    out = np.empty(len(x))
+    for at in range(0, len(x), FIT_ROWS):
+        out[at:at + FIT_ROWS] = x[at:at + FIT_ROWS].astype(np.float64) @ weights
+    return out
+
+
+def moments(x: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The sum of the outer products of the marked rows, each with a 1 behind it: of bytes, so it is exact."""
+    places = np.flatnonzero(rows)
+    part = np.ones((min(FIT_ROWS, len(places)), x.shape[1] + 1))
+    total = np.zeros((x.shape[1] + 1, x.shape[1] + 1))
+    for at in range(0, len(places), FIT_ROWS):
+        picked = places[at:at + FIT_ROWS]
+        part[:len(picked), :-1] = x[picked]
+        total += part[:len(picked)].T @ part[:len(picked)]
+    return total
 
-def squared_hinge(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[np.ndarray, float]:
-    """Linear machine by Newton steps on its margin violators; both classes weigh the same."""
-    x1 = np.hstack([x, np.ones((len(x), 1))])
-    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
-    ridge = RIDGE * np.eye(x1.shape[1])
+
+def squared_hinge(x: np.ndarray, rows: np.ndarray, clean: np.ndarray, root: np.ndarray,
+                  rounds: int = 50) -> tuple[np.ndarray, float]:
+    """Linear machine on the marked rows of ``x @ root`` by Newton steps on its margin violators.
+
+    Both classes weigh the same. Returns the weights of the columns of ``x``. The rows stay bytes: a
+    step needs the sums of the violators' outer products only, which are turned by ``root`` at the end.
+    """
+    turn = np.eye(len(root) + 1)
+    turn[:-1, :-1] = root
+    weight = {c: 0.5 / max(1, (rows & (clean == c)).sum()) for c in (False, True)}
+    ridge = RIDGE * np.eye(len(turn))
     ridge[-1, -1] = 1e-9
-    w = np.zeros(x1.shape[1])
-    inside = np.ones(len(y), bool)
+    sign = np.where(clean, -1.0, 1.0)
+    w = np.zeros(len(turn))
+    inside = rows
     for _ in range(rounds):
-        a = x1[inside] * weight[inside, None]
-        w = np.linalg.solve(ridge + a.T @ x1[inside], a.T @ y[inside])
-        now = y * (x1 @ w) < 1
+        above, below = (weight[c] * moments(x, inside & (clean == c)) for c in (False, True))
+        w = turn @ np.linalg.solve(ridge + turn.T @ (above + below) @ turn, turn.T @ (above[-1] - below[-1]))
+        now = rows & (sign * (products(x, w[:-1]) + w[-1]) < 1)
         if (now == inside).all() or not now.any():
             break
         inside = now

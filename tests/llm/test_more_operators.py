@@ -8,6 +8,7 @@ import re
 import string
 import sys
 import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -654,3 +655,69 @@ def test_the_tables_of_a_toxicity_reader_stay_within_100_mb():
     for _ in range(16):
         reader.describe([" ".join(itertools.islice(words, 20_000))])
         assert held(reader) < 100e6
+
+
+def peak_of(call):
+    tracemalloc.start()
+    try:
+        return call(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def dense_hinge(x, y, rounds=50):
+    """Newton steps over all rows at once."""
+    x1 = np.hstack([x, np.ones((len(x), 1))])
+    weight = np.where(y > 0, 0.5 / (y > 0).sum(), 0.5 / (y < 0).sum())
+    ridge = np.diag([toxicity.RIDGE] * x.shape[1] + [1e-9])
+    inside = np.ones(len(y), bool)
+    for _ in range(rounds):
+        a = x1[inside] * weight[inside, None]
+        w = np.linalg.solve(ridge + a.T @ x1[inside], a.T @ y[inside])
+        now = y * (x1 @ w) < 1
+        if (now == inside).all() or not now.any():
+            break
+        inside = now
+    return w[:-1], w[-1]
+
+
+def test_the_linear_machine_learns_from_bytes_as_from_all_rows_at_once(monkeypatch):
+    monkeypatch.setattr(toxicity, "FIT_ROWS", 64)  # several parts and a last one that is not full
+    rng = np.random.default_rng(5)
+    clean = rng.random(1_001) < 0.7
+    x = (rng.random((1_001, 7)) ** 3 * 255).astype(np.uint8)
+    x[~clean, :3] = np.maximum(x[~clean, :3], rng.integers(60, 255, ((~clean).sum(), 3)))
+    root, rows = rng.normal(size=(7, 7)) / 255.0, rng.random(1_001) < 0.8
+    weights, bias = toxicity.squared_hinge(x, rows, clean, root)
+    want, want_bias = dense_hinge((x @ root)[rows], np.where(clean, -1.0, 1.0)[rows])
+    assert np.allclose(weights, root @ want, rtol=1e-9, atol=1e-12) and np.isclose(bias, want_bias, rtol=1e-9)
+    assert np.allclose(toxicity.products(x, weights), x @ root @ want)
+
+
+def test_the_fit_holds_its_rows_as_bytes_only():
+    rng = np.random.default_rng(6)
+    landmarks = tuple(f" {a}{b}xyz"[:toxicity.WINDOW] for a, b in itertools.product("abcdefgh", "abcdefghijkl"))
+    toxic = np.arange(6_000) % 2
+    bags = [(rng.random((16, len(landmarks))) ** 3 * 255).astype(np.uint8) for _ in toxic]
+    for bag, label in zip(bags, toxic):
+        bag[0, :20] |= np.uint8(128 * label)
+    model, peak = peak_of(lambda: toxicity.train(landmarks, bags, toxic, 0.1, 20))
+    rows = sum(map(len, bags))
+    assert peak < rows * len(landmarks) + 64 * rows + 24e6  # the bytes, some numbers a row, a part as doubles
+    best = np.array([(b @ model.weights + model.bias).max() for b in bags])
+    assert np.mean((best > np.median(best)) == toxic) > 0.9
+
+
+def test_landmarks_are_compared_in_blocks_as_all_with_all():
+    rnd = random.Random(7)
+    words = ["".join(rnd.choices("abcdefghi", k=rnd.randint(3, 9))) for _ in range(1_500)]
+    strings = list(dict.fromkeys(w for x in words for w in toxicity.windows(x)))[:toxicity.CANDIDATES]
+    kernel = toxicity.Kernel(strings)(strings)
+    for wanted in (1, toxicity.LANDMARKS, 400):
+        want = []
+        for i in range(len(strings)):
+            if len(want) < wanted and (not want or kernel[i, want].max() < toxicity.ALIKE):
+                want.append(i)
+        got, peak = peak_of(lambda: toxicity.unlike(strings, wanted))
+        assert got == want and peak < 30e6
+    assert toxicity.unlike([], 5) == [] and toxicity.unlike(["abcdef", "abcdef"], 5) == [0]
