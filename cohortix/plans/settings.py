@@ -15,7 +15,6 @@ class Settings:
     kmeans_restarts: int = S.KMEANS_RESTARTS
     mixture_restarts: int = S.MIXTURE_RESTARTS
     sample_rows: int = S.SCORE_SAMPLE
-    cv_rows: int = S.CV_ROWS
     seed: int = S.SEED
     quantiles: str = "exact"
     trees: TreeSizes = field(default_factory=TreeSizes)

@@ -1,5 +1,7 @@
 """Boosting with patience, the checks of fitted models, and that labels without the rows' pattern fail them."""
 
+import threading
+
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
@@ -101,6 +103,40 @@ def test_folds_are_recomputed_from_rows_not_seen(spark, matrix, tmp_path):
     assert not any(r[3] or r[5] for r in Q.fold_facts(spark, path, folds, wrong))
 
 
+def test_cross_validation_takes_every_row(spark, tmp_path):
+    """As many rows as there are, each once by a model that did not see it and in all other folds by one that did."""
+    n, path = 61_000, str(tmp_path / "cv")
+    table = spark.range(n, numPartitions=4).select(F.col("id").alias(S.ID), F.rand(1).alias(S.USAGE), (F.rand(2) < 0.3).cast("int").alias(S.CHURN))
+    quick = TreeSizes(forest_trees=1, forest_depth=2, forest_bins=8)
+    folds = churn.cross_validate(table, [S.USAGE], "random_forest", sizes=quick, scores=path)
+    assert sorted(r["fold"] for r in folds.collect()) == [0, 1, 2, 3, 4]
+    for part, times in (("unseen", 1), ("seen", 4)):
+        found = spark.read.parquet(f"{path}/{part}/*").groupBy(S.ID).count()
+        assert (found.count(), found.where(F.col("count") != times).count()) == (n, 0)
+
+
+@pytest.mark.parametrize("rows, most", [(1000, 3), (3000, 1)])
+def test_folds_of_large_tables_are_fitted_one_by_one(matrix, monkeypatch, rows, most):
+    """Side by side the trees of all folds would fill the memory."""
+    now, seen, lock, fit = [], [], threading.Lock(), churn.fit_candidate
+
+    def watched(*a):
+        with lock:
+            now.append(1)
+            seen.append(len(now))
+        try:
+            return fit(*a)
+        finally:
+            with lock:
+                now.pop()
+
+    monkeypatch.setattr(churn, "FOLD_ROWS", 3000)
+    monkeypatch.setattr(churn, "fit_candidate", watched)
+    quick = TreeSizes(forest_trees=1, forest_depth=2, forest_bins=8)
+    assert churn.cross_validate(matrix.where(F.col(S.ID) < rows), FEATURES, "random_forest", sizes=quick).count() == 5
+    assert len(seen) == 5 and max(seen) <= most
+
+
 def test_too_many_levels_are_refused(spark):
     wide = spark.range(5000).select(F.col("id").cast("string").alias(S.SEGMENT), F.col("id").alias(S.CHURN))
     with pytest.raises(ValueError, match="segment"):
